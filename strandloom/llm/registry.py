@@ -7,6 +7,7 @@ import importlib
 #: query name -> (module, function)
 QUERIES = {
     "op1_ogg_media": ("ogg", "op1"),
+    "op5_bpe": ("bpe", "op5"),
 }
 
 
