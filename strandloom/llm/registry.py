@@ -8,6 +8,7 @@ import importlib
 QUERIES = {
     "op1_ogg_media": ("ogg", "op1"),
     "op5_bpe": ("bpe", "op5"),
+    "op3_secrets": ("secrets", "op3"),
 }
 
 
