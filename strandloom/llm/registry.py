@@ -9,6 +9,8 @@ QUERIES = {
     "op1_ogg_media": ("ogg", "op1"),
     "op5_bpe": ("bpe", "op5"),
     "op3_secrets": ("secrets", "op3"),
+    "op10_toxicity": ("toxicity", "op10"),
+    "op7_mixing": ("mixing", "op7"),
 }
 
 
