@@ -11,6 +11,7 @@ QUERIES = {
     "op3_secrets": ("secrets", "op3"),
     "op10_toxicity": ("toxicity", "op10"),
     "op7_mixing": ("mixing", "op7"),
+    "op9_url_reputation": ("urls", "op9"),
 }
 
 
