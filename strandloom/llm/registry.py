@@ -12,6 +12,7 @@ QUERIES = {
     "op10_toxicity": ("toxicity", "op10"),
     "op7_mixing": ("mixing", "op7"),
     "op9_url_reputation": ("urls", "op9"),
+    "op2_licenses": ("licenses", "op2"),
 }
 
 
