@@ -13,6 +13,7 @@ QUERIES = {
     "op7_mixing": ("mixing", "op7"),
     "op9_url_reputation": ("urls", "op9"),
     "op2_licenses": ("licenses", "op2"),
+    "op4_warc": ("warc", "op4"),
 }
 
 
