@@ -14,6 +14,7 @@ QUERIES = {
     "op9_url_reputation": ("urls", "op9"),
     "op2_licenses": ("licenses", "op2"),
     "op4_warc": ("warc", "op4"),
+    "op6_jaccard": ("jaccard", "op6"),
 }
 
 
