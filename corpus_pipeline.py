@@ -1,11 +1,73 @@
-"""The corpus pipeline: STAGES in order, each over all that the one before kept."""
+"""The corpus pipeline over ``documents``: toxic documents go, one of each group of near-equal
+documents stays, secrets are masked, sources are mixed to their targets, and the mix is encoded.
+
+Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns all rows that it keeps.
+All but the last return the columns of documents. A null text is kept as it is until the last stage, where it has
+no tokens; rows with a null id are never near-equal to others.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandloom.llm import bpe, common, jaccard, mixing, secrets, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold."""
+    common.small_batches(spark)
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, name="_toxicity").where(~toxicity.rejected("_toxicity")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component; rows that repeat an id stay once."""
+    found = common.written(jaccard.join(docs.select("doc_id", "text")), "components")
+    kept = found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select("doc_id").distinct()
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    ids = found.where("doc_id IS NOT NULL")
+    if ids.count() > ids.distinct().count():
+        out = out.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id IS NULL"))
+    return out
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets masked; n_chars follows."""
+    common.small_batches(spark)
+    out = secrets.redact(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it. Rows that share an id are taken equally often."""
+    mixed = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
+    mixed = common.written(mixed.withColumnRenamed("doc_id", "_id"), "copies")
+    rows = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select([docs[c] for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids, and the digest of what the ids decode to."""
+    common.small_batches(spark)
+    return bpe.encode(docs.drop("n_chars"), bpe.vocabulary())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = common.written(docs, f"stage-{k}")
     return docs

@@ -20,9 +20,11 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandloom.llm import common
 
@@ -210,22 +212,24 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<bigint>) of each whole text."""
+def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """All other columns, and n_tokens, ids array<int> of each whole text, and the sha256 of the text that they decode to."""
+    names = [c for c in df.columns if c not in (text_col, "n_tokens", "ids", "decoded_sha256")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            lists = []
-            for text in b.column(1):
-                a = array("I")
-                a.frombytes(bpe.encode(text.as_py()))
-                lists.append(a.tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int64()))], ["id", "ids"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, ids array<bigint>")
+            encoded = [bpe.encode(text.as_py()) for text in b.column(0)]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+            sha = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in encoded]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.diff(offsets).astype(np.int64)), lists, pa.array(sha, pa.string())], [*names, "n_tokens", "ids", "decoded_sha256"])
+
+    rows = df.select(common.text_or_empty(text_col).alias(text_col), *[F.col(c) for c in names])
+    schema = rows.drop(text_col).schema
+    for name, kind in (("n_tokens", T.LongType()), ("ids", T.ArrayType(T.IntegerType())), ("decoded_sha256", T.StringType())):
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
