@@ -15,6 +15,7 @@ QUERIES = {
     "op2_licenses": ("licenses", "op2"),
     "op4_warc": ("warc", "op4"),
     "op6_jaccard": ("jaccard", "op6"),
+    "op8_bm25": ("search", "op8"),
 }
 
 
