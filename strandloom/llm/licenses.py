@@ -64,16 +64,6 @@ def normalised(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def numbered_bigrams(words: list[str]) -> list[str]:
-    """Bigrams with their count so far, so that repeats are members of their own."""
-    seen: dict[str, int] = {}
-    out = []
-    for pair in map(" ".join, zip(words, words[1:], strict=False)):
-        seen[pair] = seen.get(pair, 0) + 1
-        out.append(f"{pair} {seen[pair]}")
-    return out
-
-
 def gate_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
     """Words of which every segment that reaches the threshold has at least one: without them each template
     would lack so many bigrams that even the best segment stays below. Words are taken greedily by
@@ -104,22 +94,35 @@ def gate_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
 
 
 def template_sizes(spark, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(size, license, b, template): a row a template and size that its bounds allow."""
+    """(size, license, b, template, repeats): a row a template and size that its bounds allow. repeats are the bigrams
+    that stand more than once in the template, with their counts."""
     rows = []
     for name, text in templates:
-        grams = numbered_bigrams(normalised(text))
+        words = normalised(text)
+        grams = [f"{x} {y}" for x, y in zip(words, words[1:], strict=False)]
+        repeats = [(g, grams.count(g)) for g in sorted(set(grams)) if grams.count(g) > 1]
         low, high = bounds(len(grams), threshold)
-        rows += [(a, name, len(grams), grams) for a in range(max(1, low), high + 1)]
-    return spark.createDataFrame(rows, "size int, license string, b int, template array<string>")
+        rows += [(a, name, len(grams), sorted(set(grams)), repeats) for a in range(max(1, low), high + 1)]
+    return spark.createDataFrame(rows, "size int, license string, b int, template array<string>, repeats array<struct<gram:string,n:int>>")
+
+
+def _words(low: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+
+
+def _bigrams(words: Column) -> Column:
+    return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}]+", " "), " "), lambda w: w != "")
+def common_bigrams(grams: Column, template: Column, repeats: Column) -> Column:
+    """Bigrams in common, counted with repeats: each shared one once, and again as often as both repeat it."""
+    more = F.aggregate(repeats, F.lit(0), lambda acc, r: acc + F.greatest(F.lit(0), F.least(r["n"], F.size(F.filter(grams, lambda g: g == r["gram"]))) - 1))
+    return F.size(F.array_intersect(grams, template)) + more
 
 
-def _numbered(words: Column) -> Column:
-    pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
-    return F.transform(pairs, lambda p, i: F.concat_ws(" ", p, F.size(F.filter(F.slice(pairs, 1, i + 1), lambda q: q == p)).cast("string")))
+def pinned(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """df with a column that is computed once a row, however often filters after it name it."""
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
 def holds_any(low: Column, words: list[str]) -> Column:
@@ -135,15 +138,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """(id, license, dice, n_segments) of every licence found."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
-    gate = holds_any(F.lower("text"), gate_words(templates, threshold))
-    lines = F.split("text", "\n")
-    paragraphs = F.filter(F.split("text", _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
-    segments = texts.where(gate).select("id", F.explode(F.concat(lines, paragraphs)).alias("segment"))
+    gate = gate_words(templates, threshold)
+    low = pinned(texts, F.lower("text"), "low").where(holds_any(F.col("low"), gate)).select("id", "low")
+    paragraphs = F.filter(F.split("low", _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
+    segments = low.select("id", F.explode(F.concat(F.split("low", "\n"), paragraphs)).alias("segment")).where(holds_any(F.col("segment"), gate))
     sized = segments.withColumn("size", F.regexp_count("segment", F.lit(_WORDS)) - 1).where("size > 0")
     sizes = F.broadcast(template_sizes(spark, templates, threshold))
-    grams = sized.join(sizes.select("size").distinct(), "size", "left_semi").withColumn("grams", _numbered(_words(F.col("segment"))))
-    dice = 2 * F.size(F.array_intersect("grams", "template")) / (F.col("size") + F.col("b"))
-    met = grams.select("id", "size", "segment", "grams").join(sizes, "size").withColumn("dice", dice).where(F.col("dice") >= threshold)
+    grams = pinned(sized.join(sizes.select("size").distinct(), "size", "left_semi"), _words(F.col("segment")), "words")
+    grams = pinned(grams.select("id", "size", "segment", "words"), _bigrams(F.col("words")), "grams").select("id", "size", "segment", "grams")
+    dice = 2 * common_bigrams(F.col("grams"), F.col("template"), F.col("repeats")) / (F.col("size") + F.col("b"))
+    met = pinned(grams.join(sizes, "size"), dice, "dice").where(F.col("dice") >= threshold)
     best = met.groupBy("id", "license").agg(F.round(F.max("dice"), 6).alias("dice"), F.count_distinct(F.xxhash64("segment")).alias("n_segments"))
     return best.withColumnRenamed("id", id_col)
 
@@ -165,7 +169,7 @@ seg AS (SELECT doc_id, segment, row_number() OVER () AS s, regexp_extract_all(lo
 sg AS ({numbered("seg", "s")}),
 hit AS (SELECT s, t, count(*) AS common FROM sg JOIN tg USING (pair, nth) GROUP BY s, t),
 met AS (SELECT doc_id, license, segment, 2 * common / (len(seg.w) + len(t.w) - 2) AS dice FROM hit JOIN seg USING (s) JOIN t USING (t))
-SELECT doc_id, license, round(max(dice), 6) AS dice, count(DISTINCT segment) AS n_segments FROM met WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
+SELECT doc_id, license, round(max(dice), 6) AS dice, count(DISTINCT lower(segment)) AS n_segments FROM met WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
 """
 
 
