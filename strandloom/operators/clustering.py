@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
+from strandloom.operators.lineage import cut
 
 
 def shared_kmer_pairs(contigs: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
@@ -57,17 +58,17 @@ def scaffold_decision(links: DataFrame, coverage: DataFrame, glue: float = 0.05,
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, component): the smallest node that each is joined to (P05), by alternating large and small stars. Rounds end when
     no edge changes; each is checkpointed."""
-    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
+    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().transform(cut)
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     seen = state(now)
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().transform(cut)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().checkpoint()
+        now = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().transform(cut)
         if (new := state(now)) == seen:
             break
         seen = new

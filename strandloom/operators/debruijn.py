@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
+from strandloom.operators.lineage import cut
 
 
 def build(bundles: DataFrame, k: int, both_strands: bool = False) -> DataFrame:
@@ -70,10 +71,10 @@ def prune_once(edges: DataFrame, edge_ratio: float = 0.05, flow_ratio: float = 0
 
 def prune(edges: DataFrame, rounds: int = 50, **ratios) -> DataFrame:
     """prune_once until nothing goes."""
-    now, n = edges.checkpoint(), None
+    now, n = edges.transform(cut), None
     for _ in range(rounds):
         before = now.count() if n is None else n
-        now = prune_once(now, **ratios).checkpoint()
+        now = prune_once(now, **ratios).transform(cut)
         n = now.count()
         if n == before:
             break
@@ -117,27 +118,27 @@ def with_ends(edges: DataFrame, source: str = "S", sink: str = "T") -> DataFrame
 
 def layers(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
     """(component, node, layer): the longest way from a root, by peeling (P15). Nodes on or behind circles have none. A round is one join."""
-    left = edges.select("component", "src", "dst").distinct().checkpoint()
-    nodes = left.select("component", F.col("src").alias("node")).union(left.select("component", "dst")).distinct().checkpoint()
+    left = edges.select("component", "src", "dst").distinct().transform(cut)
+    nodes = left.select("component", F.col("src").alias("node")).union(left.select("component", "dst")).distinct().transform(cut)
     out = None
     for k in range(rounds):
-        now = nodes.join(left.select("component", F.col("dst").alias("node")), ["component", "node"], "left_anti").withColumn("layer", F.lit(k)).checkpoint()
+        now = nodes.join(left.select("component", F.col("dst").alias("node")), ["component", "node"], "left_anti").withColumn("layer", F.lit(k)).transform(cut)
         if now.isEmpty():
             break
         out = now if out is None else out.unionByName(now)
-        nodes = nodes.join(now, ["component", "node"], "left_anti").checkpoint()
-        left = left.join(now.select("component", F.col("node").alias("src")), ["component", "src"], "left_anti").checkpoint()
+        nodes = nodes.join(now, ["component", "node"], "left_anti").transform(cut)
+        left = left.join(now.select("component", F.col("node").alias("src")), ["component", "src"], "left_anti").transform(cut)
     return nodes.withColumn("layer", F.lit(None).cast("int")).limit(0) if out is None else out
 
 
 def reachable(edges: DataFrame, rounds: int = 30) -> DataFrame:
     """(component, a, b, dist): the fewest edges from a to b (P16), by doubling; pairs, so for one component's graph at a time."""
-    now = edges.select("component", F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1).alias("dist")).distinct().checkpoint()
+    now = edges.select("component", F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1).alias("dist")).distinct().transform(cut)
     seen = (-1, -1)
     for _ in range(rounds):
         step = now.select("component", F.col("a").alias("m"), "b", F.col("dist").alias("d2"))
         more = now.select("component", "a", F.col("b").alias("m"), F.col("dist").alias("d1")).join(step, ["component", "m"]).where("a != b").select("component", "a", "b", (F.col("d1") + F.col("d2")).alias("dist"))
-        now = now.unionByName(more).groupBy("component", "a", "b").agg(F.min("dist").alias("dist")).checkpoint()
+        now = now.unionByName(more).groupBy("component", "a", "b").agg(F.min("dist").alias("dist")).transform(cut)
         state = tuple(now.agg(F.count(F.lit(1)), F.sum("dist")).first())
         if state == seen:
             break

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EVERYTHING = Window.partitionBy(F.lit(0))
+from strandloom.operators.lineage import cut
+
+
+def everything():
+    """The window over all rows; used on small aggregates only."""
+    return Window.partitionBy(F.lit(0))
 
 
 def fractional_counts(hits: DataFrame) -> DataFrame:
@@ -29,14 +34,14 @@ def fpkm(count: Column, length: Column, total: Column) -> Column:
 def feature_fpkm(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     """(feature, cnt, fpkm) over the features of one sample."""
     rows = counts.join(lengths.select("feature", "len"), "feature")
-    return rows.select("feature", "cnt", fpkm(F.col("cnt"), F.col("len"), F.sum("cnt").over(EVERYTHING)).alias("fpkm"))
+    return rows.select("feature", "cnt", fpkm(F.col("cnt"), F.col("len"), F.sum("cnt").over(everything())).alias("fpkm"))
 
 
 def transcript_fpkm(counts: DataFrame, lengths: DataFrame, fragment: int) -> DataFrame:
     """(feature, comp, eff_len, fpkm, comp_pct) (A18, W11): effective length len - fragment + 1, 10 where that is below 1, and the share of the component."""
     eff = F.col("len") - fragment + 1
     rows = counts.join(lengths, "feature").withColumn("eff_len", F.when(eff < 1, 10).otherwise(eff))
-    rows = rows.withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.sum("cnt").over(EVERYTHING) / 1e6))
+    rows = rows.withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.sum("cnt").over(everything()) / 1e6))
     total = F.sum("fpkm").over(Window.partitionBy("comp"))
     return rows.select("feature", "comp", "eff_len", F.round("fpkm", 4).alias("fpkm"), F.round(F.when(total > 0, F.col("fpkm") / total * 100).otherwise(0.0), 4).alias("comp_pct"))
 
@@ -45,7 +50,7 @@ def gene_roll_up(transcripts: DataFrame) -> DataFrame:
     """(gene, len, cnt, fpkm) from (gene, len, cnt, fpkm) of transcripts (A19): lengths weighed by fpkm, their mean where all are 0."""
     g = transcripts.groupBy("gene").agg(F.sum(F.col("len") * F.col("fpkm")).alias("_lw"), F.sum("fpkm").alias("_w"), F.avg("len").alias("_mean"), F.sum("cnt").alias("cnt"))
     length = F.when(F.col("_w") > 0, F.col("_lw") / F.col("_w")).otherwise(F.col("_mean"))
-    total = F.sum("cnt").over(EVERYTHING)
+    total = F.sum("cnt").over(everything())
     return g.select("gene", F.round(length, 4).alias("len"), "cnt", F.round(F.col("cnt") / (length / 1e3) / (total / 1e6), 4).alias("fpkm"))
 
 
@@ -79,20 +84,20 @@ def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float =
         mine = F.col("_w") / F.sum("_w").over(Window.partitionBy("combo")) * F.col("cnt")
         new = shares.withColumn("_mine", mine).groupBy("feature").agg(F.sum("_mine").alias("expected"))
         if delta > 0:
-            new = new.checkpoint()
+            new = new.transform(cut)
             moved = new.join(now.withColumnRenamed("expected", "_old"), "feature").agg(F.max(F.abs(F.col("expected") - F.col("_old")))).first()[0]
             now = new
             if moved is None or moved < delta:
                 break
         else:
-            now = new.checkpoint() if k % cut_every == 0 else new
-    return now.select("feature", (F.col("expected") / F.sum("expected").over(EVERYTHING)).alias("theta"), "expected")
+            now = new.transform(cut) if k % cut_every == 0 else new
+    return now.select("feature", (F.col("expected") / F.sum("expected").over(everything())).alias("theta"), "expected")
 
 
 def tau(thetas: DataFrame, lengths: DataFrame) -> DataFrame:
     """(feature, gene, tau): theta over effective length, normalised; sums over a gene's isoforms are gene_tau."""
     rows = thetas.join(lengths, "feature").withColumn("_t", F.col("theta") / F.col("len"))
-    rows = rows.withColumn("tau", F.col("_t") / F.sum("_t").over(EVERYTHING))
+    rows = rows.withColumn("tau", F.col("_t") / F.sum("_t").over(everything()))
     return rows.withColumn("gene_tau", F.sum("tau").over(Window.partitionBy("comp"))).select("feature", F.col("comp").alias("gene"), F.round("tau", 8).alias("tau"), F.round("gene_tau", 8).alias("gene_tau"))
 
 
@@ -143,7 +148,7 @@ def tmm(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05, least_sum:
     kept = counts.groupBy("feature").agg(F.sum("cnt").alias("_s")).where(F.col("_s") >= least_sum).select("feature")
     rows = counts.join(kept, "feature").withColumn("lib", F.sum("cnt").over(Window.partitionBy("sample")))
     quart = rows.where("cnt > 0").groupBy("sample").agg(F.percentile(F.col("cnt") / F.col("lib"), F.lit(0.75)).alias("q"))
-    off = quart.withColumn("_off", F.abs(F.col("q") - F.avg("q").over(EVERYTHING)))
+    off = quart.withColumn("_off", F.abs(F.col("q") - F.avg("q").over(everything())))
     ref = off.withColumn("_k", F.row_number().over(Window.orderBy("_off", "sample"))).where("_k = 1").select(F.col("sample").alias("_ref"))
     ref_rows = rows.join(F.broadcast(ref), F.col("sample") == F.col("_ref"), "left_semi").select("feature", F.col("cnt").alias("r"), F.col("lib").alias("rlib"))
     both = rows.join(ref_rows, "feature").where("cnt > 0 AND r > 0")
@@ -156,7 +161,7 @@ def tmm(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05, least_sum:
     inside = lambda r, t: F.col(r).between(F.floor(F.col("_n") * t) + 1, F.col("_n") - F.floor(F.col("_n") * t))
     raw = both.where(inside("_rm", trim_m) & inside("_ra", trim_a)).groupBy("sample").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("f"))
     libs = rows.groupBy("sample").agg(F.max("lib").alias("lib_size")).join(raw, "sample", "left").withColumn("f", F.pow(F.lit(2.0), F.coalesce("f", F.lit(0.0))))
-    factor = F.col("f") / F.exp(F.avg(F.log("f")).over(EVERYTHING))
+    factor = F.col("f") / F.exp(F.avg(F.log("f")).over(everything()))
     return libs.select("sample", "lib_size", F.round(factor, 8).alias("factor"), F.round(F.col("lib_size") * factor, 4).alias("eff_size"))
 
 
