@@ -48,10 +48,10 @@ def wig_lines(track: DataFrame) -> DataFrame:
 
 def store(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:
     """A keyed store (S20): Parquet in buckets of the key's hash, so that a look-up reads one folder."""
-    df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).repartition("bucket").sortWithinPartitions(key).write.partitionBy("bucket").parquet(path)
+    df.withColumn("bucket", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets))).repartition("bucket").sortWithinPartitions(key).write.partitionBy("bucket").parquet(path)
 
 
 def fetch(spark, path: str, key: str, value, buckets: int = 64) -> DataFrame:
     """Rows of one key of a store (S20): partition pruning leaves its bucket, and the sorted files' statistics most of the rest."""
-    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets))).first()[0]
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(value).cast("string")), F.lit(buckets))).first()[0]
     return spark.read.parquet(path).where((F.col("bucket") == bucket) & (F.col(key) == value)).drop("bucket")
