@@ -5,11 +5,14 @@ Shards are runs of input partitions. Each has an index file in the shared folder
 frequent term and length, so that blocks of BLOCK numbers hold similar documents. Document frequencies and the
 mean length are those of all rows: terms' frequencies are summed over shards and handed back to them.
 
-A posting's impact is a whole number, round(idf * tf part * SCALE), and a query term counts as often as it
-stands in the query. So sums are exact in any order, and equal scores are ties, broken by the smaller id.
-For a query, the maxima of its terms' impacts in each block bound all scores in the block. Blocks are
-scored from the highest bound on; where the bound is below the k-th best score so far, the block and all
-after it are passed over. Each shard's best k go to the merge, so the result is the exact top k.
+A query is the set of terms of its whole text. A posting's impact is a whole number, round(idf * tf part * SCALE), so
+sums are exact in any order, and equal scores are ties, broken by the smaller id.
+
+As in WAND, a query's terms go by their largest impact. Postings are summed from the largest on, which makes the k-th best
+sum so far a threshold; once the terms that are left can't lift an unseen document to it, no other documents
+matter. Of those seen, the sum so far and the maxima of the remaining terms' impacts in the document's block bound its score;
+what stays below the threshold is dropped, and the remaining terms are looked up for the others only. Each shard's
+best k go to the merge, so the result is the exact top k.
 
 Queries come in blocks of files that every shard reads one after the other; neither queries nor
 frequencies are broadcast. Null and empty texts match nothing and, as queries, find nothing. A query has fewer than k
@@ -94,8 +97,8 @@ class Searcher:
     """A shard's index with impacts and block maxima."""
 
     def __init__(self, index: dict[str, np.ndarray], df: np.ndarray, n_docs: int, mean_length: float):
-        self.terms, self.ids, self.docs = index["terms"], index["ids"], index["docs"]
-        offsets = index["offsets"]
+        self.terms, self.ids, self.docs = index["terms"], index["ids"], index["docs"].astype(np.int64)
+        self.offsets = offsets = index["offsets"]
         idf = np.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
         tf = index["counts"].astype(np.float64)
         norm = K1 * (1.0 - B + B * index["lengths"][self.docs] / mean_length)
@@ -109,49 +112,48 @@ class Searcher:
         self.most = np.maximum.reduceat(self.impacts, self.starts) if len(self.starts) else np.zeros(0, np.int64)
         self.entries = np.searchsorted(self.starts, offsets)
         self.n_blocks = -(-len(self.ids) // BLOCK)
+        self.largest = np.maximum.reduceat(self.impacts, offsets[:-1]) if len(self.terms) else np.zeros(0, np.int64)
 
-    def top(self, terms: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best documents, best first, ties by id."""
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
-        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, weight = at[known], counts[known]
+        at = at[self.terms[at] == terms] if len(self.terms) else at[:0]
         if not len(at):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lo, hi = self.entries[at], self.entries[at + 1]
-        entry = ranges(lo, hi)
-        weight = np.repeat(weight, hi - lo)
-        block = self.blocks[entry]
-        bound = np.bincount(block, weights=self.most[entry] * weight, minlength=self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        place = np.empty(self.n_blocks, np.int64)
-        place[order] = np.arange(len(order))
-        by_place = np.argsort(place[block], kind="stable")
-        entry, weight, sorted_place = entry[by_place], weight[by_place], place[block][by_place]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        done, step = 0, 4
-        while done < len(order):
-            if len(best) == k and bound[order[done]] < best[-1]:
+        at = at[np.lexsort((at, -self.largest[at]))]
+        rest = np.append(self.largest[at][::-1].cumsum()[::-1], 0)  # what terms from the i-th on can add
+        size = self.offsets[at + 1] - self.offsets[at]
+        done, upto = 0, int(np.searchsorted(np.cumsum(size), 64 * k)) + 1
+        sums, threshold = np.zeros(len(self.ids)), 0.0
+        while done < len(at):
+            upto = min(upto, len(at))
+            posting = ranges(self.offsets[at[done:upto]], self.offsets[at[done:upto] + 1])
+            sums += np.bincount(self.docs[posting], weights=self.impacts[posting], minlength=len(self.ids))
+            done = upto
+            if len(sums) >= k:
+                threshold = max(threshold, np.partition(sums, len(sums) - k)[len(sums) - k])
+            if rest[done] < threshold:
                 break
-            upto = min(done + step, len(order))
-            if len(best) == k:  # all blocks from here on that can still matter
-                upto = min(upto, done + int(np.searchsorted(-bound[order[done:]], -float(best[-1]), "right")))
-            a, b = np.searchsorted(sorted_place, [done, upto])
-            some, w = entry[a:b], weight[a:b]
-            s, e = self.starts[some], self.ends[some]
-            posting = ranges(s, e)
-            where = self.docs[posting]
-            local = sorted_place[a:b].repeat(e - s) - done
-            slot = local * BLOCK + where % BLOCK
-            scores = np.bincount(slot, weights=self.impacts[posting] * w.repeat(e - s), minlength=(upto - done) * BLOCK).astype(np.int64)
-            hit = np.flatnonzero(scores >= (best[-1] if len(best) == k else 1))
-            found = self.ids[order[done + hit // BLOCK] * BLOCK + hit % BLOCK]
-            ids, all_ = np.concatenate([best_ids, found]), np.concatenate([best, scores[hit]])
-            keep = np.lexsort((ids, -all_))[:k]
-            best_ids, best = ids[keep], all_[keep]
-            done, step = upto, step * 2
-        return best_ids, best
+            upto = max(done + 1, int(np.searchsorted(-rest, -threshold, "right")))
+        seen = np.flatnonzero((sums > 0) & (sums + rest[done] >= threshold))
+        left = at[done:]
+        if len(left) and len(seen) > k:
+            entry = ranges(self.entries[left], self.entries[left + 1])
+            most = np.bincount(self.blocks[entry], weights=self.most[entry], minlength=self.n_blocks)
+            seen = seen[sums[seen] + most[seen // BLOCK] >= threshold]
+        score = sums[seen]
+        for i, t in enumerate(left.tolist(), done):
+            docs = self.docs[self.offsets[t] : self.offsets[t + 1]]
+            place = np.searchsorted(docs, seen)
+            place[place == len(docs)] = 0
+            score += np.where(docs[place] == seen, self.impacts[self.offsets[t] + place], 0)
+            if i % 16 == 15 and len(seen) > 4 * k:
+                keep = score + rest[i + 1] >= max(threshold, np.partition(score, len(score) - k)[len(score) - k])
+                seen, score = seen[keep], score[keep]
+        ids = self.ids[seen]
+        best = np.lexsort((ids, -score))[:k]
+        return ids[best], score[best].astype(np.int64)
 
 
 def _saved(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
@@ -250,7 +252,7 @@ def write_queries(queries: DataFrame, folder: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             name = f"queries-{uuid.uuid4().hex}.npz"
             sizes = np.array([len(t) for t, _ in texts], np.int64)
-            _saved(folder, name, {"ids": np.array(ids, np.int64), "offsets": np.cumsum([0, *sizes]), "terms": np.concatenate([t for t, _ in texts]), "counts": np.concatenate([c for _, c in texts])})
+            _saved(folder, name, {"ids": np.array(ids, np.int64), "offsets": np.cumsum([0, *sizes]), "terms": np.concatenate([t for t, _ in texts])})
             ids.clear()
             texts.clear()
             return pa.RecordBatch.from_arrays([pa.array([name])], ["file"])
@@ -293,7 +295,7 @@ def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col
                     out: list[list] = [[], [], []]
                     for i, query in enumerate(q["ids"].tolist()):
                         s, e = q["offsets"][i], q["offsets"][i + 1]
-                        ids, scores = searcher.top(q["terms"][s:e], q["counts"][s:e], k)
+                        ids, scores = searcher.top(q["terms"][s:e], k)
                         out[0] += [query] * len(ids)
                         out[1] += ids.tolist()
                         out[2] += scores.tolist()
@@ -307,7 +309,7 @@ def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
-    """The best documents for every document whose id is divisible by EVERY, as a query of its whole text."""
+    """The best documents for every document whose id is divisible by EVERY, as a query of its whole text's terms."""
     docs = common.table(spark, sf_dir, "documents")
     return search(docs, docs.where(F.col("doc_id") % EVERY == 0))
 
@@ -319,7 +321,7 @@ len AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY doc_id),
 stat AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, (SELECT sum(dl) FROM len) / (SELECT count(*) FROM documents) AS mean),
 df AS (SELECT w, count(*)::DOUBLE AS df FROM tf GROUP BY w),
 impact AS (SELECT doc_id, w, CAST(round_even(ln(1.0 + (n - df + 0.5) / (df + 0.5)) * (tf * ({K1} + 1.0) / (tf + {K1} * (1.0 - {B} + {B} * dl / mean))) * {SCALE}, 0) AS BIGINT) AS points FROM tf JOIN df USING (w) JOIN len USING (doc_id), stat),
-hits AS (SELECT q.doc_id AS query_id, i.doc_id, sum(q.tf::BIGINT * i.points)::BIGINT AS points FROM tf q JOIN impact i USING (w) WHERE q.doc_id % {EVERY} = 0 GROUP BY q.doc_id, i.doc_id),
+hits AS (SELECT q.doc_id AS query_id, i.doc_id, sum(i.points)::BIGINT AS points FROM tf q JOIN impact i USING (w) WHERE q.doc_id % {EVERY} = 0 GROUP BY q.doc_id, i.doc_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY points DESC, doc_id) AS rank FROM hits)
 SELECT query_id, rank::INTEGER AS rank, doc_id, points / {SCALE}.0::DOUBLE AS score FROM ranked WHERE rank <= {K}
 """

@@ -195,7 +195,7 @@ def test_search_equals_brute_force(spark):
     df = Counter(w for c in tf for w in c)
     points = [{w: round(math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * (c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean))) * search.SCALE) for w in c} for c in tf]
     for q in range(0, 600, 20):
-        scores = sorted(((-sum(tf[q][w] * p[w] for w in tf[q] if w in p), i) for i, p in enumerate(points)))[:5]
+        scores = sorted(((-sum(p[w] for w in tf[q] if w in p), i) for i, p in enumerate(points)))[:5]
         assert [(k + 1, i, -s / search.SCALE) for k, (s, i) in enumerate(scores) if s < 0] == sorted(got.get(q, []))
 
 
