@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from strandloom.llm import common
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 CACHED_CHARS = 64
 SCANNED_CHARS = 64  # fragments up to this length are merged by scanning, longer ones with a heap
 
@@ -106,6 +106,7 @@ class Bpe:
 
         self.words = Memo(bpe.plain_word_ids)  # by a plain word in lower case
         self.byte_words = Memo(bpe.word_ids)  # by a word in byte characters
+        common.cache("bpe", self.words, self.byte_words)
         self.byte_map = str.maketrans({chr(b): c for b, c in enumerate(chars)})
 
     def fragment_ids(self, fragment: str, last: bool) -> bytes:
@@ -217,6 +218,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     names = [c for c in df.columns if c not in (text_col, "n_tokens", "ids", "decoded_sha256")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("bpe")
         bpe = load(path)
         for b in batches:
             encoded = [bpe.encode(text.as_py()) for text in b.column(0)]
@@ -236,6 +238,7 @@ def decode(df: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -
     """(id, text) of each list of ids; a null list gives an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("bpe")
         bpe = load(path)
         for b in batches:
             texts = [bpe.decode(array("I", ids.as_py() or []).tobytes()) for ids in b.column(1)]
@@ -249,6 +252,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """(id, n_tokens, ids_sha256, decoded_sha256): encodes each whole text, then decodes the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("bpe")
         bpe = load(path)
         for b in batches:
             n, of_ids, of_text = [], [], []

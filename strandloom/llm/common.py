@@ -7,6 +7,9 @@ internal names.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -54,3 +57,25 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
     """Arrow batches of at most so many rows for the plans that are built from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+_caches: dict[str, list] = {}
+
+
+def cache(owner: str, *caches: dict) -> None:
+    """Registers caches that Python workers keep between tasks."""
+    _caches.setdefault(owner, []).extend(caches)
+
+
+def claim(owner: str) -> None:
+    """Empties the caches of all other operators in this worker: workers are used again by later stages, and what earlier ones keep would add up."""
+    freed = 0
+    for name, held in _caches.items():
+        if name != owner:
+            for c in held:
+                freed += len(c)
+                c.clear()
+    if freed > 10_000:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)

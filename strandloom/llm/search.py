@@ -58,6 +58,7 @@ class _Terms(dict):
 
 
 _terms = _Terms()
+common.cache("search", _terms)
 
 
 def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:

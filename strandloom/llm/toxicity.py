@@ -34,7 +34,7 @@ BIAS = 0  # the slot of the intercept
 
 _WORD = re.compile(r"[^\W_]+")
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-_MOST_WORDS = 400_000
+_MOST_WORDS = 200_000
 
 
 class _Words(dict):
@@ -49,6 +49,7 @@ class _Words(dict):
 
 
 _words = _Words()
+common.cache("toxicity", _words)
 
 
 def slots(text: str) -> np.ndarray:
@@ -128,6 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts and goes to one task, which fits; what comes back is the sparse model."""
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("toxicity")
         for b in batches:
             found = [present(t.as_py()).tobytes() for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["at", "label", "slots"])
@@ -169,6 +171,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("toxicity")
         of = scorer(shared.value)
         for b in batches:
             found = pa.array([of(t.as_py() or "") for t in b.column(at)], pa.float64())
