@@ -22,11 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = common.written(large, "large-star")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = common.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        now = common.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
         state = _state(now)
         if state == seen:
             return now.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -30,16 +30,19 @@ one document for links. Rows with a null id are kept, with a null component.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import common, graphs
+from strandloom.llm.warc import open_folder
 
 WORDS = 5
 SIMILAR = (80, 100)  # 100 * common >= 80 * union
@@ -48,14 +51,15 @@ BAND_RATIO = 1.5
 SPARE = 0.15  # pieces beyond d + 1, by d
 BALL = 0.1
 FEW = 8
-PARTS_PER_PARTITION = 8
-BUFFER_SHINGLES = 6_000_000
+MEETING_PARTITIONS = 3  # times the session's shuffle partitions, so that what meets in one fits beside others
+PARTS_PER_PARTITION = 4
+BUFFER_SHINGLES = 1_500_000
 TILE = 512
 CHUNK = 128  # pairs of one document that are verified together
 
 _U = np.uint64
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], _U)
-_MOST_WORDS = 400_000
+_MOST_WORDS = 200_000
 
 
 class _WordHashes(dict):
@@ -68,6 +72,7 @@ class _WordHashes(dict):
 
 
 _hashes = _WordHashes()
+common.cache("jaccard", _hashes)
 
 
 def mix(x: np.ndarray, k: int = 1) -> np.ndarray:
@@ -142,8 +147,8 @@ def pieces(hashes: np.ndarray, band: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits, four or more a shingle; their number is a power of two."""
-    bits = max(64, 1 << int(4 * len(hashes) - 1).bit_length()) if len(hashes) else 64
+    """Parity bits, one to two a shingle; their number is a power of two."""
+    bits = max(64, 1 << int(len(hashes) - 1).bit_length())
     return np.packbits((np.bincount((hashes & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -173,8 +178,8 @@ def jaccard_distance(common_: int, a: int, b: int) -> float:
     return 1.0 - common_ / (a + b - common_)
 
 
-# Rows of the first two steps. kind: doc (a id, n size, f and g the set's fingerprint, data sketch), link (a, b verified),
-# ball (a centre, b member, x distance), keys (part, data keys, more ids), pair (a, b candidates), member (f piece, a id).
+# Rows of the first two steps. kind: doc (a id, b its partition, n size, f and g the set's fingerprint, data sketch), link (a, b verified),
+# ball (a centre, b member, x distance), keys (part, data keys, more ids), pair (a, b candidates), member (a id, b the smallest of a piece's documents).
 _ROWS = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("f", pa.int64()), ("g", pa.int64()), ("x", pa.float64()), ("data", pa.binary()), ("more", pa.binary())])
 _ROWS_SQL = "kind string, part int, a long, b long, n long, f long, g long, x double, data binary, more binary"
 
@@ -201,8 +206,8 @@ def _signed(x: np.ndarray) -> int:
 class _Buffer:
     """Sets of one task's documents, one for each different set."""
 
-    def __init__(self, parts: int, out: _Out):
-        self.parts, self.out = parts, out
+    def __init__(self, parts: int, out: _Out, place: int = 0):
+        self.parts, self.out, self.place = parts, out, place
         self.seen: dict[tuple, int] = {}
         self.clear()
 
@@ -224,7 +229,7 @@ class _Buffer:
             self.out.add(kind="doc", part=part, a=doc, n=len(hashes))
             self.out.add(kind="link", part=part, a=min(first, doc), b=max(first, doc))
             return
-        self.out.add(kind="doc", part=part, a=doc, n=len(hashes), f=f, g=g, data=sketch(hashes))
+        self.out.add(kind="doc", part=part, a=doc, b=self.place, n=len(hashes), f=f, g=g, data=sketch(hashes))
         self.ids.append(doc)
         self.sets.append(hashes)
         self.size += len(hashes)
@@ -272,8 +277,9 @@ class _Buffer:
 
 def _signatures(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("jaccard")
         out = _Out()
-        buffer = _Buffer(parts, out)
+        buffer = _Buffer(parts, out, TaskContext.get().partitionId())
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 buffer.add(doc, shingles(text.as_py()))
@@ -293,6 +299,7 @@ def _meet(rows: DataFrame) -> DataFrame:
     """Pairs that share a kept piece; other rows pass through. Pieces come sorted, and so do the documents of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("jaccard pieces")
         keys, docs = [], []
         for b in batches:
             is_keys = np.array(b.column(0).to_pylist(), object) == "keys"
@@ -331,11 +338,11 @@ def _meet(rows: DataFrame) -> DataFrame:
             some = found[i : i + 50_000]
             n = len(some)
             yield pa.RecordBatch.from_arrays([pa.array(["pair"] * n), none(n, pa.int32()), pa.array(some[:, 0]), pa.array(some[:, 1]), *(none(n, f.type) for f in list(_ROWS)[4:])], schema=_ROWS)
-        big_key, big_doc = key[~few].astype(np.int64), doc[~few]
-        for i in range(0, len(big_key), 50_000):
-            k, d = big_key[i : i + 50_000], big_doc[i : i + 50_000]
-            n = len(k)
-            yield pa.RecordBatch.from_arrays([pa.array(["member"] * n), none(n, pa.int32()), pa.array(d), none(n, pa.int64()), none(n, pa.int64()), pa.array(k), *(none(n, f.type) for f in list(_ROWS)[6:])], schema=_ROWS)
+        big = np.unique(np.stack([first[~few], doc[~few]], 1), axis=0)
+        for i in range(0, len(big), 50_000):
+            some = big[i : i + 50_000]
+            n = len(some)
+            yield pa.RecordBatch.from_arrays([pa.array(["member"] * n), none(n, pa.int32()), pa.array(some[:, 1]), pa.array(some[:, 0]), *(none(n, f.type) for f in list(_ROWS)[4:])], schema=_ROWS)
 
     return rows.mapInArrow(run, _ROWS_SQL)
 
@@ -356,20 +363,71 @@ def _near_sketches(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, in
     return sized.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, hashes) of wanted documents (id, place). Rather than shuffle the texts, the ids go to files in the shared folder, one for each
+    partition that the first reading found them in, and the texts are read once more in the same partitions. Should
+    partitions have changed meanwhile, what is missing is fetched by a join."""
+    folder = common.scratch(docs.sparkSession, "wanted")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = open_folder(folder)
+        for place, ids in _runs(batches, 1):
+            with store.open_output_stream(f"{path}/{place[0]}-{uuid.uuid4().hex}.ids", compression=None) as f:
+                f.write(np.array(ids[1], np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([place[0]], pa.int64()), pa.array([len(ids[1])], pa.int64())], ["place", "n"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        common.claim("jaccard")
+        store, path = open_folder(folder)
+        mine = f"{TaskContext.get().partitionId()}-"
+        ids: set[int] = set()
+        for info in store.get_file_info(fs.FileSelector(path)):
+            if info.base_name.startswith(mine):
+                with store.open_input_stream(info.path, compression=None) as f:
+                    ids.update(np.frombuffer(f.read(), np.int64).tolist())
+        for b in batches:
+            keep = [doc in ids for doc in b.column(0).to_pylist()] if ids else []
+            if any(keep):
+                yield hashed(b.filter(pa.array(keep)))
+
+    def hashed(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], ["id", "hashes"])
+
+    common.written(wanted.select("place", "id").repartition("place").sortWithinPartitions("place").mapInArrow(save, "place long, n long"), "wanted-files")
+    found = common.written(docs.mapInArrow(read, "id long, hashes binary"), "sets")
+    missing = common.written(wanted.select("id").join(found.select("id"), "id", "left_anti"), "missing")
+    if missing.isEmpty():
+        return found
+    return found.unionByName(docs.join(missing, "id").mapInArrow(lambda bs: map(hashed, bs), "id long, hashes binary"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, list[list]]]:
+    """Runs of rows with equal first n columns, as columns; rows must come sorted by them."""
+    key, cols = None, []
+    for b in batches:
+        values = [c.to_pylist() for c in b.columns]
+        for row in zip(*values, strict=True):
+            if row[:n] != key:
+                if key is not None:
+                    yield key, cols
+                key, cols = row[:n], [[] for _ in row]
+            for c, v in zip(cols, row, strict=True):
+                c.append(v)
+    if key is not None:
+        yield key, cols
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
     """(a, b, common, n_a, n_b) of each pair on its full sets. A document's partners come in chunks, its own set once a chunk."""
     pairs = common.written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], ["id", "hashes"])
-
-    hashed = common.written(docs.join(wanted, "id").mapInArrow(sets, "id long, hashes binary"), "sets")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = _sets(common.written(ids.join(places, "id"), "wanted"), docs)
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks"))
     asked = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), "chunks"))
-    others = asked.select("a", "chunk", "b").join(hashed.withColumnRenamed("id", "b"), "b").select("a", "chunk", "b", "hashes")
-    own = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")).join(hashed.withColumnRenamed("id", "a"), "a")
+    others = asked.select("a", "chunk", "b").join(sets.withColumnRenamed("id", "b"), "b").select("a", "chunk", "b", "hashes")
+    own = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")).join(sets.withColumnRenamed("id", "a"), "a")
     rows = own.select("a", "chunk", F.lit(None).cast("long").alias("b"), "hashes").unionByName(others)
     rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
@@ -395,37 +453,36 @@ def _is_link(rows: DataFrame) -> DataFrame:
 
 
 def _unpaired(members: DataFrame, balls: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of one remembered piece and different components, in blocks of TILE by TILE documents."""
-    around = members.join(balls.select(F.col("a").alias("id"), "b"), "id").select("piece", F.col("b").alias("id"))
+    """Pairs of different components among the documents that met the same smallest document in a remembered piece, in blocks of TILE by TILE. Pieces of
+    one group of documents mostly have the same smallest one, so the group is looked at once and not once a piece."""
+    around = members.join(balls.select(F.col("a").alias("id"), "b"), "id").select("low", F.col("b").alias("id"))
     everyone = members.unionByName(around).distinct()
-    known = everyone.join(labels, everyone["id"] == labels["of"], "left").select("piece", "id", F.coalesce("component", "id").alias("component"))
-    open_ = known.groupBy("piece").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles")).where("low != high")
-    rows = known.join(open_.select("piece", "tiles"), "piece").join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
+    known = everyone.join(labels, everyone["id"] == labels["of"], "left").select("low", "id", F.coalesce("component", "id").alias("component"))
+    known = common.written(known, "known")
+    open_ = known.groupBy("low").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles")).where("least != most")
+    rows = known.join(open_.select("low", "tiles"), "low").join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
     rows = rows.withColumn("yours", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    tile = rows.select("piece", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"), "mine", "id", "component", "n", "sketch")
-
-    def run(pdf):
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        pdf = pdf.sort_values("id", ignore_index=True)
-        out_a, out_b = [], []
-        n, comp, ids = pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["id"].to_numpy()
-        side = pdf["mine"].to_numpy() == i
-        bits = [np.frombuffer(x, np.uint8) for x in pdf["sketch"]]
-        size = min(map(len, bits))
-        s, of = SIMILAR
-        small = np.stack([folded(x, size) for x in bits])
-        for k in np.flatnonzero(side).tolist():
-            rest = np.flatnonzero(~side) if i != j else np.arange(k + 1, len(ids))
-            rest = rest[(comp[rest] != comp[k]) & (n[rest] * of >= n[k] * s) & (n[k] * of >= n[rest] * s)]
-            if len(rest):
-                near = rest[np.bitwise_count(small[rest] ^ small[k]).sum(1) <= (of - s) * (n[rest] + n[k]) // (of + s)]
-                out_a += [ids[k]] * len(near)
-                out_b += ids[near].tolist()
-        import pandas as pd
-
-        return pd.DataFrame({"a": np.minimum(out_a, out_b).astype(np.int64), "b": np.maximum(out_a, out_b).astype(np.int64)})
-
-    return tile.groupBy("piece", "i", "j").applyInPandas(run, "a long, b long")
+    tile = rows.select("low", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"), "mine", "id", "component", "n", "sketch")
+    s, of = SIMILAR
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), cols in _runs(batches, 3):
+            mine, ids, comp, n = (np.array(c, np.int64) for c in cols[3:7])
+            size = min(map(len, cols[7]))
+            small = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in cols[7]])
+            here, there = (np.flatnonzero(mine == i), np.flatnonzero(mine == j))
+            a, b = [], []
+            for k in here.tolist():
+                rest = there if i != j else there[ids[there] > ids[k]]
+                rest = rest[(comp[rest] != comp[k]) & (n[rest] * of >= n[k] * s) & (n[k] * of >= n[rest] * s)]
+                if len(rest):
+                    near = rest[np.bitwise_count(small[rest] ^ small[k]).sum(1) <= (of - s) * (n[rest] + n[k]) // (of + s)]
+                    a += [int(ids[k])] * len(near)
+                    b += ids[near].tolist()
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+    return tile.repartition("low", "i", "j").sortWithinPartitions("low", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def _between_balls(met: DataFrame, balls: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -449,12 +506,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = docs.schema[id_col].dataType
     texts = docs.select(F.col(id_col).cast("long").alias("id"), common.text_or_empty(text_col).alias("text"))
     named = texts.where("id IS NOT NULL")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = MEETING_PARTITIONS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = _signatures(named, n * PARTS_PER_PARTITION).repartition(n, "part")
     rows = common.written(_meet(sent), "meetings")
 
     all_docs = rows.where("kind = 'doc'")
     sketches = all_docs.where("data IS NOT NULL").select(F.col("a").alias("id"), "n", F.col("data").alias("sketch"))
+    places = all_docs.where("data IS NOT NULL").select(F.col("a").alias("id"), F.col("b").alias("place"))
     firsts = all_docs.where("f IS NOT NULL").select("n", "f", "g", F.col("a").alias("b"))
     same = firsts.join(firsts.groupBy("n", "f", "g").agg(F.min("b").alias("a")), ["n", "f", "g"]).where("a != b").select("a", "b")
     settled = rows.where("kind = 'link'").select("a", "b").unionByName(same)
@@ -462,15 +520,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     met = common.written(rows.where("kind = 'pair'").select("a", "b").distinct(), "met")
     pairs = met.join(settled.distinct(), ["a", "b"], "left_anti")
-    edges = common.written(settled.unionByName(_is_link(_verified(_near_sketches(pairs, sketches), named))), "links")
+    edges = common.written(settled.unionByName(_is_link(_verified(_near_sketches(pairs, sketches), named, places))), "links")
     labels = graphs.components(edges).withColumnRenamed("id", "of")
 
-    members = rows.where("kind = 'member'").select(F.col("f").alias("piece"), F.col("a").alias("id"))
+    members = rows.where("kind = 'member'").select(F.col("b").alias("low"), F.col("a").alias("id")).distinct()
     balls = rows.where("kind = 'ball'").select("a", "b").distinct()
     more = _unpaired(members, balls, labels, sketches).unionByName(_near_sketches(_between_balls(met, balls, labels, sketches), sketches))
     more = common.written(more.distinct(), "more-pairs")
     if not more.isEmpty():
-        extra = common.written(_is_link(_verified(more, named)), "more-links")
+        extra = common.written(_is_link(_verified(more, named, places)), "more-links")
         if not extra.isEmpty():
             labels = graphs.components(edges.unionByName(extra)).withColumnRenamed("id", "of")
 
