@@ -42,6 +42,7 @@ SCALE = 65536
 BLOCK = 128
 SHARD_ROWS = 49_152
 QUERY_BLOCK = 2048
+GROWTH = 4  # postings summed before the threshold is looked at again, as a multiple of those so far
 EVERY = 20
 
 _WORD = re.compile(r"[^\W_]+")
@@ -125,18 +126,21 @@ class Searcher:
         at = at[np.lexsort((at, -self.largest[at]))]
         rest = np.append(self.largest[at][::-1].cumsum()[::-1], 0)  # what terms from the i-th on can add
         size = self.offsets[at + 1] - self.offsets[at]
-        done, upto = 0, int(np.searchsorted(np.cumsum(size), 64 * k)) + 1
+        reach = np.cumsum(size)
+        done, upto = 0, int(np.searchsorted(reach, 64 * k)) + 1
         sums, threshold = np.zeros(len(self.ids)), 0.0
         while done < len(at):
             upto = min(upto, len(at))
             posting = ranges(self.offsets[at[done:upto]], self.offsets[at[done:upto] + 1])
             sums += np.bincount(self.docs[posting], weights=self.impacts[posting], minlength=len(self.ids))
             done = upto
-            if len(sums) >= k:
-                threshold = max(threshold, np.partition(sums, len(sums) - k)[len(sums) - k])
+            above = sums[sums > threshold]
+            if len(above) >= k:
+                threshold = np.partition(above, len(above) - k)[len(above) - k]
             if rest[done] < threshold:
                 break
-            upto = max(done + 1, int(np.searchsorted(-rest, -threshold, "right")))
+            # On to where unseen documents are out by the present threshold, but not much at once: it rises on the way.
+            upto = max(done + 1, min(int(np.searchsorted(-rest, -threshold, "right")), int(np.searchsorted(reach, GROWTH * reach[done - 1]))))
         seen = np.flatnonzero((sums > 0) & (sums + rest[done] >= threshold))
         left = at[done:]
         if len(left) and len(seen) > k:
