@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import bpe, common, jaccard, mixing, secrets, toxicity
+from strandloom.llm import bpe, common, jaccard, mixing, places, secrets, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; rows that repeat an id stay once."""
     found = common.written(jaccard.join(docs.select("doc_id", "text")), "components")
-    kept = found.where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select("doc_id").distinct()
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    stays = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).cast("int")
+    kept = found.select(F.col("doc_id").alias("id"), stays.alias("value")).distinct()
+    out = places.with_value(docs, kept).where("_value = 1").select(docs.columns)
     ids = found.where("doc_id IS NOT NULL")
     if ids.count() > ids.distinct().count():
         out = out.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id IS NULL"))
@@ -41,10 +42,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Rows that share an id are taken equally often."""
-    mixed = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    mixed = common.written(mixed.withColumnRenamed("doc_id", "_id"), "copies")
-    rows = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select([docs[c] for c in docs.columns])
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("value"))
+    rows = places.with_value(docs, copies).where("_value > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_value")))).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
