@@ -5,7 +5,7 @@ Shards are runs of input partitions. Each has an index file in the shared folder
 frequent term and length, so that blocks of BLOCK numbers hold similar documents. Document frequencies and the
 mean length are those of all rows: terms' frequencies are summed over shards and handed back to them.
 
-A query is the set of terms of its whole text. A posting's impact is a whole number, round(idf * tf part * SCALE), so
+A query is the set of terms of its whole text; with ``repeats`` a term counts as often as it stands there. A posting's impact is a whole number, round(idf * tf part * SCALE), so
 sums are exact in any order, and equal scores are ties, broken by the smaller id.
 
 As in WAND, a query's terms go by their largest impact. Postings are summed from the largest on, which makes the k-th best
@@ -116,15 +116,17 @@ class Searcher:
         self.n_blocks = -(-len(self.ids) // BLOCK)
         self.largest = np.maximum.reduceat(self.impacts, offsets[:-1]) if len(self.terms) else np.zeros(0, np.int64)
 
-    def top(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best documents, best first, ties by id."""
+    def top(self, terms: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best documents, best first, ties by id. counts: how often each term counts."""
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
-        at = at[self.terms[at] == terms] if len(self.terms) else at[:0]
+        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        at, weight = at[known], counts[known]
         if not len(at):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = at[np.lexsort((at, -self.largest[at]))]
-        rest = np.append(self.largest[at][::-1].cumsum()[::-1], 0)  # what terms from the i-th on can add
+        order = np.lexsort((at, -self.largest[at] * weight))
+        at, weight = at[order], weight[order]
+        rest = np.append((self.largest[at] * weight)[::-1].cumsum()[::-1], 0)  # what terms from the i-th on can add
         size = self.offsets[at + 1] - self.offsets[at]
         reach = np.cumsum(size)
         done, upto = 0, int(np.searchsorted(reach, 64 * k)) + 1
@@ -132,7 +134,7 @@ class Searcher:
         while done < len(at):
             upto = min(upto, len(at))
             posting = ranges(self.offsets[at[done:upto]], self.offsets[at[done:upto] + 1])
-            sums += np.bincount(self.docs[posting], weights=self.impacts[posting], minlength=len(self.ids))
+            sums += np.bincount(self.docs[posting], weights=self.impacts[posting] * weight[done:upto].repeat(size[done:upto]), minlength=len(self.ids))
             done = upto
             above = sums[sums > threshold]
             if len(above) >= k:
@@ -145,14 +147,14 @@ class Searcher:
         left = at[done:]
         if len(left) and len(seen) > k:
             entry = ranges(self.entries[left], self.entries[left + 1])
-            most = np.bincount(self.blocks[entry], weights=self.most[entry], minlength=self.n_blocks)
+            most = np.bincount(self.blocks[entry], weights=self.most[entry] * weight[done:].repeat(self.entries[left + 1] - self.entries[left]), minlength=self.n_blocks)
             seen = seen[sums[seen] + most[seen // BLOCK] >= threshold]
         score = sums[seen]
         for i, t in enumerate(left.tolist(), done):
             docs = self.docs[self.offsets[t] : self.offsets[t + 1]]
             place = np.searchsorted(docs, seen)
             place[place == len(docs)] = 0
-            score += np.where(docs[place] == seen, self.impacts[self.offsets[t] + place], 0)
+            score += np.where(docs[place] == seen, self.impacts[self.offsets[t] + place] * weight[i], 0)
             if i % 16 == 15 and len(seen) > 4 * k:
                 keep = score + rest[i + 1] >= max(threshold, np.partition(score, len(score) - k)[len(score) - k])
                 seen, score = seen[keep], score[keep]
@@ -257,7 +259,7 @@ def write_queries(queries: DataFrame, folder: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             name = f"queries-{uuid.uuid4().hex}.npz"
             sizes = np.array([len(t) for t, _ in texts], np.int64)
-            _saved(folder, name, {"ids": np.array(ids, np.int64), "offsets": np.cumsum([0, *sizes]), "terms": np.concatenate([t for t, _ in texts])})
+            _saved(folder, name, {"ids": np.array(ids, np.int64), "offsets": np.cumsum([0, *sizes]), "terms": np.concatenate([t for t, _ in texts]), "counts": np.concatenate([c for _, c in texts])})
             ids.clear()
             texts.clear()
             return pa.RecordBatch.from_arrays([pa.array([name])], ["file"])
@@ -274,8 +276,9 @@ def write_queries(queries: DataFrame, folder: str) -> DataFrame:
     return common.written(queries.mapInArrow(run, "file string"), "query-blocks")
 
 
-def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """(query_id, rank, id, score) of the k best documents of each query. queries: the same columns."""
+def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, repeats: bool = False) -> DataFrame:
+    """(query_id, rank, id, score) of the k best documents of each query. queries: the same columns. repeats: a query's term counts as
+    often as it stands in the query, else once."""
     spark = docs.sparkSession
     common.small_batches(spark)
     folder = common.scratch(spark, "bm25")
@@ -297,10 +300,11 @@ def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col
                 searcher = Searcher(_loaded(folder, shard), _loaded(folder, df)["df"], n_docs, mean_length)
                 for name in names:
                     q = _loaded(folder, name)
+                    counts = q["counts"] if repeats else np.ones_like(q["counts"])
                     out: list[list] = [[], [], []]
                     for i, query in enumerate(q["ids"].tolist()):
                         s, e = q["offsets"][i], q["offsets"][i + 1]
-                        ids, scores = searcher.top(q["terms"][s:e], k)
+                        ids, scores = searcher.top(q["terms"][s:e], counts[s:e], k)
                         out[0] += [query] * len(ids)
                         out[1] += ids.tolist()
                         out[2] += scores.tolist()
