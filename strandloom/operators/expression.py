@@ -72,10 +72,58 @@ def full_matrix(counts: DataFrame, samples: list[str], fill: float | None = 0) -
     return wide if fill is None else wide.na.fill(fill)
 
 
+def settled(packed: DataFrame, rounds: int, delta: float, least_rounds: int = 1, noise: float = 0.0, relative: bool = False) -> DataFrame:
+    """(feature, expected, theta, converged) by EM over packed (members array<struct<feature, weight>>, cnt), a row a set of features that cnt
+    fragments fit. Fragments are summed to such sets before, in parallel; rounds are thousands of short steps over the sets, so one task
+    does them all. They end when no expected count moves by ``delta`` (of itself, for thetas of at least 1e-7, if relative) or after
+    ``rounds``; converged says which. With noise, a feature -1 fits every fragment with that weight."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        parts = []
+        for b in batches:
+            feature, weight = b.column(0).flatten().flatten()
+            parts.append([x.to_numpy(zero_copy_only=False) for x in (feature, weight, pc.list_value_length(b.column(0)), b.column(1))])
+        feature, weight, size, cnt = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0)] * 4
+        if not len(feature):
+            return
+        names, at = np.unique(feature, return_inverse=True)
+        n, total = len(names), cnt.sum()
+        starts, of = np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
+        back = np.argsort(at, kind="stable")
+        edges, back_of, back_weight = np.searchsorted(at[back], np.arange(n)), of[back], weight[back]
+        now = np.full(n + 1, total / (n + 1)) if noise else np.append(np.bincount(at, (cnt / size)[of], n), 0.0)
+        converged = False
+        for k in range(1, rounds + 1):
+            fit = np.add.reduceat(now[at] * weight, starts) + now[n] * noise
+            share = np.divide(cnt, fit, out=np.zeros(len(fit)), where=fit > 0)
+            new = now * np.append(np.add.reduceat(share[back_of] * back_weight, edges), noise * share.sum())
+            moved = np.abs(new - now)
+            if relative:
+                large = new >= 1e-7 * total
+                moved = moved[large] / new[large]
+            now = new
+            if k >= least_rounds and moved.max(initial=0.0) < delta:
+                converged = True
+                break
+        names, now = (np.append(names, -1), now) if noise else (names, now[:n])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(now), pa.array(now / now.sum()), pa.array([converged] * len(now))], ["feature", "expected", "theta", "converged"])
+
+    one = packed.select("members", F.col("cnt").cast("double").alias("cnt")).repartition(1).sortWithinPartitions("members", "cnt")
+    return one.mapInArrow(run, "feature long, expected double, theta double, converged boolean")
+
+
 def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float = 0.01, cut_every: int = 10) -> DataFrame:
-    """(feature, theta, expected) by EM (A21, A22): combos (combo, feature, cnt) are sets of features that cnt fragments fit; lengths (feature, len).
-    Shares follow theta over length; rounds end when no expected count moves by ``delta``. Every round is a join and two aggregates over
-    the combinations, not over fragments; lineage is cut by checkpoints."""
+    """(feature, theta, expected, converged) by EM (A21, A22): combos (combo, feature, cnt) are sets of features that cnt fragments fit; lengths
+    (feature, len). Shares follow theta over length; rounds end when no expected count moves by ``delta``, or else after ``rounds`` with
+    converged false. With delta 0 the number of rounds is fixed: each is a join and two aggregates over the combinations, not over fragments,
+    lineage is cut by checkpoints, and converged is null."""
+    if delta > 0:
+        member = F.struct(F.col("feature").cast("long").alias("feature"), (1 / F.col("len").cast("double")).alias("weight"))
+        packed = combos.join(lengths, "feature").groupBy("combo").agg(F.sort_array(F.collect_list(member)).alias("members"), F.max("cnt").alias("cnt"))
+        return settled(packed, rounds, delta).select("feature", "theta", "expected", "converged")
     size = F.count(F.lit(1)).over(Window.partitionBy("combo"))
     rows = combos.join(lengths, "feature").select("combo", "feature", "cnt", F.col("len").cast("double").alias("len"), (F.col("cnt") / size).alias("_first"))
     now = rows.groupBy("feature").agg(F.sum("_first").alias("expected"))
@@ -83,15 +131,8 @@ def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float =
         shares = rows.join(now, "feature").withColumn("_w", F.col("expected") / F.col("len"))
         mine = F.col("_w") / F.sum("_w").over(Window.partitionBy("combo")) * F.col("cnt")
         new = shares.withColumn("_mine", mine).groupBy("feature").agg(F.sum("_mine").alias("expected"))
-        if delta > 0:
-            new = new.transform(cut)
-            moved = new.join(now.withColumnRenamed("expected", "_old"), "feature").agg(F.max(F.abs(F.col("expected") - F.col("_old")))).first()[0]
-            now = new
-            if moved is None or moved < delta:
-                break
-        else:
-            now = new.transform(cut) if k % cut_every == 0 else new
-    return now.select("feature", (F.col("expected") / F.sum("expected").over(everything())).alias("theta"), "expected")
+        now = new.transform(cut) if k % cut_every == 0 else new
+    return now.select("feature", (F.col("expected") / F.sum("expected").over(everything())).alias("theta"), "expected", F.lit(None).cast("boolean").alias("converged"))
 
 
 def tau(thetas: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators.lineage import cut
+from strandloom.operators.expression import settled
 
 
 def top_paths(paths: DataFrame, most: int) -> DataFrame:
@@ -32,23 +32,14 @@ def exon_compatible(a: Column, b: Column) -> Column:
     return F.when(first >= 1, inside & (borders(part) == borders(b)) & (F.element_at(part, 1)["rend"] >= F.element_at(b, 1)["lend"])).otherwise(False)
 
 
-def weighted_em(hits: DataFrame, rounds: int = 100, least_rounds: int = 20, delta: float = 1e-3, noise: float = 1e-7) -> DataFrame:
-    """(feature, theta) by EM over (frag, feature, prob) with conditional probabilities of each hit, and a noise feature -1 that fits every
-    fragment with probability ``noise`` (A23). Rounds end when no theta of at least 1e-7 changes by more than ``delta`` of itself."""
-    frags = hits.select("frag").distinct()
-    rows = hits.select("frag", "feature", F.col("prob").cast("double").alias("prob")).unionByName(frags.select("frag", F.lit(-1).cast("long").alias("feature"), F.lit(noise).alias("prob"))).transform(cut)
-    n = frags.count()
-    names = rows.select("feature").distinct().transform(cut)
-    now = names.withColumn("theta", F.lit(1.0) / max(1, names.count())).transform(cut)
-    for k in range(rounds):
-        w = rows.join(now, "feature").withColumn("_w", F.col("theta") * F.col("prob"))
-        share = F.col("_w") / F.sum("_w").over(Window.partitionBy("frag"))
-        new = w.withColumn("_s", share).groupBy("feature").agg((F.sum("_s") / max(1, n)).alias("theta")).transform(cut)
-        moved = new.join(now.withColumnRenamed("theta", "_old"), "feature").where(F.col("theta") >= 1e-7).agg(F.max(F.abs(F.col("theta") - F.col("_old")) / F.col("theta"))).first()[0]
-        now = new
-        if k + 1 >= least_rounds and (moved is None or moved < delta):
-            break
-    return now
+def weighted_em(hits: DataFrame, rounds: int = 10_000, least_rounds: int = 20, delta: float = 1e-3, noise: float = 1e-7) -> DataFrame:
+    """(feature, theta, converged) by EM over (frag, feature, prob) with conditional probabilities of each hit, and a noise feature -1 that fits
+    every fragment with probability ``noise`` (A23). Rounds end when no theta of at least 1e-7 changes by more than ``delta`` of itself,
+    or else after ``rounds`` with converged false."""
+    member = F.struct(F.col("feature").cast("long").alias("feature"), F.coalesce(F.col("prob").cast("double"), F.lit(0.0)).alias("weight"))
+    sets = hits.groupBy("frag").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    packed = sets.groupBy("members").agg(F.count(F.lit(1)).alias("cnt"))
+    return settled(packed, rounds, delta, least_rounds, noise, relative=True).select("feature", "theta", "converged")
 
 
 def trim_short_ends(blocks: Column, least: int = 10) -> Column:

@@ -138,7 +138,7 @@ def _(s, d):
 
 @query("a21_em_converged")
 def em_converged(s, d):
-    return X.em(combos(s, d), lengths(s, d), rounds=200, delta=0.01)
+    return X.em(combos(s, d), lengths(s, d), rounds=1000, delta=0.01)
 
 
 @query("a24_tau", f"WITH t AS (SELECT feature, comp, cnt / sum(cnt) OVER () / len AS t FROM {AF} c JOIN lengths USING (feature)), u AS (SELECT feature, comp AS gene, t / sum(t) OVER () AS tau FROM t) SELECT feature, gene, round(tau, 8) AS tau, round(sum(tau) OVER (PARTITION BY gene), 8) AS gene_tau FROM u", "counts", "lengths")

@@ -51,7 +51,7 @@ def _(s, d):
 
 @query("a23_weighted_em")
 def _(s, d):
-    return M.weighted_em(hits(s, d).withColumn("prob", 1 / (1 + F.col("feature") % 5)), rounds=25)
+    return M.weighted_em(hits(s, d).withColumn("prob", 1 / (1 + F.col("feature") % 5)))
 
 
 @query("n13_trim_short_ends", "SELECT qname, num, CASE WHEN cigar = '10M100N26M' THEN 1 WHEN cigar = '20M2I14M' THEN 2 WHEN cigar = '12M3D24M' THEN 2 ELSE 1 END AS blocks FROM aligns", "aligns")
