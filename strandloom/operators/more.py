@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.expression import settled
+from strandloom.operators.lineage import cut
 
 
 def top_paths(paths: DataFrame, most: int) -> DataFrame:
@@ -67,25 +68,57 @@ def walk_flanks(counts: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
 
 
 def agglomerate(values: DataFrame, clusters: int, most: int = 5000) -> DataFrame:
-    """(feature, cluster) of rows (feature, value array) by average linkage on Euclidean distances, cut into so many clusters (P27). A matrix of
-    distances is needed, so this is for the selected rows of an analysis, at most ``most``; more raise an error."""
+    """(feature, cluster) of all rows (feature, value array) by average linkage on Euclidean distances, cut into so many clusters (P27); identical rows
+    are never parted. Up to ``most`` distinct values this is exact. Beyond, values are gathered first in the cells of a grid, the finest
+    with at most so many cells of steps that double from 1/64; the cells' means are linked by their numbers of rows, and each row gets the cluster of
+    its cell. Clusters are numbered by their smallest features."""
+    rows = values.where("value IS NOT NULL").select(F.col("feature").cast("long").alias("feature"), F.col("value").cast("array<double>").alias("value")).transform(cut)
+    width = rows.agg(F.max(F.size("value"))).first()[0] or 0
+    in_grid = lambda step: rows.withColumn("_key", F.transform("value", lambda x: F.floor(x / step).cast("double")))
+    keyed, step = rows.withColumn("_key", F.col("value")), 1 / 64
+    while keyed.select("_key").distinct().limit(most + 1).count() > most:
+        keyed, step = in_grid(step), step * 2
+    means = F.col("_key") if step == 1 / 64 else F.array(*[F.avg(F.get("value", F.lit(i))) for i in range(width)])
+    cells = keyed.groupBy("_key").agg(F.min("feature").alias("feature"), F.count(F.lit(1)).cast("double").alias("n"), means.alias("value"))
 
     def run(batches):
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("feature", ignore_index=True)
-        if len(rows) > most:
-            raise ValueError(f"{len(rows)} rows are too many to cluster; {most} are the limit")
-        x = np.array(rows["value"].tolist(), float)
-        groups = {i: [i] for i in range(len(x))}
-        d = np.sqrt(np.maximum(((x[:, None] - x[None]) ** 2).sum(2), 0)) if len(x) else np.zeros((0, 0))
-        np.fill_diagonal(d, np.inf)
-        while len(groups) > max(1, clusters):
-            i, j = sorted(np.unravel_index(np.argmin(d), d.shape))
-            a, b = len(groups[i]), len(groups[j])
-            d[i] = d[:, i] = (a * d[i] + b * d[j]) / (a + b)
-            d[i, i] = np.inf
-            d[j] = d[:, j] = np.inf
-            groups[i] += groups.pop(j)
-        label = {m: n for n, g in enumerate(sorted(groups.values(), key=min), 1) for m in g}
-        yield pd.DataFrame({"feature": rows["feature"], "cluster": pd.Series([label[i] for i in range(len(rows))], dtype="int32")})
-
-    return values.repartition(1).mapInPandas(run, "feature long, cluster int")
+        found = pd.concat(list(batches), ignore_index=True).sort_values("feature", ignore_index=True)
+        label = linked(np.array(found["value"].tolist(), float), found["n"].to_numpy(), clusters)
+        yield pd.DataFrame({"_key": found["_key"], "cluster": label.astype("int32")})
+
+    labels = cells.repartition(1).mapInPandas(run, "_key array<double>, cluster int")
+    return keyed.join(F.broadcast(labels), "_key").select("feature", "cluster")
+
+
+def linked(x: np.ndarray, size: np.ndarray, clusters: int) -> np.ndarray:
+    """The cluster, from 1 in the order of their first rows, of each row of x by average linkage; a row counts as ``size`` equal ones. Each row's nearest one is
+    kept, so a merge looks again only at rows whose nearest one it changed."""
+    n = len(x)
+    d = np.zeros((n, n))
+    for i in range(n):
+        d[i] = np.sqrt(((x - x[i]) ** 2).sum(1))
+    np.fill_diagonal(d, np.inf)
+    size, of, alive = size.astype(float).copy(), np.arange(n), np.ones(n, bool)
+    near = d.argmin(1) if n else np.zeros(0, np.int64)
+    least = d[np.arange(n), near]
+    for _ in range(n - max(1, clusters)):
+        i = int(least.argmin())
+        i, j = sorted((i, int(near[i])))
+        d[i] = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
+        d[i, i] = d[i, j] = np.inf
+        d[:, i] = d[i]
+        d[j] = d[:, j] = np.inf
+        size[i] += size[j]
+        alive[j] = False
+        of[of == j] = i
+        least[j] = np.inf
+        closer = alive & (d[i] < least)
+        again = alive & ((near == i) | (near == j))
+        near[closer], least[closer] = i, d[i][closer]
+        same = alive & (d[i] == least) & (near > i)
+        near[same] = i
+        again[i] = True
+        again = np.flatnonzero(again)
+        near[again] = d[again].argmin(1)
+        least[again] = d[again, near[again]]
+    return np.unique(of, return_inverse=True)[1] + 1

@@ -74,8 +74,7 @@ def _(s, d):
 @query("p27_agglomerate")
 def _(s, d):
     wide = counts(s, d).groupBy("feature").pivot("sample", ["AF", "NF", "NO", "RF"]).agg(F.sum("cnt")).na.fill(0)
-    top = wide.orderBy(F.desc(F.col("AF") + F.col("NO")), "feature").limit(200)
-    return M.agglomerate(top.select("feature", F.array(*[F.log2(F.col(c) + 1) for c in ("AF", "NF", "NO", "RF")]).alias("value")), 5)
+    return M.agglomerate(wide.select("feature", F.array(*[F.log2(F.col(c) + 1) for c in ("AF", "NF", "NO", "RF")]).alias("value")), 5)
 
 
 @query("g07_reachable_kmers", f"WITH RECURSIVE c AS (SELECT kmer FROM {kmer_sql(25)} x GROUP BY kmer HAVING count(*) >= 200), r AS (SELECT min(kmer) AS kmer, 0 AS depth FROM c UNION SELECT c.kmer, depth + 1 FROM r JOIN c ON substr(c.kmer, 1, 24) = substr(r.kmer, 2) WHERE depth < 6) SELECT kmer, min(depth)::INTEGER AS depth FROM r WHERE kmer IS NOT NULL GROUP BY kmer", "reads")

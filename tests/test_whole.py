@@ -39,3 +39,36 @@ def test_em_settles(spark):
 def test_em_converged(spark):
     rows = catalog.queries()["a21_em_converged"](spark, "/root/testdata/sf0.01").toPandas()
     assert len(rows) and rows["converged"].all()
+
+
+def brute_linkage(x, clusters):
+    groups = [[i] for i in range(len(x))]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    while len(groups) > clusters:
+        a, b = min(((d[np.ix_(groups[i], groups[j])].mean(), i, j) for i in range(len(groups)) for j in range(i + 1, len(groups))))[1:]
+        groups[a] += groups.pop(b)
+    return sorted(map(tuple, map(sorted, groups)))
+
+
+def clusters_of(frame):
+    return sorted(tuple(sorted(g)) for g in frame.groupby("cluster")["feature"].apply(list))
+
+
+def test_agglomerate_takes_all_rows(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(60, 3)).round(2)
+    x[40:] = x[r.integers(0, 40, 20)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "feature long, value array<double>").repartition(3)
+    assert clusters_of(M.agglomerate(df, 5).toPandas()) == brute_linkage(x, 5)
+    # More distinct values than fit at once: far groups are still found, and no row is lost.
+    centres = np.array([[0, 0], [40, 0], [0, 40]])
+    y = centres[np.arange(900) % 3] + r.normal(size=(900, 2))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(y.tolist())], "feature long, value array<double>")
+    assert clusters_of(M.agglomerate(df, 3, most=50).toPandas()) == sorted(tuple(range(k, 900, 3)) for k in range(3))
+    assert M.agglomerate(df.limit(0), 3).count() == 0
+
+
+def test_all_features_are_clustered(spark):
+    sf = "/root/testdata/sf0.01"
+    got = catalog.queries()["p27_agglomerate"](spark, sf).toPandas()
+    assert len(got) == E.counts(spark, sf).select("feature").distinct().count() > 200 and got["cluster"].nunique() == 5
