@@ -289,7 +289,7 @@ EDGES = "(SELECT DISTINCT l_orderkey * 10 AS a, l_partkey * 10 + 1 AS b FROM lin
 
 
 def order_parts(s, d) -> DataFrame:
-    return s.read.parquet(f"{d}/lineitem.parquet").where("l_quantity <= 8").select((F.col("l_orderkey") * 10).alias("a"), (F.col("l_partkey") * 10 + 1).alias("b")).distinct()
+    return s.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_orderkey") * 10).alias("a"), (F.col("l_partkey") * 10 + 1).alias("b")).distinct()
 
 
 SMALL_EDGES = "(SELECT DISTINCT tid % 40 * 3 AS a, gene * 3 + 1 AS b FROM transcripts)"

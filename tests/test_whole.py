@@ -72,3 +72,18 @@ def test_all_features_are_clustered(spark):
     sf = "/root/testdata/sf0.01"
     got = catalog.queries()["p27_agglomerate"](spark, sf).toPandas()
     assert len(got) == E.counts(spark, sf).select("feature").distinct().count() > 200 and got["cluster"].nunique() == 5
+
+
+def test_components_of_the_whole_table(spark):
+    got = {r.node: r.component for r in catalog.queries()["p05_components_large"](spark, SF).collect()}
+    top: dict[int, int] = {}
+
+    def root(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for r in spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_partkey").collect():
+        a, b = root(r.l_orderkey * 10), root(r.l_partkey * 10 + 1)
+        top[max(a, b)] = min(a, b)
+    assert got == {x: root(x) for x in top}
