@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.operators import kmers as K
+from strandloom.operators.lineage import cut
+
 NEG = -(10**9)
 
 
@@ -70,6 +73,23 @@ def align_pairs(pairs: DataFrame, local: bool = False, **costs) -> DataFrame:
     return pairs.mapInPandas(run, schema)
 
 
+def align_sharing(seqs: DataFrame, k: int = 25) -> DataFrame:
+    """(id, other, score, matches, mismatches, gaps): whole sequences (id, seq) aligned with all that share a k-mer with them. Equal sequences are aligned
+    as one: other is the smallest id of each sequence, so any two ids x and y that share a k-mer are compared in the row of x and the smallest id that
+    has y's sequence, and rows grow with ids, not with their pairs. Sequences shorter than k share theirs as a whole."""
+    ids = seqs.where("seq IS NOT NULL").select("id", "seq")
+    distinct = ids.groupBy("seq").agg(F.min("id").alias("first")).transform(cut)
+    short = distinct.where(F.length("seq") < k).select("first", F.col("seq").alias("kmer"))
+    kmers = K.explode_kmers(distinct, k, keep=("first",)).distinct().unionByName(short).transform(cut)
+    shared = kmers.select("kmer", F.col("first").alias("a")).join(kmers.select("kmer", F.col("first").alias("b")), "kmer").where("a <= b").select("a", "b").distinct()
+    named = lambda n: distinct.select(F.col("first").alias(n), F.col("seq").alias(f"{n}_seq"))
+    pairs = shared.join(named("a"), "a").join(named("b"), "b").repartition("a", "b")
+    found = align_pairs(pairs).drop("a_seq", "b_seq").transform(cut)
+    both = found.unionByName(found.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "score", "matches", "mismatches", "gaps"))
+    first = ids.join(distinct, "seq").select("id", F.col("first").alias("a"))
+    return first.join(both, "a").where("id != b").select("id", F.col("b").alias("other"), "score", "matches", "mismatches", "gaps")
+
+
 def too_similar(gaps, mismatches, matches):
     """At most 10 gaps, and at most 2 mismatches or 95 % identity (F21). Columns or numbers."""
     return (gaps <= 10) & ((mismatches <= 2) | (matches / (matches + mismatches + gaps) >= 0.95))

@@ -653,16 +653,13 @@ def _(s, d):
 
 @query("n18_alignments")
 def _(s, d):
-    t = transcripts(s, d)
-    pairs = t.select("tid", F.substring("seq", 1, 40).alias("a_seq"), F.substring("seq", 5, 40).alias("b_seq"))
-    return AL.align_pairs(pairs).select("tid", "score", "matches", "mismatches", "gaps")
+    return AL.align_sharing(transcripts(s, d).withColumnRenamed("tid", "id")).withColumnRenamed("id", "tid")
 
 
 @query("f21_too_similar")
 def _(s, d):
-    t = transcripts(s, d)
-    r = AL.align_pairs(t.select("tid", F.substring("seq", 1, 40).alias("a_seq"), F.substring("seq", 3, 40).alias("b_seq")))
-    return r.select("tid", AL.too_similar(F.col("gaps"), F.col("mismatches"), F.col("matches")).alias("similar"))
+    r = AL.align_sharing(transcripts(s, d).withColumnRenamed("tid", "id")).withColumnRenamed("id", "tid")
+    return r.select("tid", "other", AL.too_similar(F.col("gaps"), F.col("mismatches"), F.col("matches")).alias("similar"))
 
 
 @query("n19_zipper", "WITH z AS (SELECT tid, hamming(substr(seq, 1, 20), substr(seq, 33, 20)) AS l, hamming(substr(seq, 1, 20), substr(seq, 38, 20)) AS r FROM transcripts) SELECT tid, CASE WHEN l < r THEN 'left' ELSE 'right' END AS side, (20 - least(l, r))::INTEGER AS matches, least(l, r)::INTEGER AS mismatches FROM z", "transcripts")

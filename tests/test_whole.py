@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from strandloom.operators import align as AL
 from strandloom.operators import expression as X
 from strandloom.operators import more as M
 from strandloom.plans import catalog
@@ -87,3 +88,25 @@ def test_components_of_the_whole_table(spark):
         a, b = root(r.l_orderkey * 10), root(r.l_partkey * 10 + 1)
         top[max(a, b)] = min(a, b)
     assert got == {x: root(x) for x in top}
+
+
+def test_whole_transcripts_are_aligned(spark):
+    got = {(r.tid, r.other): r for r in catalog.queries()["n18_alignments"](spark, SF).collect()}
+    seqs = {r.tid: r.seq for r in E.transcripts(spark, SF).collect()}
+    first: dict[str, int] = {}
+    for t in sorted(seqs):
+        first.setdefault(seqs[t], t)
+    windows = {q: {q[i : i + 25] for i in range(len(q) - 24)} for q in first}
+    want = {(t, o) for t, q in seqs.items() for p, o in first.items() if t != o and windows[q] & windows[p]}
+    assert set(got) == want and any(seqs[t] != seqs[o] for t, o in want)
+    for t, o in sorted(want)[::40]:
+        f = AL.align(seqs[min(first[seqs[t]], o)], seqs[max(first[seqs[t]], o)])
+        assert [got[t, o][x] for x in ("score", "matches", "mismatches", "gaps")] == [f[x] for x in ("score", "matches", "mismatches", "gaps")]
+        assert 2 * (f["matches"] + f["mismatches"]) + f["gaps"] == 192
+    similar = {(r.tid, r.other): r.similar for r in catalog.queries()["f21_too_similar"](spark, SF).collect()}
+    assert set(similar) == want and all(v == (seqs[t] == seqs[o]) or v for (t, o), v in similar.items()) and len(set(similar.values())) == 2
+
+
+def test_align_sharing_odd_inputs(spark):
+    df = spark.createDataFrame([(1, "ACGT"), (2, "ACGT"), (3, None), (4, ""), (5, "ACGTACGTACGT")], "id long, seq string")
+    assert [(r.id, r.other, r.matches) for r in AL.align_sharing(df, 6).collect()] == [(2, 1, 4)]
