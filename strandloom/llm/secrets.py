@@ -53,7 +53,7 @@ MORE = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:([^\s/:@]{3,256})@", mask=1),
+    Rule("url_login", r"://[^\s/:@]++:([^\s/:@]{3,}+)@", mask=1),
 )
 RULES = BASE + MORE
 
