@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -207,10 +208,13 @@ class Bpe:
         return b"".join(parts).decode("utf-8", "replace")
 
 
+VOCABULARY = "word_bpe_49k.json"
+
+
 @lru_cache(maxsize=4)
 def load(path: str) -> Bpe:
-    """One instance a worker and vocabulary."""
-    return Bpe(path)
+    """One instance a worker and vocabulary. A bare file name is one of the public tokenizers', found where the task runs."""
+    return Bpe(path if os.sep in path else vocabulary(path))
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -220,7 +224,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("bpe")
         bpe = load(path)
-        for b in batches:
+        for b in common.slices(batches):
             encoded = [bpe.encode(text.as_py()) for text in b.column(0)]
             offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(encoded), np.int32)))
@@ -240,7 +244,7 @@ def decode(df: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("bpe")
         bpe = load(path)
-        for b in batches:
+        for b in common.slices(batches):
             texts = [bpe.decode(array("I", ids.as_py() or []).tobytes()) for ids in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
@@ -254,7 +258,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("bpe")
         bpe = load(path)
-        for b in batches:
+        for b in common.slices(batches):
             n, of_ids, of_text = [], [], []
             for text in b.column(1):
                 ids = bpe.encode(text.as_py())
@@ -268,7 +272,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -276,5 +280,4 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 def op5(spark, sf_dir: str) -> DataFrame:
     """Every text of documents encoded and decoded again."""
-    common.small_batches(spark)
-    return round_trip(common.table(spark, sf_dir, "documents"), vocabulary())
+    return round_trip(common.table(spark, sf_dir, "documents"), VOCABULARY)

@@ -13,12 +13,14 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Arrow batches of whole texts stay small, so that a few very long rows fit a worker.
-TEXT_BATCH_ROWS = 512
+#: Arrow batches of whole texts are worked on in pieces, so that a few very long rows fit a worker.
+SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +32,13 @@ def text_or_empty(name: str = "text") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or where
-    that is unset (tests in one process) a temporary folder that is set as such."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where that is unset, a temporary folder is set as such if everything
+    runs in this process (tests); a cluster must name one."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strandloom-")
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir()
@@ -42,8 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name in the shared folder."""
-    return os.path.join(shared_dir(spark), f"strandloom-{tag}-{uuid.uuid4().hex}")
+    """A fresh folder name in the shared folder; what is there goes when the driver ends."""
+    name = os.path.join(shared_dir(spark), f"strandloom-{tag}-{uuid.uuid4().hex}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -54,9 +61,21 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Arrow batches of at most so many rows for the plans that are built from now on."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most SLICE_ROWS rows and, by their mean length, about SLICE_BYTES, so that what is made of a piece stays small too.
+    Spark bounds the bytes of the batches themselves; no setting of the session is touched."""
+    for b in batches:
+        step = max(1, min(SLICE_ROWS, b.num_rows * SLICE_BYTES // max(1, b.nbytes)))
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like this one that df doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 _caches: dict[str, list] = {}

@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star contraction.
 
 Every round replaces edges by edges to smaller ids until each component is one star around its
-smallest id. A vertex with very many edges is no single task: minima are partial aggregates, and the
-joins that hand them back can be split where a key is skewed. Rounds are written to the shared folder.
+smallest id. Minima are partial aggregates. They are handed back by a join, except to vertices of so many edges that
+at most HEAVY can have as many: those, a few bytes each, are broadcast, so a vertex that is part of a third of all edges is no single task.
+Rounds are written to the shared folder and go on until nothing changes.
 """
 
 from __future__ import annotations
@@ -12,6 +13,32 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import common
 
+HEAVY = 4096
+
+
+def frequent(rows: DataFrame, key: str, total: int, least: int = 8) -> DataFrame:
+    """(key, n) of the values of key in more than max(least, total / HEAVY) of total rows: at most HEAVY of them."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(least, -(-total // HEAVY)))
+
+
+def matched(many: DataFrame, one: DataFrame, key: str, other: str, total: int, least: int = 128) -> DataFrame:
+    """Inner join of many rows a key (total of them) with one row a key, where a frequent key is split by a hash of the column ``other`` and
+    the one row goes to each of its parts; those parts are at most 2 * HEAVY more rows."""
+    bound = max(least, -(-total // HEAVY))
+    parts = F.broadcast(frequent(many, key, total, least).select(key, F.ceil(F.col("n") / bound).cast("long").alias("_parts")))
+    dealt = many.join(parts, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(other), "_parts")).cast("long")).drop("_parts")
+    copies = one.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"]).drop("_part")
+
+
+def _with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """rows (u, v) with m, the least neighbour of u."""
+    bound = max(8, -(-total // HEAVY))
+    heavy = F.broadcast(least.where(F.col("n") > bound).select("u", F.col("m").alias("heavy")))
+    marked = rows.join(heavy, "u", "left")
+    light = marked.where("heavy IS NULL").select("u", "v").join(least.where(F.col("n") <= bound).select("u", "m"), "u")
+    return light.select("u", "v", "m").unionByName(marked.where("heavy IS NOT NULL").select("u", "v", F.col("heavy").alias("m")))
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every vertex that isn't the smallest of its component. edges: (a, b), any direction; loops, repeats
@@ -19,17 +46,20 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = common.written(now, "edges")
     seen = _state(now)
-    while True:
+    count = lambda rows: rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = count(both).select("u", F.least("u", "m").alias("m"), "n")
+        large = _with_least(both, least, 2 * seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = common.written(large, "large-stars")
+        least = count(large)
+        small = _with_least(large, least, seen[0]).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = common.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
         state = _state(now)
         if state == seen:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            break
         seen = state
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -280,7 +280,7 @@ def _signatures(docs: DataFrame, parts: int) -> DataFrame:
         common.claim("jaccard")
         out = _Out()
         buffer = _Buffer(parts, out, TaskContext.get().partitionId())
-        for b in batches:
+        for b in common.slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 buffer.add(doc, shingles(text.as_py()))
                 if buffer.size >= BUFFER_SHINGLES:
@@ -296,34 +296,42 @@ def _signatures(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Pairs that share a kept piece; other rows pass through. Pieces come sorted, and so do the documents of each."""
+    """Pairs that share a kept piece; other rows pass through. Rows come sorted by part, so the pieces of one part are held at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("jaccard pieces")
-        keys, docs = [], []
+        now, keys, docs = None, [], []
         for b in batches:
             is_keys = np.array(b.column(0).to_pylist(), object) == "keys"
             if not is_keys.all():
                 yield b.filter(pa.array(~is_keys))
             for i in np.flatnonzero(is_keys).tolist():
+                part = b.column(1)[i].as_py()
+                if part != now:
+                    yield from pairs_of(keys, docs)
+                    now, keys, docs = part, [], []
                 keys.append(np.frombuffer(b.column(8)[i].as_py(), _U))
                 docs.append(np.frombuffer(b.column(9)[i].as_py(), np.int64))
+        yield from pairs_of(keys, docs)
+
+    def pairs_of(keys: list, docs: list) -> Iterator[pa.RecordBatch]:
         if not keys:
             return
         key, doc = np.concatenate(keys), np.concatenate(docs)
-        del keys, docs
+        keys.clear()
+        docs.clear()
         order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         size = np.diff(np.append(np.flatnonzero(new), len(key)))
         several = np.repeat(size > 1, size)
         key, doc = key[several], doc[several]
+        if not len(key):  # no piece here is another document's too
+            return
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         again = np.concatenate([[False], (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])])
         key, doc = key[~again], doc[~again]
-        if not len(key):
-            return
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(starts, len(key)))
         first = np.repeat(doc[starts], size)
@@ -349,10 +357,12 @@ def _meet(rows: DataFrame) -> DataFrame:
 
 def _near_sketches(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches leave this similarity possible."""
+    pairs = common.written(pairs, "sketch-pairs")
     one = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     two = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     s, of = similar
-    sized = pairs.join(one, "a").join(two, "b").where((F.col("n_a") * of >= F.col("n_b") * s) & (F.col("n_b") * of >= F.col("n_a") * s))
+    total = pairs.count()
+    sized = graphs.matched(graphs.matched(pairs, one, "a", "b", total), two, "b", "a", total).where((F.col("n_a") * of >= F.col("n_b") * s) & (F.col("n_b") * of >= F.col("n_a") * s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -387,7 +397,7 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             if info.base_name.startswith(mine):
                 with store.open_input_stream(info.path, compression=None) as f:
                     ids.update(np.frombuffer(f.read(), np.int64).tolist())
-        for b in batches:
+        for b in common.slices(batches):
             keep = [doc in ids for doc in b.column(0).to_pylist()] if ids else []
             if any(keep):
                 yield hashed(b.filter(pa.array(keep)))
@@ -400,7 +410,7 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     missing = common.written(wanted.select("id").join(found.select("id"), "id", "left_anti"), "missing")
     if missing.isEmpty():
         return found
-    return found.unionByName(docs.join(missing, "id").mapInArrow(lambda bs: map(hashed, bs), "id long, hashes binary"))
+    return found.unionByName(docs.join(missing, "id").mapInArrow(lambda bs: map(hashed, common.slices(bs)), "id long, hashes binary"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, list[list]]]:
@@ -424,10 +434,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame
     pairs = common.written(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = _sets(common.written(ids.join(places, "id"), "wanted"), docs)
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks"))
-    asked = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), "chunks"))
-    others = asked.select("a", "chunk", "b").join(sets.withColumnRenamed("id", "b"), "b").select("a", "chunk", "b", "hashes")
-    own = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")).join(sets.withColumnRenamed("id", "a"), "a")
+    total = pairs.count()
+    bound = max(CHUNK, -(-total // graphs.HEAVY))
+    chunks = F.broadcast(graphs.frequent(pairs, "a", total, CHUNK).select("a", F.ceil(F.col("n") / bound).cast("long").alias("chunks")))
+    asked = pairs.join(chunks, "a", "left").withColumn("chunk", F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), "chunks")).cast("long"))
+    others = graphs.matched(asked.select("a", "chunk", "b"), sets.withColumnRenamed("id", "b"), "b", "a", total).select("a", "chunk", "b", "hashes")
+    own = sets.withColumnRenamed("id", "a").join(pairs.select("a").distinct(), "a", "left_semi").join(chunks, "a", "left")
+    own = own.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1)).alias("chunk"), "hashes")
     rows = own.select("a", "chunk", F.lit(None).cast("long").alias("b"), "hashes").unionByName(others)
     rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
@@ -459,8 +472,9 @@ def _unpaired(members: DataFrame, balls: DataFrame, labels: DataFrame, sketches:
     everyone = members.unionByName(around).distinct()
     known = everyone.join(labels, everyone["id"] == labels["of"], "left").select("low", "id", F.coalesce("component", "id").alias("component"))
     known = common.written(known, "known")
+    total = known.count()
     open_ = known.groupBy("low").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles")).where("least != most")
-    rows = known.join(open_.select("low", "tiles"), "low").join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
+    rows = graphs.matched(known, open_.select("low", "tiles"), "low", "id", total).join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
     rows = rows.withColumn("yours", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     tile = rows.select("low", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"), "mine", "id", "component", "n", "sketch")
     s, of = SIMILAR
@@ -502,12 +516,11 @@ def _between_balls(met: DataFrame, balls: DataFrame, labels: DataFrame, sketches
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id): the smallest id that is reachable by links, itself included."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     kind = docs.schema[id_col].dataType
     texts = docs.select(F.col(id_col).cast("long").alias("id"), common.text_or_empty(text_col).alias("text"))
     named = texts.where("id IS NOT NULL")
     n = MEETING_PARTITIONS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = _signatures(named, n * PARTS_PER_PARTITION).repartition(n, "part")
+    sent = _signatures(named, n * PARTS_PER_PARTITION).repartition(n, "part").sortWithinPartitions("part")
     rows = common.written(_meet(sent), "meetings")
 
     all_docs = rows.where("kind = 'doc'")

@@ -239,7 +239,7 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, media binary): each whole text as an Ogg stream. A null text is stored as an empty one."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             media = []
             for text in b.column(1):
                 data = text.as_py().encode()
@@ -262,7 +262,7 @@ def digest_media(df: DataFrame, id_name: str = "doc_id") -> DataFrame:
     the second logical stream; it is null where that stream can't be read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             rows = []
             for value in b.column(1):
                 media = value.as_py() or b""
@@ -279,17 +279,24 @@ def digest_media(df: DataFrame, id_name: str = "doc_id") -> DataFrame:
     return out.withColumnRenamed("id", id_name)
 
 
-def packets(df: DataFrame, id_col: str, media_col: str, rate: int = RATE) -> DataFrame:
+def rate_of(stream: Stream, rate: int | None = None) -> int | None:
+    """Granules a second: what the stream's own header says if its packets are samples; else ``rate``, as the unit of other granule positions is their codec's."""
+    head = stream.packets[0] if stream.packets else b""
+    return _ID_HEADER.unpack(head)[1] or rate if head[:7] == PCM_ID and len(head) == _ID_HEADER.size else rate
+
+
+def packets(df: DataFrame, id_col: str, media_col: str, rate: int | None = None) -> DataFrame:
     """One row per packet of every logical stream: id, serial, packet (0 is the header), granule at its
-    end (null if its page doesn't tell), start_s and end_s (null for headers), size, data. A null or
-    unreadable value gives no rows."""
+    end (null if its page doesn't tell), start_s and end_s (null for headers, and for streams whose rate neither
+    their header nor ``rate`` tells), size, data. A null or unreadable value gives no rows."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             cols: list[list] = [[] for _ in range(8)]
             for key, value in zip(b.column(0), b.column(1), strict=True):
                 for serial, stream in sorted(demux(value.as_py()).streams.items()):
-                    times = packet_times(stream, rate)
+                    of = rate_of(stream, rate)
+                    times = packet_times(stream, of) if of else [None] * len(stream.packets)
                     for k, packet in enumerate(stream.packets):
                         granule = stream.ends[k]
                         row = (key.as_py(), serial, k, None if granule == NO_GRANULE else granule, *(times[k] or (None, None)), len(packet), packet)
@@ -306,5 +313,4 @@ def packets(df: DataFrame, id_col: str, media_col: str, rate: int = RATE) -> Dat
 
 def op1(spark, sf_dir: str) -> DataFrame:
     """Every text of documents stored as Ogg, read back and digested."""
-    common.small_batches(spark)
     return digest_media(encode_texts(common.table(spark, sf_dir, "documents")))

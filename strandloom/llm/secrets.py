@@ -237,7 +237,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index(rules)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("mask_start", pa.int32()), ("mask_end", pa.int32())]))
-        for b in batches:
+        for b in common.slices(batches):
             found = own.scan(b.column(1).to_pylist())
             rows = [[{"kind": rules[k].kind, "start": a, "end": e, "mask_start": m, "mask_end": n} for a, k, e, m, n in spans] for spans in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], ["id", "spans"])
@@ -267,7 +267,7 @@ def redact(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index(rules)
-        for b in batches:
+        for b in common.slices(batches):
             texts = b.column(at).to_pylist()
             found = own.scan([t or "" for t in texts])
             if any(found):
@@ -283,7 +283,7 @@ def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index(RULES)
-        for b in batches:
+        for b in common.slices(batches):
             found = own.scan(b.column(1).to_pylist())
             base = [[s for s in spans if s[1] < len(BASE)] for spans in found]
             counts = [pa.array([sum(s[1] == k for s in spans) for spans in base], pa.int64()) for k in range(len(BASE))]
@@ -297,5 +297,4 @@ def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def op3(spark, sf_dir: str) -> DataFrame:
     """Secrets in every text of documents."""
-    common.small_batches(spark)
     return digest(common.table(spark, sf_dir, "documents"))

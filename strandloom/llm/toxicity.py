@@ -8,7 +8,8 @@ entries, some thousands in practice).
 The model is fitted on at most MAX_TRAIN labelled documents, those whose hashed id is smallest; all
 documents are scored. Null and empty texts get the score of the intercept alone. A document that is
 labelled more than once counts as toxic if any label says so; null labels don't count. With no
-labelled document there is no model, and every score is 0.
+labelled document there is no model, and every score is 0. Rows with a null id are scored but never learnt from;
+rows that repeat an id are all scored, and are all examples if the id is drawn.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("toxicity")
-        for b in batches:
+        for b in common.slices(batches):
             found = [present(t.as_py()).tobytes() for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["at", "label", "slots"])
 
@@ -173,7 +174,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("toxicity")
         of = scorer(shared.value)
-        for b in batches:
+        for b in common.slices(batches):
             found = pa.array([of(t.as_py() or "") for t in b.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, found], schema=b.schema.append(pa.field(name, pa.float64())))
 
@@ -187,7 +188,6 @@ def rejected(name: str = "score") -> Column:
 
 def op10(spark, sf_dir: str) -> DataFrame:
     """Scores of every text of documents."""
-    common.small_batches(spark)
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, fit(docs, common.table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out().alias("held_out"), "score", rejected().cast("int").alias("predicted"))

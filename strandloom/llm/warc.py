@@ -123,7 +123,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_folder(folder)
         out, name, at, found = None, "", 0, []
-        for key, page_id, url, html, refers_to in _rows(batches):
+        for key, page_id, url, html, refers_to in _rows(common.slices(batches)):
             if out is None or at >= FILE_BYTES:
                 if out:
                     out.close()
@@ -284,7 +284,6 @@ def look_up(wanted: DataFrame, folder: str, shards: list[tuple[str, int, str]],
 
 def op4(spark, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, indexed, and each looked up and read back."""
-    common.small_batches(spark)
     pages = common.table(spark, sf_dir, "pages")
     folder = common.scratch(spark, "warc")
     shards = build_index(write_archives(pages, folder), folder)
