@@ -53,6 +53,15 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return name
 
 
+def open_folder(uri: str):
+    """(file system, path) of a folder that all executors share."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    store.create_dir(path, recursive=True)
+    return store, path
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Cuts the lineage: df as a Parquet table in the shared folder, read again."""
     spark = df.sparkSession
