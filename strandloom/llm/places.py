@@ -6,7 +6,7 @@ is read again, each task takes the decisions of the input files whose rows it ge
 on how files are split or on who runs the task, so lost executors and other splits change nothing.
 
 Rows that don't come straight from files (after a shuffle, or made in the driver) have no input file. If there are any, the
-table is joined with the decisions instead.
+table is first written to the shared folder as it is.
 """
 
 from __future__ import annotations
@@ -16,28 +16,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import common
-from strandloom.llm.warc import open_folder
 
 FILE_IDS = 500_000  # ids in one file of decisions
 
 
+def input_place() -> Column:
+    """A number for the input file of a row; null where there is none."""
+    return F.when(F.input_file_name() != "", F.xxhash64(F.input_file_name()))
+
+
+def from_files(docs: DataFrame, found: DataFrame, tag: str) -> DataFrame:
+    """docs, or their copy in files if ``found``, what was taken from docs, has a null place."""
+    return docs if found.where("place IS NULL").isEmpty() else common.written(docs, tag)
+
+
 def with_value(docs: DataFrame, values: DataFrame, id_col: str = "doc_id", name: str = "_value") -> DataFrame:
     """docs with the value (a whole number) of each row's id in a column of this name, which docs must not have; a null id has its value
     as any other, and rows that share an id share its value. values: one row an id (id, value), for all ids of docs; a missing one is an error."""
     spark = docs.sparkSession
-    ids = docs.select(F.input_file_name().alias("file"), F.col(id_col).cast("long").alias("id")).distinct()
-    ids = common.written(ids.select(F.when(F.col("file") != "", F.xxhash64("file")).alias("place"), "id"), "value-places")
+    placed = lambda rows: common.written(rows.select(input_place().alias("place"), F.col(id_col).cast("long").alias("id")).distinct(), "value-places")
+    ids = placed(docs)
+    source = from_files(docs, ids, "value-rows")
+    if source is not docs:
+        docs, ids = source, placed(source)
     decided = values.select(F.col("id").alias("_id"), F.col("value").cast("long").alias("_decided"))
-    if not ids.where("place IS NULL").isEmpty():
-        at = common.fresh(docs, "_id")
-        decided = decided.withColumnRenamed("_id", at).withColumnRenamed("_decided", name)
-        out = docs.join(decided, F.col(id_col).cast("long").eqNullSafe(F.col(at)), "left").drop(at)
-        return out.withColumn(name, F.coalesce(name, F.raise_error(F.lit("an id has no value")).cast("long")))
-
     folder = common.scratch(spark, "values")
     rows = ids.join(decided, F.col("id").eqNullSafe(F.col("_id"))).select("place", "id", F.col("_decided").alias("value"))
     most = ids.groupBy("place").count().agg(F.max("count")).first()[0] or 0
@@ -49,7 +55,7 @@ def with_value(docs: DataFrame, values: DataFrame, id_col: str = "doc_id", name:
             null = b.column(1).is_null().to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                store, path = open_folder(f"{folder}/{place[s]}")
+                store, path = common.open_folder(f"{folder}/{place[s]}")
                 with store.open_output_stream(f"{path}/{uuid.uuid4().hex}.values", compression=None) as f:
                     f.write(np.stack([null[s:e].astype(np.int64), ids[s:e], found[s:e]]).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([len(place)], pa.int64())], ["n"])
@@ -61,7 +67,7 @@ def with_value(docs: DataFrame, values: DataFrame, id_col: str = "doc_id", name:
         """(sorted ids, their values, the null id's value) of an input file."""
         from pyarrow import fs
 
-        store, path = open_folder(f"{folder}/{place}")
+        store, path = common.open_folder(f"{folder}/{place}")
         parts = [np.zeros((3, 0), np.int64)]
         for info in store.get_file_info(fs.FileSelector(path)):
             with store.open_input_stream(info.path, compression=None) as f:
@@ -91,5 +97,5 @@ def with_value(docs: DataFrame, values: DataFrame, id_col: str = "doc_id", name:
                 out[theirs] = of_null or 0
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(out)], schema=pa.schema([*list(b.schema)[:width], pa.field(name, pa.int64())]))
 
-    marked = docs.select("*", F.xxhash64(F.input_file_name()).alias(where[0]), F.col(id_col).cast("long").alias(where[1]))
+    marked = docs.select("*", input_place().alias(where[0]), F.col(id_col).cast("long").alias(where[1]))
     return marked.mapInArrow(run, docs.withColumn(name, F.lit(0).cast("long")).schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm import common
+from strandloom.llm import common, places
 
 LEVEL = 4
 FILE_BYTES = 1 << 30
@@ -89,15 +89,6 @@ def parse(data: bytes) -> dict:
     return out | {"payload": payload, "size": len(payload), "digest": found}
 
 
-def open_folder(uri: str):
-    """(file system, path) of a folder that all executors share."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(uri)
-    store.create_dir(path, recursive=True)
-    return store, path
-
-
 def url_key(url: Column) -> Column:
     """Reversed host, then path and query: com,example,www)/path?query."""
     rest = F.regexp_replace(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
@@ -111,26 +102,75 @@ def _rows(batches: Iterator[pa.RecordBatch]):
         yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
 
 
+def _payloads(rows: DataFrame, least: int) -> DataFrame:
+    """(place, sha, keep, n): the different payloads of at least ``least`` bytes of each input file, the largest id of each, and how many rows have it."""
+    sha = F.unhex(F.sha1(F.col("html").cast("binary")))
+    some = rows.select(places.input_place().alias("place"), "id", sha.alias("sha"), F.octet_length("html").alias("size")).where(F.col("size") >= least)
+    return some.groupBy("place", "sha").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("n"))
+
+
+def _save_repeats(payloads: DataFrame, folder: str) -> None:
+    """For each input file those of its payloads that rows of any file share, with the largest id of all: a payload counts once a file here, however many rows have it, so none is a
+    hot key, and only digests move."""
+    again = payloads.groupBy("sha").agg(F.max("keep").alias("last"), F.sum("n").alias("rows")).where("rows > 1 AND last IS NOT NULL").select("sha", "last")
+    shared = payloads.select("place", "sha").join(again, "sha").select("place", "sha", "last")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for b in batches:
+            found: dict[int, list] = {}
+            for place, sha, last in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                found.setdefault(place, []).append(sha + struct.pack("<q", last))
+            for place, entries in found.items():
+                store, path = common.open_folder(f"{folder}/{place}")
+                with store.open_output_stream(f"{path}/{uuid.uuid4().hex}.repeats", compression=None) as f:
+                    f.write(b"".join(entries))
+            n += b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    common.written(shared.repartition("place").sortWithinPartitions("place").mapInArrow(save, "n long"), "warc-repeat-files")
+
+
+def _repeats_of(folder: str, place: int) -> dict[bytes, int]:
+    from pyarrow import fs
+
+    out: dict[bytes, int] = {}
+    store, path = common.open_folder(f"{folder}/{place}")
+    for info in store.get_file_info(fs.FileSelector(path)):
+        with store.open_input_stream(info.path, compression=None) as f:
+            out.update(struct.iter_unpack("<20sq", f.read()))
+    return out
+
+
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0) -> DataFrame:
-    """Writes all pages; gives (key, id, file, offset, length) of each record. Payloads below ``least`` bytes are always responses."""
+    """Writes all pages; gives (key, id, file, offset, length) of each record. Payloads below ``least`` bytes are always responses. Which payloads repeat is
+    found from their digests and told to the tasks that read the pages, by input file; payloads themselves are never shuffled."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), common.text_or_empty(html_col).alias("html"))
-    rows = rows.withColumn("sha", F.unhex(F.sha1(F.col("html").cast("binary")))).withColumn("shared", F.octet_length("html") >= least)
-    again = rows.where("shared").groupBy("sha").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = common.written(again.select("sha", "keep", F.lit(True).alias("shared")), "warc-repeats")
-    refers = F.when(~F.col("keep").eqNullSafe(F.col("id")), F.col("keep"))
-    todo = rows.join(again, ["sha", "shared"], "left").select(url_key(F.col("url")).alias("key"), "id", "url", "html", refers.alias("refers_to"))
+    placed = lambda rows: common.written(_payloads(rows, least), "warc-payloads")
+    payloads = placed(rows)
+    source = places.from_files(rows, payloads, "warc-pages")
+    if source is not rows:
+        rows, payloads = source, placed(source)
+    repeats = common.scratch(pages.sparkSession, "warc-repeats")
+    _save_repeats(payloads, repeats)
+    todo = rows.select(url_key(F.col("url")).alias("key"), "id", "url", "html", places.input_place().alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = open_folder(folder)
+        store, path = common.open_folder(folder)
         out, name, at, found = None, "", 0, []
-        for key, page_id, url, html, refers_to in _rows(common.slices(batches)):
+        place, keep = None, {}
+        for key, page_id, url, html, where in _rows(common.slices(batches)):
+            if where != place:
+                place, keep = where, _repeats_of(repeats, where)
             if out is None or at >= FILE_BYTES:
                 if out:
                     out.close()
                 name, at = f"pages-{uuid.uuid4().hex}.warc.gz", 0
                 out = store.open_output_stream(f"{path}/{name}", compression=None)
+            payload = html.encode()
+            last = keep.get(hashlib.sha1(payload).digest()) if keep else None
             squeeze = zlib.compressobj(LEVEL, wbits=31)
-            data = squeeze.compress(record(page_id, url, html.encode(), refers_to)) + squeeze.flush()
+            data = squeeze.compress(record(page_id, url, payload, None if last == page_id else last)) + squeeze.flush()
             out.write(data)
             found.append((key, NO_ID if page_id is None else page_id, name, at, len(data)))
             at += len(data)
@@ -174,7 +214,7 @@ def build_index(captures: DataFrame, folder: str, partitions: int | None = None)
     ranges = captures.repartitionByRange(n, "key", "id").sortWithinPartitions("key", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = open_folder(folder)
+        store, path = common.open_folder(folder)
         entries: list[tuple] = []
         made: list[tuple] = []
 
@@ -218,7 +258,7 @@ class Reader:
     """Searches the index and reads records by ranges of bytes."""
 
     def __init__(self, folder: str, shards: list[tuple[str, int, str]]):
-        self.store, self.path = open_folder(folder)
+        self.store, self.path = common.open_folder(folder)
         self.shards = shards
         self.firsts = [s[:2] for s in shards]
         self.files = Lru(lambda name: self.store.open_input_file(f"{self.path}/{name}"), 32)
