@@ -16,19 +16,26 @@ from strandloom.llm import common
 HEAVY = 4096
 
 
-def frequent(rows: DataFrame, key: str, total: int, least: int = 8) -> DataFrame:
-    """(key, n) of the values of key in more than max(least, total / HEAVY) of total rows: at most HEAVY of them."""
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(least, -(-total // HEAVY)))
+def frequent(rows: DataFrame, key: str, least: int = 128) -> tuple[DataFrame | None, int]:
+    """((key, parts), total): the values of key in more than max(least, total / HEAVY) of the rows, at most HEAVY of them, and into how many parts of at most so many rows to split each; None
+    if there is none. rows are counted, so they should be a written table."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total, most = (x or 0 for x in counts.agg(F.sum("n"), F.max("n")).first())
+    bound = max(least, -(-total // HEAVY))
+    if most <= bound:
+        return None, total
+    return F.broadcast(counts.where(F.col("n") > bound).select(key, F.ceil(F.col("n") / bound).cast("long").alias("_parts"))), total
 
 
-def matched(many: DataFrame, one: DataFrame, key: str, other: str, total: int, least: int = 128) -> DataFrame:
-    """Inner join of many rows a key (total of them) with one row a key, where a frequent key is split by a hash of the column ``other`` and
-    the one row goes to each of its parts; those parts are at most 2 * HEAVY more rows."""
-    bound = max(least, -(-total // HEAVY))
-    parts = F.broadcast(frequent(many, key, total, least).select(key, F.ceil(F.col("n") / bound).cast("long").alias("_parts")))
-    dealt = many.join(parts, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(other), "_parts")).cast("long")).drop("_parts")
-    copies = one.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-    return dealt.join(copies, [key, "_part"]).drop("_part")
+def matched(many: DataFrame, one: DataFrame, key: str, other: str, parts: DataFrame | None) -> DataFrame:
+    """Inner join of many rows a key with one row a key. Frequent keys (from ``frequent``) are split by a hash of the column ``other``, and the one row goes to each of their
+    parts; those parts are at most 2 * HEAVY more rows."""
+    if parts is None:
+        return many.join(one, key)
+    light = many.join(parts, key, "left_anti").join(one, key)
+    dealt = many.join(parts, key).withColumn("_part", F.pmod(F.xxhash64(other), "_parts")).drop("_parts")
+    copies = one.join(parts, key).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+    return light.unionByName(dealt.join(copies, [key, "_part"]).drop("_part"))
 
 
 def _with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:

@@ -42,7 +42,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import common, graphs
-from strandloom.llm.warc import open_folder
 
 WORDS = 5
 SIMILAR = (80, 100)  # 100 * common >= 80 * union
@@ -54,6 +53,7 @@ FEW = 8
 MEETING_PARTITIONS = 3  # times the session's shuffle partitions, so that what meets in one fits beside others
 PARTS_PER_PARTITION = 4
 BUFFER_SHINGLES = 1_500_000
+MEET_ENTRIES = 2_000_000
 TILE = 512
 CHUNK = 128  # pairs of one document that are verified together
 
@@ -296,21 +296,23 @@ def _signatures(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Pairs that share a kept piece; other rows pass through. Rows come sorted by part, so the pieces of one part are held at once."""
+    """Pairs that share a kept piece; other rows pass through. Rows come sorted by part; parts are held until they have MEET_ENTRIES pieces, so no more than those and one part are at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("jaccard pieces")
-        now, keys, docs = None, [], []
+        now, keys, docs, held = None, [], [], 0
         for b in batches:
             is_keys = np.array(b.column(0).to_pylist(), object) == "keys"
             if not is_keys.all():
                 yield b.filter(pa.array(~is_keys))
             for i in np.flatnonzero(is_keys).tolist():
                 part = b.column(1)[i].as_py()
-                if part != now:
+                if part != now and held >= MEET_ENTRIES:
                     yield from pairs_of(keys, docs)
-                    now, keys, docs = part, [], []
+                    keys, docs, held = [], [], 0
+                now = part
                 keys.append(np.frombuffer(b.column(8)[i].as_py(), _U))
+                held += len(keys[-1])
                 docs.append(np.frombuffer(b.column(9)[i].as_py(), np.int64))
         yield from pairs_of(keys, docs)
 
@@ -361,8 +363,7 @@ def _near_sketches(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, in
     one = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     two = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     s, of = similar
-    total = pairs.count()
-    sized = graphs.matched(graphs.matched(pairs, one, "a", "b", total), two, "b", "a", total).where((F.col("n_a") * of >= F.col("n_b") * s) & (F.col("n_b") * of >= F.col("n_a") * s))
+    sized = graphs.matched(graphs.matched(pairs, one, "a", "b", graphs.frequent(pairs, "a")[0]), two, "b", "a", graphs.frequent(pairs, "b")[0]).where((F.col("n_a") * of >= F.col("n_b") * s) & (F.col("n_b") * of >= F.col("n_a") * s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -380,7 +381,7 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     folder = common.scratch(docs.sparkSession, "wanted")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = open_folder(folder)
+        store, path = common.open_folder(folder)
         for place, ids in _runs(batches, 1):
             with store.open_output_stream(f"{path}/{place[0]}-{uuid.uuid4().hex}.ids", compression=None) as f:
                 f.write(np.array(ids[1], np.int64).tobytes())
@@ -390,7 +391,7 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         from pyarrow import fs
 
         common.claim("jaccard")
-        store, path = open_folder(folder)
+        store, path = common.open_folder(folder)
         mine = f"{TaskContext.get().partitionId()}-"
         ids: set[int] = set()
         for info in store.get_file_info(fs.FileSelector(path)):
@@ -434,13 +435,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame
     pairs = common.written(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = _sets(common.written(ids.join(places, "id"), "wanted"), docs)
-    total = pairs.count()
-    bound = max(CHUNK, -(-total // graphs.HEAVY))
-    chunks = F.broadcast(graphs.frequent(pairs, "a", total, CHUNK).select("a", F.ceil(F.col("n") / bound).cast("long").alias("chunks")))
-    asked = pairs.join(chunks, "a", "left").withColumn("chunk", F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), "chunks")).cast("long"))
-    others = graphs.matched(asked.select("a", "chunk", "b"), sets.withColumnRenamed("id", "b"), "b", "a", total).select("a", "chunk", "b", "hashes")
-    own = sets.withColumnRenamed("id", "a").join(pairs.select("a").distinct(), "a", "left_semi").join(chunks, "a", "left")
-    own = own.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1)).alias("chunk"), "hashes")
+    parts, _ = graphs.frequent(pairs, "a", CHUNK)
+    asked, own = pairs.withColumn("chunk", F.lit(0).cast("long")), sets.withColumnRenamed("id", "a").join(pairs.select("a").distinct(), "a", "left_semi").withColumn("chunk", F.lit(0).cast("long"))
+    if parts is not None:
+        light, heavy = asked.join(parts, "a", "left_anti"), pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "_parts").alias("chunk"))
+        asked = light.unionByName(heavy)
+        more = own.join(parts, "a").where("_parts > 1").select("a", "hashes", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1)).alias("chunk"))
+        own = own.unionByName(more)
+    own = own.select("a", "chunk", "hashes")
+    others = graphs.matched(asked, sets.withColumnRenamed("id", "b"), "b", "a", graphs.frequent(pairs, "b")[0]).select("a", "chunk", "b", "hashes")
     rows = own.select("a", "chunk", F.lit(None).cast("long").alias("b"), "hashes").unionByName(others)
     rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
@@ -472,9 +475,8 @@ def _unpaired(members: DataFrame, balls: DataFrame, labels: DataFrame, sketches:
     everyone = members.unionByName(around).distinct()
     known = everyone.join(labels, everyone["id"] == labels["of"], "left").select("low", "id", F.coalesce("component", "id").alias("component"))
     known = common.written(known, "known")
-    total = known.count()
     open_ = known.groupBy("low").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles")).where("least != most")
-    rows = graphs.matched(known, open_.select("low", "tiles"), "low", "id", total).join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
+    rows = graphs.matched(known, open_.select("low", "tiles"), "low", "id", graphs.frequent(known, "low")[0]).join(sketches, "id").withColumn("mine", F.pmod(F.xxhash64("id"), "tiles"))
     rows = rows.withColumn("yours", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     tile = rows.select("low", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"), "mine", "id", "component", "n", "sketch")
     s, of = SIMILAR
