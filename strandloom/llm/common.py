@@ -53,6 +53,12 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return name
 
 
+def remove(spark: SparkSession, name: str) -> None:
+    """Removes a folder of the shared folder before the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def open_folder(uri: str):
     """(file system, path) of a folder that all executors share."""
     from pyarrow import fs

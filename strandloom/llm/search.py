@@ -3,7 +3,7 @@
 *Index.* Each task makes parts of at most PART_POSTINGS postings of the rows that it reads. Terms' document frequencies are summed over all parts and handed back,
 and parts are joined to shards of about SHARD_POSTINGS. A shard numbers its documents by most frequent term and length, so that blocks of BLOCK numbers hold
 similar documents. A term's postings are cut by block; a cut has an entry with the block, where its postings start, and the largest of their impacts. An impact is a
-whole number, round(idf * tf part * SCALE), so sums are exact in any order. A posting takes five bytes: its place in the block and its impact.
+whole number, round(idf * tf part * SCALE), so sums are exact in any order. A posting takes five bytes in a file: its place in the block and its impact.
 
 *Queries.* A query is its whole text: a term counts as often as it stands there (or once, by choice). Equal texts of a block of queries are searched for once. A task takes a block
 of queries over GROUP shards and carries each query's k best, and so its threshold, from shard to shard. No name, query or frequency is broadcast.
@@ -79,6 +79,12 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, size) + np.arange(size.sum())
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """The numbers, none below 0, in as few bytes as the largest one needs."""
+    most = int(x.max(initial=0))
+    return x.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max))
+
+
 def part_of(ids: list[int], texts: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
     """The postings of some documents, by term: terms, how many documents have each, documents (numbers in ids) and counts; ids, lengths and most frequent terms of documents."""
     sizes = np.array([len(t) for t, _ in texts], np.int64)
@@ -88,7 +94,8 @@ def part_of(ids: list[int], texts: list[tuple[np.ndarray, np.ndarray]]) -> dict[
     terms, df = np.unique(term, return_counts=True)
     length = np.array([int(c.sum()) for _, c in texts], np.int64)
     top = np.array([t[np.argmax(c)] if len(t) else 0 for t, c in texts], np.uint64)
-    return {"terms": terms, "df": df.astype(np.int64), "docs": np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[by], "counts": count[by], "ids": np.array(ids, np.int64), "lengths": length, "tops": top}
+    docs = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[by]
+    return {"terms": terms, "df": df.astype(np.int64), "docs": narrow(docs), "counts": narrow(count[by]), "ids": np.array(ids, np.int64), "lengths": length, "tops": top}
 
 
 def shard_of(parts: list[dict[str, np.ndarray]], n_docs: int, mean_length: float) -> dict[str, np.ndarray]:
@@ -98,7 +105,7 @@ def shard_of(parts: list[dict[str, np.ndarray]], n_docs: int, mean_length: float
     number = np.empty(len(ids), np.int32)
     number[order] = np.arange(len(ids), dtype=np.int32)
     before = np.cumsum([0, *(len(p["ids"]) for p in parts)])
-    doc = number[np.concatenate([p["docs"] + b for p, b in zip(parts, before, strict=False)])]
+    doc = number[np.concatenate([p["docs"].astype(np.int64) + b for p, b in zip(parts, before, strict=False)])]
     term = np.concatenate([np.repeat(p["terms"], p["sizes"]) for p in parts])
     terms, which = np.unique(np.concatenate([p["terms"] for p in parts]), return_index=True)
     df = np.concatenate([p["df"] for p in parts])[which]
@@ -116,10 +123,9 @@ def shard_of(parts: list[dict[str, np.ndarray]], n_docs: int, mean_length: float
     new = np.concatenate([[True], block[1:] != block[:-1], [True]]) if len(doc) else np.zeros(1, bool)
     new[at[:-1]] = True
     starts = np.flatnonzero(new)
-    most = np.maximum.reduceat(impact, starts[:-1]) if len(doc) else impact
     largest = np.maximum.reduceat(impact, at[:-1]) if len(terms) else impact
     return {
-        "terms": terms, "entries": np.searchsorted(starts, at).astype(np.int32), "starts": starts.astype(np.int32), "blocks": block[starts[:-1]] if len(doc) else block, "most": most,
+        "terms": terms, "entries": np.searchsorted(starts, at).astype(np.int32), "cuts": np.diff(starts).astype(np.uint8), "blocks": narrow(block[starts[:-1]] if len(doc) else block),
         "largest": largest, "places": (doc % BLOCK).astype(np.uint8), "impacts": impact, "ids": ids[order],
     }
 
@@ -128,16 +134,18 @@ class Searcher:
     """A shard's index."""
 
     def __init__(self, index: dict[str, np.ndarray]):
-        self.terms, self.entries, self.starts, self.blocks, self.most = (index[k] for k in ("terms", "entries", "starts", "blocks", "most"))
-        self.largest, self.places, self.impacts, self.ids = (index[k] for k in ("largest", "places", "impacts", "ids"))
+        self.terms, self.entries, self.largest, self.impacts, self.ids = (index[k] for k in ("terms", "entries", "largest", "impacts", "ids"))
+        self.blocks = index["blocks"].astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(index["cuts"], dtype=np.int64)])
+        self.most = np.maximum.reduceat(self.impacts, self.starts[:-1]) if len(self.blocks) else self.impacts
+        self.docs = index["places"] + np.repeat(self.blocks * BLOCK, index["cuts"])
         self.n_blocks = -(-len(self.ids) // BLOCK)
 
     def _sums(self, entry: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What the postings of these entries add to each document."""
         start, end = self.starts[entry], self.starts[entry + 1]
         posting, size = ranges(start, end), end - start
-        doc = np.repeat(self.blocks[entry].astype(np.int64) * BLOCK, size) + self.places[posting]
-        return np.bincount(doc, weights=self.impacts[posting] * np.repeat(weight, size), minlength=self.n_blocks * BLOCK)
+        return np.bincount(self.docs[posting], weights=self.impacts[posting] * np.repeat(weight, size), minlength=self.n_blocks * BLOCK)
 
     def top(self, terms: np.ndarray, counts: np.ndarray, k: int, best: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best of these documents and of ``best``, best first, ties by id. counts: how often each term counts."""
@@ -243,7 +251,7 @@ def write_parts(docs: DataFrame, folder: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             part = part_of(ids, texts)
             name = f"part-{uuid.uuid4().hex}"
-            _saved(folder, name, part)
+            _saved(f"{folder}/parts", name, part)
             terms, df = part["terms"], part["df"]
             rows = max(1, -(-len(df) // 50_000))
             facts = (len(ids), int(part["lengths"].sum()), len(part["docs"]))
@@ -281,8 +289,8 @@ def write_shards(parts: DataFrame, folder: str, n_docs: int, mean_length: float)
 
         for b in batches:
             for part, df in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                arrays = _loaded(folder, part)
-                held.append(arrays | {"sizes": arrays["df"], "df": _loaded(folder, df)["df"]})
+                arrays = _loaded(f"{folder}/parts", part)
+                held.append(arrays | {"sizes": arrays["df"], "df": _loaded(f"{folder}/parts", df)["df"]})
                 if sum(len(p["docs"]) for p in held) >= SHARD_POSTINGS:
                     yield flush()
         if held:
@@ -325,7 +333,7 @@ def spread_frequencies(shards: DataFrame, folder: str, partitions: int) -> DataF
         for shard, parts in got.items():
             t, d = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
             name = f"df-{uuid.uuid4().hex}"
-            _saved(folder, name, {"df": d[np.argsort(t)]})
+            _saved(f"{folder}/parts", name, {"df": d[np.argsort(t)]})
             yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([name])], ["shard", "df"])
 
     sent = shards.select("shard", "terms", "dfs").mapInArrow(cut, "part int, shard string, terms binary, dfs binary").repartition(partitions, "part")
@@ -382,6 +390,7 @@ def search(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col
     named = spread_frequencies(parts, folder, partitions)
     n_shards = max(1, -(-postings // SHARD_POSTINGS))
     shards = write_shards(named.repartition(n_shards, "shard"), folder, n_docs, max(words, 1) / max(1, n_docs))
+    common.remove(spark, f"{folder}/parts")  # shards are written, and nothing reads their parts again
     groups = max(1, -(-shards.count() // GROUP))
     grouped = shards.groupBy(F.pmod(F.xxhash64("name"), F.lit(groups)).alias("group")).agg(F.sort_array(F.collect_list("name")).alias("names"))
     blocks = write_queries(plain(queries), folder, repeats).withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
