@@ -1,6 +1,7 @@
 """Licence scans: normalised segments of a text against licence templates by the Dice coefficient of word bigrams.
 
-Segments are the lines of a text and its paragraphs of several lines (parted by blank lines).
+Segments are a whole text, its lines, its paragraphs of several lines (parted by blank lines), and, with line breaks as spaces, its runs of one to RUN
+sentences, so that a notice is found wherever its lines are wrapped and whatever stands before and behind it. Segments that are normalised alike count once.
 Normalised means lower case with everything but letters and digits as one space. Bigrams are counted
 with repeats: dice = 2 * common / (a + b), where a and b are the numbers of bigrams. So a segment
 can only reach THRESHOLD with a template if its own size lies within [b * t / (2 - t), b * (2 - t) / t]:
@@ -23,21 +24,33 @@ from pyspark.sql import functions as F
 from strandloom.llm import common
 
 THRESHOLD = 0.8
+RUN = 3  # sentences; no template of a notice has more
 SHORT, LONG = 3, 7  # letters
 
-#: Notices and paragraphs of public licences.
+#: Paragraphs that whole licences are made of.
+MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+MIT_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+ISC_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+
+#: Notices, paragraphs and whole texts of public licences.
 TEMPLATES = (
+    ("MIT", f"{MIT_GRANT} {MIT_NOTICE} {MIT_WARRANTY}"),
+    ("ISC", f"{ISC_GRANT} {ISC_WARRANTY}"),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", MIT_WARRANTY),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
-    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT", MIT_GRANT),
+    ("MIT", MIT_NOTICE),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD-2-Clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", ISC_GRANT),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
@@ -134,21 +147,34 @@ def holds_any(low: Column, words: list[str]) -> Column:
     return found
 
 
+def _segments(low: Column) -> Column:
+    paragraphs = F.filter(F.split(low, _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
+    sentences = F.split(F.regexp_replace(F.regexp_replace(low, r"[ \t\r\n]+", " "), "([.!?]) ", "$1\n"), "\n")
+    pieces = F.concat(F.array(low), F.split(low, "\n"), paragraphs, sentences)
+
+    def runs(n: int) -> Column:
+        return F.transform(sentences, lambda x, i: F.when(i <= F.size(sentences) - n, F.array_join(F.slice(sentences, i + 1, F.lit(n)), " ")))
+
+    for n in range(2, RUN + 1):
+        pieces = F.concat(pieces, F.filter(runs(n), lambda x: x.isNotNull()))
+    return F.array_distinct(pieces)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(id, license, dice, n_segments) of every licence found."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
     gate = gate_words(templates, threshold)
     low = pinned(texts, F.lower("text"), "low").where(holds_any(F.col("low"), gate)).select("id", "low")
-    paragraphs = F.filter(F.split("low", _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
-    segments = low.select("id", F.explode(F.concat(F.split("low", "\n"), paragraphs)).alias("segment")).where(holds_any(F.col("segment"), gate))
+    segments = low.select("id", F.explode(_segments(F.col("low"))).alias("segment")).where(holds_any(F.col("segment"), gate))
     sized = segments.withColumn("size", F.regexp_count("segment", F.lit(_WORDS)) - 1).where("size > 0")
     sizes = F.broadcast(template_sizes(spark, templates, threshold))
     grams = pinned(sized.join(sizes.select("size").distinct(), "size", "left_semi"), _words(F.col("segment")), "words")
-    grams = pinned(grams.select("id", "size", "segment", "words"), _bigrams(F.col("words")), "grams").select("id", "size", "segment", "grams")
+    grams = grams.select("id", "size", "words", F.xxhash64("words").alias("segment"))
+    grams = pinned(grams, _bigrams(F.col("words")), "grams").select("id", "size", "segment", "grams")
     dice = 2 * common_bigrams(F.col("grams"), F.col("template"), F.col("repeats")) / (F.col("size") + F.col("b"))
     met = pinned(grams.join(sizes, "size"), dice, "dice").where(F.col("dice") >= threshold)
-    best = met.groupBy("id", "license").agg(F.round(F.max("dice"), 6).alias("dice"), F.count_distinct(F.xxhash64("segment")).alias("n_segments"))
+    best = met.groupBy("id", "license").agg(F.round(F.max("dice"), 6).alias("dice"), F.count_distinct("segment").alias("n_segments"))
     return best.withColumnRenamed("id", id_col)
 
 
@@ -164,12 +190,13 @@ def _sql() -> str:
     return f"""
 WITH t AS (SELECT t, license, string_split(words, ' ') AS w FROM (VALUES {rows}) AS v(t, license, words)),
 tg AS ({numbered("t", "t")}),
-parts AS (SELECT doc_id, unnest(list_concat(string_split(text, chr(10)), list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda p: contains(trim(p, chr(10)), chr(10))))) AS segment FROM documents WHERE text IS NOT NULL),
-seg AS (SELECT doc_id, segment, row_number() OVER () AS s, regexp_extract_all(lower(segment), '[\\p{{L}}\\p{{N}}]+') AS w FROM parts),
+sent AS (SELECT doc_id, text, string_split(regexp_replace(regexp_replace(text, '[ \\t\\r\\n]+', ' ', 'g'), '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS st FROM documents WHERE text IS NOT NULL),
+parts AS (SELECT doc_id, unnest(list_concat([text], string_split(text, chr(10)), list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda p: contains(trim(p, chr(10)), chr(10))), st, {", ".join(f"list_transform(range(1, len(st) - {n} + 2), lambda i: array_to_string(st[i:i + {n - 1}], ' '))" for n in range(2, RUN + 1))})) AS segment FROM sent),
+seg AS (SELECT doc_id, w, row_number() OVER () AS s FROM (SELECT DISTINCT doc_id, regexp_extract_all(lower(segment), '[\\p{{L}}\\p{{N}}]+') AS w FROM parts) d),
 sg AS ({numbered("seg", "s")}),
 hit AS (SELECT s, t, count(*) AS common FROM sg JOIN tg USING (pair, nth) GROUP BY s, t),
-met AS (SELECT doc_id, license, segment, 2 * common / (len(seg.w) + len(t.w) - 2) AS dice FROM hit JOIN seg USING (s) JOIN t USING (t))
-SELECT doc_id, license, round(max(dice), 6) AS dice, count(DISTINCT lower(segment)) AS n_segments FROM met WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
+met AS (SELECT doc_id, license, s, 2 * common / (len(seg.w) + len(t.w) - 2) AS dice FROM hit JOIN seg USING (s) JOIN t USING (t))
+SELECT doc_id, license, round(max(dice), 6) AS dice, count(DISTINCT s) AS n_segments FROM met WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
 """
 
 

@@ -245,7 +245,9 @@ def brute_licences(text):
         return Counter(zip(w, w[1:], strict=False))
 
     out = {}
-    segments = text.split("\n") + [p for p in re.split(r"\n[ \t\r]*\n", text) if "\n" in p.strip("\n")]
+    sentences = re.sub(r"([.!?]) ", "\\1\n", re.sub(r"[ \t\r\n]+", " ", text)).split("\n")
+    segments = [text] + text.split("\n") + [p for p in re.split(r"\n[ \t\r]*\n", text) if "\n" in p.strip("\n")]
+    segments += [" ".join(sentences[i : i + n]) for n in range(1, 4) for i in range(len(sentences) - n + 1)]
     for s in segments:
         a = grams(s)
         for name, t in licenses.TEMPLATES:
@@ -264,11 +266,14 @@ def test_licences_equal_brute_force(spark):
             words[r.randrange(len(words))] = r.choice(["foo", "the", "license", "of"])
         body = " ".join(words) if r.random() < 0.6 else "\n".join([" ".join(words[: len(words) // 2]), " ".join(words[len(words) // 2 :])])
         texts.append(r.choice(["", "some prose\n", "some prose\n\n"]) + (body.upper() if r.random() < 0.2 else body) + r.choice(["", "\n", "\n\nmore"]))
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 900)
+    texts += ["Copyright 2020 Foo Bar. Licensed under the Apache License, Version 2.0. All rights of others stay.", "Some prose.\nThis project is licensed\nunder the MIT License. More prose\nhere.", f"Copyright (c) 2020 Foo\n\n{mit}", mit.replace(". ", ".\n\n").replace(", ", ",\n")]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, size string")
     got = {}
     for x in licenses.scan(df).collect():
         got.setdefault(x.doc_id, {})[x.license] = x.dice
     assert got == {i: b for i, t in enumerate(texts) if t and (b := brute_licences(t))}
+    assert all(set(got[len(texts) - k]) == {name} for k, name in ((1, "MIT"), (2, "MIT"), (3, "MIT"), (4, "Apache-2.0")))
 
 
 def test_toxicity(spark):
