@@ -1,7 +1,10 @@
-"""Sequence functions as columns: everything here stays inside code generation or array functions."""
+"""Sequence functions as columns: code generation or array functions, but for translation, which works on whole Arrow batches."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,14 +104,46 @@ def codon_table(code: str = "universal") -> dict[str, str]:
     return table | CODE_VARIANTS[code]
 
 
+def _amino_table(code: str) -> np.ndarray:
+    """The amino acid of 25 a + 5 b + c for letters a, b, c in the order T, C, A, G, other."""
+    table = codon_table(code)
+    letters = CODE_ORDER + "?"
+    return np.frombuffer("".join(table.get(a + b + c, "X") for a in letters for b in letters for c in letters).encode(), np.uint8)
+
+
+def translated(texts: pa.Array, frame: int, table: np.ndarray) -> pa.Array:
+    """Amino acids of a batch of sequences. Letters of all sequences are looked up at once; on the other strand they are taken from each sequence's end."""
+    texts = pc.utf8_upper(texts.fill_null(""))
+    if pc.any(pc.not_equal(pc.binary_length(texts), pc.utf8_length(texts))).as_py():  # one byte a letter from here on
+        texts = pc.replace_substring_regex(texts, r"[^\x00-\x7F]", "N")
+    n = len(texts)
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8) if n else np.zeros(0, np.uint8)
+    letter = np.full(256, 4, np.int64)
+    letter[list(CODE_ORDER.encode())] = range(4)
+    codons = np.maximum(np.diff(ends) - (frame - 1) % 3, 0) // 3
+    after = np.concatenate([[0], np.cumsum(codons)])
+    place = (np.arange(after[-1]) - np.repeat(after[:-1], codons)) * 3 + (frame - 1) % 3
+    if frame <= 3:
+        at, step = np.repeat(ends[:-1], codons) + place, 1
+    else:
+        at, step = np.repeat(ends[1:], codons) - 1 - place, -1
+        letter[list(CODE_ORDER.encode())] = [2, 3, 0, 1]  # complements
+    if len(at):
+        acids = table[letter[data[at]] * 25 + letter[data[at + step]] * 5 + letter[data[at + 2 * step]]]
+    else:
+        acids = np.zeros(0, np.uint8)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(after.astype(np.int32).tobytes()), pa.py_buffer(acids.tobytes()))
+
+
 def translate_frame(seq: Column, frame: int = 1, code: str = "universal") -> Column:
-    """Amino acids of frame 1 to 3, or 4 to 6 on the other strand. Unknown codons are X, a partial codon is dropped."""
-    s = F.upper(seq if frame <= 3 else revcomp(seq))
-    start = (frame - 1) % 3 + 1
-    n = F.floor((F.length(s) - (start - 1)) / 3).cast("int")
-    table = F.create_map(*[F.lit(x) for pair in codon_table(code).items() for x in pair])
-    codons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(s, i * 3 + start, F.lit(3)))
-    return F.when(n >= 1, F.array_join(F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")).otherwise("")
+    """Amino acids of frame 1 to 3, or 4 to 6 on the other strand. Unknown codons are X, a partial codon is dropped; a null is empty."""
+    table = _amino_table(code)
+
+    def run(texts: pa.Array) -> pa.Array:
+        return translated(texts, frame, table)
+
+    return F.arrow_udf(run, "string")(seq.cast("string"))
 
 
 def stops(protein: Column) -> Column:
@@ -197,11 +232,17 @@ def percent_identity(matches: Column, mismatched: Column) -> Column:
 SQL_DEFINITIONS = {
     "revcomp": f"(s STRING) RETURNS STRING RETURN reverse(translate(s, '{IUPAC}', '{IUPAC_COMPLEMENT}'))",
     "canonical_kmer": f"(s STRING) RETURNS STRING RETURN least(s, reverse(translate(s, '{IUPAC}', '{IUPAC_COMPLEMENT}')))",
+    "shannon_entropy": "(s STRING) RETURNS DOUBLE RETURN CASE WHEN length(s) > 0 THEN " + " + ".join(f"CASE WHEN length(s) > length(replace(s, '{b}', '')) THEN -((length(s) - length(replace(s, '{b}', ''))) / length(s)) * log2((length(s) - length(replace(s, '{b}', ''))) / length(s)) ELSE 0.0D END" for b in PACKED) + " ELSE 0.0D END",
+    "cigar_span": "(p INT, c STRING) RETURNS STRUCT<lend: INT, rend: INT> RETURN named_struct('lend', p, 'rend', p - 1 + aggregate(regexp_extract_all(c, '(\\\\d+)[MDN=X]', 1), 0, (a, n) -> a + int(n)))",
     "core_read_name": "(s STRING) RETURNS STRING RETURN regexp_replace(s, '[/:][12]$', '')",
     "only_bases": "(s STRING) RETURNS BOOLEAN RETURN s RLIKE '^[ACGTacgt]+$'",
 }
 
 
+_CODONS = ", ".join(f"'{c}', '{a}'" for c, a in codon_table().items())
+SQL_DEFINITIONS["translate_dna"] = f"(s STRING) RETURNS STRING RETURN CASE WHEN length(s) >= 3 THEN array_join(transform(regexp_extract_all(upper(s), '...', 0), c -> coalesce(map({_CODONS})[c], 'X')), '') ELSE '' END"
+
+
 def register(spark) -> list[str]:
     """Registers the functions for use in SQL text; gives their names."""
     for name, body in SQL_DEFINITIONS.items():

@@ -25,14 +25,14 @@ def align(a: str, b: str, match: int = 4, mismatch: int = -5, gap_open: int = 10
     else:
         best[1, 1:, 0] = -gap_open - gap_extend * np.arange(n)
         best[2, 0, 1:] = -gap_open - gap_extend * np.arange(m)
+    along = gap_extend * np.arange(m + 1)
     for i in range(1, n + 1):
         diagonal = best[:, i - 1, :-1].max(0) + np.where(y == x[i - 1], match, mismatch)
         best[0, i, 1:] = np.maximum(diagonal, 0) if local else diagonal
         best[1, i, 1:] = np.maximum(best[0, i - 1, 1:] - gap_open, np.maximum(best[1, i - 1, 1:] - gap_extend, best[2, i - 1, 1:] - gap_open))
-        row, prev = best[:, i], NEG
-        for j in range(1, m + 1):
-            prev = max(row[0, j - 1] - gap_open, prev - gap_extend, row[1, j - 1] - gap_open)
-            row[2, j] = prev
+        if m:  # a gap in a that ends here began behind the best earlier cell, its length counted off
+            reach = np.maximum.accumulate(np.maximum(best[0, i, :-1], best[1, i, :-1]) + along[:-1])
+            best[2, i, 1:] = np.maximum(reach - gap_open - along[:-1], NEG)
     if local:
         i, j = np.unravel_index(np.argmax(best[0]), best[0].shape)
         s = 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
+from strandloom.operators import packed
 from strandloom.operators.lineage import cut
 
 
@@ -30,8 +31,8 @@ def weld_support(candidates: DataFrame, reads: DataFrame) -> DataFrame:
     """(weldmer, cnt): how often each candidate stands in reads; reads' windows are reduced to candidates before they are counted."""
     wanted = candidates.select("weldmer").distinct()
     size = wanted.select(F.length("weldmer").alias("n")).agg(F.max("n")).first()[0] or 1
-    seen = K.explode_kmers(reads, size).select(F.col("kmer").alias("weldmer"))
-    return seen.join(wanted, "weldmer", "left_semi").groupBy("weldmer").agg(F.count(F.lit(1)).alias("cnt"))
+    seen = K.count_in(reads, size).select(F.col("kmer").alias("weldmer"), "cnt")
+    return seen.join(wanted, "weldmer", "left_semi")
 
 
 def weld_decision(candidates: DataFrame, support: DataFrame, coverage: DataFrame, glue: float = 0.05, least: int = 2, iso_ratio: float = 0.05) -> DataFrame:
@@ -55,19 +56,32 @@ def scaffold_decision(links: DataFrame, coverage: DataFrame, glue: float = 0.05,
     return rows.where(F.col("links") >= F.greatest(F.floor(F.greatest("cov_a", "cov_b") * glue), F.lit(least))).select("a", "b", "links")
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """(node, component): the smallest node that each is joined to (P05), by alternating large and small stars. Rounds end when
+HEAVY = 4096
+
+
+def _with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """(u, v) with m, the least neighbour of u, from least (u, m, n). Nodes of more than total / HEAVY edges, of which there are at most HEAVY, are met by a broadcast,
+    so the centre of a star that holds a third of all edges is no single task."""
+    bound = max(8, -(-total // HEAVY))
+    marked = rows.join(F.broadcast(least.where(F.col("n") > bound).select("u", F.col("m").alias("_heavy"))), "u", "left")
+    light = marked.where("_heavy IS NULL").select("u", "v").join(least.where(F.col("n") <= bound).select("u", "m"), "u")
+    return light.select("u", "v", "m").unionByName(marked.where("_heavy IS NOT NULL").select("u", "v", F.col("_heavy").alias("m")))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that each is joined to (P05), by alternating large and small stars. Rounds go on until
     no edge changes; each is checkpointed."""
     now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().transform(cut)
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     seen = state(now)
-    for _ in range(rounds):
+    minima = lambda e: e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().transform(cut)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = minima(both).select("u", F.least("u", "m").alias("m"), "n")
+        large = _with_least(both, least, 2 * seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().transform(cut)
+        low = minima(large)
+        small = _with_least(large, low, seen[0]).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().transform(cut)
         if (new := state(now)) == seen:
             break
@@ -117,11 +131,12 @@ def with_singletons(groups: DataFrame, contigs: DataFrame) -> DataFrame:
 def label_reads(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:
     """(read_id, component, hits, n_kmers) of the component with most k-mers in common with a read (J02, A04). A k-mer of several
     components goes to the largest, as one table with a label a k-mer would hold; ties of hits go to the smallest component."""
-    labels = K.explode_kmers(contigs, k, keep=("component",)).groupBy("kmer").agg(F.max("component").alias("component"))
-    rows = K.explode_kmers(reads, k, keep=("read_id",))
-    total = rows.groupBy("read_id").agg(F.count(F.lit(1)).alias("n_kmers"))
-    hits = rows.join(labels, "kmer").groupBy("read_id", "component").agg(F.count(F.lit(1)).alias("hits"))
+    labels = packed.windows(contigs, k, "component").groupBy("code", "word").agg(F.max("component").alias("component"))
+    rows = packed.windows(reads, k, "read_id").select("read_id", "code", "word")
+    total = reads.select("read_id", F.greatest(F.length("seq") - k + 1, F.lit(0)).cast("long").alias("n_kmers"))
+    hits = rows.join(labels, ["code", "word"]).groupBy("read_id", "component").agg(F.count(F.lit(1)).alias("hits"))
     best = F.row_number().over(Window.partitionBy("read_id").orderBy(F.desc("hits"), "component"))
+    total = total.groupBy("read_id").agg(F.sum("n_kmers").alias("n_kmers"))
     return hits.withColumn("_k", best).where("_k = 1").join(total, "read_id").select("read_id", "component", "hits", "n_kmers")
 
 
@@ -168,8 +183,24 @@ def internal_identity(seq: Column, least_overlap: int = 4) -> Column:
 
 
 def is_shadow(a: Column, b: Column, k: int) -> Column:
-    """Whether all differences of two flanks stand k + 1 apart, as from a sequencing artefact (F10). At least two differences are needed."""
+    """Whether the differences of two sequences laid side by side from the left mostly stand k + 1 apart, as from errors in k-mers (F10): more than 4 steps between neighbouring
+    differences are k + 1 long, at least 0.9 of those that the compared length has room for, and fewer than a fifth as many are not. The comparison
+    ends at the third difference in a row (places above 4). One pass over the letters carries the counts."""
     n = F.least(F.length(a), F.length(b))
-    places = F.filter(F.transform(F.sequence(F.lit(1), n), lambda i: F.when(F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)), i)), lambda i: i.isNotNull())
-    steps = F.zip_with(F.slice(places, 2, F.size(places) - 1), F.slice(places, 1, F.size(places) - 1), lambda y, x: y - x)
-    return F.when((n > 0) & (F.size(places) >= 2), F.forall(steps, lambda s: s == k + 1)).otherwise(False)
+    zero = F.lit(0)
+    start = F.struct(zero.alias("last"), zero.alias("row"), zero.alias("hit"), zero.alias("miss"), zero.alias("stop"))
+
+    def step(acc: Column, i: Column) -> Column:
+        differs = F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))
+        ends = differs & (acc["row"] >= 2) & (i > 4)
+        on = (acc["last"] > 0) & (i - acc["last"] == k + 1)
+        counted = F.struct(i.alias("last"), (acc["row"] + 1).alias("row"), (acc["hit"] + on.cast("int")).alias("hit"), (acc["miss"] + ((acc["last"] > 0) & ~on).cast("int")).alias("miss"), acc["stop"].alias("stop"))
+        stopped = F.struct(acc["last"].alias("last"), acc["row"].alias("row"), acc["hit"].alias("hit"), acc["miss"].alias("miss"), i.alias("stop"))
+        equal = F.struct(acc["last"].alias("last"), F.lit(0).alias("row"), acc["hit"].alias("hit"), acc["miss"].alias("miss"), acc["stop"].alias("stop"))
+        return F.when(acc["stop"] > 0, acc).when(ends, stopped).when(differs, counted).otherwise(equal)
+
+    def verdict(acc: Column) -> Column:
+        length = F.when(acc["stop"] > 0, acc["stop"]).otherwise(n)
+        return (acc["hit"] > 4) & (acc["hit"] >= F.floor(0.9 * (F.floor(length / (k + 1)) - 1))) & (acc["miss"] < F.floor(acc["hit"] / 5))
+
+    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), start, step, verdict)).otherwise(False)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
+from strandloom.operators import packed
 
 STOPS, STARTS = ("TAA", "TAG", "TGA"), ("ATG",)
 
@@ -58,19 +59,17 @@ def longest(df: DataFrame, n: int, key: str, seq: str = "seq") -> DataFrame:
     return df.orderBy(F.desc(F.length(seq)), key).limit(n)
 
 
-def framed_hexamers(df: DataFrame, k: int = 6, key: str = "id") -> DataFrame:
+def framed_hexamers(df: DataFrame, k: int = 6) -> DataFrame:
     """(kmer, frame, cnt)."""
-    rows = K.explode_kmers(df, k, keep=(key,), position=True)
-    return rows.groupBy("kmer", (F.col("pos") % 3).alias("frame")).agg(F.count(F.lit(1)).alias("cnt"))
+    return packed.count(df, k, frames=3)
 
 
-def log_likelihoods(coding: DataFrame, background: DataFrame, key: str) -> DataFrame:
+def log_likelihoods(coding: DataFrame, background: DataFrame) -> DataFrame:
     """(kmer, frame, score): log ratio of a hexamer's rate in each frame of coding sequences to that in the background, given its first five letters.
     Counts have 1 added; the background is both strands, hexamers and pentamers alike."""
-    both = background.select("seq").unionByName(background.select(S.revcomp(F.col("seq")).alias("seq")))
-    six, five = (K.count(K.explode_kmers(both, k)) for k in (6, 5))
+    six, five = (K.both_strands(K.count_in(background, k)) for k in (6, 5))
     base = six.select("kmer", F.expr("substring(kmer, 1, 5)").alias("p"), F.col("cnt").alias("b6")).join(five.select(F.col("kmer").alias("p"), F.col("cnt").alias("b5")), "p")
-    c6, c5 = framed_hexamers(coding, 6, key), framed_hexamers(coding, 5, key)
+    c6, c5 = framed_hexamers(coding, 6), framed_hexamers(coding, 5)
     rows = c6.select("kmer", "frame", F.col("cnt").alias("c6"), F.expr("substring(kmer, 1, 5)").alias("p")).join(c5.select(F.col("kmer").alias("p"), "frame", F.col("cnt").alias("c5")), ["p", "frame"]).join(base.select("kmer", "b6", "b5"), "kmer", "left")
     ratio = ((F.col("c6") + 1) / (F.col("c5") + 1)) / ((F.coalesce("b6", F.lit(0)) + 1) / (F.coalesce("b5", F.lit(0)) + 1))
     return rows.select("kmer", "frame", F.round(F.log(ratio), 8).alias("score"))

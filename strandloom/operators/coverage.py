@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from strandloom.operators.alignments import has
 
+STRETCH = 64_000  # places of a scaffold whose sums one task runs
+
 
 def depth(intervals: DataFrame) -> DataFrame:
     """(scaff, pos, cov) of every covered place."""
@@ -14,12 +16,17 @@ def depth(intervals: DataFrame) -> DataFrame:
 
 
 def depth_runs(intervals: DataFrame) -> DataFrame:
-    """(scaff, lend, rend, cov): the same as runs of equal depth, from sums of +1 and -1 at interval ends; cost follows the number of intervals, not their length."""
+    """(scaff, lend, rend, cov): the same as runs of equal depth, from sums of +1 and -1 at interval ends; cost follows the number of intervals, not their length. Sums run
+    within stretches of a scaffold; a row a stretch carries them on from one to the next."""
     ends = intervals.select("scaff", F.col("lend").alias("at"), F.lit(1).alias("d")).unionByName(intervals.select("scaff", (F.col("rend") + 1).alias("at"), F.lit(-1).alias("d")))
     steps = ends.groupBy("scaff", "at").agg(F.sum("d").alias("d")).where("d != 0")
-    order = Window.partitionBy("scaff").orderBy("at")
-    rows = steps.select("scaff", F.col("at").alias("lend"), (F.lead("at").over(order) - 1).alias("rend"), F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("cov"))
-    return rows.where("cov > 0")
+    steps = steps.withColumn("_bin", F.floor(F.col("at") / STRETCH))
+    along = Window.partitionBy("scaff").orderBy("_bin")
+    bins = steps.groupBy("scaff", "_bin").agg(F.sum("d").alias("_sum"), F.min("at").alias("_first"))
+    bins = bins.select("scaff", "_bin", (F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_sum")).alias("_before"), F.lead("_first").over(along).alias("_next"))
+    order = Window.partitionBy("scaff", "_bin").orderBy("at")
+    rows = steps.withColumn("_here", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_to", F.lead("at").over(order)).join(bins, ["scaff", "_bin"])
+    return rows.select("scaff", F.col("at").alias("lend"), (F.coalesce("_to", "_next") - 1).alias("rend"), (F.col("_here") + F.col("_before")).alias("cov")).where("cov > 0")
 
 
 def read_spans(aligns: DataFrame, most: int = 500) -> DataFrame:

@@ -19,8 +19,8 @@ def build(bundles: DataFrame, k: int, both_strands: bool = False) -> DataFrame:
     parts = bundles.select("component", F.explode(F.split("seq", "X")).alias("seq")).select("component", S.replace_other(F.col("seq")).alias("seq"))
     if both_strands:
         parts = parts.unionByName(parts.select("component", S.revcomp(F.col("seq")).alias("seq")))
-    wide = K.explode_kmers(parts, k + 1, keep=("component",))
-    return wide.groupBy("component", F.substring("kmer", 1, k).alias("src"), F.expr(f"substring(kmer, 2, {k})").alias("dst")).agg(F.count(F.lit(1)).alias("w"))
+    wide = K.count_in(parts, k + 1, by=("component",))
+    return wide.select("component", F.substring("kmer", 1, k).alias("src"), F.expr(f"substring(kmer, 2, {k})").alias("dst"), F.col("cnt").alias("w"))
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -42,10 +42,8 @@ def one_strand(edges: DataFrame) -> DataFrame:
 
 def edge_support(edges: DataFrame, reads: DataFrame, k: int, both_strands: bool = False) -> DataFrame:
     """Edges with how often reads hold them, w (J19, A06); of both strands together if asked."""
-    wide = K.explode_kmers(reads, k + 1).select("kmer")
-    if both_strands:
-        wide = wide.unionByName(wide.select(S.revcomp(F.col("kmer")).alias("kmer")))
-    seen = wide.groupBy("kmer").agg(F.count(F.lit(1)).alias("_w"))
+    seen = K.count_in(reads, k + 1)
+    seen = (K.both_strands(seen) if both_strands else seen).withColumnRenamed("cnt", "_w")
     rows = edges.withColumn("kmer", F.concat("src", F.expr("substring(dst, -1, 1)"))).drop("w")
     return rows.join(seen, "kmer", "left").select("component", "src", "dst", F.coalesce("_w", F.lit(0)).alias("w"))
 
@@ -57,27 +55,29 @@ def flows(edges: DataFrame) -> DataFrame:
     return ends.groupBy("component", "node").agg(F.sum("i").alias("inflow"), F.sum("o").alias("outflow"), F.sum("d").alias("indeg"), F.sum("e").alias("outdeg"))
 
 
-def prune_once(edges: DataFrame, edge_ratio: float = 0.05, flow_ratio: float = 0.02) -> DataFrame:
+def prune_once(edges: DataFrame, edge_ratio: float = 0.05, flow_ratio: float = 0.02, nodes: DataFrame | None = None) -> DataFrame:
     """Without edges that are weak beside the others of their ends (P08): at most edge_ratio of what enters dst or leaves src, where that is
-    more than one edge; or less than flow_ratio of what enters src or leaves dst."""
+    more than one edge; or less than flow_ratio of what enters src, of what leaves dst, or of the average weight of either. nodes (component, node, avg) has those averages;
+    without it, a node's is the mean of what enters and what leaves it, of one side alone at a root or leaf."""
     f = flows(edges)
-    s = f.select("component", F.col("node").alias("src"), F.col("inflow").alias("s_in"), F.col("outflow").alias("s_out"), F.col("outdeg").alias("s_n"))
-    d = f.select("component", F.col("node").alias("dst"), F.col("inflow").alias("d_in"), F.col("outflow").alias("d_out"), F.col("indeg").alias("d_n"))
+    mean = (F.col("inflow") + F.col("outflow")) / F.when((F.col("indeg") > 0) & (F.col("outdeg") > 0), 2).otherwise(1)
+    f = f.withColumn("avg", mean) if nodes is None else f.join(nodes.select("component", "node", "avg"), ["component", "node"], "left")
+    s = f.select("component", F.col("node").alias("src"), F.col("inflow").alias("s_in"), F.col("outflow").alias("s_out"), F.col("outdeg").alias("s_n"), F.col("avg").alias("s_avg"))
+    d = f.select("component", F.col("node").alias("dst"), F.col("inflow").alias("d_in"), F.col("outflow").alias("d_out"), F.col("indeg").alias("d_n"), F.col("avg").alias("d_avg"))
     rows = edges.join(s, ["component", "src"]).join(d, ["component", "dst"])
     w = F.col("w")
     weak = ((F.col("d_n") > 1) & (w <= edge_ratio * F.col("d_in"))) | ((F.col("s_n") > 1) & (w <= edge_ratio * F.col("s_out"))) | (w < flow_ratio * F.col("s_in")) | (w < flow_ratio * F.col("d_out"))
+    weak = weak | F.coalesce(w < flow_ratio * F.greatest("s_avg", "d_avg"), F.lit(False))
     return rows.where(~weak).select("component", "src", "dst", "w")
 
 
-def prune(edges: DataFrame, rounds: int = 50, **ratios) -> DataFrame:
+def prune(edges: DataFrame, **ratios) -> DataFrame:
     """prune_once until nothing goes."""
-    now, n = edges.transform(cut), None
-    for _ in range(rounds):
-        before = now.count() if n is None else n
-        now = prune_once(now, **ratios).transform(cut)
+    now = edges.transform(cut)
+    n, before = now.count(), -1
+    while n != before:
+        now, before = prune_once(now, **ratios).transform(cut), n
         n = now.count()
-        if n == before:
-            break
     return now
 
 
@@ -116,34 +116,34 @@ def with_ends(edges: DataFrame, source: str = "S", sink: str = "T") -> DataFrame
     return edges.unionByName(s).unionByName(t)
 
 
-def layers(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
-    """(component, node, layer): the longest way from a root, by peeling (P15). Nodes on or behind circles have none. A round is one join."""
+def layers(edges: DataFrame) -> DataFrame:
+    """(component, node, layer): the longest way from a root, by peeling (P15). Nodes on or behind circles have none. A round is one join; there are as many as layers."""
     left = edges.select("component", "src", "dst").distinct().transform(cut)
     nodes = left.select("component", F.col("src").alias("node")).union(left.select("component", "dst")).distinct().transform(cut)
-    out = None
-    for k in range(rounds):
+    out, k = None, 0
+    while True:
         now = nodes.join(left.select("component", F.col("dst").alias("node")), ["component", "node"], "left_anti").withColumn("layer", F.lit(k)).transform(cut)
         if now.isEmpty():
             break
         out = now if out is None else out.unionByName(now)
         nodes = nodes.join(now, ["component", "node"], "left_anti").transform(cut)
         left = left.join(now.select("component", F.col("node").alias("src")), ["component", "src"], "left_anti").transform(cut)
+        k += 1
     return nodes.withColumn("layer", F.lit(None).cast("int")).limit(0) if out is None else out
 
 
-def reachable(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def reachable(edges: DataFrame) -> DataFrame:
     """(component, a, b, dist): the fewest edges from a to b (P16), by doubling; pairs, so for one component's graph at a time."""
     now = edges.select("component", F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1).alias("dist")).distinct().transform(cut)
     seen = (-1, -1)
-    for _ in range(rounds):
+    while True:
         step = now.select("component", F.col("a").alias("m"), "b", F.col("dist").alias("d2"))
         more = now.select("component", "a", F.col("b").alias("m"), F.col("dist").alias("d1")).join(step, ["component", "m"]).where("a != b").select("component", "a", "b", (F.col("d1") + F.col("d2")).alias("dist"))
         now = now.unionByName(more).groupBy("component", "a", "b").agg(F.min("dist").alias("dist")).transform(cut)
         state = tuple(now.agg(F.count(F.lit(1)), F.sum("dist")).first())
         if state == seen:
-            break
+            return now
         seen = state
-    return now
 
 
 def triplets(read_paths: DataFrame) -> DataFrame:
@@ -177,11 +177,15 @@ def component_stats(edges: DataFrame, least_avg: float = 1.0) -> DataFrame:
 
 
 def read_jaccard(marks: DataFrame) -> DataFrame:
-    """(a, b, ratio): reads of both nodes of an edge over reads of either (A37). marks: node, read; edges are neighbours in marks' ``next``."""
-    sets = marks.groupBy("node").agg(F.collect_set("read").alias("r"))
+    """(a, b, ratio): reads of both nodes of an edge over reads of either (A37). marks: node, read; edges are neighbours in marks' ``next``. Reads are met by (node, read), never gathered by node."""
+    has = marks.select("node", "read").distinct()
+    n = has.groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
     pairs = marks.where("next IS NOT NULL").select(F.col("node").alias("a"), F.col("next").alias("b")).distinct()
-    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("r").alias("ra")), "a").join(sets.select(F.col("node").alias("b"), F.col("r").alias("rb")), "b")
-    return rows.select("a", "b", F.round(F.size(F.array_intersect("ra", "rb")) / F.size(F.array_union("ra", "rb")), 6).alias("ratio"))
+    shared = pairs.join(has.select(F.col("node").alias("a"), "read"), "a").join(has.select(F.col("node").alias("b"), "read"), ["b", "read"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("_c"))
+    size = lambda side: n.select(F.col("node").alias(side), F.col("_n").alias(f"_n_{side}"))
+    rows = pairs.join(shared, ["a", "b"], "left").join(size("a"), "a").join(size("b"), "b")
+    c = F.coalesce("_c", F.lit(0))
+    return rows.select("a", "b", F.round(c / (F.col("_n_a") + F.col("_n_b") - c), 6).alias("ratio"))
 
 
 def dot_lines(edges: DataFrame) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators.lineage import cut
+from strandloom.operators.lineage import beside, cut
 
 
-def everything():
-    """The window over all rows; used on small aggregates only."""
-    return Window.partitionBy(F.lit(0))
+def with_total(rows: DataFrame, column: str, name: str = "total") -> DataFrame:
+    """rows with the sum of a column over all of them."""
+    return beside(rows, rows.agg(F.sum(column).alias(name)))
 
 
 def fractional_counts(hits: DataFrame) -> DataFrame:
@@ -34,14 +34,14 @@ def fpkm(count: Column, length: Column, total: Column) -> Column:
 def feature_fpkm(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     """(feature, cnt, fpkm) over the features of one sample."""
     rows = counts.join(lengths.select("feature", "len"), "feature")
-    return rows.select("feature", "cnt", fpkm(F.col("cnt"), F.col("len"), F.sum("cnt").over(everything())).alias("fpkm"))
+    return with_total(rows, "cnt").select("feature", "cnt", fpkm(F.col("cnt"), F.col("len"), F.col("total")).alias("fpkm"))
 
 
 def transcript_fpkm(counts: DataFrame, lengths: DataFrame, fragment: int) -> DataFrame:
     """(feature, comp, eff_len, fpkm, comp_pct) (A18, W11): effective length len - fragment + 1, 10 where that is below 1, and the share of the component."""
     eff = F.col("len") - fragment + 1
     rows = counts.join(lengths, "feature").withColumn("eff_len", F.when(eff < 1, 10).otherwise(eff))
-    rows = rows.withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.sum("cnt").over(everything()) / 1e6))
+    rows = with_total(rows, "cnt", "_t").withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.col("_t") / 1e6))
     total = F.sum("fpkm").over(Window.partitionBy("comp"))
     return rows.select("feature", "comp", "eff_len", F.round("fpkm", 4).alias("fpkm"), F.round(F.when(total > 0, F.col("fpkm") / total * 100).otherwise(0.0), 4).alias("comp_pct"))
 
@@ -50,8 +50,7 @@ def gene_roll_up(transcripts: DataFrame) -> DataFrame:
     """(gene, len, cnt, fpkm) from (gene, len, cnt, fpkm) of transcripts (A19): lengths weighed by fpkm, their mean where all are 0."""
     g = transcripts.groupBy("gene").agg(F.sum(F.col("len") * F.col("fpkm")).alias("_lw"), F.sum("fpkm").alias("_w"), F.avg("len").alias("_mean"), F.sum("cnt").alias("cnt"))
     length = F.when(F.col("_w") > 0, F.col("_lw") / F.col("_w")).otherwise(F.col("_mean"))
-    total = F.sum("cnt").over(everything())
-    return g.select("gene", F.round(length, 4).alias("len"), "cnt", F.round(F.col("cnt") / (length / 1e3) / (total / 1e6), 4).alias("fpkm"))
+    return with_total(g, "cnt").select("gene", F.round(length, 4).alias("len"), "cnt", F.round(F.col("cnt") / (length / 1e3) / (F.col("total") / 1e6), 4).alias("fpkm"))
 
 
 def path_fpkm(support: Column, length: Column, total: Column) -> Column:
@@ -124,21 +123,31 @@ def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float =
         member = F.struct(F.col("feature").cast("long").alias("feature"), (1 / F.col("len").cast("double")).alias("weight"))
         packed = combos.join(lengths, "feature").groupBy("combo").agg(F.sort_array(F.collect_list(member)).alias("members"), F.max("cnt").alias("cnt"))
         return settled(packed, rounds, delta).select("feature", "theta", "expected", "converged")
-    size = F.count(F.lit(1)).over(Window.partitionBy("combo"))
-    rows = combos.join(lengths, "feature").select("combo", "feature", "cnt", F.col("len").cast("double").alias("len"), (F.col("cnt") / size).alias("_first"))
-    now = rows.groupBy("feature").agg(F.sum("_first").alias("expected"))
+    rows = combos.join(lengths, "feature").select("combo", "feature", "cnt", F.col("len").cast("double").alias("len")).transform(cut)
+    sizes = rows.groupBy("combo").agg(F.count(F.lit(1)).alias("_n"))
+    now = rows.join(sizes, "combo").groupBy("feature").agg(F.sum(F.col("cnt") / F.col("_n")).alias("expected"))
     for k in range(1, rounds + 1):
-        shares = rows.join(now, "feature").withColumn("_w", F.col("expected") / F.col("len"))
-        mine = F.col("_w") / F.sum("_w").over(Window.partitionBy("combo")) * F.col("cnt")
-        new = shares.withColumn("_mine", mine).groupBy("feature").agg(F.sum("_mine").alias("expected"))
+        shares = rows.join(now, "feature").select("combo", "feature", "cnt", (F.col("expected") / F.col("len")).alias("_w"))
+        totals = shares.groupBy("combo").agg(F.sum("_w").alias("_t"))
+        new = shares.join(totals, "combo").groupBy("feature").agg(F.sum(F.col("_w") / F.col("_t") * F.col("cnt")).alias("expected"))
         now = new.transform(cut) if k % cut_every == 0 else new
-    return now.select("feature", (F.col("expected") / F.sum("expected").over(everything())).alias("theta"), "expected", F.lit(None).cast("boolean").alias("converged"))
+    return with_total(now.transform(cut), "expected").select("feature", (F.col("expected") / F.col("total")).alias("theta"), "expected", F.lit(None).cast("boolean").alias("converged"))
+
+
+def em_by_read(hits: DataFrame, lengths: DataFrame, rounds: int = 41) -> DataFrame:
+    """(feature, expected, theta, efpkm) by a fixed number of EM rounds over (frag, feature, prob), prob the chance of the fragment given the feature (A22): thetas begin with each fragment
+    shared out evenly, lengths play no part in the rounds, and efpkm is expected * 1e9 / (fragments * len)."""
+    member = F.struct(F.col("feature").cast("long").alias("feature"), F.col("prob").cast("double").alias("weight"))
+    sets = hits.groupBy("frag").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    found = settled(sets.groupBy("members").agg(F.count(F.lit(1)).alias("cnt")), rounds, 0.0)
+    rows = with_total(found.join(lengths.select("feature", "len"), "feature"), "expected")
+    return rows.select("feature", "expected", "theta", (F.col("expected") * 1e9 / F.col("total") / F.col("len")).alias("efpkm"))
 
 
 def tau(thetas: DataFrame, lengths: DataFrame) -> DataFrame:
     """(feature, gene, tau): theta over effective length, normalised; sums over a gene's isoforms are gene_tau."""
     rows = thetas.join(lengths, "feature").withColumn("_t", F.col("theta") / F.col("len"))
-    rows = rows.withColumn("tau", F.col("_t") / F.sum("_t").over(everything()))
+    rows = with_total(rows, "_t").withColumn("tau", F.col("_t") / F.col("total"))
     return rows.withColumn("gene_tau", F.sum("tau").over(Window.partitionBy("comp"))).select("feature", F.col("comp").alias("gene"), F.round("tau", 8).alias("tau"), F.round("gene_tau", 8).alias("gene_tau"))
 
 
@@ -189,21 +198,21 @@ def tmm(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05, least_sum:
     kept = counts.groupBy("feature").agg(F.sum("cnt").alias("_s")).where(F.col("_s") >= least_sum).select("feature")
     rows = counts.join(kept, "feature").withColumn("lib", F.sum("cnt").over(Window.partitionBy("sample")))
     quart = rows.where("cnt > 0").groupBy("sample").agg(F.percentile(F.col("cnt") / F.col("lib"), F.lit(0.75)).alias("q"))
-    off = quart.withColumn("_off", F.abs(F.col("q") - F.avg("q").over(everything())))
-    ref = off.withColumn("_k", F.row_number().over(Window.orderBy("_off", "sample"))).where("_k = 1").select(F.col("sample").alias("_ref"))
+    off = beside(quart, quart.agg(F.avg("q").alias("_mean"))).withColumn("_off", F.abs(F.col("q") - F.col("_mean")))
+    ref = off.agg(F.min(F.struct("_off", "sample"))["sample"].alias("_ref"))
     ref_rows = rows.join(F.broadcast(ref), F.col("sample") == F.col("_ref"), "left_semi").select("feature", F.col("cnt").alias("r"), F.col("lib").alias("rlib"))
     both = rows.join(ref_rows, "feature").where("cnt > 0 AND r > 0")
     p, q = F.col("cnt") / F.col("lib"), F.col("r") / F.col("rlib")
     both = both.select("sample", "feature", F.log2(p / q).alias("m"), ((F.log2(p) + F.log2(q)) / 2).alias("a"), (1 / ((F.col("lib") - F.col("cnt")) / F.col("lib") / F.col("cnt") + (F.col("rlib") - F.col("r")) / F.col("rlib") / F.col("r"))).alias("w"))
     by = Window.partitionBy("sample")
     n = F.count(F.lit(1)).over(by)
-    rank = lambda c: F.rank().over(by.orderBy(c))
+    rank = lambda c: F.rank().over(by.orderBy(F.round(c, 9)))  # noqa: E731  (rounded, so that equal ratios are ties)
     both = both.withColumn("_n", n).withColumn("_rm", rank("m")).withColumn("_ra", rank("a"))
     inside = lambda r, t: F.col(r).between(F.floor(F.col("_n") * t) + 1, F.col("_n") - F.floor(F.col("_n") * t))
     raw = both.where(inside("_rm", trim_m) & inside("_ra", trim_a)).groupBy("sample").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("f"))
     libs = rows.groupBy("sample").agg(F.max("lib").alias("lib_size")).join(raw, "sample", "left").withColumn("f", F.pow(F.lit(2.0), F.coalesce("f", F.lit(0.0))))
-    factor = F.col("f") / F.exp(F.avg(F.log("f")).over(everything()))
-    return libs.select("sample", "lib_size", F.round(factor, 8).alias("factor"), F.round(F.col("lib_size") * factor, 4).alias("eff_size"))
+    factor = F.col("f") / F.exp("_mean")
+    return beside(libs, libs.agg(F.avg(F.log("f")).alias("_mean"))).select("sample", "lib_size", F.round(factor, 8).alias("factor"), F.round(F.col("lib_size") * factor, 4).alias("eff_size"))
 
 
 def normalised_fpkm(counts: DataFrame, lengths: DataFrame, factors: DataFrame) -> DataFrame:
@@ -263,6 +272,104 @@ def exact_test(pairs: DataFrame, dispersion: float = 0.1) -> DataFrame:
     return pairs.select("feature", "comparison", F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b")).mapInPandas(test, "feature long, comparison string, log_fold double, p double")
 
 
+def size_factors(counts: DataFrame) -> DataFrame:
+    """(sample, factor): medians of the ratios of counts to their feature's geometric mean, over features that no sample lacks."""
+    samples = counts.agg(F.count_distinct("sample").alias("_s"))
+    means = beside(counts.where("cnt > 0").groupBy("feature").agg(F.count(F.lit(1)).alias("_n"), F.avg(F.log("cnt")).alias("_m")), samples).where("_n = _s")
+    ratios = counts.join(means.select("feature", "_m"), "feature").select("sample", F.exp(F.log("cnt") - F.col("_m")).alias("r"))
+    return ratios.groupBy("sample").agg(F.median("r").alias("factor"))
+
+
+def dispersion_test(counts: DataFrame, groups: DataFrame, least_dispersion: float = 1e-8) -> DataFrame:
+    """(feature, mean_a, mean_b, dispersion, log_fold, p) of two groups of samples with replicates (A34), after the published method of size factors and a negative binomial test: means are those
+    of scaled counts, a feature's dispersion is the larger of its own, by moments over both groups, and the median of all features' with a tenth of the features of nearest means
+    (here: of the same power of two of the mean), and p is that of the groups' sums given their total. groups: (sample, grp), grp a or b."""
+    factors = size_factors(counts)
+    rows = counts.join(factors, "sample").join(F.broadcast(groups), "sample").withColumn("x", F.col("cnt") / F.col("factor"))
+    per = rows.groupBy("feature", "grp").agg(F.avg("x").alias("m"), F.coalesce(F.var_samp("x"), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("s"), F.sum("factor").alias("f"))
+    side = lambda g: per.where(F.col("grp") == g).select("feature", *[F.col(c).alias(f"{c}_{g}") for c in ("m", "v", "n", "s", "f")])
+    both = side("a").join(side("b"), "feature")
+    shot = factors.agg(F.avg(1 / F.col("factor")).alias("_z"))
+    n = F.col("n_a") + F.col("n_b")
+    mean = (F.col("m_a") * F.col("n_a") + F.col("m_b") * F.col("n_b")) / n
+    pooled = (F.col("v_a") * (F.col("n_a") - 1) + F.col("v_b") * (F.col("n_b") - 1)) / F.greatest(n - 2, F.lit(1))
+    both = beside(both, shot).withColumn("_mean", mean).where("_mean > 0").withColumn("_own", F.greatest((pooled - F.col("_mean") * F.col("_z")) / F.col("_mean") / F.col("_mean"), F.lit(least_dispersion))).withColumn("_level", F.floor(F.log2("_mean")))
+    trend = both.groupBy("_level").agg(F.median("_own").alias("_trend"))
+    both = both.join(trend, "_level").withColumn("dispersion", F.greatest("_own", "_trend"))
+
+    def test(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            p = [conditional_p(int(a), int(b), fa * q, fb * q, d, fa, fb) for a, b, fa, fb, q, d in zip(pdf["s_a"], pdf["s_b"], pdf["f_a"], pdf["f_b"], pdf["_mean"], pdf["dispersion"], strict=True)]
+            yield pd.DataFrame({"feature": pdf["feature"], "mean_a": pdf["m_a"], "mean_b": pdf["m_b"], "dispersion": pdf["dispersion"], "log_fold": pdf["log_fold"], "p": p})
+
+    fold = F.log2((F.col("m_b") + 0.5) / (F.col("m_a") + 0.5)).alias("log_fold")
+    cols = [F.col(c).cast("double").alias(c) for c in ("m_a", "m_b", "s_a", "s_b", "f_a", "f_b", "_mean", "dispersion")]
+    return both.select(F.col("feature").cast("long").alias("feature"), *cols, fold).mapInPandas(test, "feature long, mean_a double, mean_b double, dispersion double, log_fold double, p double")
+
+
+def conditional_p(a: int, b: int, mean_a: float, mean_b: float, dispersion: float, fa: float = 1.0, fb: float = 1.0) -> float:
+    """The chance, given a + b, of splits no likelier than a and b, which are negative binomial with these means; sums of scaled replicates have the dispersion over their factors."""
+    from math import log
+
+    import numpy as np
+
+    s = a + b
+    if not s:
+        return 1.0
+
+    def logs(mean: float, size: float) -> np.ndarray:
+        k = np.arange(s + 1)
+        grow = np.concatenate([[0.0], np.cumsum(np.log((k[:-1] + size) / (k[:-1] + 1)))])
+        return size * log(size / (size + mean)) + grow + k * log(mean / (size + mean))
+
+    x = logs(mean_a, max(fa, 1e-9) / dispersion) + logs(mean_b, max(fb, 1e-9) / dispersion)[::-1]
+    w = np.exp(x - x.max())
+    return min(1.0, float(w[w <= w[a] * (1 + 1e-9)].sum() / w.sum()))
+
+
+def noise_probability(counts: DataFrame, groups: DataFrame, k: float = 0.5, steps: int = 64) -> DataFrame:
+    """(feature, m, d, prob) of two groups of samples with replicates (A34), after the published comparison with noise: m is the log ratio and d the difference of the groups' mean rates (a million
+    counts a library, 0 as k), noise is the |m| and d of all pairs of replicates of one group, and prob the share of it that is smaller in both. Noise is counted on a grid of
+    ``steps`` cells a doubling, of which there are few however many features there are, so prob is exact to a cell."""
+    totals = counts.groupBy("sample").agg(F.sum("cnt").alias("_t"))
+    present = beside(counts.select("feature").distinct(), groups.agg(F.collect_list(F.struct("sample", "grp")).alias("_g"))).select("feature", F.explode("_g").alias("g")).select("feature", "g.sample", "g.grp")
+    filled = present.join(counts.select("feature", "sample", "cnt"), ["feature", "sample"], "left").join(F.broadcast(totals), "sample")
+    rate = filled.select("feature", "sample", "grp", (F.greatest(F.coalesce("cnt", F.lit(0)).cast("double"), F.lit(k)) / F.col("_t") * 1e6).alias("x"))
+    cell = lambda c: F.floor(F.log2(c + 1) * steps).cast("int")
+    pairs = rate.alias("p").join(rate.alias("q"), ["feature", "grp"]).where("p.sample < q.sample")
+    noise = pairs.select(cell(F.abs(F.log2(F.col("p.x") / F.col("q.x")))).alias("i"), cell(F.abs(F.col("p.x") - F.col("q.x"))).alias("j")).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
+    # Running sums over the grid: of the cells below in j for each i that is there, then along i.
+    at = rate.groupBy("feature").pivot("grp", ["a", "b"]).agg(F.avg("x"))
+    seen = at.select("feature", F.log2(F.col("b") / F.col("a")).alias("m"), F.abs(F.col("b") - F.col("a")).alias("d"))
+    seen = seen.withColumn("i", cell(F.abs("m"))).withColumn("j", cell(F.col("d")))
+    cells = seen.select("i", "j").distinct()
+    below = cells.join(F.broadcast(noise.select(F.col("i").alias("ni"), F.col("j").alias("nj"), "n")), (F.col("ni") < F.col("i")) & (F.col("nj") < F.col("j")), "left").groupBy("i", "j").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_below"))
+    out = beside(seen.join(below, ["i", "j"]), noise.agg(F.sum("n").alias("_all")))
+    return out.select("feature", "m", "d", (F.col("_below") / F.col("_all")).alias("prob"))
+
+
+def negative_binomial_bands(counts: DataFrame, dispersion: float = 0.1, level: float = 0.95) -> DataFrame:
+    """(cnt, low, high): central quantiles of a negative binomial of each distinct count's mean (A35), by summing the distribution."""
+    import numpy as np
+    import pandas as pd
+
+    def bands(batches):
+        r = 1 / dispersion
+        for pdf in batches:
+            rows = []
+            for c in pdf["cnt"]:
+                spread = np.sqrt(c + dispersion * c * c)
+                k = np.arange(int(c + 20 * spread + 50))
+                logs = r * np.log(r / (r + c)) + np.concatenate([[0], np.cumsum(np.log((k[:-1] + r) / (k[:-1] + 1)))]) + k * np.log(max(c, 1e-300) / (r + c))
+                cdf = np.cumsum(np.exp(logs))
+                rows.append((int(np.searchsorted(cdf, (1 - level) / 2)), int(np.searchsorted(cdf, (1 + level) / 2))))
+            yield pd.DataFrame({"cnt": pdf["cnt"], "low": [x[0] for x in rows], "high": [x[1] for x in rows]})
+
+    return counts.select(F.col("cnt").cast("long").alias("cnt")).distinct().mapInPandas(bands, "cnt long, low long, high long")
+
+
 def poisson_bands(counts: DataFrame, level: float = 0.95) -> DataFrame:
     """(cnt, low, high): central Poisson quantiles of each distinct count (A35), by summing the distribution."""
     import numpy as np

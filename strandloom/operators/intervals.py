@@ -42,10 +42,12 @@ def split_at_points(parts: DataFrame, points: DataFrame, least: int = 50, size:
     return pieces.where((F.col("r") - F.col("l") + 1 >= least) | F.col("last")).select("scaff", "part", F.col("l").alias("lend"), F.col("r").alias("rend"))
 
 
-def islands(positions: DataFrame) -> DataFrame:
-    """(scaff, lend, rend) of runs of neighbouring positions (W04). positions: distinct (scaff, pos)."""
-    run = F.col("pos") - F.row_number().over(Window.partitionBy("scaff").orderBy("pos"))
-    return positions.withColumn("_run", run).groupBy("scaff", "_run").agg(F.min("pos").alias("lend"), F.max("pos").alias("rend")).drop("_run")
+def islands(positions: DataFrame, size: int = 64 * BIN) -> DataFrame:
+    """(scaff, lend, rend) of runs of neighbouring positions (W04). positions: distinct (scaff, pos). Runs are found stretch by stretch of a scaffold; those that go on
+    over a border are joined afterwards."""
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("scaff", "_bin").orderBy("pos"))
+    inside = positions.withColumn("_bin", F.floor(F.col("pos") / size)).withColumn("_run", run).groupBy("scaff", "_bin", "_run").agg(F.min("pos").alias("lend"), F.max("pos").alias("rend"))
+    return _piled(inside, 0, size).select("scaff", "lend", "rend")
 
 
 def merge_near(parts: DataFrame, most: int) -> DataFrame:
@@ -58,18 +60,35 @@ def pile_up(parts: DataFrame) -> DataFrame:
     return _piled(parts, -1)
 
 
-def _piled(parts: DataFrame, gap: int) -> DataFrame:
-    order = Window.partitionBy("scaff").orderBy("lend", "rend")
+def _joined(parts: DataFrame, gap: int, *by: str) -> DataFrame:
+    """(*by, lend, rend, members): intervals of each group joined where at most ``gap`` is between them. parts: *by, lend, rend, members."""
+    order = Window.partitionBy(*by).orderBy("lend", "rend")
     before = F.max("rend").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = parts.select("scaff", "lend", "rend", F.when(before.isNull() | (F.col("lend") - before - 1 > gap), 1).otherwise(0).alias("_new"))
+    rows = parts.select(*by, "lend", "rend", "members", F.when(before.isNull() | (F.col("lend") - before - 1 > gap), 1).otherwise(0).alias("_new"))
     rows = rows.withColumn("_pile", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("scaff", "_pile").agg(F.min("lend").alias("lend"), F.max("rend").alias("rend"), F.count(F.lit(1)).alias("members")).drop("_pile")
-
-
-def gaps_between(parts: DataFrame, least: int = 100) -> DataFrame:
-    """(scaff, lend, rend) between piles, at least so long."""
-    before = F.lag("rend").over(Window.partitionBy("scaff").orderBy("lend"))
-    rows = pile_up(parts).withColumn("_b", before).where("_b IS NOT NULL")
+    return rows.groupBy(*by, "_pile").agg(F.min("lend").alias("lend"), F.max("rend").alias("rend"), F.sum("members").alias("members")).drop("_pile")
+
+
+def _piled(parts: DataFrame, gap: int, size: int = 64 * BIN) -> DataFrame:
+    """Intervals joined within stretches of a scaffold first, so that dense ones become few. Then stretches are parted into segments wherever nothing before
+    reaches the next one, and segments are joined each by itself: no task sees a scaffold's intervals, just a row a stretch of it."""
+    one = parts.select("scaff", "lend", "rend", F.lit(1).cast("long").alias("members"), F.floor(F.col("lend") / size).alias("_bin"))
+    near = _joined(one, gap, "scaff", "_bin")
+    bins = near.groupBy("scaff", "_bin").agg(F.min("lend").alias("_first"), F.max("rend").alias("_reach"))
+    order = Window.partitionBy("scaff").orderBy("_bin")
+    before = F.max("_reach").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = bins.withColumn("_fresh", F.when(before.isNull() | (F.col("_first") - before - 1 > gap), 1).otherwise(0))
+    segments = fresh.select("scaff", "_bin", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_segment"))
+    return _joined(near.join(segments, ["scaff", "_bin"]), gap, "scaff", "_segment").drop("_segment")
+
+
+def gaps_between(parts: DataFrame, least: int = 100, size: int = 64 * BIN) -> DataFrame:
+    """(scaff, lend, rend) between piles, at least so long (W07). The pile before is looked for in the same stretch, else it ends the nearest one before that has any."""
+    piles = pile_up(parts).withColumn("_bin", F.floor(F.col("lend") / size))
+    ends = piles.groupBy("scaff", "_bin").agg(F.max("rend").alias("_last"))
+    ends = ends.select("scaff", "_bin", F.lag("_last").over(Window.partitionBy("scaff").orderBy("_bin")).alias("_last"))
+    here = F.lag("rend").over(Window.partitionBy("scaff", "_bin").orderBy("lend"))
+    rows = piles.withColumn("_here", here).join(ends, ["scaff", "_bin"]).withColumn("_b", F.coalesce("_here", "_last")).where("_b IS NOT NULL")
     return rows.select("scaff", (F.col("_b") + 1).alias("lend"), (F.col("lend") - 1).alias("rend")).where(F.col("rend") - F.col("lend") + 1 >= least)
 
 

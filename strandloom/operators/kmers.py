@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
+from strandloom.operators import packed
 
 
 def explode_kmers(df: DataFrame, k: int, seq: str = "seq", keep: tuple[str, ...] = (), position: bool = False) -> DataFrame:
@@ -28,9 +29,19 @@ def count(kmers: DataFrame, canonical: bool = False, weight: Column | None = Non
     return kmers.groupBy(kmer.alias("kmer")).agg(total.alias("cnt"))
 
 
-def both_strands(kmers: DataFrame) -> DataFrame:
-    """Counts of k-mers and of their reverse complements, each a row of its own."""
-    return count(kmers.unionByName(kmers.select(*[S.revcomp(F.col(c)).alias(c) if c == "kmer" else c for c in kmers.columns])))
+def count_in(df: DataFrame, k: int, canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), seq: str = "seq", plain_only: bool = False) -> DataFrame:
+    """(*by, kmer, cnt) of the k-mers of sequences: as ``count`` of their windows, packed in numbers where k allows it. weight is a whole-number column; plain_only leaves out k-mers with other letters than A, C, G, T."""
+    if k <= packed.MOST:
+        return packed.count(df, k, seq, canonical, weight, by, plain_only=plain_only)
+    rows = explode_kmers(df, k, seq, keep=(*by, *([weight] if weight else [])))
+    rows = rows.where(F.col("kmer").rlike("^[ACGT]+$")) if plain_only else rows
+    kmer = S.canonical(F.col("kmer")) if canonical else F.col("kmer")
+    return rows.groupBy(*by, kmer.alias("kmer")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
+
+
+def both_strands(counts: DataFrame) -> DataFrame:
+    """Counts of k-mers and of their reverse complements together, each a row of its own."""
+    return merge([counts, counts.select(S.revcomp(F.col("kmer")).alias("kmer"), "cnt")])
 
 
 def reassembly_weight(coverage: Column, k: int) -> Column:
@@ -62,13 +73,20 @@ def histogram(counts: DataFrame) -> DataFrame:
     return counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
 
 
+def table_estimate(df: DataFrame, k: int, partition_bytes: int = 64 << 20, seq: str = "seq") -> DataFrame:
+    """(n_mers, entry_bytes, table_bytes, partitions) of a table of all windows (K32): an upper bound of its size, and in how many partitions of so many bytes it fits. Packed k-mers take
+    eight bytes, longer ones a byte a letter, and counts eight more."""
+    entry = (8 if k <= packed.MOST else k) + 8
+    rows = df.agg(F.coalesce(F.sum(F.greatest(F.length(seq) - k + 1, F.lit(0)).cast("long")), F.lit(0)).alias("n_mers"))
+    size = F.col("n_mers") * entry
+    return rows.select("n_mers", F.lit(entry).cast("long").alias("entry_bytes"), size.alias("table_bytes"), F.greatest(F.ceil(size / partition_bytes), F.lit(1)).alias("partitions"))
+
+
 def bucketed_histogram(counts: DataFrame, low: int = 1, high: int = 10_000, step: int = 1) -> DataFrame:
     """(bucket, n) with everything below low in the first and above high in the last bucket."""
-    base = (1 if step >= low else low - step) if low > 1 else 1
-    ceil = high + step
-    last = (ceil + step - base) // step - 1
-    bucket = F.when(F.col("cnt") < base, 0).when(F.col("cnt") > ceil, last).otherwise(F.floor((F.col("cnt") - base) / step)).cast("long")
-    return counts.groupBy((base + bucket * step).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    least, most = max(1, low - step), high + step
+    inside = F.least(F.greatest(F.col("cnt"), F.lit(least)), F.lit(most))  # what is outside counts with the nearest bound
+    return counts.groupBy((inside - (inside - least) % step).cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def cumulative_histogram(counts: DataFrame, places: int = 4) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kmer_queries", "align_queries", "expr_queries", "more_queries")
+MODULES = ("kmer_queries", "align_queries", "expr_queries", "more_queries", "io_queries")
 
 
 def _modules():

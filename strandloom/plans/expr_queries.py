@@ -16,7 +16,7 @@ from strandloom.operators import expression as X
 from strandloom.operators import intervals as I
 from strandloom.operators import kmers as K
 from strandloom.operators import paths as P
-from strandloom.operators.lineage import cut
+from strandloom.operators.lineage import cut, numbered
 from strandloom.plans.kmer_queries import kmer_sql, read_counts, reads
 from strandloom.plans.views import rc, view, with_views
 
@@ -75,8 +75,8 @@ def one_sample(s, d):
 
 @query("a17_feature_fpkm", f"SELECT feature, cnt, floor(cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6)) AS fpkm FROM {AF} c JOIN lengths USING (feature)", "counts", "lengths")
 def _(s, d):
-    rows = one_sample(s, d).join(lengths(s, d), "feature")
-    return rows.select("feature", "cnt", F.floor(F.col("cnt") / (F.col("len") / 1e3) / (F.sum("cnt").over(X.everything()) / 1e6)).cast("double").alias("fpkm"))
+    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt")
+    return rows.select("feature", "cnt", F.floor(F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).cast("double").alias("fpkm"))
 
 
 @query("a18_transcript_fpkm", f"""WITH e AS (SELECT feature, comp, CASE WHEN len - 300 + 1 < 1 THEN 10 ELSE len - 300 + 1 END AS eff_len, cnt, sum(cnt) OVER () AS t FROM {AF} c JOIN lengths USING (feature)), f AS (SELECT *, cnt / (eff_len / 1e3) / (t / 1e6) AS fpkm FROM e)
@@ -88,14 +88,14 @@ def _(s, d):
 @query("a19_gene_roll_up", f"""WITH e AS (SELECT comp AS gene, len, cnt, cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6) AS fpkm FROM {AF} c JOIN lengths USING (feature)), g AS (SELECT gene, CASE WHEN sum(fpkm) > 0 THEN sum(len * fpkm) / sum(fpkm) ELSE avg(len) END AS len, sum(cnt)::BIGINT AS cnt FROM e GROUP BY gene)
  SELECT gene, round(len, 4) AS len, cnt, round(cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6), 4) AS fpkm FROM g""", "counts", "lengths")
 def _(s, d):
-    rows = one_sample(s, d).join(lengths(s, d), "feature")
-    rows = rows.select(F.col("comp").alias("gene"), "len", "cnt", (F.col("cnt") / (F.col("len") / 1e3) / (F.sum("cnt").over(X.everything()) / 1e6)).alias("fpkm"))
+    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt")
+    rows = rows.select(F.col("comp").alias("gene"), "len", "cnt", (F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).alias("fpkm"))
     return X.gene_roll_up(rows)
 
 
 @query("a20_path_fpkm", f"SELECT feature, round(cnt / len * 1e9 / sum(cnt) OVER (), 4) AS fpkm FROM {AF} c JOIN lengths USING (feature)", "counts", "lengths")
 def _(s, d):
-    rows = one_sample(s, d).join(lengths(s, d), "feature").withColumn("t", F.sum("cnt").over(X.everything()))
+    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt", "t")
     return rows.select("feature", F.round(X.path_fpkm(F.col("cnt"), F.col("len"), F.col("t")), 4).alias("fpkm"))
 
 
@@ -141,9 +141,27 @@ def em_converged(s, d):
     return X.em(combos(s, d), lengths(s, d), rounds=1000, delta=0.01)
 
 
+def chances(s, d) -> DataFrame:
+    return hits(s, d).withColumn("prob", 1 / (1 + F.col("feature") % 5))
+
+
+_BY_READ = [f"e{i} AS MATERIALIZED (SELECT feature, sum(cur * p / t) AS cur FROM (SELECT h.feature, p, cur, sum(cur * p) OVER (PARTITION BY frag) AS t FROM hp h JOIN e{i - 1} USING (feature)) x GROUP BY feature)" for i in range(1, 6)]
+
+
+@query("a22_em_five_rounds", f"WITH {HITS_SQL}, hp AS MATERIALIZED (SELECT frag, feature, 1 / (1 + feature % 5) AS p FROM h), e0 AS MATERIALIZED (SELECT feature, sum(x) AS cur FROM (SELECT feature, 1 / count(*) OVER (PARTITION BY frag) AS x FROM hp) y GROUP BY feature), {', '.join(_BY_READ)} SELECT feature, round(cur, 4) AS expected, round(cur / sum(cur) OVER (), 9) AS theta, round(cur * 1e9 / sum(cur) OVER () / len, 1) AS efpkm FROM e5 JOIN lengths USING (feature)", "frags", "features", "lengths")
+def _(s, d):
+    out = X.em_by_read(chances(s, d), lengths(s, d), 5)
+    return out.select("feature", F.round("expected", 4).alias("expected"), F.round("theta", 9).alias("theta"), F.round("efpkm", 1).alias("efpkm"))
+
+
+@query("a22_em_by_read")
+def _(s, d):
+    return X.em_by_read(chances(s, d), lengths(s, d))
+
+
 @query("a24_tau", f"WITH t AS (SELECT feature, comp, cnt / sum(cnt) OVER () / len AS t FROM {AF} c JOIN lengths USING (feature)), u AS (SELECT feature, comp AS gene, t / sum(t) OVER () AS tau FROM t) SELECT feature, gene, round(tau, 8) AS tau, round(sum(tau) OVER (PARTITION BY gene), 8) AS gene_tau FROM u", "counts", "lengths")
 def _(s, d):
-    thetas = one_sample(s, d).select("feature", (F.col("cnt") / F.sum("cnt").over(X.everything())).alias("theta"))
+    thetas = X.with_total(one_sample(s, d), "cnt").select("feature", (F.col("cnt") / F.col("total")).alias("theta"))
     return X.tau(thetas, lengths(s, d))
 
 
@@ -197,6 +215,34 @@ def _(s, d):
     return X.adjusted(X.exact_test(pairs))
 
 
+FACTORS = "f AS (SELECT sample, median(exp(ln(cnt) - m)) AS factor FROM counts JOIN (SELECT feature, avg(ln(cnt)) AS m FROM counts WHERE cnt > 0 GROUP BY feature HAVING count(*) = (SELECT count(DISTINCT sample) FROM counts)) g USING (feature) GROUP BY sample)"
+
+
+@query("a34_size_factors", f"WITH {FACTORS} SELECT sample, round(factor, 8) AS factor FROM f", "counts")
+def _(s, d):
+    return X.size_factors(counts(s, d)).select("sample", F.round("factor", 8).alias("factor"))
+
+
+def two_groups(s, d) -> DataFrame:
+    return counts(s, d).select("sample").distinct().select("sample", F.when(F.col("sample").startswith("N"), "a").otherwise("b").alias("grp"))
+
+
+@query("a34_dispersion_test")
+def _(s, d):
+    out = X.dispersion_test(counts(s, d), two_groups(s, d))
+    return X.adjusted(out.withColumn("comparison", F.lit("a_vs_b")))
+
+
+@query("a34_noise_probability")
+def _(s, d):
+    return X.noise_probability(counts(s, d), two_groups(s, d))
+
+
+@query("a35_negative_binomial_bands")
+def _(s, d):
+    return X.negative_binomial_bands(counts(s, d))
+
+
 @query("a35_poisson_bands")
 def _(s, d):
     return X.poisson_bands(counts(s, d))
@@ -212,12 +258,18 @@ def _(s, d):
     return X.upper_quartile(counts(s, d))
 
 
-@query("a31_tmm")
+TMM = """kept AS (SELECT feature FROM counts GROUP BY feature HAVING sum(cnt) >= 5), r AS (SELECT c.*, sum(cnt) OVER (PARTITION BY sample) AS lib FROM counts c JOIN kept USING (feature)), q AS (SELECT sample, quantile_cont(cnt / lib, 0.75) AS q FROM r WHERE cnt > 0 GROUP BY sample),
+ ref AS (SELECT sample FROM q ORDER BY abs(q - (SELECT avg(q) FROM q)), sample LIMIT 1), b AS (SELECT r.sample, r.feature, log2((r.cnt / r.lib) / (x.cnt / x.lib)) AS m, (log2(r.cnt / r.lib) + log2(x.cnt / x.lib)) / 2 AS a, 1 / ((r.lib - r.cnt) / r.lib / r.cnt + (x.lib - x.cnt) / x.lib / x.cnt) AS w FROM r JOIN r x ON x.feature = r.feature AND x.sample = (SELECT sample FROM ref) WHERE r.cnt > 0 AND x.cnt > 0),
+ k AS (SELECT *, count(*) OVER (PARTITION BY sample) AS n, rank() OVER (PARTITION BY sample ORDER BY round(m, 9)) AS rm, rank() OVER (PARTITION BY sample ORDER BY round(a, 9)) AS ra FROM b), g AS (SELECT sample, sum(m * w) / sum(w) AS g FROM k WHERE rm BETWEEN floor(n * 0.3) + 1 AND n - floor(n * 0.3) AND ra BETWEEN floor(n * 0.05) + 1 AND n - floor(n * 0.05) GROUP BY sample),
+ l AS (SELECT s.sample, lib_size, pow(2.0, coalesce(g, 0)) AS f FROM (SELECT sample, max(lib) AS lib_size FROM r GROUP BY sample) s LEFT JOIN g USING (sample)), tmm AS (SELECT sample, lib_size::BIGINT AS lib_size, round(f / exp((SELECT avg(ln(f)) FROM l)), 8) AS factor, round(lib_size * f / exp((SELECT avg(ln(f)) FROM l)), 4) AS eff_size FROM l)"""
+
+
+@query("a31_tmm", f"WITH {TMM} SELECT * FROM tmm", "counts")
 def _(s, d):
     return X.tmm(counts(s, d))
 
 
-@query("a33_normalised_fpkm")
+@query("a33_normalised_fpkm", f"WITH {TMM} SELECT feature, sample, round(cnt / (len / 1e3) / (eff_size / 1e6), 6) AS fpkm FROM counts JOIN tmm USING (sample) JOIN lengths USING (feature)", "counts", "lengths")
 def _(s, d):
     return X.normalised_fpkm(counts(s, d), lengths(s, d), X.tmm(counts(s, d)))
 
@@ -247,16 +299,16 @@ def _(s, d):
 
 # Clustering
 
-@query("j01_shared_kmer_pairs", f"WITH c AS (SELECT DISTINCT tid % 40 AS contig, seq FROM transcripts), o AS (SELECT DISTINCT contig, kmer FROM {kmer_sql(24, 'c', 'contig')} x), r AS (SELECT contig, kmer FROM o UNION SELECT contig, {rc('kmer')} FROM o) SELECT DISTINCT a.contig AS a, b.contig AS b, a.kmer FROM o a JOIN r b USING (kmer) WHERE a.contig < b.contig", "transcripts")
+@query("j01_shared_kmer_pairs", f"WITH c AS (SELECT tid AS contig, seq FROM transcripts), o AS (SELECT DISTINCT contig, kmer FROM {kmer_sql(24, 'c', 'contig')} x), r AS (SELECT contig, kmer FROM o UNION SELECT contig, {rc('kmer')} FROM o) SELECT DISTINCT a.contig AS a, b.contig AS b, a.kmer FROM o a JOIN r b USING (kmer) WHERE a.contig < b.contig", "transcripts")
 def _(s, d):
     return CL.shared_kmer_pairs(contigs(s, d), 24)
 
 
 def contigs(s, d) -> DataFrame:
-    return transcripts(s, d).select((F.col("tid") % 40).alias("contig"), "seq").distinct()
+    return transcripts(s, d).select(F.col("tid").alias("contig"), "seq")
 
 
-CONTIGS = "c AS (SELECT DISTINCT tid % 40 AS contig, seq FROM transcripts)"
+CONTIGS = "c AS (SELECT tid AS contig, seq FROM transcripts)"
 WELD = f"""{CONTIGS}, k AS (SELECT contig, seq, pos, kmer FROM (SELECT contig, seq, i AS pos, substr(seq, i + 1, 12) AS kmer FROM (SELECT *, unnest(range(0, length(seq) - 11)) AS i FROM c) w) x),
  w AS (SELECT DISTINCT a.contig AS a, b.contig AS b, substr(a.seq, a.pos + 1 - 6, 6) || a.kmer || substr(b.seq, b.pos + 13, 6) AS weldmer FROM k a JOIN k b USING (kmer) WHERE a.contig != b.contig AND a.pos >= 6 AND b.pos + 18 <= length(b.seq)),
  s AS (SELECT kmer AS weldmer, count(*) AS cnt FROM {kmer_sql(24)} x WHERE kmer IN (SELECT weldmer FROM w) GROUP BY kmer)"""
@@ -268,10 +320,10 @@ def _(s, d):
 
 
 def coverage(s, d):
-    return contigs(s, d).select("contig", (F.col("contig") * 3 + 20).alias("cov"))
+    return contigs(s, d).select("contig", (F.col("contig") % 40 * 3 + 20).alias("cov"))
 
 
-@query("a02_weld_decision", f"WITH {WELD}, v AS (SELECT contig, contig * 3 + 20 AS cov FROM c) SELECT DISTINCT least(w.a, w.b) AS a, greatest(w.a, w.b) AS b FROM w JOIN s USING (weldmer) JOIN v x ON x.contig = w.a JOIN v y ON y.contig = w.b WHERE cnt >= greatest(floor(greatest(x.cov, y.cov) * 0.05), 2) AND least(x.cov, y.cov) / greatest(x.cov, y.cov) > 0.3", "transcripts", "reads")
+@query("a02_weld_decision", f"WITH {WELD}, v AS (SELECT contig, contig % 40 * 3 + 20 AS cov FROM c) SELECT DISTINCT least(w.a, w.b) AS a, greatest(w.a, w.b) AS b FROM w JOIN s USING (weldmer) JOIN v x ON x.contig = w.a JOIN v y ON y.contig = w.b WHERE cnt >= greatest(floor(greatest(x.cov, y.cov) * 0.05), 2) AND least(x.cov, y.cov) / greatest(x.cov, y.cov) > 0.3", "transcripts", "reads")
 def welds(s, d):
     candidates = CL.weldmers(contigs(s, d), 12, 6)
     return CL.weld_decision(candidates, CL.weld_support(candidates, reads(s, d)), coverage(s, d), iso_ratio=0.3)
@@ -285,22 +337,22 @@ def _(s, d):
     return CL.scaffold_decision(links, nodes)
 
 
-EDGES = "(SELECT DISTINCT l_orderkey * 10 AS a, l_partkey * 10 + 1 AS b FROM lineitem WHERE l_quantity <= 8)"
+EDGES = "(SELECT DISTINCT l_orderkey * 10 AS a, l_partkey * 10 + 1 AS b FROM lineitem)"
 
 
 def order_parts(s, d) -> DataFrame:
     return s.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_orderkey") * 10).alias("a"), (F.col("l_partkey") * 10 + 1).alias("b")).distinct()
 
 
-SMALL_EDGES = "(SELECT DISTINCT tid % 40 * 3 AS a, gene * 3 + 1 AS b FROM transcripts)"
+SMALL_EDGES = "(SELECT DISTINCT tid * 3 AS a, gene * 3 + 1 AS b FROM transcripts)"
 
 
 @query("p05_components", f"""WITH RECURSIVE e AS (SELECT a, b FROM {SMALL_EDGES} x UNION SELECT b, a FROM {SMALL_EDGES} y), r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen) SELECT node, min(seen) AS component FROM r GROUP BY node""", "transcripts")
 def _(s, d):
-    return CL.components(transcripts(s, d).select((F.col("tid") % 40 * 3).alias("a"), (F.col("gene") * 3 + 1).alias("b")).distinct())
+    return CL.components(transcripts(s, d).select((F.col("tid") * 3).alias("a"), (F.col("gene") * 3 + 1).alias("b")).distinct())
 
 
-@query("p05_components_large")
+@query("p05_components_large", f"WITH RECURSIVE e AS (SELECT a, b FROM {EDGES} x UNION SELECT b, a FROM {EDGES} y), r(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM e UNION SELECT e.b, min(r.component) FROM r JOIN e ON e.a = r.node JOIN recurring.r AS now ON now.node = e.b WHERE r.component < now.component GROUP BY e.b) SELECT node, component FROM r")
 def _(s, d):
     return CL.components(order_parts(s, d))
 
@@ -338,13 +390,13 @@ def _(s, d):
     return labelled(s, d).groupBy("component").agg(F.floor(F.count(F.lit(1)) / 2).alias("frags"))
 
 
-LJ = "e AS (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM (SELECT tid % 40 AS x, (tid % 40 + tid % 7 + 1) % 40 AS y FROM transcripts) z WHERE x != y)"
+LJ = "e AS (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM (SELECT tid AS x, tid + tid % 7 + 1 AS y FROM transcripts) z)"
 
 
 @query("a38_link_jaccard", f"WITH {LJ}, u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT a, count(*) AS n FROM u GROUP BY a) SELECT e.a, e.b, round(((SELECT count(*) FROM u p JOIN u q ON p.b = q.b WHERE p.a = e.a AND q.a = e.b) + 2) / (x.n + y.n - (SELECT count(*) FROM u p JOIN u q ON p.b = q.b WHERE p.a = e.a AND q.a = e.b)), 6) AS jaccard FROM e JOIN n x ON x.a = e.a JOIN n y ON y.a = e.b", "transcripts")
 def _(s, d):
-    x, y = F.col("tid") % 40, (F.col("tid") % 40 + F.col("tid") % 7 + 1) % 40
-    return CL.link_jaccard(transcripts(s, d).where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
+    x, y = F.col("tid"), F.col("tid") + F.col("tid") % 7 + 1
+    return CL.link_jaccard(transcripts(s, d).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
 
 
 _ENT = lambda e: " + ".join(f"CASE WHEN length({e}) > length(replace({e}, '{b}', '')) THEN -((length({e}) - length(replace({e}, '{b}', ''))) / length({e})) * log2((length({e}) - length(replace({e}, '{b}', ''))) / length({e})) ELSE 0 END" for b in "GATC")
@@ -360,9 +412,9 @@ def _(s, d):
     return reads(s, d).select("read_id", CL.simple_halves(F.col("seq"), 1.8).alias("simple"))
 
 
-@query("f08_internal_repeats", "SELECT tid, round((SELECT max((SELECT sum(CASE WHEN substr(seq, CAST(i AS INT), 1) = substr(seq, CAST(i + s AS INT), 1) THEN 1 ELSE 0 END) FROM (SELECT unnest(range(1, 24 - s + 1)) AS i) q) / (24 - s)) FROM (SELECT unnest(range(1, 21)) AS s) p), 6) AS best FROM (SELECT tid, substr(seq, 1, 24) AS seq FROM transcripts) t", "transcripts")
+@query("f08_internal_repeats", "WITH p AS (SELECT tid, seq, unnest(range(1, length(seq) - 3)) AS s FROM transcripts), q AS (SELECT tid, seq, s, unnest(range(1, length(seq) - s + 1)) AS i FROM p), v AS (SELECT tid, s, avg(CASE WHEN substr(seq, i, 1) = substr(seq, i + s, 1) THEN 1 ELSE 0 END) AS x FROM q GROUP BY tid, s) SELECT tid, round(max(x), 6) AS best FROM v GROUP BY tid", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", F.substring("seq", 1, 24).alias("seq")).select("tid", F.round(CL.internal_identity(F.col("seq")), 6).alias("best"))
+    return transcripts(s, d).select("tid", F.round(CL.internal_identity(F.col("seq")), 6).alias("best"))
 
 
 @query("f09_good_coverage", "SELECT a.feature, least(a.cnt, b.cnt) / greatest(a.cnt, b.cnt) > 0.5 AS good FROM counts a JOIN counts b USING (feature) WHERE a.sample = 'AF' AND b.sample = 'RF'", "counts")
@@ -372,10 +424,16 @@ def _(s, d):
     return pairs.select("feature", CL.good_coverage(F.col("x"), F.col("y"), 0.5).alias("good"))
 
 
-@query("f10_shadow")
+SHADOWS = "SELECT tid, seq AS a, CASE WHEN tid % 3 = 0 THEN regexp_replace(seq, '(...).', '{one}N'{all}) WHEN tid % 3 = 1 THEN reverse(seq) ELSE regexp_replace(seq, '(.......).', '{one}N'{all}) END AS b FROM transcripts"
+
+
+@query("f10_shadow", f"""WITH p AS ({SHADOWS.format(one=chr(92) + '1', all=", 'g'")}), l AS (SELECT tid, i, substr(a, i, 1) != substr(b, i, 1) AS d, length(a) AS n FROM (SELECT *, unnest(range(1, length(a) + 1)) AS i FROM p) x),
+ m AS (SELECT *, d AND i > 4 AND lag(d, 1) OVER w AND lag(d, 2) OVER w AS bad FROM l WINDOW w AS (PARTITION BY tid ORDER BY i)), e AS (SELECT tid, coalesce(min(CASE WHEN bad THEN i END), max(n) + 1) AS stop, least(coalesce(min(CASE WHEN bad THEN i END), max(n)), max(n)) AS len FROM m GROUP BY tid),
+ g AS (SELECT tid, i - lag(i) OVER (PARTITION BY tid ORDER BY i) AS step FROM m JOIN e USING (tid) WHERE d AND i < stop), c AS (SELECT tid, sum(CASE WHEN step = 4 THEN 1 ELSE 0 END) AS hit, sum(CASE WHEN step != 4 THEN 1 ELSE 0 END) AS miss FROM g GROUP BY tid)
+ SELECT tid, coalesce(hit > 4 AND hit >= floor(0.9 * (len // 4 - 1)) AND miss < hit // 5, false) AS shadow FROM e LEFT JOIN c USING (tid)""", "transcripts")
 def _(s, d):
-    t = transcripts(s, d)
-    return t.select("tid", CL.is_shadow(F.substring("seq", 1, 24), F.substring("seq", 33, 24), 3).alias("shadow"))
+    transcripts(s, d).createOrReplaceTempView("transcripts")
+    return s.sql(SHADOWS.format(one="$1", all="")).select("tid", CL.is_shadow(F.col("a"), F.col("b"), 3).alias("shadow"))
 
 
 # Contigs and graphs
@@ -454,7 +512,7 @@ def _(s, d):
 JOINED = "j AS (SELECT se.*, a.inflow AS si, a.outflow AS so, a.outdeg AS sn, b.inflow AS di, b.outflow AS dx, b.indeg AS dn FROM se JOIN f a ON a.component = se.component AND a.node = src JOIN f b ON b.component = se.component AND b.node = dst)"
 
 
-@query("p08_prune_once", f"WITH {SUPPORT}, {FLOWS}, {JOINED} SELECT component, src, dst, w FROM j WHERE NOT ((dn > 1 AND w <= 0.05 * di) OR (sn > 1 AND w <= 0.05 * so) OR w < 0.02 * si OR w < 0.02 * dx)", "transcripts", "reads")
+@query("p08_prune_once", f"WITH {SUPPORT}, {FLOWS}, {JOINED} SELECT component, src, dst, w FROM j WHERE NOT ((dn > 1 AND w <= 0.05 * di) OR (sn > 1 AND w <= 0.05 * so) OR w < 0.02 * si OR w < 0.02 * dx OR w < 0.02 * greatest((si + so) / 2.0, CASE WHEN si = 0 OR so = 0 THEN si + so ELSE 0 END) OR w < 0.02 * greatest((di + dx) / 2.0, CASE WHEN di = 0 OR dx = 0 THEN di + dx ELSE 0 END))", "transcripts", "reads")
 def _(s, d):
     return G.prune_once(supported(s, d))
 
@@ -475,16 +533,19 @@ def _(s, d):
 
 
 TOY = "se AS (SELECT o_custkey % 20 AS component, 'n' || (o_orderkey % 30) AS src, 'n' || (30 + o_orderkey * 7 % 25) AS dst, count(*) AS w FROM orders GROUP BY 1, 2, 3)"
-TOY2 = "se AS (SELECT l_suppkey % 9 AS component, 'a' || (l_orderkey % 6) AS src, 'm' || (l_partkey % 90) AS dst, count(*) AS w FROM lineitem WHERE l_quantity <= 1 GROUP BY 1, 2, 3 UNION ALL SELECT l_suppkey % 9, 'm' || (l_partkey % 90), 'z' || (l_partkey % 4), count(*) FROM lineitem WHERE l_quantity <= 1 GROUP BY 1, 2, 3)"
+TOY2 = "se AS (SELECT l_suppkey AS component, 'a' || (l_orderkey % 60) AS src, 'm' || l_partkey AS dst, count(*) AS w FROM lineitem GROUP BY 1, 2, 3 UNION ALL SELECT l_suppkey, 'm' || l_partkey, 'z' || (l_linenumber % 4), count(*) FROM lineitem GROUP BY 1, 2, 3)"
+
+
+def steps(s, d) -> DataFrame:
+    """Rows as ways from one of 60 nodes over a part to one of four nodes of their supplier's graph."""
+    node = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    li = s.read.parquet(f"{d}/lineitem.parquet")
+    return li.select(F.col("l_suppkey").alias("component"), node("a", F.col("l_orderkey") % 60).alias("x"), node("m", F.col("l_partkey")).alias("y"), node("z", F.col("l_linenumber") % 4).alias("z"))
 
 
 def toy(s, d) -> DataFrame:
-    li = s.read.parquet(f"{d}/lineitem.parquet").where("l_quantity <= 1")
-    c = (F.col("l_suppkey") % 9).alias("component")
-    mid = F.concat(F.lit("m"), (F.col("l_partkey") % 90).cast("string"))
-    a = li.groupBy(c, F.concat(F.lit("a"), (F.col("l_orderkey") % 6).cast("string")).alias("src"), mid.alias("dst")).agg(F.count(F.lit(1)).alias("w"))
-    b = li.groupBy(c, mid.alias("src"), F.concat(F.lit("z"), (F.col("l_partkey") % 4).cast("string")).alias("dst")).agg(F.count(F.lit(1)).alias("w"))
-    return a.unionByName(b)
+    edge = lambda a, b: steps(s, d).groupBy("component", F.col(a).alias("src"), F.col(b).alias("dst")).agg(F.count(F.lit(1)).alias("w"))
+    return edge("x", "y").unionByName(edge("y", "z"))
 
 
 @query("p12_bubbles", f"WITH {TOY2}, {FLOWS}, p AS (SELECT i.component, i.src AS start, o.dst AS stop, i.dst AS mid, i.w + o.w AS w FROM se i JOIN f ON f.component = i.component AND f.node = i.dst AND indeg = 1 AND outdeg = 1 JOIN se o ON o.component = i.component AND o.src = i.dst) SELECT x.component, x.start, x.mid AS a, y.mid AS b, x.stop, CASE WHEN x.w > y.w THEN x.mid ELSE y.mid END AS keep, x.w + y.w AS w FROM p x JOIN p y USING (component, start, stop) WHERE x.mid < y.mid")
@@ -507,13 +568,11 @@ def _(s, d):
     return G.reachable(toy(s, d))
 
 
-TRI = "tri AS (SELECT l_suppkey % 9 AS component, 'a' || (l_orderkey % 6) AS x, 'm' || (l_partkey % 90) AS y, 'z' || (l_partkey % 4) AS z FROM lineitem WHERE l_quantity <= 1 AND l_linenumber <= 3)"
+TRI = "tri AS (SELECT l_suppkey AS component, 'a' || (l_orderkey % 60) AS x, 'm' || l_partkey AS y, 'z' || (l_linenumber % 4) AS z FROM lineitem)"
 
 
 def read_paths(s, d) -> DataFrame:
-    li = s.read.parquet(f"{d}/lineitem.parquet").where("l_quantity <= 1 AND l_linenumber <= 3")
-    part = lambda p, c, m: F.concat(F.lit(p), (F.col(c) % m).cast("string"))
-    return li.select((F.col("l_suppkey") % 9).alias("component"), F.array(part("a", "l_orderkey", 6), part("m", "l_partkey", 90), part("z", "l_partkey", 4)).alias("path"))
+    return steps(s, d).select("component", F.array("x", "y", "z").alias("path"))
 
 
 @query("p21_triplets", f"WITH {TRI} SELECT component, x AS before, y AS node, z AS after, count(*) AS cnt FROM tri GROUP BY 1, 2, 3, 4")
@@ -526,11 +585,9 @@ def _(s, d):
     return G.allowed_steps(toy(s, d), G.triplets(read_paths(s, d)))
 
 
-@query("p24_crossings", f"WITH {TOY2.replace('% 90', '% 20').replace('l_partkey % 4', 'l_orderkey % 4')}, {FLOWS}, t AS (SELECT DISTINCT l_suppkey % 9 AS component, 'a' || (l_orderkey % 6) AS x, 'm' || (l_partkey % 20) AS node, 'z' || (l_orderkey % 4) AS z FROM lineitem WHERE l_quantity <= 1), n AS (SELECT component, node, count(*) AS pairs FROM t GROUP BY 1, 2) SELECT f.component, f.node, indeg, outdeg, coalesce(pairs, 0) AS pairs, CASE WHEN coalesce(pairs, 0) = greatest(indeg, outdeg) THEN 1 ELSE 0 END AS resolved FROM f LEFT JOIN n ON n.component = f.component AND n.node = f.node WHERE indeg > 1 AND outdeg > 1")
+@query("p24_crossings", f"WITH {TOY2.replace('l_partkey', 'l_partkey % 20')}, {FLOWS}, t AS (SELECT DISTINCT l_suppkey AS component, 'a' || (l_orderkey % 60) AS x, 'm' || (l_partkey % 20) AS node, 'z' || (l_linenumber % 4) AS z FROM lineitem), n AS (SELECT component, node, count(*) AS pairs FROM t GROUP BY 1, 2) SELECT f.component, f.node, indeg, outdeg, coalesce(pairs, 0) AS pairs, CASE WHEN coalesce(pairs, 0) = greatest(indeg, outdeg) THEN 1 ELSE 0 END AS resolved FROM f LEFT JOIN n ON n.component = f.component AND n.node = f.node WHERE indeg > 1 AND outdeg > 1")
 def _(s, d):
-    li = s.read.parquet(f"{d}/lineitem.parquet").where("l_quantity <= 1")
-    part = lambda p, c, m: F.concat(F.lit(p), (F.col(c) % m).cast("string"))
-    rows = li.select((F.col("l_suppkey") % 9).alias("component"), part("a", "l_orderkey", 6).alias("x"), part("m", "l_partkey", 20).alias("y"), part("z", "l_orderkey", 4).alias("z"))
+    rows = steps(s, d).withColumn("y", F.concat(F.lit("m"), (F.expr("substring(y, 2)").cast("long") % 20).cast("string")))
     pair = lambda a, b: rows.groupBy("component", F.col(a).alias("src"), F.col(b).alias("dst")).agg(F.count(F.lit(1)).alias("w"))
     return G.crossings(pair("x", "y").unionByName(pair("y", "z")), G.triplets(rows.select("component", F.array("x", "y", "z").alias("path"))))
 
@@ -550,18 +607,75 @@ def _(s, d):
     return G.dot_lines(toy(s, d))
 
 
+def on_graph(s, d) -> tuple[DataFrame, DataFrame]:
+    """The graph of each gene's transcripts, and the gene's reads with their mates: the rows of an order that fall to one gene."""
+    t = transcripts(s, d)
+    graph = G.build(t.select(F.col("gene").alias("component"), "seq"), 20).select("component", "src", "dst")
+    gene = F.floor(F.col("tid") / 4).cast("long")
+    return graph, reads(s, d).select(gene.alias("component"), "seq", F.floor(F.col("read_id") / 10).cast("string").alias("fragment"), "mate")
+
+
+@query("p17_threaded_reads")
+def _(s, d):
+    return P.threaded(*on_graph(s, d), 20)
+
+
 @query("p19_transcripts")
 def paths_found(s, d):
-    t = transcripts(s, d)
-    small = t.select(F.col("gene").alias("component"), "seq").distinct()
-    return P.transcripts(G.build(small, 20).select("component", "src", "dst"), small, 20, least_length=60)
+    return P.transcripts(*on_graph(s, d), 20, least_length=60)
 
 
-@query("p23_headers")
+@query("p23_transcript_headers")
 def _(s, d):
     return P.headers(paths_found(s, d))
 
 
+@query("p23_headers", "SELECT 'comp' || comp || '_c0_seq' || feature % 4 || ' len=' || len || ' path=[' || feature || ':0-' || (len - 1) || ']' AS header, repeat('A', len::INTEGER) AS seq FROM lengths", "lengths")
+def _(s, d):
+    rows = lengths(s, d).select(F.col("comp").alias("component"), (F.col("feature") % 4).alias("seq_no"), "len", F.format_string("[%d:0-%d]", "feature", (F.col("len") - 1).cast("long")).alias("path"), F.repeat(F.lit("A"), F.col("len").cast("int")).alias("seq"))
+    return P.headers(rows)
+
+
+@query("j17_similar_pairs", "SELECT a.gene AS node, a.tid AS a, b.tid AS b, hamming(a.seq, b.seq)::BIGINT AS mismatches, hamming(a.seq, b.seq) <= 40 AS similar FROM transcripts a JOIN transcripts b USING (gene) WHERE a.tid < b.tid", "transcripts")
+def _(s, d):
+    return P.similar_pairs(transcripts(s, d).select(F.col("gene").alias("node"), F.col("tid").alias("id"), "seq"), 40)
+
+
+@query("p11_shared_prefixes")
+def _(s, d):
+    t = transcripts(s, d).select(F.col("gene").alias("component"), (F.col("tid") % 4 + 1).alias("node"), F.concat("seq", F.lit("$")).alias("letters"), F.col("tid").cast("double").alias("w"))
+    nodes = t.select("component", "node", "letters").unionByName(t.select("component").distinct().select("component", F.lit(0).cast("long").alias("node"), F.lit("N").alias("letters")))
+    edges, named = P.compact_prefixes(t.select("component", F.lit(0).cast("long").alias("src"), F.col("node").alias("dst"), "w"), nodes)
+    return edges.join(named.withColumnRenamed("node", "dst"), ["component", "dst"]).select("component", "src", "dst", "w", "letters")
+
+
+SPANS = "sp AS (SELECT l_partkey AS id, (l_orderkey * 7 + l_linenumber * 13) % 61 + 1 AS lend, (l_orderkey * 7 + l_linenumber * 13) % 61 + 36 AS rend FROM lineitem)"
+
+
+@query("p26_breaks", f"""WITH {SPANS}, c AS (SELECT id, p FROM (SELECT id, unnest(range(lend, rend + 1)) AS p FROM sp) x GROUP BY id, p HAVING count(*) >= 12 UNION SELECT tid, unnest(range(1, 26)) FROM transcripts UNION SELECT tid, unnest(range(length(seq) - 24, length(seq) + 1)) FROM transcripts),
+ i AS (SELECT id, min(p) AS lend, max(p) AS rend FROM (SELECT id, p, p - row_number() OVER (PARTITION BY id ORDER BY p) AS g FROM c) y GROUP BY id, g) SELECT id, row_number() OVER (PARTITION BY id ORDER BY lend)::INTEGER AS part, lend, rend, substr(seq, lend::INTEGER, (rend - lend + 1)::INTEGER) AS seq FROM i JOIN transcripts ON tid = id""", "transcripts")
+def _(s, d):
+    at = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 61
+    spans = s.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_partkey").alias("id"), (at + 1).alias("lend"), (at + 36).alias("rend"))
+    return P.break_by_pairs(transcripts(s, d).select(F.col("tid").alias("id"), "seq"), spans, 12, 25)
+
+
+@query("p26_joins", "WITH l AS (SELECT l_partkey AS a, l_suppkey + 100000 AS b FROM lineitem), n AS (SELECT a, b, count(*) AS n FROM l GROUP BY a, b HAVING count(*) >= 2), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS i, row_number() OVER (PARTITION BY b ORDER BY n DESC, a) AS j FROM n) SELECT a, b, n FROM r WHERE i = 1 AND j = 1")
+def _(s, d):
+    li = s.read.parquet(f"{d}/lineitem.parquet")
+    return P.join_by_pairs(li.select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 100000).alias("b")))
+
+
+MARKS = "m AS (SELECT l_partkey AS node, l_orderkey AS read, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS next FROM lineitem)"
+
+
+@query("a37_read_jaccard", f"WITH {MARKS}, h AS (SELECT DISTINCT node, read FROM m), n AS (SELECT node, count(*) AS n FROM h GROUP BY node), p AS (SELECT DISTINCT node AS a, next AS b FROM m WHERE next IS NOT NULL), c AS (SELECT a, b, count(*) AS c FROM p JOIN h x ON x.node = a JOIN h y ON y.node = b AND y.read = x.read GROUP BY a, b) SELECT a, b, round(c / (x.n + y.n - c), 6) AS ratio FROM c JOIN n x ON x.node = a JOIN n y ON y.node = b")
+def _(s, d):
+    li = s.read.parquet(f"{d}/lineitem.parquet")
+    after = F.lead("l_partkey").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))
+    return G.read_jaccard(li.select(F.col("l_partkey").alias("node"), F.col("l_orderkey").alias("read"), after.alias("next")))
+
+
 # Functions and coding regions
 
 @query("n01_revcomp", f"SELECT tid, {rc('seq')} AS rc FROM transcripts", "transcripts")
@@ -569,24 +683,28 @@ def _(s, d):
     return transcripts(s, d).select("tid", S.revcomp(F.col("seq")).alias("rc"))
 
 
-@query("n02_pack", "SELECT tid, list_reduce(list_transform(range(1, 21), lambda i: (instr('GATC', substr(seq, i, 1)) - 1)::BIGINT), lambda a, b: a * 4 + b) AS code FROM transcripts", "transcripts")
+def windows(s, d, k) -> DataFrame:
+    return K.explode_kmers(transcripts(s, d), k, keep=("tid",), position=True)
+
+
+@query("n02_pack", f"SELECT tid, pos::INTEGER AS pos, list_reduce(list_transform(string_split(kmer, ''), lambda b: (instr('GATC', b) - 1)::BIGINT), lambda a, b: a * 4 + b) AS code FROM {kmer_sql(20, 'transcripts', 'tid')} x", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", S.pack(F.substring("seq", 1, 20)).alias("code"))
+    return windows(s, d, 20).select("tid", "pos", S.pack(F.col("kmer")).alias("code"))
 
 
-@query("n02_unpack", "SELECT tid, substr(seq, 1, 20) AS kmer FROM transcripts", "transcripts")
+@query("n02_unpack", f"SELECT tid, pos::INTEGER AS pos, kmer FROM {kmer_sql(20, 'transcripts', 'tid')} x", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", S.unpack(S.pack(F.substring("seq", 1, 20)), 20).alias("kmer"))
+    return windows(s, d, 20).select("tid", "pos", S.unpack(S.pack(F.col("kmer")), 20).alias("kmer"))
 
 
-@query("n03_packed_revcomp", f"SELECT tid, {rc('substr(seq, 1, 20)')} AS kmer FROM transcripts", "transcripts")
+@query("n03_packed_revcomp", f"SELECT tid, pos::INTEGER AS pos, {rc('kmer')} AS kmer FROM {kmer_sql(20, 'transcripts', 'tid')} x", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", S.unpack(S.packed_revcomp(S.pack(F.substring("seq", 1, 20)), 20), 20).alias("kmer"))
+    return windows(s, d, 20).select("tid", "pos", S.unpack(S.packed_revcomp(S.pack(F.col("kmer")), 20), 20).alias("kmer"))
 
 
-@query("n04_canonical", f"SELECT tid, least(substr(seq, 1, 25), {rc('substr(seq, 1, 25)')}) AS kmer FROM transcripts", "transcripts")
+@query("n04_canonical", f"SELECT tid, pos::INTEGER AS pos, least(kmer, {rc('kmer')}) AS kmer FROM {kmer_sql(25, 'transcripts', 'tid')} x", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", S.canonical(F.substring("seq", 1, 25)).alias("kmer"))
+    return windows(s, d, 25).select("tid", "pos", S.canonical(F.col("kmer")).alias("kmer"))
 
 
 CODONS = ", ".join(f"('{c}', '{a}')" for c, a in S.codon_table().items())
@@ -609,12 +727,17 @@ def _(s, d):
     return transcripts(s, d).select("tid", CO.best_frame(F.col("seq")).alias("frame"))
 
 
-@query("n08_orfs")
+ORFS = """sq AS (SELECT tid, '+' AS strand, seq AS s FROM transcripts UNION ALL SELECT tid, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM transcripts), co AS (SELECT tid, strand, length(s) AS n, f, i, substr(s, i + 1, 3) AS c FROM (SELECT *, unnest(range(f, length(s) - 2, 3)) AS i FROM (SELECT *, unnest(range(0, 3)) AS f FROM sq) x) y),
+ sg AS (SELECT *, coalesce(sum(CASE WHEN c IN ('TAA', 'TAG', 'TGA') THEN 1 ELSE 0 END) OVER (PARTITION BY tid, strand, f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM co), pt AS (SELECT tid, strand, n, f, g, min(i) AS i0, min(CASE WHEN c = 'ATG' THEN i END) AS atg, max(i) AS il, bool_or(c IN ('TAA', 'TAG', 'TGA')) AS has_stop FROM sg GROUP BY ALL),
+ st AS (SELECT *, CASE WHEN g = 0 THEN i0 ELSE atg END AS b, CASE WHEN g = 0 THEN coalesce(atg = i0, false) ELSE true END AS has_start, il + 3 AS e FROM pt), orf AS (SELECT tid, strand, (CASE WHEN strand = '+' THEN b + 1 ELSE n - e + 1 END)::INTEGER AS lend, (CASE WHEN strand = '+' THEN e ELSE n - b END)::INTEGER AS rend, has_start, has_stop, ((e - b) // 3 - has_stop::INTEGER)::INTEGER AS aa FROM st WHERE b IS NOT NULL AND (CASE WHEN has_stop THEN il ELSE e END) > b AND (e - b) // 3 - has_stop::INTEGER >= 15)"""
+
+
+@query("n08_orfs", f"WITH {ORFS} SELECT * FROM orf", "transcripts")
 def orfs(s, d):
     return CO.orfs(transcripts(s, d), "tid", 15)
 
 
-@query("n09_orf_types")
+@query("n09_orf_types", f"WITH {ORFS} SELECT CASE WHEN has_start AND has_stop THEN 'complete' WHEN has_start THEN '3prime_partial' WHEN has_stop THEN '5prime_partial' ELSE 'internal' END AS kind, count(*) AS n FROM orf GROUP BY 1", "transcripts")
 def _(s, d):
     return orfs(s, d).groupBy(CO.orf_type(F.col("has_start"), F.col("has_stop")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -630,7 +753,7 @@ SCORES = f"""c6 AS (SELECT kmer, pos % 3 AS frame, count(*) AS c6 FROM {kmer_sql
 
 
 def scores(s, d) -> DataFrame:
-    return CO.log_likelihoods(transcripts(s, d), reads(s, d), "tid")
+    return CO.log_likelihoods(transcripts(s, d), reads(s, d))
 
 
 @query("a36_hexamer_scores", f"WITH {SCORES} SELECT kmer, frame, score FROM sc", "transcripts", "reads")
@@ -656,22 +779,30 @@ def _(s, d):
     return AL.align_sharing(transcripts(s, d).withColumnRenamed("tid", "id")).withColumnRenamed("id", "tid")
 
 
-@query("f21_too_similar")
+@query("f21_too_similar", "SELECT feature, sample, g <= 10 AND (mm <= 2 OR m / (m + mm + g) >= 0.95) AS similar FROM (SELECT feature, sample, cnt AS m, feature % 4 AS mm, feature % 13 AS g FROM counts) x", "counts")
+def _(s, d):
+    return counts(s, d).select("feature", "sample", AL.too_similar(F.col("feature") % 13, F.col("feature") % 4, F.col("cnt")).alias("similar"))
+
+
+@query("f21_similar_transcripts")
 def _(s, d):
     r = AL.align_sharing(transcripts(s, d).withColumnRenamed("tid", "id")).withColumnRenamed("id", "tid")
     return r.select("tid", "other", AL.too_similar(F.col("gaps"), F.col("mismatches"), F.col("matches")).alias("similar"))
 
 
-@query("n19_zipper", "WITH z AS (SELECT tid, hamming(substr(seq, 1, 20), substr(seq, 33, 20)) AS l, hamming(substr(seq, 1, 20), substr(seq, 38, 20)) AS r FROM transcripts) SELECT tid, CASE WHEN l < r THEN 'left' ELSE 'right' END AS side, (20 - least(l, r))::INTEGER AS matches, least(l, r)::INTEGER AS mismatches FROM z", "transcripts")
+@query("n19_zipper", "WITH p AS (SELECT a.tid, a.seq AS a, substr(b.seq, 1 + CAST(a.tid % 3 AS INT)) AS b FROM transcripts a JOIN transcripts b ON b.tid = a.tid + 1), z AS (SELECT tid, length(b) AS n, hamming(substr(a, 1, length(b)), b) AS l, hamming(substr(a, length(a) - length(b) + 1), b) AS r FROM p) SELECT tid, CASE WHEN l < r THEN 'left' ELSE 'right' END AS side, (n - least(l, r))::INTEGER AS matches, least(l, r)::INTEGER AS mismatches FROM z", "transcripts")
 def _(s, d):
-    z = S.zipper(F.substring("seq", 1, 20), F.substring("seq", 33, 25))
-    return transcripts(s, d).select("tid", z.alias("z")).select("tid", "z.side", "z.matches", "z.mismatches")
+    t = transcripts(s, d)
+    pairs = t.select("tid", F.col("seq").alias("a")).join(t.select((F.col("tid") - 1).alias("tid"), F.col("seq").alias("b")), "tid")
+    z = S.zipper(F.col("a"), F.expr("substring(b, CAST(1 + tid % 3 AS INT))"))
+    return pairs.select("tid", z.alias("z")).select("tid", "z.side", "z.matches", "z.mismatches")
 
 
-@query("n20_iupac", "SELECT tid, CASE list_aggregate(list_sort(list_distinct(string_split(substr(seq, 1, 3), ''))), 'string_agg', '') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.AMBIGUITY.items()) + " ELSE substr(seq, 1, 1) END AS code FROM transcripts", "transcripts")
+@query("n20_iupac", "WITH l AS (SELECT gene, i AS pos, substr(seq, i, 1) AS b FROM (SELECT gene, seq, unnest(range(1, length(seq) + 1)) AS i FROM transcripts) x), g AS (SELECT gene, pos, list(DISTINCT b ORDER BY b) AS bs FROM l GROUP BY 1, 2) SELECT gene, pos::INTEGER AS pos, CASE array_to_string(bs, '') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.AMBIGUITY.items()) + " ELSE bs[1] END AS code FROM g", "transcripts")
 def _(s, d):
-    letters = F.filter(F.split(F.substring("seq", 1, 3), ""), lambda x: x != "")
-    return transcripts(s, d).select("tid", S.iupac_code(letters).alias("code"))
+    letters = transcripts(s, d).select("gene", F.posexplode(F.filter(F.split("seq", ""), lambda x: x != "")).alias("pos", "b"))
+    columns = letters.groupBy("gene", (F.col("pos") + 1).alias("pos")).agg(F.collect_set("b").alias("bs"))
+    return columns.select("gene", "pos", S.iupac_code(F.col("bs")).alias("code"))
 
 
 @query("n21_percent_identity", "SELECT feature, round(cnt / (cnt + feature % 5) * 100, 2) AS pct FROM counts WHERE sample = 'AF'", "counts")
@@ -700,9 +831,17 @@ def _(s, d):
     return CO.shuffled_letters(letters, "tid")
 
 
-@query("o05_task_order", "SELECT tid, row_number() OVER (ORDER BY md5(CAST(tid AS STRING)))::INTEGER AS place FROM transcripts", "transcripts")
+@query("o05_task_order", "SELECT tid, row_number() OVER (ORDER BY md5(CAST(tid AS STRING)), tid) AS place FROM transcripts", "transcripts")
 def _(s, d):
-    return transcripts(s, d).select("tid", F.row_number().over(Window.orderBy(F.md5(F.col("tid").cast("string")))).alias("place"))
+    return numbered(transcripts(s, d).select("tid"), F.md5(F.col("tid").cast("string")), "tid", name="place")
+
+
+@query("o04_sorted_fasta", "SELECT row_number() OVER (ORDER BY seq, tid) AS place, '>t' || tid || chr(10) || substr(seq, 1, 60) || chr(10) || substr(seq, 61) AS record FROM transcripts", "transcripts")
+def _(s, d):
+    from strandloom.sources import sinks
+
+    rows = numbered(transcripts(s, d).select("tid", "seq"), "seq", "tid", name="place")
+    return rows.select("place", sinks.fasta_record(F.concat(F.lit("t"), F.col("tid").cast("string")), F.col("seq")).alias("record"))
 
 
 @query("o06_union_all", "SELECT tid, seq FROM transcripts UNION ALL SELECT read_id, seq FROM reads", "transcripts", "reads")
@@ -724,9 +863,9 @@ def _(s, d):
 
 # Annotation, text, filters
 
-@query("j06_enrich", "WITH n AS (SELECT p_partkey AS transcript, p_brand AS brand FROM part WHERE p_partkey % 2 = 0), m AS (SELECT l_partkey AS transcript, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flag FROM lineitem GROUP BY 1) SELECT tid AS transcript, brand, flag FROM transcripts t LEFT JOIN n ON n.transcript = tid LEFT JOIN m ON m.transcript = tid", "transcripts")
+@query("j06_enrich", "WITH n AS (SELECT p_partkey AS transcript, p_brand AS brand FROM part), m AS (SELECT l_partkey AS transcript, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flag FROM lineitem GROUP BY 1) SELECT tid AS transcript, brand, flag FROM transcripts t LEFT JOIN n ON n.transcript = tid LEFT JOIN m ON m.transcript = tid", "transcripts")
 def _(s, d):
-    names = s.read.parquet(f"{d}/part.parquet").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("transcript"), F.col("p_brand").alias("brand"))
+    names = s.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("transcript"), F.col("p_brand").alias("brand"))
     flags = s.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_partkey").alias("transcript"), F.col("l_returnflag").alias("flag"))
     return AN.enrich(transcripts(s, d).select(F.col("tid").alias("transcript")), names, flags)
 

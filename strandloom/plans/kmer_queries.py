@@ -49,7 +49,7 @@ def read_kmers(spark, d, k=K_READS, keep=(), position=False):
 
 
 def read_counts(spark, d, k=K_READS):
-    return K.count(read_kmers(spark, d, k))
+    return K.count_in(reads(spark, d), k)
 
 
 @query("k01_kmer_explode", f"SELECT read_id, kmer FROM {KM} x", "reads")
@@ -64,22 +64,22 @@ def _(spark, d):
 
 @query("k02_text_kmer_count", f"SELECT kmer, count(*) AS cnt FROM {kmer_sql(8, 'text_reads', 'doc_id')} x WHERE regexp_matches(kmer, '^[ACGTacgt]+$') GROUP BY kmer", "text_reads")
 def _(spark, d):
-    return K.count(K.valid_only(K.explode_kmers(view(spark, d, "text_reads"), 8)))
+    return K.count_in(view(spark, d, "text_reads"), 8, plain_only=True)
 
 
 @query("k03_canonical_kmer_count", f"SELECT {canon('kmer')} AS kmer, count(*) AS cnt FROM {KM} x GROUP BY {canon('kmer')}", "reads")
 def canonical_counts(spark, d):
-    return K.count(read_kmers(spark, d), canonical=True)
+    return K.count_in(reads(spark, d), K_READS, canonical=True)
 
 
 @query("k03_both_strands", f"SELECT kmer, count(*) AS cnt FROM (SELECT kmer FROM {kmer_sql(SMALL_K)} x UNION ALL SELECT {rc('kmer')} FROM {kmer_sql(SMALL_K)} y) z GROUP BY kmer", "reads")
 def _(spark, d):
-    return K.both_strands(read_kmers(spark, d, SMALL_K))
+    return K.both_strands(read_counts(spark, d, SMALL_K))
 
 
 @query("k04_weighted_count", f"SELECT kmer, sum(CAST(floor(q * 25 / 25 + 0.5) AS BIGINT))::BIGINT AS cnt FROM {kmer_sql(K_READS, extra='q,')} x GROUP BY kmer", "reads")
 def _(spark, d):
-    return K.count(read_kmers(spark, d, keep=("q",)), weight=K.reassembly_weight(F.col("q"), K_READS))
+    return K.count_in(reads(spark, d).withColumn("w", K.reassembly_weight(F.col("q"), K_READS)), K_READS, weight="w")
 
 
 QUAL = "SELECT read_id, seq, translate(md5(CAST(read_id AS STRING)) || 'abcd', '0123456789abcdef', '#&0:?DIIIIIIIIII') AS qual FROM reads"
@@ -94,7 +94,7 @@ def with_quality(spark, d):
  SELECT kmer, count(*) AS cnt FROM {kmer_sql(SMALL_K, 'm')} x WHERE NOT contains(kmer, 'N') GROUP BY kmer""", "reads")
 def _(spark, d):
     masked = with_quality(spark, d).withColumn("seq", K.mask_low_quality(F.col("seq"), F.col("qual"), 10))
-    return K.count(K.valid_only(K.explode_kmers(masked, SMALL_K)))
+    return K.count_in(masked, SMALL_K, plain_only=True)
 
 
 @query("k06_quality_weighted_count", f"""WITH qr AS ({QUAL}), p AS (SELECT seq, list_transform(range(1, length(qual) + 1), lambda i: 1 - pow(10.0, -(ascii(substr(qual, i, 1)) - 33) / 10)) AS ps FROM qr)
@@ -154,12 +154,11 @@ DB_SQL = f"(SELECT db, kmer, count(*) AS cnt FROM {kmer_sql(SMALL_K, extra='db,'
 
 
 def read_counts_of(spark, d, db):
-    return K.count(K.explode_kmers(reads(spark, d).where(F.col("db") == db), SMALL_K))
+    return K.count_in(reads(spark, d).where(F.col("db") == db), SMALL_K)
 
 
 def dbs(spark, d):
-    rows = read_kmers(spark, d, SMALL_K, keep=("db",))
-    return rows.groupBy("db", "kmer").agg(F.count(F.lit(1)).alias("cnt"))
+    return K.count_in(reads(spark, d), SMALL_K, by=("db",))
 
 
 def _set_query(name, plan, value, having=""):
@@ -313,10 +312,10 @@ def _(spark, d):
     return pairs.where(K.connected(F.col("cnt"), F.col("next_cnt"), 0.3)).select("kmer", "next")
 
 
-@query("j03_sharing_reads", f"""WITH t AS (SELECT DISTINCT kmer FROM {kmer_sql(K_READS, 'transcripts', 'tid')} x WHERE tid % 7 = 0)
- SELECT read_id, count(t.kmer) AS hits, count(*) AS n_kmers FROM {KM} r LEFT JOIN t ON r.kmer = t.kmer GROUP BY read_id HAVING count(t.kmer) > 0 AND count(t.kmer) / count(*) * 100 >= 50""", "reads", "transcripts")
+@query("j03_sharing_reads", f"""WITH t AS (SELECT DISTINCT kmer FROM {kmer_sql(K_READS, 'targets', 'tid')} x)
+ SELECT read_id, count(t.kmer) AS hits, count(*) AS n_kmers FROM {KM} r LEFT JOIN t ON r.kmer = t.kmer GROUP BY read_id HAVING count(t.kmer) > 0 AND count(t.kmer) / count(*) * 100 >= 50""", "reads", "targets")
 def _(spark, d):
-    targets = K.explode_kmers(view(spark, d, "transcripts").where("tid % 7 = 0"), K_READS)
+    targets = K.explode_kmers(view(spark, d, "targets"), K_READS)
     return K.sharing_reads(reads(spark, d), targets, K_READS, "read_id", 50)
 
 

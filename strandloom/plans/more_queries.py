@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
+from strandloom.operators import contigs as CT
 from strandloom.operators import kmers as K
 from strandloom.operators import more as M
 from strandloom.plans.expr_queries import TOY2, counts, hits, toy, transcripts
@@ -77,21 +78,13 @@ def _(s, d):
     return M.agglomerate(wide.select("feature", F.array(*[F.log2(F.col(c) + 1) for c in ("AF", "NF", "NO", "RF")]).alias("value")), 5)
 
 
-@query("g07_reachable_kmers", f"WITH RECURSIVE c AS (SELECT kmer FROM {kmer_sql(25)} x GROUP BY kmer HAVING count(*) >= 200), r AS (SELECT min(kmer) AS kmer, 0 AS depth FROM c UNION SELECT c.kmer, depth + 1 FROM r JOIN c ON substr(c.kmer, 1, 24) = substr(r.kmer, 2) WHERE depth < 6) SELECT kmer, min(depth)::INTEGER AS depth FROM r WHERE kmer IS NOT NULL GROUP BY kmer", "reads")
+@query("g07_reachable_kmers", f"WITH RECURSIVE c AS (SELECT kmer FROM {kmer_sql(25)} x GROUP BY kmer HAVING count(*) >= 5), st AS (SELECT DISTINCT substr(seq, 1, 25) AS start FROM transcripts), r AS (SELECT start, kmer FROM st JOIN c ON kmer = start UNION SELECT r.start, c.kmer FROM r JOIN c ON substr(c.kmer, 1, 24) = substr(r.kmer, 2)) SELECT start, kmer FROM r", "reads", "transcripts")
 def _(s, d):
-    from strandloom.operators.lineage import cut
-
-    kept = K.at_least(read_counts(s, d), 200).transform(cut)
-    now = kept.agg(F.min("kmer").alias("kmer")).where("kmer IS NOT NULL").withColumn("depth", F.lit(0))
-    out = now
-    links = K.successors(kept).select("kmer", "next").transform(cut)
-    for k in range(1, 7):
-        now = now.join(links, "kmer").select(F.col("next").alias("kmer"), F.lit(k).alias("depth")).distinct().transform(cut)
-        out = out.unionByName(now)
-    return out.groupBy("kmer").agg(F.min("depth").alias("depth"))
+    kept = K.at_least(read_counts(s, d), 5)
+    return CT.reachable_kmers(kept, transcripts(s, d).select(F.substring("seq", 1, 25).alias("kmer")))
 
 
 @query("s07_kmer_files", f"SELECT kmer, count(*) AS cnt FROM {kmer_sql(25)} x GROUP BY kmer", "reads")
 def _(s, d):
-    parts = [K.count(K.explode_kmers(reads(s, d).where(F.col("mate") == m), 25)) for m in (1, 2)]
+    parts = [K.count_in(reads(s, d).where(F.col("mate") == m), 25) for m in (1, 2)]
     return K.merge(parts)

@@ -13,8 +13,8 @@ def block(key: str) -> str:
 
 
 def gene_seq(key: str) -> str:
-    """96 bases of one of 40 transcripts; four neighbours share most of theirs."""
-    base = f"CAST(floor(({key}) % 40 / 4) * 10 + ({key}) % 4 AS BIGINT)"
+    """96 bases of a transcript; the four of a gene share most of theirs."""
+    base = f"CAST(floor(({key}) / 4) * 10 + ({key}) % 4 AS BIGINT)"
     return f"({block(base)} || {block(base + ' + 1')} || {block(base + ' + 2')})"
 
 
@@ -23,7 +23,8 @@ def rc(seq: str) -> str:
 
 
 VIEWS = {
-    "transcripts": f"SELECT p_partkey AS tid, CAST(floor(p_partkey % 40 / 4) AS BIGINT) AS gene, {gene_seq('p_partkey')} AS seq FROM part",
+    "transcripts": f"SELECT p_partkey AS tid, CAST(floor(p_partkey / 4) AS BIGINT) AS gene, {gene_seq('p_partkey')} AS seq FROM part",
+    "targets": f"SELECT s_suppkey AS tid, {gene_seq('s_suppkey')} AS seq FROM supplier",
     "reads": f"""SELECT read_id, tid, mate, db, CASE WHEN minus THEN {rc('s')} ELSE s END AS seq, q FROM (
         SELECT l_orderkey * 10 + l_linenumber AS read_id, l_partkey AS tid, 1 + l_linenumber % 2 AS mate, l_returnflag AS db, l_linestatus = 'F' AND l_linenumber = 3 AS minus, l_quantity AS q,
         substr({gene_seq('l_partkey')}, CAST((l_orderkey * 7 + l_linenumber * 13) % 61 AS INT) + 1, 36) AS s FROM lineitem) r""",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.functions import seq as S
+
 WRAP = 60
 
 
@@ -40,10 +42,24 @@ def gff_line(scaff: Column, source: str, kind: str, lend: Column, rend: Column,
     return F.concat_ws("\t", scaff, F.lit(source), F.lit(kind), lend.cast("string"), rend.cast("string"), F.lit("."), strand, F.lit("."), attributes)
 
 
-def wig_lines(track: DataFrame) -> DataFrame:
-    """(scaff, pos, line): positions of a scaffold behind its header, which has position 0; sort by (scaff, pos) to write."""
-    heads = track.select("scaff").distinct().select("scaff", F.lit(0).cast("long").alias("pos"), F.concat(F.lit("variableStep chrom="), "scaff").alias("line"))
-    return heads.unionByName(track.select("scaff", F.col("pos").cast("long").alias("pos"), F.format_string("%d %s", "pos", F.col("cov").cast("string")).alias("line")))
+def wig_lines(track: DataFrame, stretch: int = 1_000_000) -> DataFrame:
+    """(scaff, stretch, at, line): a scaffold's positions, each stretch of it behind a header of its own, whose place is before all of them (S17). Readers take repeated headers as one
+    track, so a scaffold needs no single task."""
+    part = F.floor(F.col("pos") / stretch)
+    heads = track.select("scaff", part.alias("stretch")).distinct().select("scaff", "stretch", F.lit(-1).cast("long").alias("at"), F.concat(F.lit("variableStep chrom="), "scaff").alias("line"))
+    return heads.unionByName(track.select("scaff", part.alias("stretch"), F.col("pos").cast("long").alias("at"), F.format_string("%d %s", F.col("pos").cast("long"), F.col("cov").cast("string")).alias("line")))
+
+
+def write_wig(track: DataFrame, path: str, stretch: int = 1_000_000) -> None:
+    """A WIG track (scaff, pos, cov) as text files, each stretch in one of them and in order."""
+    wig_lines(track, stretch).repartition("scaff", "stretch").sortWithinPartitions("scaff", "stretch", "at").select("line").write.text(path)
+
+
+def sam_fastq_record(df: DataFrame) -> Column:
+    """An alignment's read as it was sequenced (S16): reads on the reverse strand are turned back."""
+    reverse = F.col("flag").bitwiseAND(16) != 0
+    mate = F.when(F.col("flag").bitwiseAND(64) != 0, "/1").when(F.col("flag").bitwiseAND(128) != 0, "/2").otherwise("")
+    return fastq_record(F.concat("qname", mate), F.when(reverse, S.revcomp(F.col("seq"))).otherwise(F.col("seq")), F.when(reverse, F.reverse("qual")).otherwise(F.col("qual")))
 
 
 def store(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:

@@ -10,7 +10,7 @@ from strandloom.operators import kmers as K
 
 def kmer_counts(stream: DataFrame, k: int) -> DataFrame:
     """Running k-mer counts of a stream of sequences, for complete or update mode."""
-    return K.count(K.explode_kmers(stream, k))
+    return K.count_in(stream, k)
 
 
 def windowed_coverage(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "10 minutes", by: str = "event_type") -> DataFrame:

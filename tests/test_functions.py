@@ -92,8 +92,9 @@ def test_threading_and_mates():
     after[seq[-4:]] = []
     assert paths.sequence_of(paths.thread_read("GTTGCAA", 4, after)) == "GTTGCAA"
     assert paths.sequence_of(paths.thread_read("GTTGCTA", 4, after)) == "GTTGCAA"
-    assert paths.combine_mates([1, 2, 3], [3, 4], lambda x, y: False) == [[1, 2, 3, 4]]
-    assert paths.combine_mates([5], [1], lambda x, y: x < y) == [[1], [5]]
+    behind = {1: {2, 3, 4, 5}, 2: {3, 4, 5}, 3: {4, 5}, 4: {5}, 5: set()}
+    assert paths.combine_mates((1, 2, 3), (3, 4), behind) == ((1, 2, 3, 4), ())
+    assert paths.combine_mates((5,), (1,), behind) == ((1,), (5,))
 
 
 def test_shared_start_gives_two_transcripts(spark):
