@@ -147,17 +147,19 @@ def holds_any(low: Column, words: list[str]) -> Column:
     return found
 
 
-def _segments(low: Column) -> Column:
-    paragraphs = F.filter(F.split(low, _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
-    sentences = F.split(F.regexp_replace(F.regexp_replace(low, r"[ \t\r\n]+", " "), "([.!?]) ", "$1\n"), "\n")
-    pieces = F.concat(F.array(low), F.split(low, "\n"), paragraphs, sentences)
-
-    def runs(n: int) -> Column:
-        return F.transform(sentences, lambda x, i: F.when(i <= F.size(sentences) - n, F.array_join(F.slice(sentences, i + 1, F.lit(n)), " ")))
-
-    for n in range(2, RUN + 1):
-        pieces = F.concat(pieces, F.filter(runs(n), lambda x: x.isNotNull()))
-    return F.array_distinct(pieces)
+def _segments(low: DataFrame, gate: list[str]) -> DataFrame:
+    """(id, segment) of lower-case texts (id, low): the segments that may hold a gate word. Sentences are computed once a row and numbered; a run is put together at
+    each of its sentences that may hold such a word."""
+    paragraphs = F.filter(F.split("low", _PARAGRAPHS), lambda p: F.trim(p, F.lit("\n")).contains("\n"))
+    pieces = low.select("id", F.explode(F.concat(F.array("low"), F.split("low", "\n"), paragraphs)).alias("segment")).where(holds_any(F.col("segment"), gate))
+    sentences = F.split(F.regexp_replace(F.regexp_replace("low", r"[ \t\r\n]+", " "), "([.!?]) ", "$1\n"), "\n")
+    listed = pinned(low.select("id", "low"), sentences, "sentences").select("id", "sentences")
+    found = listed.select("id", "sentences", F.posexplode("sentences").alias("at", "sentence")).where(holds_any(F.col("sentence"), gate)).select("id", "sentences", "at")
+    runs = [(first, n) for n in range(1, RUN + 1) for first in range(1 - n, 1)]  # where a run of n begins, seen from a sentence in it
+    whole = lambda first, n: (F.col("at") + first >= 0) & (F.col("at") + first + n <= F.size("sentences"))
+    run = lambda first, n: F.when(whole(first, n), F.array_join(F.slice("sentences", F.col("at") + (first + 1), F.lit(n)), " "))
+    joined = found.select("id", F.explode(F.array(*[run(*r) for r in runs])).alias("segment")).where("segment IS NOT NULL")
+    return pieces.unionByName(joined)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -166,7 +168,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     texts = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
     gate = gate_words(templates, threshold)
     low = pinned(texts, F.lower("text"), "low").where(holds_any(F.col("low"), gate)).select("id", "low")
-    segments = low.select("id", F.explode(_segments(F.col("low"))).alias("segment")).where(holds_any(F.col("segment"), gate))
+    segments = _segments(low, gate)
     sized = segments.withColumn("size", F.regexp_count("segment", F.lit(_WORDS)) - 1).where("size > 0")
     sizes = F.broadcast(template_sizes(spark, templates, threshold))
     grams = pinned(sized.join(sizes.select("size").distinct(), "size", "left_semi"), _words(F.col("segment")), "words")
