@@ -47,27 +47,22 @@ def is_palindrome(kmer: Column) -> Column:
 
 def pack(kmer: Column) -> Column:
     """A k-mer of at most 31 bases as a number of two bits a base, first base highest."""
-    digits = F.transform(F.split(kmer, ""), lambda b: F.instr(F.lit(PACKED), b).cast("long") - 1)
-    return F.aggregate(F.filter(digits, lambda d: d >= 0), F.lit(0).cast("long"), lambda acc, d: acc * 4 + d)
+    return F.coalesce(F.conv(F.translate(F.regexp_replace(kmer, f"[^{PACKED}]", ""), PACKED, "0123"), 4, 10).cast("long"), F.when(kmer.isNotNull(), 0))
 
 
-def _shifted(code: Column, place: Column) -> Column:
-    """code without its lowest ``place`` bases."""
-    return F.call_function("shiftright", code.cast("long"), (place * 2).cast("int"))
+def _digits(code: Column, k: int) -> Column:
+    """A packed number's k digits to the base 4."""
+    return F.lpad(F.conv(code.cast("string"), 10, 4), k, "0")
 
 
 def unpack(code: Column, k: int) -> Column:
     """The k-mer of a packed number."""
-    places = F.sequence(F.lit(k - 1), F.lit(0), F.lit(-1))
-    digit = lambda p: F.pmod(_shifted(code, p), F.lit(4)).cast("int") + 1
-    return F.array_join(F.transform(places, lambda p: F.substring(F.lit(PACKED), digit(p), F.lit(1))), "")
+    return F.translate(_digits(code, k), "0123", PACKED)
 
 
 def packed_revcomp(code: Column, k: int) -> Column:
     """Reverse complement of a packed k-mer: codes of complements add up to 3, places are mirrored."""
-    places = F.sequence(F.lit(0), F.lit(k - 1))
-    digit = lambda p: F.pmod(_shifted(code, p), F.lit(4))
-    return F.aggregate(places, F.lit(0).cast("long"), lambda acc, p: acc * 4 + (3 - digit(p)))
+    return F.conv(F.reverse(F.translate(_digits(code, k), "0123", "3210")), 4, 10).cast("long")
 
 
 def base_count(seq: Column, base: str) -> Column:

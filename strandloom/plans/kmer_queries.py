@@ -282,7 +282,7 @@ def _(spark, d):
 
 @query("f01_non_base_filter", f"SELECT doc_id, count(*) AS n FROM {kmer_sql(8, 'text_reads', 'doc_id')} x WHERE regexp_matches(kmer, '^[ACGTacgt]+$') GROUP BY doc_id", "text_reads")
 def _(spark, d):
-    return K.valid_only(K.explode_kmers(view(spark, d, "text_reads"), 8, keep=("doc_id",))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return K.count_in(view(spark, d, "text_reads"), 8, by=("doc_id",), plain_only=True).groupBy("doc_id").agg(F.sum("cnt").alias("n"))
 
 
 @query("f02_replace_other", "SELECT doc_id, md5(regexp_replace(seq, '[^ACGTacgt]', 'A', 'g')) AS h FROM text_reads", "text_reads")

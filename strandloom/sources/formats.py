@@ -211,7 +211,7 @@ def splice_sites(models: DataFrame, sequences: DataFrame) -> DataFrame:
 
 def coding_parts(models: DataFrame) -> DataFrame:
     """(transcript, kind, lend, rend, phase) of models with a coding span cds_lend to cds_rend (N23): each exon's part inside it is CDS, with the phase, how many of its first
-    letters end the codon before; what is left is 5' or 3' UTR, by strand."""
+    letters end the codon before (a dot elsewhere); what is left is 5' or 3' UTR, by strand."""
     e = models.where("cds_lend IS NOT NULL").select("transcript", "strand", "cds_lend", "cds_rend", F.explode("exons").alias("e")).select("transcript", "strand", "cds_lend", "cds_rend", "e.lend", "e.rend")
     minus = F.col("strand") == "-"
     part = lambda kind, l, r: F.struct(kind.alias("kind"), l.cast("int").alias("lend"), r.cast("int").alias("rend"))
@@ -221,4 +221,4 @@ def coding_parts(models: DataFrame) -> DataFrame:
     parts = e.select("transcript", "strand", F.explode(F.array(low, mid, high)).alias("p")).select("transcript", "strand", "p.*").where("lend <= rend")
     along = Window.partitionBy("transcript", "kind").orderBy(F.when(minus, -F.col("lend")).otherwise(F.col("lend"))).rowsBetween(Window.unboundedPreceding, 0)
     size = F.col("rend") - F.col("lend") + 1
-    return parts.withColumn("_before", F.sum(size).over(along) - size).select("transcript", "kind", "lend", "rend", F.when(F.col("kind") == "CDS", F.pmod(-F.col("_before"), F.lit(3))).cast("int").alias("phase"))
+    return parts.withColumn("_before", F.sum(size).over(along) - size).select("transcript", "kind", "lend", "rend", F.when(F.col("kind") == "CDS", F.pmod(-F.col("_before"), F.lit(3)).cast("string")).otherwise(".").alias("phase"))
