@@ -132,7 +132,8 @@ def count(df: DataFrame, k: int, seq: str = "seq", canonical: bool = False, weig
     found = rows.mapInArrow(run, ", ".join([*head, "code long", "word string", "cnt long"]))
     keys = [*by, *(["frame"] if frames else [])]
     total = found.groupBy(*keys, "code", "word").agg(F.sum("cnt").alias("cnt"))
-    return total.select(*keys, F.when(F.col("code") >= 0, letters(F.col("code"), k)).otherwise(F.col("word")).alias("kmer"), "cnt")
+    kmer = F.when(F.col("code") >= 0, letters(F.col("code"), k)).otherwise(F.col("word"))
+    return total.select(*keys, F.explode(F.array(kmer)).alias("kmer"), "cnt")  # generated, so that what names it later doesn't compute it again each time
 
 
 def windows(df: DataFrame, k: int, key: str, seq: str = "seq", canonical: bool = False) -> DataFrame:

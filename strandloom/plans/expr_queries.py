@@ -944,7 +944,10 @@ def _(s, d):
     return CO.without_overlaps(f.select((F.col("feature") % 50).alias("transcript"), (F.col("feature") % 7).alias("gene"), F.col("feature").alias("hit"), "lend", "rend", (F.col("feature") * 7 % 101).alias("score")))
 
 
-@query("s22_generated_reads")
+GENERATED = "s AS (SELECT id, substr(string_agg(translate(md5('s0:' || id || ':' || j), '0123456789abcdef', 'ACGTACGTACGTACGT'), '' ORDER BY j), 1, 300) AS seq FROM range(50) t(id), range(11) u(j) GROUP BY id), f AS (SELECT id, frag, substr(seq, (('0x' || substr(md5('f0:' || id || ':' || frag), 1, 8))::BIGINT % 151 + 1)::INTEGER, 150) AS f FROM s, range(20) v(frag))"
+
+
+@query("s22_generated_reads", f"WITH {GENERATED} SELECT id, frag::INTEGER AS frag, 1 AS mate, substr(f, 1, 50) AS seq FROM f UNION ALL SELECT id, frag::INTEGER, 2, substr({rc('f')}, 1, 50) FROM f")
 def _(s, d):
     from strandloom.sources import generate
 
