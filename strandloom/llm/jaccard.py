@@ -381,9 +381,9 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     folder = common.scratch(docs.sparkSession, "wanted")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = common.open_folder(folder)
         for place, ids in _runs(batches, 1):
-            with store.open_output_stream(f"{path}/{place[0]}-{uuid.uuid4().hex}.ids", compression=None) as f:
+            store, path = common.open_folder(f"{folder}/{place[0]}")
+            with store.open_output_stream(f"{path}/{uuid.uuid4().hex}.ids", compression=None) as f:
                 f.write(np.array(ids[1], np.int64).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([place[0]], pa.int64()), pa.array([len(ids[1])], pa.int64())], ["place", "n"])
 
@@ -391,13 +391,11 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         from pyarrow import fs
 
         common.claim("jaccard")
-        store, path = common.open_folder(folder)
-        mine = f"{TaskContext.get().partitionId()}-"
+        store, path = common.open_folder(f"{folder}/{TaskContext.get().partitionId()}")
         ids: set[int] = set()
         for info in store.get_file_info(fs.FileSelector(path)):
-            if info.base_name.startswith(mine):
-                with store.open_input_stream(info.path, compression=None) as f:
-                    ids.update(np.frombuffer(f.read(), np.int64).tolist())
+            with store.open_input_stream(info.path, compression=None) as f:
+                ids.update(np.frombuffer(f.read(), np.int64).tolist())
         for b in common.slices(batches):
             keep = [doc in ids for doc in b.column(0).to_pylist()] if ids else []
             if any(keep):
