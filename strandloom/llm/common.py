@@ -78,11 +78,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most SLICE_ROWS rows and, by their mean length, about SLICE_BYTES, so that what is made of a piece stays small too.
-    Spark bounds the bytes of the batches themselves; no setting of the session is touched."""
+    Spark bounds the bytes of the batches themselves; no setting of the session is touched. What a task's batches took goes back to the system at its end, as the worker lives on."""
     for b in batches:
         step = max(1, min(SLICE_ROWS, b.num_rows * SLICE_BYTES // max(1, b.nbytes)))
         for i in range(0, b.num_rows, step):
             yield b.slice(i, step)
+    b = None
+    trim()
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -93,6 +95,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def trim() -> None:
+    """Gives free memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _caches: dict[str, list] = {}
 
 
@@ -111,5 +120,4 @@ def claim(owner: str) -> None:
                 c.clear()
     if freed > 10_000:
         gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        trim()
