@@ -276,3 +276,76 @@ def test_sam_with_many_tags(spark, tmp_path):
     rows = formats.sam(spark, str(tmp_path / "a.sam"))
     assert {x.qname: len(x.tags) for x in rows.collect()} == {"r1": 1500, "r2": 0}
     assert {x.r for x in rows.select(sinks.sam_fastq_record(rows).alias("r")).collect()} == {"@r1\nCCGT\n+\nLKJI", "@r2\nACGG\n+\nIJKL"}
+
+
+def brute_contigs(counts, least_length):
+    """Greedy contigs over one table of all k-mers, without parting it."""
+    left = dict(counts)
+    out = []
+    comp = str.maketrans("ACGT", "TGCA")
+
+    def entropy(x):
+        return -sum(x.count(b) / len(x) * math.log2(x.count(b) / len(x)) for b in set(x))
+
+    def grow(kmer, used, right):
+        path = []
+        while True:
+            steps = [(left.get(n, 0), n) for b in "ACGT" for n in [kmer[1:] + b if right else b + kmer[:-1]] if n not in used]
+            best = max((c for c, _ in steps), default=0)
+            if not best:
+                return path
+            kmer = next(n for c, n in steps if c == best)
+            used.add(kmer)
+            path.append(kmer)
+
+    for seed, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        if not left[seed] or n < 2 or seed == seed.translate(comp)[::-1] or entropy(seed) < 1.5:
+            continue
+        used = {seed}
+        after = grow(seed, used, True)
+        path = [*grow(seed, used, False)[::-1], seed, *after]
+        total = sum(left[x] for x in path)
+        left.update(dict.fromkeys(path, 0))
+        seq = path[0] + "".join(x[-1] for x in path[1:])
+        if len(seq) >= least_length and int(total / len(path) + 0.5) >= 2:
+            out.append((seed, seq, int(total / len(path) + 0.5)))
+    return out
+
+
+def test_greedy_contigs(spark):
+    from strandloom.operators import contigs
+
+    r = random.Random(12)
+    genomes = ["".join(r.choice("ACGT") for _ in range(150)) for _ in range(6)]
+    genomes.append(genomes[0][:70] + genomes[1][60:])
+    counts = defaultdict(int)
+    for g in genomes:
+        for _ in range(r.randrange(3, 40)):
+            i = r.randrange(100)
+            read = "".join(r.choice("ACGT") if r.random() < 0.01 else c for c in g[i : i + 50])
+            for j in range(len(read) - 12):
+                counts[read[j : j + 13]] += 1
+    table = spark.createDataFrame(sorted(counts.items()), "kmer string, cnt long")
+    found = contigs.assemble(table, 13, 20)
+    assert sorted((x.seed, x.seq, x.cov) for x in found.collect()) == sorted(brute_contigs(dict(counts), 20))
+    names = {x.seq: x.acc for x in contigs.named(found, table, 13).collect()}
+    want = sorted(brute_contigs(dict(counts), 20), key=lambda x: (-counts[x[0]], x[0]))
+    assert names == {seq: f"a{i + 1};{cov}" for i, (_, seq, cov) in enumerate(want)}
+
+
+def test_exact_test(spark):
+    rows = [(i, a, b) for i, (a, b) in enumerate([(0, 0), (3, 9), (50, 50), (1, 40), (200, 120)])]
+    got = {x.feature: x for x in expression.exact_test(spark.createDataFrame([(i, "c", a, b) for i, a, b in rows], "feature long, comparison string, a long, b long"), 0.1).collect()}
+    for i, a, b in rows:
+        w = [math.exp(math.lgamma(k + 10) - math.lgamma(k + 1) + math.lgamma(a + b - k + 10) - math.lgamma(a + b - k + 1) - 2 * math.lgamma(10)) for k in range(a + b + 1)]
+        assert got[i].p == pytest.approx(min(1.0, sum(x for x in w if x <= w[a] * (1 + 1e-9)) / sum(w))) and got[i].log_fold == pytest.approx(math.log2((b + 0.5) / (a + 0.5)))
+
+
+def test_gibbs_is_near_em(spark):
+    combos = spark.createDataFrame([("1", 1, 900), ("2", 2, 100), ("1,2", 1, 1000), ("1,2", 2, 1000)], "combo string, feature long, cnt long")
+    lengths = spark.createDataFrame([(1, 100), (2, 100)], "feature long, len long")
+    em = {x.feature: x.expected for x in expression.em(combos, lengths, 5000, 1e-6).collect()}
+    got = {x.feature: x for x in expression.gibbs(combos, lengths, 2, 400, 100).collect()}
+    assert all(abs(got[f].mean - em[f]) < 40 and got[f].low < em[f] < got[f].high for f in em)
+    again = {x.feature: x for x in expression.gibbs(combos.repartition(3), lengths, 2, 400, 100).collect()}
+    assert again == got
