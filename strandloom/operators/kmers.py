@@ -29,9 +29,12 @@ def count(kmers: DataFrame, canonical: bool = False, weight: Column | None = Non
     return kmers.groupBy(kmer.alias("kmer")).agg(total.alias("cnt"))
 
 
-def count_in(df: DataFrame, k: int, canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), seq: str = "seq", plain_only: bool = False) -> DataFrame:
-    """(*by, kmer, cnt) of the k-mers of sequences: as ``count`` of their windows, packed in numbers where k allows it. weight is a whole-number column; plain_only leaves out k-mers with other letters than A, C, G, T."""
-    if k <= packed.MOST:
+def count_in(df: DataFrame, k: int, canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), seq: str = "seq", plain_only: bool = False, method: str = "auto") -> DataFrame:
+    """(*by, kmer, cnt) of the k-mers of sequences: as ``count`` of their windows, packed in numbers where k allows it. weight is a whole-number column; plain_only leaves out k-mers with other letters than A, C, G, T.
+    method (U03): packed, words, or auto for packed where it can; all give the same."""
+    if method not in ("auto", "packed", "words"):
+        raise ValueError(f"no method {method!r}")
+    if method == "packed" or method == "auto" and k <= packed.MOST:
         return packed.count(df, k, seq, canonical, weight, by, plain_only=plain_only)
     rows = explode_kmers(df, k, seq, keep=(*by, *([weight] if weight else [])))
     rows = rows.where(F.col("kmer").rlike("^[ACGT]+$")) if plain_only else rows
@@ -187,12 +190,30 @@ def gap_histogram(kmers: DataFrame, key: str) -> DataFrame:
     return kmers.withColumn("gap", F.col("pos") - before).where("gap IS NOT NULL").groupBy("gap").agg(F.count(F.lit(1)).alias("n"))
 
 
-def within_one_mismatch(counts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(kmer, hit, cnt): counted k-mers at no more than one mismatch (K23). Neighbours are exploded, 3k + 1 a k-mer, and met by equality."""
+def neighbours(wanted: DataFrame, k: int) -> DataFrame:
+    """(kmer, hit): each k-mer and all that differ from it in one letter, 3k + 1 a k-mer."""
     at = F.explode(F.sequence(F.lit(1), F.lit(k)))
     spots = wanted.select("kmer").distinct().select("kmer", at.alias("_i")).select("kmer", "_i", F.explode(F.array(*map(F.lit, S.BASES))).alias("_b"))
     changed = spots.where(F.expr("substring(kmer, _i, 1) != _b")).select("kmer", F.expr(f"concat(substring(kmer, 1, _i - 1), _b, substring(kmer, _i + 1, {k}))").alias("hit"))
-    near = changed.unionByName(wanted.select("kmer", F.col("kmer").alias("hit")).distinct())
+    return changed.unionByName(wanted.select("kmer", F.col("kmer").alias("hit")).distinct())
+
+
+def within_one_mismatch(counts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(kmer, hit, cnt): counted k-mers at no more than one mismatch (K23). Neighbours are met by equality."""
+    return matching(counts, wanted, k, "one_mismatch")
+
+
+#: Ways for k-mers to match (U05): each gives, from (kmer), the rows (kmer, hit) of what would count as its match.
+COMPARATORS = {
+    "exact": lambda wanted, k: wanted.select("kmer", F.col("kmer").alias("hit")).distinct(),
+    "either_strand": lambda wanted, k: wanted.select("kmer", F.explode(F.array_distinct(F.array("kmer", S.revcomp(F.col("kmer"))))).alias("hit")).distinct(),
+    "one_mismatch": lambda wanted, k: neighbours(wanted, k),
+}
+
+
+def matching(counts: DataFrame, wanted: DataFrame, k: int, how="exact") -> DataFrame:
+    """(kmer, hit, cnt): counted k-mers that match wanted ones by a comparator (U05): a name of COMPARATORS, or a function like those."""
+    near = (COMPARATORS[how] if isinstance(how, str) else how)(wanted, k)
     return near.join(counts.select(F.col("kmer").alias("hit"), "cnt"), "hit").select("kmer", "hit", "cnt")
 
 

@@ -328,3 +328,14 @@ def _(spark, d):
 def _(spark, d):
     lines = view(spark, d, "transcripts").select(F.expr("substring(seq, 1, CAST(20 + tid % 10 AS INT))").alias("seq"), F.col("tid").cast("string").alias("header"))
     return K.read_kmer_table(lines, K_READS)
+
+
+@query("u03_word_method", f"SELECT kmer, cnt FROM {SMALL} c", "reads")
+def _(spark, d):
+    return K.count_in(reads(spark, d), SMALL_K, method="words")
+
+
+@query("u05_either_strand", f"WITH c AS {SMALL}, w AS (SELECT DISTINCT substr(seq, 1, {SMALL_K}) AS kmer FROM transcripts) SELECT w.kmer, c.kmer AS hit, c.cnt FROM w JOIN c ON c.kmer = w.kmer UNION SELECT w.kmer, c.kmer, c.cnt FROM w JOIN c ON c.kmer = {rc('w.kmer')}", "reads", "transcripts")
+def _(spark, d):
+    first = view(spark, d, "transcripts").select(F.substring("seq", 1, SMALL_K).alias("kmer")).distinct()
+    return K.matching(read_counts(spark, d, SMALL_K), first, SMALL_K, "either_strand")
