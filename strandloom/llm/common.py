@@ -121,3 +121,25 @@ def claim(owner: str) -> None:
     if freed > 10_000:
         gc.collect()
         trim()
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever letters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def all_of(df: DataFrame) -> list[Column]:
+    """The columns of df, whatever letters their names have."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def over_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) for columns of any names: the interface reads a dot in a name as a field."""
+    names = df.columns
+    if not any(set(c) & set(".`") for c in names):
+        return df.mapInArrow(run, schema)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(b.rename_columns(names) for b in batches)
+
+    return df.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(renamed, schema)

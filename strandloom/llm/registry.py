@@ -16,6 +16,8 @@ QUERIES = {
     "op4_warc": ("warc", "op4"),
     "op6_jaccard": ("jaccard", "op6"),
     "op8_bm25": ("search", "op8"),
+    "op11_decontamination": ("leaks", "op11"),
+    "op12_filter_audit": ("audit", "op12"),
 }
 
 
