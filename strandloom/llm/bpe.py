@@ -218,7 +218,8 @@ def load(path: str) -> Bpe:
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """All other columns, and n_tokens, ids array<int> of each whole text, and the sha256 of the text that they decode to."""
+    """All other columns, and n_tokens, ids array<int> of each whole text, and decoded_sha256 of the text that they decode to. Columns of df with these three names are
+    replaced, and the text goes."""
     names = [c for c in df.columns if c not in (text_col, "n_tokens", "ids", "decoded_sha256")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,11 +232,11 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
             sha = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in encoded]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.diff(offsets).astype(np.int64)), lists, pa.array(sha, pa.string())], [*names, "n_tokens", "ids", "decoded_sha256"])
 
-    rows = df.select(common.text_or_empty(text_col).alias(text_col), *[F.col(c) for c in names])
+    rows = df.select(common.text_or_empty(text_col).alias(text_col), *[F.col(common.quoted(c)) for c in names])
     schema = rows.drop(text_col).schema
     for name, kind in (("n_tokens", T.LongType()), ("ids", T.ArrayType(T.IntegerType())), ("decoded_sha256", T.StringType())):
         schema = schema.add(name, kind)
-    return rows.mapInArrow(run, schema)
+    return common.over_arrow(rows, run, schema)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

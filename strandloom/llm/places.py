@@ -98,4 +98,4 @@ def with_value(docs: DataFrame, values: DataFrame, id_col: str = "doc_id", name:
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(out)], schema=pa.schema([*list(b.schema)[:width], pa.field(name, pa.int64())]))
 
     marked = docs.select("*", input_place().alias(where[0]), F.col(id_col).cast("long").alias(where[1]))
-    return marked.mapInArrow(run, docs.withColumn(name, F.lit(0).cast("long")).schema)
+    return common.over_arrow(marked, run, docs.withColumn(name, F.lit(0).cast("long")).schema)

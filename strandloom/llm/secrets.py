@@ -275,7 +275,7 @@ def redact(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
                 b = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(b.columns)], schema=pa.schema([pa.field(f.name, pa.string()) if k == at else f for k, f in enumerate(b.schema)]))
             yield b
 
-    return df.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, df.schema)
+    return common.over_arrow(df.withColumn(text_col, F.col(text_col).cast("string")), run, df.schema)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ The model is fitted on at most MAX_TRAIN labelled documents, those whose hashed
 documents are scored. Null and empty texts get the score of the intercept alone. A document that is
 labelled more than once counts as toxic if any label says so; null labels don't count. With no
 labelled document there is no model, and every score is 0. Rows with a null id are scored but never learnt from;
-rows that repeat an id are all scored, and are all examples if the id is drawn.
+rows that repeat an id are all scored, and one of them is the example if the id is drawn: the one whose text has the smallest hash.
 """
 
 from __future__ import annotations
@@ -126,8 +126,8 @@ def labelled(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic"
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_TRAIN) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) of the model. The sample, of a size fixed by ``most``, is broadcast to pick the
-    texts and goes to one task, which fits; what comes back is the sparse model."""
+    """(slots, weights) of the model. The sample, of ``most`` ids at most, is broadcast to pick the
+    texts, one an id; their features go to one task, which fits; what comes back is the sparse model."""
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.claim("toxicity")
@@ -143,7 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     sample = F.broadcast(labelled(labels, id_col, most=most))
     texts = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
-    rows = texts.join(sample, "id").select(F.xxhash64("id").alias("at"), "label", "text")
+    one = texts.join(sample, "id").groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = one.select(F.xxhash64("id").alias("at"), "label", "text")
     model = rows.mapInArrow(featurise, "at long, label int, slots binary").repartition(1).mapInArrow(train, "slot int, weight double")
     found = model.collect()
     return np.array([r.slot for r in found], np.int32), np.array([r.weight for r in found])
@@ -179,7 +180,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
             yield pa.RecordBatch.from_arrays([*b.columns, found], schema=b.schema.append(pa.field(name, pa.float64())))
 
     schema = docs.withColumn(name, F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    return common.over_arrow(docs, run, schema)
 
 
 def rejected(name: str = "score") -> Column:

@@ -8,7 +8,8 @@ host's posterior, mean minus Z standard deviations, exceeds BLOCK_ABOVE. Hosts w
 have their domain's reputation, unknown domains their suffix's, unknown suffixes that of all pages.
 
 All of it is DataFrame operations. A null url, or one without ``://``, has an empty host and path, fits no
-rule and has the reputation of all pages. In the query, pages that a rule judges are the labelled ones.
+rule and has the reputation of all pages. Very long urls are read whole. Rows that repeat an id or a url are judged each, and each counts as an outcome. Empty tables give none.
+The pages of a very frequent host (the empty one included) are split before they meet its reputation. In the query, pages that a rule judges are the labelled ones.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm import common
+from strandloom.llm import common, graphs
 
 BLOCK_ABOVE = 0.5
 Z = 1.645
@@ -119,14 +120,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     url = F.col(url_col).cast("string")
     parsed = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     name, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    ruled = parsed.select("id", "host", "path", name.alias("rule"), verdict.alias("by_rule"))
+    ruled = common.written(parsed.select("id", "host", "path", name.alias("rule"), verdict.alias("by_rule")), "ruled")
     known = ruled.select("host", (F.col("by_rule") == "block").cast("int").alias("bad"))
     if outcomes is not None:
         u = F.col("url").cast("string")
         known = known.select("host", F.lit(None).cast("int").alias("bad")).unionByName(outcomes.select(host_of(u).alias("host"), F.col("bad").cast("int").alias("bad")))
     rep = reputation(known).select("host", "bad_bound")
     by_method = F.when(F.col("bad_bound") > BLOCK_ABOVE, "block").otherwise("allow")
-    out = ruled.join(rep, "host")
+    parts, _ = graphs.frequent(ruled, "host")
+    out = graphs.matched(ruled, rep, "host", "id", parts)
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"), F.round("bad_bound", 6).alias("bad_bound"))
 
 
