@@ -8,6 +8,8 @@ no tokens; rows with a null id are never near-equal to others. An empty table st
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,23 +23,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold, rows that repeat an id one by one."""
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
     mark = common.fresh(docs, "_toxicity")
-    return toxicity.score(docs, model, name=mark).where(~toxicity.rejected(mark)).select(docs.columns)
+    return toxicity.score(docs, model, name=mark).where(~toxicity.rejected(mark)).select(common.all_of(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component. Of rows that repeat an id, the one with the smallest text stays (then by the
-    other columns from left to right, nulls first; map columns don't count); rows with a null id all stay."""
+    other columns from left to right, nulls first; columns with maps or variants in them don't count); rows with a null id all stay."""
     found = common.written(jaccard.join(docs.select("doc_id", "text")), "components")
     ids = found.groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("n"))
     value = F.when(F.col("id").isNull(), ALONE).when(F.col("least") != F.col("id"), GOES).otherwise(F.when(F.col("n") > 1, REPEATED).otherwise(ALONE))
     kept = common.written(ids.select("id", value.alias("value")), "kept")
     mark = common.fresh(docs, "_value")
     out = places.with_value(docs, kept, name=mark)
-    alone = out.where(F.col(mark) == ALONE).select(docs.columns)
+    alone = out.where(F.col(mark) == ALONE).select(common.all_of(docs))
     if kept.where(F.col("value") == REPEATED).isEmpty():
         return alone
-    by = ["text", *(c for c in docs.columns if c != "text" and docs.schema[c].dataType.typeName() != "map")]
-    once = out.where(F.col(mark) == REPEATED).groupBy(F.col("doc_id").alias(mark)).agg(F.min_by(F.struct(*docs.columns), F.struct(*by)).alias("row"))
+    by = ["text", *(common.quoted(f.name) for f in docs.schema if f.name != "text" and not re.search(r"\bmap<|\bvariant\b", f.dataType.simpleString()))]
+    once = out.where(F.col(mark) == REPEATED).groupBy(F.col("doc_id").alias(mark)).agg(F.min_by(F.struct(*common.all_of(docs)), F.struct(*by)).alias("row"))
     return alone.unionByName(once.select("row.*"))
 
 
@@ -46,7 +48,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     out = secrets.redact(docs)
     if "n_chars" not in docs.columns:
         return out
-    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(docs.columns)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(common.all_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("value"))
     mark = common.fresh(docs, "_value")
     rows = places.with_value(docs, copies, name=mark).where(F.col(mark) > 0)
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(mark))).alias(mark)).select(docs.columns)
+    return rows.select(*common.all_of(docs), F.explode(F.sequence(F.lit(1).cast("long"), F.col(mark))).alias(mark)).select(common.all_of(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
