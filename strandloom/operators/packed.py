@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +80,29 @@ def windows_of(texts: pa.Array, k: int, canonical: bool, plain_only: bool = Fals
     return row, place, found, words
 
 
+PIECE = 4 << 20  # letters that are worked on at a time
+
+
+def pieces(batches: Iterator[pa.RecordBatch], seq: int, k: int, multiple: int = 1) -> Iterator[pa.RecordBatch]:
+    """The same windows in batches of about PIECE letters: several rows, or a stretch of a longer sequence, whose next stretch begins k - 1 letters before
+    its end and at a multiple of so many letters from its first one. Other columns are repeated."""
+    step = PIECE - PIECE % multiple
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(seq)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = np.cumsum(size) // PIECE
+        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(size) else []
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            part = b.slice(int(s), int(e - s))
+            if size[s:e].max() <= 2 * PIECE:
+                yield part
+                continue
+            for i in range(part.num_rows):
+                row = part.slice(i, 1)
+                text = row.column(seq)[0].as_py() or ""
+                for at in range(0, max(1, len(text) - k + 1), step):
+                    yield row.set_column(seq, row.schema.field(seq), pa.array([text[at : at + step + k - 1]], pa.string()))
+
+
 def _keys(b: pa.RecordBatch, n: int) -> tuple[list[pa.Array], np.ndarray]:
     """The different combinations of the first n columns, and which one each row has."""
     if not n:
@@ -101,7 +125,7 @@ def count(df: DataFrame, k: int, seq: str = "seq", canonical: bool = False, weig
     head = [f"`{c}` {t}" for c, t in zip(by, kinds, strict=True)] + (["frame int"] if frames else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, width, k, max(frames, 1)):
             keys, which = _keys(b, width)
             row, place, code, words = windows_of(b.column(width), k, canonical, plain_only)
             w = b.column(width + 1).fill_null(0).to_numpy() if weight else None
