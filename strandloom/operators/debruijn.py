@@ -32,14 +32,6 @@ def leaves(edges: DataFrame) -> DataFrame:
     return edges.select("component", F.col("dst").alias("node")).distinct().join(edges.select("component", F.col("src").alias("node")), ["component", "node"], "left_anti")
 
 
-def one_strand(edges: DataFrame) -> DataFrame:
-    """One of each edge and its mirror image (P03): the one whose letters come first; an edge that is its own mirror stays."""
-    src, dst = F.col("src"), F.col("dst")
-    mirror = F.concat(S.revcomp(dst), F.lit(">"), S.revcomp(src))
-    key = F.concat(src, F.lit(">"), dst)
-    return edges.where(key <= mirror)
-
-
 def edge_support(edges: DataFrame, reads: DataFrame, k: int, both_strands: bool = False) -> DataFrame:
     """Edges with how often reads hold them, w (J19, A06); of both strands together if asked."""
     seen = K.count_in(reads, k + 1)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators.abundance import settled
 from strandloom.operators.lineage import beside, cut
 
 
-def with_total(rows: DataFrame, column: str, name: str = "total") -> DataFrame:
-    """rows with the sum of a column over all of them."""
-    return beside(rows, rows.agg(F.sum(column).alias(name)))
+def with_total(rows: DataFrame, column: str, name: str = "total", by: tuple[str, ...] = ()) -> DataFrame:
+    """rows with the sum of a column over all of them, or over those of their sample where ``by`` names it. Sums are aggregates of their own, a row a sample, and no windows that would
+    gather a sample's rows."""
+    if not by:
+        return beside(rows, rows.agg(F.sum(column).alias(name)))
+    return rows.join(rows.groupBy(*by).agg(F.sum(column).alias(name)), list(by))
 
 
 def fractional_counts(hits: DataFrame) -> DataFrame:
@@ -37,20 +41,20 @@ def feature_fpkm(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     return with_total(rows, "cnt").select("feature", "cnt", fpkm(F.col("cnt"), F.col("len"), F.col("total")).alias("fpkm"))
 
 
-def transcript_fpkm(counts: DataFrame, lengths: DataFrame, fragment: int) -> DataFrame:
-    """(feature, comp, eff_len, fpkm, comp_pct) (A18, W11): effective length len - fragment + 1, 10 where that is below 1, and the share of the component."""
+def transcript_fpkm(counts: DataFrame, lengths: DataFrame, fragment: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, feature, comp, eff_len, fpkm, comp_pct) of each sample that ``by`` names, or of one (A18, W11): effective length len - fragment + 1, 10 where that is below 1, and the share of the component."""
     eff = F.col("len") - fragment + 1
     rows = counts.join(lengths, "feature").withColumn("eff_len", F.when(eff < 1, 10).otherwise(eff))
-    rows = with_total(rows, "cnt", "_t").withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.col("_t") / 1e6))
-    total = F.sum("fpkm").over(Window.partitionBy("comp"))
-    return rows.select("feature", "comp", "eff_len", F.round("fpkm", 4).alias("fpkm"), F.round(F.when(total > 0, F.col("fpkm") / total * 100).otherwise(0.0), 4).alias("comp_pct"))
+    rows = with_total(rows, "cnt", "_t", by).withColumn("fpkm", F.col("cnt") / (F.col("eff_len") / 1e3) / (F.col("_t") / 1e6))
+    total = F.sum("fpkm").over(Window.partitionBy(*by, "comp"))
+    return rows.select(*by, "feature", "comp", "eff_len", F.round("fpkm", 4).alias("fpkm"), F.round(F.when(total > 0, F.col("fpkm") / total * 100).otherwise(0.0), 4).alias("comp_pct"))
 
 
-def gene_roll_up(transcripts: DataFrame) -> DataFrame:
-    """(gene, len, cnt, fpkm) from (gene, len, cnt, fpkm) of transcripts (A19): lengths weighed by fpkm, their mean where all are 0."""
-    g = transcripts.groupBy("gene").agg(F.sum(F.col("len") * F.col("fpkm")).alias("_lw"), F.sum("fpkm").alias("_w"), F.avg("len").alias("_mean"), F.sum("cnt").alias("cnt"))
+def gene_roll_up(transcripts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, gene, len, cnt, fpkm) from (*by, gene, len, cnt, fpkm) of transcripts (A19): lengths weighed by fpkm, their mean where all are 0."""
+    g = transcripts.groupBy(*by, "gene").agg(F.sum(F.col("len") * F.col("fpkm")).alias("_lw"), F.sum("fpkm").alias("_w"), F.avg("len").alias("_mean"), F.sum("cnt").alias("cnt"))
     length = F.when(F.col("_w") > 0, F.col("_lw") / F.col("_w")).otherwise(F.col("_mean"))
-    return with_total(g, "cnt").select("gene", F.round(length, 4).alias("len"), "cnt", F.round(F.col("cnt") / (length / 1e3) / (F.col("total") / 1e6), 4).alias("fpkm"))
+    return with_total(g, "cnt", by=by).select(*by, "gene", F.round(length, 4).alias("len"), "cnt", F.round(F.col("cnt") / (length / 1e3) / (F.col("total") / 1e6), 4).alias("fpkm"))
 
 
 def path_fpkm(support: Column, length: Column, total: Column) -> Column:
@@ -71,49 +75,6 @@ def full_matrix(counts: DataFrame, samples: list[str], fill: float | None = 0) -
     return wide if fill is None else wide.na.fill(fill)
 
 
-def settled(packed: DataFrame, rounds: int, delta: float, least_rounds: int = 1, noise: float = 0.0, relative: bool = False) -> DataFrame:
-    """(feature, expected, theta, converged) by EM over packed (members array<struct<feature, weight>>, cnt), a row a set of features that cnt
-    fragments fit. Fragments are summed to such sets before, in parallel; rounds are thousands of short steps over the sets, so one task
-    does them all. They end when no expected count moves by ``delta`` (of itself, for thetas of at least 1e-7, if relative) or after
-    ``rounds``; converged says which. With noise, a feature -1 fits every fragment with that weight."""
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    def run(batches):
-        parts = []
-        for b in batches:
-            feature, weight = b.column(0).flatten().flatten()
-            parts.append([x.to_numpy(zero_copy_only=False) for x in (feature, weight, pc.list_value_length(b.column(0)), b.column(1))])
-        feature, weight, size, cnt = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0)] * 4
-        if not len(feature):
-            return
-        names, at = np.unique(feature, return_inverse=True)
-        n, total = len(names), cnt.sum()
-        starts, of = np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
-        back = np.argsort(at, kind="stable")
-        edges, back_of, back_weight = np.searchsorted(at[back], np.arange(n)), of[back], weight[back]
-        now = np.full(n + 1, total / (n + 1)) if noise else np.append(np.bincount(at, (cnt / size)[of], n), 0.0)
-        converged = False
-        for k in range(1, rounds + 1):
-            fit = np.add.reduceat(now[at] * weight, starts) + now[n] * noise
-            share = np.divide(cnt, fit, out=np.zeros(len(fit)), where=fit > 0)
-            new = now * np.append(np.add.reduceat(share[back_of] * back_weight, edges), noise * share.sum())
-            moved = np.abs(new - now)
-            if relative:
-                large = new >= 1e-7 * total
-                moved = moved[large] / new[large]
-            now = new
-            if k >= least_rounds and moved.max(initial=0.0) < delta:
-                converged = True
-                break
-        names, now = (np.append(names, -1), now) if noise else (names, now[:n])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(now), pa.array(now / now.sum()), pa.array([converged] * len(now))], ["feature", "expected", "theta", "converged"])
-
-    one = packed.select("members", F.col("cnt").cast("double").alias("cnt")).repartition(1).sortWithinPartitions("members", "cnt")
-    return one.mapInArrow(run, "feature long, expected double, theta double, converged boolean")
-
-
 def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float = 0.01, cut_every: int = 10) -> DataFrame:
     """(feature, theta, expected, converged) by EM (A21, A22): combos (combo, feature, cnt) are sets of features that cnt fragments fit; lengths
     (feature, len). Shares follow theta over length; rounds end when no expected count moves by ``delta``, or else after ``rounds`` with
@@ -144,11 +105,11 @@ def em_by_read(hits: DataFrame, lengths: DataFrame, rounds: int = 41) -> DataFra
     return rows.select("feature", "expected", "theta", (F.col("expected") * 1e9 / F.col("total") / F.col("len")).alias("efpkm"))
 
 
-def tau(thetas: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(feature, gene, tau): theta over effective length, normalised; sums over a gene's isoforms are gene_tau."""
+def tau(thetas: DataFrame, lengths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, feature, gene, tau, gene_tau): theta over effective length, normalised; sums over a gene's isoforms are gene_tau."""
     rows = thetas.join(lengths, "feature").withColumn("_t", F.col("theta") / F.col("len"))
-    rows = with_total(rows, "_t").withColumn("tau", F.col("_t") / F.col("total"))
-    return rows.withColumn("gene_tau", F.sum("tau").over(Window.partitionBy("comp"))).select("feature", F.col("comp").alias("gene"), F.round("tau", 8).alias("tau"), F.round("gene_tau", 8).alias("gene_tau"))
+    rows = with_total(rows, "_t", by=by).withColumn("tau", F.col("_t") / F.col("total"))
+    return rows.withColumn("gene_tau", F.sum("tau").over(Window.partitionBy(*by, "comp"))).select(*by, "feature", F.col("comp").alias("gene"), F.round("tau", 8).alias("tau"), F.round("gene_tau", 8).alias("gene_tau"))
 
 
 def expressed_curve(values: DataFrame, step: float = 0.2, upto: float = 10.0) -> DataFrame:
@@ -386,35 +347,3 @@ def poisson_bands(counts: DataFrame, level: float = 0.95) -> DataFrame:
             yield pd.DataFrame({"cnt": pdf["cnt"], "low": [r[0] for r in rows], "high": [r[1] for r in rows]})
 
     return counts.select("cnt").distinct().mapInPandas(bands, "cnt long, low long, high long")
-
-
-def gibbs(combos: DataFrame, lengths: DataFrame, chains: int = 4, sweeps: int = 200, burn: int = 50, seed: int = 1) -> DataFrame:
-    """(feature, mean, low, high) of posterior counts by Gibbs sampling (A25). Each chain is one task over the combinations of features, which are
-    sums over all fragments; chains are seeded by their number."""
-    import numpy as np
-    import pandas as pd
-
-    packed = combos.join(lengths, "feature").groupBy("combo").agg(F.sort_array(F.collect_list(F.struct("feature", "len"))).alias("f"), F.max("cnt").alias("cnt"))
-    per_chain = packed.withColumn("chain", F.explode(F.sequence(F.lit(0), F.lit(chains - 1))))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng([seed, int(pdf["chain"].iat[0])])
-        pdf = pdf.sort_values("combo")
-        features = sorted({x["feature"] for fs in pdf["f"] for x in fs})
-        number = {f: i for i, f in enumerate(features)}
-        sets = [(np.array([number[x["feature"]] for x in fs]), np.array([float(x["len"]) for x in fs]), int(c)) for fs, c in zip(pdf["f"], pdf["cnt"], strict=True)]
-        theta = np.full(len(features), 1 / len(features))
-        draws = []
-        for k in range(sweeps):
-            counts = np.ones(len(features))
-            for at, length, c in sets:
-                p = theta[at] / length
-                counts[at] += rng.multinomial(c, p / p.sum())
-            theta = rng.dirichlet(counts)
-            if k >= burn:
-                draws.append(counts - 1)
-        d = np.array(draws)
-        return pd.DataFrame({"feature": features, "mean": d.mean(0), "low": np.quantile(d, 0.025, axis=0), "high": np.quantile(d, 0.975, axis=0)})
-
-    out = per_chain.groupBy("chain").applyInPandas(run, "feature long, mean double, low double, high double")
-    return out.groupBy("feature").agg(F.avg("mean").alias("mean"), F.avg("low").alias("low"), F.avg("high").alias("high"))

@@ -179,9 +179,9 @@ def shared_pairs(kmers: DataFrame, key: str) -> DataFrame:
 
 
 def positions(kmers: DataFrame, key: str) -> DataFrame:
-    """(kmer, key, pos) of k-mers that stand more than once."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("kmer"))
-    return kmers.withColumn("_n", n).where("_n > 1").select("kmer", key, "pos")
+    """(kmer, key, pos) of k-mers that stand more than once (K22). They are counted first, with partial sums, so a repeated one is no single task."""
+    repeated = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("kmer")
+    return kmers.join(repeated, "kmer").select("kmer", key, "pos")
 
 
 def gap_histogram(kmers: DataFrame, key: str) -> DataFrame:
@@ -203,6 +203,28 @@ def within_one_mismatch(counts: DataFrame, wanted: DataFrame, k: int) -> DataFra
     return matching(counts, wanted, k, "one_mismatch")
 
 
+def mismatches(a: Column, b: Column) -> Column:
+    """In how many places two words of one length differ."""
+    return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda d: d))
+
+
+def within_mismatches(counts: DataFrame, wanted: DataFrame, k: int, most: int) -> DataFrame:
+    """(kmer, hit, cnt, mismatches): counted k-mers at no more than ``most`` mismatches (K23). Of most + 1 stretches of two such k-mers one at least is equal, so candidates are an
+    equi-join on a stretch's place and letters; each pair is kept at its first equal stretch, then counted out. Where few stretches are frequent, their joins are skewed, which Spark splits."""
+    if not 0 <= most < k:
+        raise ValueError(f"at least 0 and fewer than {k} mismatches")
+    cuts = [i * k // (most + 1) for i in range(most + 2)]
+    stretch = lambda c, i: F.substring(c, cuts[i] + 1, cuts[i + 1] - cuts[i])
+    parts = lambda c: F.posexplode(F.array(*[stretch(c, i) for i in range(most + 1)])).alias("_i", "_s")
+    ask = wanted.where(F.length("kmer") == k).select("kmer").distinct()
+    have = counts.where(F.length("kmer") == k).select(F.col("kmer").alias("hit"), "cnt")
+    met = ask.select("kmer", parts("kmer")).join(have.select("hit", "cnt", parts("hit")), ["_i", "_s"])
+    earlier = F.lit(False)
+    for i in range(most):
+        earlier = earlier | ((F.col("_i") > i) & (stretch("kmer", i) == stretch("hit", i)))
+    return met.where(~earlier).select("kmer", "hit", "cnt", mismatches(F.col("kmer"), F.col("hit")).alias("mismatches")).where(F.col("mismatches") <= most)
+
+
 #: Ways for k-mers to match (U05): each gives, from (kmer), the rows (kmer, hit) of what would count as its match.
 COMPARATORS = {
     "exact": lambda wanted, k: wanted.select("kmer", F.col("kmer").alias("hit")).distinct(),

@@ -30,9 +30,10 @@ def scratch(spark: SparkSession, tag: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """df as a table in the shared folder, read again: its rows are computed once (a checkpoint computes them twice), and what is read has known sizes."""
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, *order: Column | str, name: str = "rank") -> DataFrame:

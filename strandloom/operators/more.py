@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators.expression import settled
+from strandloom.operators.abundance import settled
 from strandloom.operators.lineage import cut
 
 

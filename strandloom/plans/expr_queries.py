@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
+from strandloom.operators import abundance as AB
 from strandloom.operators import align as AL
 from strandloom.operators import annotation as AN
 from strandloom.operators import clustering as CL
@@ -16,7 +17,9 @@ from strandloom.operators import expression as X
 from strandloom.operators import intervals as I
 from strandloom.operators import kmers as K
 from strandloom.operators import paths as P
+from strandloom.operators import reach as RE
 from strandloom.operators.lineage import cut, numbered
+from strandloom.operators.strands import one_strand
 from strandloom.plans.kmer_queries import kmer_sql, read_counts, reads
 from strandloom.plans.views import rc, view, with_views
 
@@ -66,37 +69,39 @@ def _(s, d):
     return X.refine_mappings(rows)
 
 
-AF = "(SELECT feature, cnt FROM counts WHERE sample = 'AF')"
+def measured(s, d) -> DataFrame:
+    """Counts of all samples, with lengths."""
+    return counts(s, d).join(lengths(s, d), "feature")
 
 
-def one_sample(s, d):
-    return counts(s, d).where("sample = 'AF'").select("feature", "cnt")
+BY = ("sample",)
+ALL = "sum(cnt) OVER (PARTITION BY sample)"
 
 
-@query("a17_feature_fpkm", f"SELECT feature, cnt, floor(cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6)) AS fpkm FROM {AF} c JOIN lengths USING (feature)", "counts", "lengths")
+@query("a17_feature_fpkm", f"SELECT sample, feature, cnt, floor(cnt / (len / 1e3) / ({ALL} / 1e6)) AS fpkm FROM counts c JOIN lengths USING (feature)", "counts", "lengths")
 def _(s, d):
-    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt")
-    return rows.select("feature", "cnt", F.floor(F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).cast("double").alias("fpkm"))
+    rows = X.with_total(measured(s, d), "cnt", by=BY)
+    return rows.select("sample", "feature", "cnt", F.floor(F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).cast("double").alias("fpkm"))
 
 
-@query("a18_transcript_fpkm", f"""WITH e AS (SELECT feature, comp, CASE WHEN len - 300 + 1 < 1 THEN 10 ELSE len - 300 + 1 END AS eff_len, cnt, sum(cnt) OVER () AS t FROM {AF} c JOIN lengths USING (feature)), f AS (SELECT *, cnt / (eff_len / 1e3) / (t / 1e6) AS fpkm FROM e)
- SELECT feature, comp, eff_len, round(fpkm, 4) AS fpkm, round(CASE WHEN sum(fpkm) OVER (PARTITION BY comp) > 0 THEN fpkm / sum(fpkm) OVER (PARTITION BY comp) * 100 ELSE 0 END, 4) AS comp_pct FROM f""", "counts", "lengths")
+@query("a18_transcript_fpkm", f"""WITH e AS (SELECT sample, feature, comp, CASE WHEN len - 300 + 1 < 1 THEN 10 ELSE len - 300 + 1 END AS eff_len, cnt, {ALL} AS t FROM counts c JOIN lengths USING (feature)), f AS (SELECT *, cnt / (eff_len / 1e3) / (t / 1e6) AS fpkm FROM e)
+ SELECT sample, feature, comp, eff_len, round(fpkm, 4) AS fpkm, round(CASE WHEN sum(fpkm) OVER (PARTITION BY sample, comp) > 0 THEN fpkm / sum(fpkm) OVER (PARTITION BY sample, comp) * 100 ELSE 0 END, 4) AS comp_pct FROM f""", "counts", "lengths")
 def _(s, d):
-    return X.transcript_fpkm(one_sample(s, d), lengths(s, d), 300)
+    return X.transcript_fpkm(counts(s, d), lengths(s, d), 300, BY)
 
 
-@query("a19_gene_roll_up", f"""WITH e AS (SELECT comp AS gene, len, cnt, cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6) AS fpkm FROM {AF} c JOIN lengths USING (feature)), g AS (SELECT gene, CASE WHEN sum(fpkm) > 0 THEN sum(len * fpkm) / sum(fpkm) ELSE avg(len) END AS len, sum(cnt)::BIGINT AS cnt FROM e GROUP BY gene)
- SELECT gene, round(len, 4) AS len, cnt, round(cnt / (len / 1e3) / (sum(cnt) OVER () / 1e6), 4) AS fpkm FROM g""", "counts", "lengths")
+@query("a19_gene_roll_up", f"""WITH e AS (SELECT sample, comp AS gene, len, cnt, cnt / (len / 1e3) / ({ALL} / 1e6) AS fpkm FROM counts c JOIN lengths USING (feature)), g AS (SELECT sample, gene, CASE WHEN sum(fpkm) > 0 THEN sum(len * fpkm) / sum(fpkm) ELSE avg(len) END AS len, sum(cnt)::BIGINT AS cnt FROM e GROUP BY sample, gene)
+ SELECT sample, gene, round(len, 4) AS len, cnt, round(cnt / (len / 1e3) / ({ALL} / 1e6), 4) AS fpkm FROM g""", "counts", "lengths")
 def _(s, d):
-    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt")
-    rows = rows.select(F.col("comp").alias("gene"), "len", "cnt", (F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).alias("fpkm"))
-    return X.gene_roll_up(rows)
+    rows = X.with_total(measured(s, d), "cnt", by=BY)
+    rows = rows.select("sample", F.col("comp").alias("gene"), "len", "cnt", (F.col("cnt") / (F.col("len") / 1e3) / (F.col("total") / 1e6)).alias("fpkm"))
+    return X.gene_roll_up(rows, BY)
 
 
-@query("a20_path_fpkm", f"SELECT feature, round(cnt / len * 1e9 / sum(cnt) OVER (), 4) AS fpkm FROM {AF} c JOIN lengths USING (feature)", "counts", "lengths")
+@query("a20_path_fpkm", f"SELECT sample, feature, round(cnt / len * 1e9 / {ALL}, 4) AS fpkm FROM counts c JOIN lengths USING (feature)", "counts", "lengths")
 def _(s, d):
-    rows = X.with_total(one_sample(s, d).join(lengths(s, d), "feature"), "cnt", "t")
-    return rows.select("feature", F.round(X.path_fpkm(F.col("cnt"), F.col("len"), F.col("t")), 4).alias("fpkm"))
+    rows = X.with_total(measured(s, d), "cnt", "t", BY)
+    return rows.select("sample", "feature", F.round(X.path_fpkm(F.col("cnt"), F.col("len"), F.col("t")), 4).alias("fpkm"))
 
 
 @query("a09_split_support", f"WITH {HITS_SQL}, c AS (SELECT frag AS read, feature AS path, frag % 7 + 1 AS cnt FROM h), x AS (SELECT path, cnt, cnt // count(*) OVER (PARTITION BY read) AS sh FROM c) SELECT path, sum(cnt)::BIGINT AS total, sum(sh)::BIGINT AS split FROM x GROUP BY path", "frags", "features")
@@ -159,15 +164,15 @@ def _(s, d):
     return X.em_by_read(chances(s, d), lengths(s, d))
 
 
-@query("a24_tau", f"WITH t AS (SELECT feature, comp, cnt / sum(cnt) OVER () / len AS t FROM {AF} c JOIN lengths USING (feature)), u AS (SELECT feature, comp AS gene, t / sum(t) OVER () AS tau FROM t) SELECT feature, gene, round(tau, 8) AS tau, round(sum(tau) OVER (PARTITION BY gene), 8) AS gene_tau FROM u", "counts", "lengths")
+@query("a24_tau", f"WITH t AS (SELECT sample, feature, comp, cnt / {ALL} / len AS t FROM counts c JOIN lengths USING (feature)), u AS (SELECT sample, feature, comp AS gene, t / sum(t) OVER (PARTITION BY sample) AS tau FROM t) SELECT sample, feature, gene, round(tau, 8) AS tau, round(sum(tau) OVER (PARTITION BY sample, gene), 8) AS gene_tau FROM u", "counts", "lengths")
 def _(s, d):
-    thetas = X.with_total(one_sample(s, d), "cnt").select("feature", (F.col("cnt") / F.col("total")).alias("theta"))
-    return X.tau(thetas, lengths(s, d))
+    thetas = X.with_total(counts(s, d), "cnt", by=BY).select("sample", "feature", (F.col("cnt") / F.col("total")).alias("theta"))
+    return X.tau(thetas, lengths(s, d), BY)
 
 
 @query("a25_gibbs")
 def _(s, d):
-    return X.gibbs(combos(s, d), lengths(s, d), chains=2, sweeps=40, burn=10)
+    return AB.gibbs(combos(s, d), lengths(s, d))
 
 
 @query("a26_expressed_curve", "WITH t AS (SELECT unnest(range(0, 51)) AS k), v AS (SELECT least(CAST(floor(cnt / 10 / 0.2 + 1e-9) AS BIGINT), 50) AS k FROM counts) SELECT round(t.k * 0.2, 2) AS threshold, (SELECT count(*) FROM v WHERE v.k >= t.k) AS n FROM t", "counts")
@@ -466,7 +471,7 @@ def _(s, d):
 
 KG = 24
 BUNDLES = "bun AS (SELECT gene AS component, seq || 'X' || substr(seq, 1, 40) || 'N' || substr(seq, 41, 40) AS seq FROM transcripts)"
-EDGE_SQL = f"{BUNDLES}, part AS (SELECT component, regexp_replace(unnest(string_split(seq, 'X')), '[^ACGTacgt]', 'A', 'g') AS seq FROM bun), e AS (SELECT component, substr(kmer, 1, {KG}) AS src, substr(kmer, 2, {KG}) AS dst, count(*) AS w FROM {kmer_sql(KG + 1, 'part', 'component')} x GROUP BY 1, 2, 3)"
+EDGE_SQL = f"{BUNDLES}, part AS (SELECT component, regexp_replace(unnest(string_split(seq, 'X')), '[^ACGTacgt]', 'A', 'g') AS seq FROM bun), e AS MATERIALIZED (SELECT component, substr(kmer, 1, {KG}) AS src, substr(kmer, 2, {KG}) AS dst, count(*) AS w FROM {kmer_sql(KG + 1, 'part', 'component')} x GROUP BY 1, 2, 3)"
 
 
 def edges(s, d) -> DataFrame:
@@ -484,12 +489,26 @@ def _(s, d):
     return G.roots(edges(s, d))
 
 
-@query("p03_one_strand", f"WITH {EDGE_SQL} SELECT component, src, dst, w FROM e WHERE src || '>' || dst <= {rc('dst')} || '>' || {rc('src')}", "transcripts")
+# Transcripts as unstranded reads give them: every second one is of the other strand. In SQL, transcripts of a bundle that share a k-mer on either strand are chained to items of
+# one orientation, and the orientation with the smallest k-mer stays.
+UNSTRANDED = f"""us AS (SELECT gene AS component, tid, CASE WHEN tid % 2 = 1 THEN {rc('seq')} ELSE seq END AS seq FROM transcripts), it AS (SELECT component, tid, 0 AS side, seq FROM us UNION ALL SELECT component, tid, 1, {rc('seq')} FROM us),
+ nd AS (SELECT component, tid, side, substr(seq, p, {KG}) AS node FROM (SELECT *, unnest(range(1, length(seq) - {KG - 2})) AS p FROM it) x), ad AS (SELECT DISTINCT a.component, a.tid, a.side, b.tid AS tid2, b.side AS side2 FROM nd a JOIN nd b USING (component, node)),
+ rd AS (SELECT component, tid, side, tid AS tid2, side AS side2 FROM it UNION SELECT r.component, r.tid, r.side, a.tid2, a.side2 FROM rd r JOIN ad a ON a.component = r.component AND a.tid = r.tid2 AND a.side = r.side2),
+ lb AS (SELECT r.component, r.tid, r.side, min(node) AS least FROM rd r JOIN nd n ON n.component = r.component AND n.tid = r.tid2 AND n.side = r.side2 GROUP BY 1, 2, 3), nl AS (SELECT DISTINCT component, node, least FROM nd JOIN lb USING (component, tid, side)),
+ ue AS (SELECT component, substr(seq, p, {KG}) AS src, substr(seq, p + 1, {KG}) AS dst, count(*) AS w FROM (SELECT *, unnest(range(1, length(seq) - {KG - 1})) AS p FROM it) x GROUP BY 1, 2, 3)"""
+
+
+def unstranded(s, d) -> DataFrame:
+    t = transcripts(s, d)
+    return G.build(t.select(F.col("gene").alias("component"), F.when(F.col("tid") % 2 == 1, S.revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq")), KG, both_strands=True)
+
+
+@query("p03_one_strand", f"WITH RECURSIVE {UNSTRANDED} SELECT ue.component, src, dst, w FROM ue JOIN nl a ON a.component = ue.component AND a.node = src JOIN nl b ON b.component = ue.component AND b.node = {rc('src')} WHERE a.least < b.least", "transcripts")
 def _(s, d):
-    return G.one_strand(edges(s, d))
+    return one_strand(unstranded(s, d))
 
 
-SUPPORT = f"{EDGE_SQL}, sup AS (SELECT kmer, count(*) AS n FROM {kmer_sql(KG + 1)} y GROUP BY kmer), se AS (SELECT component, src, dst, coalesce(n, 0) AS w FROM e LEFT JOIN sup ON sup.kmer = src || substr(dst, {KG}))"
+SUPPORT = f"{EDGE_SQL}, sup AS MATERIALIZED (SELECT kmer, count(*) AS n FROM {kmer_sql(KG + 1)} y GROUP BY kmer), se AS MATERIALIZED (SELECT component, src, dst, coalesce(n, 0) AS w FROM e LEFT JOIN sup ON sup.kmer = src || substr(dst, {KG}))"
 
 
 def supported(s, d) -> DataFrame:
@@ -533,7 +552,7 @@ def _(s, d):
 
 
 TOY = "se AS (SELECT o_custkey % 20 AS component, 'n' || (o_orderkey % 30) AS src, 'n' || (30 + o_orderkey * 7 % 25) AS dst, count(*) AS w FROM orders GROUP BY 1, 2, 3)"
-TOY2 = "se AS (SELECT l_suppkey AS component, 'a' || (l_orderkey % 60) AS src, 'm' || l_partkey AS dst, count(*) AS w FROM lineitem GROUP BY 1, 2, 3 UNION ALL SELECT l_suppkey, 'm' || l_partkey, 'z' || (l_linenumber % 4), count(*) FROM lineitem GROUP BY 1, 2, 3)"
+TOY2 = "se AS MATERIALIZED (SELECT l_suppkey AS component, 'a' || (l_orderkey % 60) AS src, 'm' || l_partkey AS dst, count(*) AS w FROM lineitem GROUP BY 1, 2, 3 UNION ALL SELECT l_suppkey, 'm' || l_partkey, 'z' || (l_linenumber % 4), count(*) FROM lineitem GROUP BY 1, 2, 3)"
 
 
 def steps(s, d) -> DataFrame:
@@ -568,6 +587,16 @@ def _(s, d):
     return G.reachable(toy(s, d))
 
 
+ASKED = "SELECT DISTINCT component, a, b FROM (SELECT l_suppkey AS component, 'a' || (l_partkey % 60) AS a, 'z' || (l_linenumber % 4) AS b FROM lineitem UNION ALL SELECT l_suppkey, 'a' || (l_orderkey % 60), 'm' || (l_partkey + l_linenumber % 2) FROM lineitem UNION ALL SELECT l_suppkey, 'm' || l_partkey, 'z' || ((l_partkey + l_orderkey) % 4) FROM lineitem UNION ALL SELECT l_suppkey, 'z' || (l_linenumber % 4), 'a' || (l_orderkey % 60) FROM lineitem) x"
+
+
+@query("p16_ancestral", f"WITH {TOY2}, q AS ({ASKED}), r AS (SELECT component, src AS a, dst AS b FROM se UNION SELECT x.component, x.src, y.dst FROM se x JOIN se y ON y.component = x.component AND y.src = x.dst) SELECT component, a, b, EXISTS (SELECT 1 FROM r WHERE r.component = q.component AND r.a = q.a AND r.b = q.b) AS reaches FROM q")
+def _(s, d):
+    graph = toy(s, d)  # reads lineitem as a view, which the pairs come from too
+    return RE.reaches(graph, s.sql(ASKED)).select("component", "a", "b", "reaches")
+
+
+
 TRI = "tri AS (SELECT l_suppkey AS component, 'a' || (l_orderkey % 60) AS x, 'm' || l_partkey AS y, 'z' || (l_linenumber % 4) AS z FROM lineitem)"
 
 
@@ -805,9 +834,9 @@ def _(s, d):
     return columns.select("gene", "pos", S.iupac_code(F.col("bs")).alias("code"))
 
 
-@query("n21_percent_identity", "SELECT feature, round(cnt / (cnt + feature % 5) * 100, 2) AS pct FROM counts WHERE sample = 'AF'", "counts")
+@query("n21_percent_identity", "SELECT sample, feature, round(cnt / (cnt + feature % 5) * 100, 2) AS pct FROM counts", "counts")
 def _(s, d):
-    return one_sample(s, d).select("feature", S.percent_identity(F.col("cnt"), F.col("feature") % 5).alias("pct"))
+    return counts(s, d).select("sample", "feature", S.percent_identity(F.col("cnt"), F.col("feature") % 5).alias("pct"))
 
 
 @query("n22_numeric", "SELECT feature, sample, round(log2(cnt), 6) AS l2, round(ln(cnt), 6) AS l, CAST(ceil(cnt / 7) AS BIGINT) AS bin FROM counts", "counts")
@@ -815,9 +844,9 @@ def _(s, d):
     return counts(s, d).select("feature", "sample", F.round(F.log2("cnt"), 6).alias("l2"), F.round(F.log("cnt"), 6).alias("l"), F.ceil(F.col("cnt") / 7).alias("bin"))
 
 
-@query("o02_longest", "SELECT feature, len FROM lengths ORDER BY len DESC, feature LIMIT 50", "lengths")
+@query("o02_longest", "SELECT feature, len FROM lengths ORDER BY len DESC, feature LIMIT 500", "lengths")
 def _(s, d):
-    return lengths(s, d).orderBy(F.desc("len"), "feature").limit(50).select("feature", "len")
+    return lengths(s, d).orderBy(F.desc("len"), "feature").limit(500).select("feature", "len")
 
 
 @query("o03_order_by_length", "SELECT feature, len, row_number() OVER (PARTITION BY comp ORDER BY len DESC, feature)::INTEGER AS place FROM lengths", "lengths")

@@ -183,20 +183,20 @@ def _(s, d):
     return formats.edge_list(s, written(s, lines, F.col("line"), "edges"))
 
 
-@query("s14_hmmer_reader", "SELECT 'd' || feature % 90 AS target, 'q' || feature AS query, cnt / 1000 AS e_value, cnt::DOUBLE AS score, 'some domain ' || feature AS description FROM counts WHERE sample = 'AF'", "counts")
+@query("s14_hmmer_reader", "SELECT 'd' || feature % 90 AS target, 'q' || feature || '_' || sample AS query, cnt / 1000 AS e_value, cnt::DOUBLE AS score, 'some domain ' || feature AS description FROM counts", "counts")
 def _(s, d):
-    c = counts(s, d).where("sample = 'AF'")
-    line = F.concat_ws("   ", F.format_string("d%d", F.col("feature") % 90), F.lit("PF1"), F.format_string("q%d", "feature"), F.lit("-"), (F.col("cnt") / 1000).cast("string"), F.col("cnt").cast("string"), *[F.lit("0.0")] * 12, F.format_string("some domain %d", "feature"))
+    c = counts(s, d)
+    line = F.concat_ws("   ", F.format_string("d%d", F.col("feature") % 90), F.lit("PF1"), F.format_string("q%d_%s", "feature", "sample"), F.lit("-"), (F.col("cnt") / 1000).cast("string"), F.col("cnt").cast("string"), *[F.lit("0.0")] * 12, F.format_string("some domain %d", "feature"))
     return formats.hmmer_table(s, written(s, c.unionByName(c.limit(0)), line, "hmmer"))
 
 
-@query("s14_blast_xml_reader", "SELECT 'q' || feature AS query, 'hit ' || feature % 77 AS hit, 1 / (1e6 + cnt) AS e_value FROM counts WHERE sample = 'RF' AND feature % 2 = 0", "counts")
+@query("s14_blast_xml_reader", "SELECT 'q' || feature || '_' || sample AS query, 'hit ' || feature % 77 AS hit, 1 / (1e6 + cnt) AS e_value FROM counts WHERE feature % 2 = 0", "counts")
 def _(s, d):
-    c = counts(s, d).where("sample = 'RF'")
+    c = counts(s, d)
     e = F.when(F.col("feature") % 2 == 0, 1 / (1e6 + F.col("cnt"))).otherwise(F.lit(0.5))
-    line = F.concat(F.format_string("<Iteration><Iteration_query-def>q%d</Iteration_query-def><Iteration_hits><Hit><Hit_def>hit %d</Hit_def><Hit_hsps><Hsp><Hsp_evalue>", "feature", F.col("feature") % 77), e.cast("string"), F.lit("</Hsp_evalue></Hsp></Hit_hsps></Hit></Iteration_hits></Iteration>"))
+    line = F.concat(F.format_string("<Iteration><Iteration_query-def>q%d_%s</Iteration_query-def><Iteration_hits><Hit><Hit_def>hit %d</Hit_def><Hit_hsps><Hsp><Hsp_evalue>", "feature", "sample", F.col("feature") % 77), e.cast("string"), F.lit("</Hsp_evalue></Hsp></Hit_hsps></Hit></Iteration_hits></Iteration>"))
     reports = -(-c.count() // 500) or 1  # a report a file, of some hundred queries
-    rows = c.select(F.pmod(F.xxhash64("feature"), F.lit(reports)).alias("report"), line.alias("line")).groupBy("report").agg(F.concat(F.lit("<BlastOutput>\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n</BlastOutput>")).alias("line"))
+    rows = c.select(F.pmod(F.xxhash64("feature", "sample"), F.lit(reports)).alias("report"), line.alias("line")).groupBy("report").agg(F.concat(F.lit("<BlastOutput>\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n</BlastOutput>")).alias("line"))
     path = scratch(s, "blast")
     sinks.write_lines(rows, F.col("line"), path, ["report"])
     return formats.blast_xml(s, path)

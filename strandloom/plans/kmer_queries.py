@@ -213,6 +213,13 @@ def _(spark, d):
     return K.within_one_mismatch(read_counts(spark, d, SMALL_K), first, SMALL_K)
 
 
+@query("k23_within_three_mismatches", f"""WITH c AS {SMALL}, w AS (SELECT DISTINCT substr(seq, 1, {SMALL_K}) AS kmer FROM transcripts)
+ SELECT w.kmer, c.kmer AS hit, c.cnt, hamming(w.kmer, c.kmer)::INTEGER AS mismatches FROM w JOIN c ON hamming(w.kmer, c.kmer) <= 3""", "reads", "transcripts")
+def _(spark, d):
+    first = view(spark, d, "transcripts").select(F.substring("seq", 1, SMALL_K).alias("kmer"))
+    return K.within_mismatches(read_counts(spark, d, SMALL_K), first, SMALL_K, 3)
+
+
 FREQUENT = f"(SELECT kmer FROM {COUNTS} f WHERE cnt >= 20)"
 
 

@@ -8,6 +8,7 @@ from strandloom.functions import seq as S
 from strandloom.operators import contigs as CT
 from strandloom.operators import kmers as K
 from strandloom.operators import more as M
+from strandloom.operators import sampletree as ST
 from strandloom.plans.expr_queries import TOY2, counts, hits, toy, transcripts
 from strandloom.plans.kmer_queries import kmer_sql, read_counts, reads
 from strandloom.plans.views import view, with_views
@@ -78,6 +79,16 @@ def _(s, d):
     return M.agglomerate(wide.select("feature", F.array(*[F.log2(F.col(c) + 1) for c in ("AF", "NF", "NO", "RF")]).alias("value")), 5)
 
 
+@query("p27_sample_correlations", "WITH g AS (SELECT f.feature, x.sample, log2(coalesce(c.cnt, 0) + 1) AS v FROM (SELECT DISTINCT feature FROM counts) f CROSS JOIN (SELECT DISTINCT sample FROM counts) x LEFT JOIN counts c ON c.feature = f.feature AND c.sample = x.sample), m AS (SELECT feature, sample, round(v - avg(v) OVER (PARTITION BY feature), 9) AS v FROM g), r AS (SELECT feature, sample, rank() OVER (PARTITION BY sample ORDER BY v) + (count(*) OVER (PARTITION BY sample, v) - 1) / 2 AS r FROM m) SELECT a.sample AS a, b.sample AS b, round(corr(a.r, b.r), 6) AS rho FROM r a JOIN r b ON a.feature = b.feature AND a.sample < b.sample GROUP BY 1, 2", "counts")
+def _(s, d):
+    return ST.correlations(counts(s, d).withColumnRenamed("cnt", "value")).select("a", "b", F.round("rho", 6).alias("rho"))
+
+
+@query("p27_sample_clusters")
+def _(s, d):
+    return ST.clusters(counts(s, d).withColumnRenamed("cnt", "value"), 2)
+
+
 @query("g07_reachable_kmers", f"WITH RECURSIVE c AS (SELECT kmer FROM {kmer_sql(25)} x GROUP BY kmer HAVING count(*) >= 5), st AS (SELECT DISTINCT substr(seq, 1, 25) AS start FROM transcripts), r AS (SELECT start, kmer FROM st JOIN c ON kmer = start UNION SELECT r.start, c.kmer FROM r JOIN c ON substr(c.kmer, 1, 24) = substr(r.kmer, 2)) SELECT start, kmer FROM r", "reads", "transcripts")
 def _(s, d):
     kept = K.at_least(read_counts(s, d), 5)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import clustering, coding, coverage, debruijn, expression, intervals
+from strandloom.operators import abundance, clustering, coding, coverage, debruijn, expression, intervals
 from strandloom.sources import formats, sinks
 
 
@@ -345,7 +345,7 @@ def test_gibbs_is_near_em(spark):
     combos = spark.createDataFrame([("1", 1, 900), ("2", 2, 100), ("1,2", 1, 1000), ("1,2", 2, 1000)], "combo string, feature long, cnt long")
     lengths = spark.createDataFrame([(1, 100), (2, 100)], "feature long, len long")
     em = {x.feature: x.expected for x in expression.em(combos, lengths, 5000, 1e-6).collect()}
-    got = {x.feature: x for x in expression.gibbs(combos, lengths, 2, 400, 100).collect()}
+    got = {x.feature: x for x in abundance.gibbs(combos, lengths, 2, 400, 100).collect()}
     assert all(abs(got[f].mean - em[f]) < 40 and got[f].low < em[f] < got[f].high for f in em)
-    again = {x.feature: x for x in expression.gibbs(combos.repartition(3), lengths, 2, 400, 100).collect()}
+    again = {x.feature: x for x in abundance.gibbs(combos.repartition(3), lengths, 2, 400, 100).collect()}
     assert again == got
