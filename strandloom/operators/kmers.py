@@ -29,13 +29,16 @@ def count(kmers: DataFrame, canonical: bool = False, weight: Column | None = Non
     return kmers.groupBy(kmer.alias("kmer")).agg(total.alias("cnt"))
 
 
-def count_in(df: DataFrame, k: int, canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), seq: str = "seq", plain_only: bool = False, method: str = "auto") -> DataFrame:
+def count_in(df: DataFrame, k: int, canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), seq: str = "seq", plain_only: bool = False, method: str = "auto", decode: bool = True) -> DataFrame:
     """(*by, kmer, cnt) of the k-mers of sequences: as ``count`` of their windows, packed in numbers where k allows it. weight is a whole-number column; plain_only leaves out k-mers with other letters than A, C, G, T.
-    method (U03): packed, words, or auto for packed where it can; all give the same."""
+    method (U03): packed, words, or auto for packed where it can; all give the same. Without decode (k up to packed.MOST), k-mers stay code and word, for operators that take
+    them so; ``packed.decoded`` gives their letters at the end."""
     if method not in ("auto", "packed", "words"):
         raise ValueError(f"no method {method!r}")
     if method == "packed" or method == "auto" and k <= packed.MOST:
-        return packed.count(df, k, seq, canonical, weight, by, plain_only=plain_only)
+        return packed.count(df, k, seq, canonical, weight, by, plain_only=plain_only, decode=decode)
+    if not decode:
+        raise ValueError(f"k-mers of {k} letters can't be packed")
     rows = explode_kmers(df, k, seq, keep=(*by, *([weight] if weight else [])))
     rows = rows.where(F.col("kmer").rlike("^[ACGT]+$")) if plain_only else rows
     kmer = S.canonical(F.col("kmer")) if canonical else F.col("kmer")
@@ -118,8 +121,9 @@ def entropy_at_least(counts: DataFrame, least: float) -> DataFrame:
 
 def prune_errors(counts: DataFrame, ratio: float = 0.05) -> DataFrame:
     """Without k-mers that are rare beside the most frequent one with the same first k-1 letters (F05). Every k-mer
-    is compared with the dominant one as counted, so the result has no order to depend on."""
-    dominant = F.max("cnt").over(Window.partitionBy(F.expr("substring(kmer, 1, length(kmer) - 1)")))
+    is compared with the dominant one as counted, so the result has no order to depend on. counts may be packed."""
+    key = [F.expr("substring(kmer, 1, length(kmer) - 1)")] if "kmer" in counts.columns else packed.without_last(0)
+    dominant = F.max("cnt").over(Window.partitionBy(*key))
     return counts.withColumn("_d", dominant).where(F.col("cnt") / F.col("_d") >= ratio).drop("_d")
 
 
@@ -129,20 +133,33 @@ def query(counts: DataFrame, wanted: DataFrame, canonical: bool = False) -> Data
     return ask.join(counts.select(F.col("kmer").alias("_k"), "cnt"), "_k", "left").select("kmer", F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
-def successors(counts: DataFrame) -> DataFrame:
-    """(kmer, next, next_cnt, rank): the counted k-mers that follow by one letter, most frequent first, ties by letters."""
-    a = counts.select("kmer", F.expr("substring(kmer, 2)").alias("_j"))
-    b = counts.select(F.col("kmer").alias("next"), F.col("cnt").alias("next_cnt"), F.expr("substring(kmer, 1, length(kmer) - 1)").alias("_j"))
-    best = Window.partitionBy("kmer").orderBy(F.desc("next_cnt"), "next")
-    return a.join(b, "_j").where("next_cnt > 0").select("kmer", "next", "next_cnt", F.row_number().over(best).alias("rank"))
+def successors(counts: DataFrame, k: int = 0) -> DataFrame:
+    """(kmer, next, next_cnt, rank): the counted k-mers that follow by one letter, most frequent first, ties by letters (K26). All k-mers that share their last k - 1 letters have the
+    same ones, so those are ranked before the join, where they lie. counts may be packed, of k letters."""
+    return _beside(counts, k, "next")
 
 
-def predecessors(counts: DataFrame) -> DataFrame:
+def predecessors(counts: DataFrame, k: int = 0) -> DataFrame:
     """(kmer, prev, prev_cnt, rank), as successors."""
-    a = counts.select("kmer", F.expr("substring(kmer, 1, length(kmer) - 1)").alias("_j"))
-    b = counts.select(F.col("kmer").alias("prev"), F.col("cnt").alias("prev_cnt"), F.expr("substring(kmer, 2)").alias("_j"))
-    best = Window.partitionBy("kmer").orderBy(F.desc("prev_cnt"), "prev")
-    return a.join(b, "_j").where("prev_cnt > 0").select("kmer", "prev", "prev_cnt", F.row_number().over(best).alias("rank"))
+    return _beside(counts, k, "prev")
+
+
+def _beside(counts: DataFrame, k: int, name: str) -> DataFrame:
+    plain, on = "kmer" in counts.columns, ["_j", "_w"]
+    if plain:
+        head, tail = ([F.expr(f"substring(kmer, {x}")] for x in ("1, length(kmer) - 1)", "2)"))
+        own, other, letter = ["kmer"], [F.col("kmer").alias(name)], F.col("kmer")
+        on = on[:1]
+    else:
+        head, tail = packed.without_last(k), packed.without_first(k)
+        own, other = ["code", "word"], [F.col("code").alias("_code"), F.col("word").alias("_word")]
+        letter = packed.last_letter() if name == "next" else packed.first_letter(k)
+    mine, theirs = (tail, head) if name == "next" else (head, tail)
+    key = lambda cols: [c.alias(x) for c, x in zip(cols, on, strict=True)]
+    b = counts.where("cnt > 0").select(*key(theirs), *other, F.col("cnt").alias(f"{name}_cnt"), letter.alias("_l"))
+    b = b.withColumn("rank", F.row_number().over(Window.partitionBy(*on).orderBy(F.desc(f"{name}_cnt"), "_l"))).drop("_l")
+    out = counts.select(*own, *key(mine)).join(b, on).drop(*on)
+    return out if plain else packed.decoded(packed.decoded(out, k), k, "_code", "_word", name)
 
 
 def describe(counts: DataFrame) -> DataFrame:
@@ -154,8 +171,11 @@ def describe(counts: DataFrame) -> DataFrame:
 
 
 def thread(df: DataFrame, counts: DataFrame, k: int, key: str, seq: str = "seq") -> DataFrame:
-    """(key, pos, kmer, cnt) along each sequence, 0 for k-mers that aren't counted."""
-    return explode_kmers(df, k, seq, keep=(key,), position=True).join(counts, "kmer", "left").select(key, "pos", "kmer", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    """(key, pos, kmer, cnt) along each sequence, 0 for k-mers that aren't counted (K28). counts may be packed."""
+    if "kmer" in counts.columns:
+        return explode_kmers(df, k, seq, keep=(key,), position=True).join(counts, "kmer", "left").select(key, "pos", "kmer", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    rows = packed.windows(df, k, key, seq).join(counts, ["code", "word"], "left")
+    return packed.decoded(rows.select(key, "pos", "code", "word", F.coalesce("cnt", F.lit(0)).alias("cnt")), k)
 
 
 def connected(a: Column, b: Column, ratio: float) -> Column:

@@ -114,8 +114,8 @@ def _keys(b: pa.RecordBatch, n: int) -> tuple[list[pa.Array], np.ndarray]:
     return [pa.array(c, f.type) for c, f in zip(zip(*known, strict=True), table.schema, strict=True)] if known else [pa.array([], f.type) for f in table.schema], which
 
 
-def count(df: DataFrame, k: int, seq: str = "seq", canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), frames: int = 0, plain_only: bool = False) -> DataFrame:
-    """(*by, kmer, cnt): how often each k-mer stands in the sequences, of both strands together if canonical; cnt sums a whole-number column if there is a weight.
+def count(df: DataFrame, k: int, seq: str = "seq", canonical: bool = False, weight: str | None = None, by: tuple[str, ...] = (), frames: int = 0, plain_only: bool = False, decode: bool = True) -> DataFrame:
+    """(*by, kmer, cnt), or (*by, code, word, cnt) if not decoded: how often each k-mer stands in the sequences, of both strands together if canonical; cnt sums a whole-number column if there is a weight.
     frames adds a column ``frame``, the place modulo so many. plain_only leaves out k-mers with other letters than A, C, G, T."""
     if not 1 <= k <= MOST:
         raise ValueError(f"k must be from 1 to {MOST}")
@@ -156,8 +156,39 @@ def count(df: DataFrame, k: int, seq: str = "seq", canonical: bool = False, weig
     found = rows.mapInArrow(run, ", ".join([*head, "code long", "word string", "cnt long"]))
     keys = [*by, *(["frame"] if frames else [])]
     total = found.groupBy(*keys, "code", "word").agg(F.sum("cnt").alias("cnt"))
-    kmer = F.when(F.col("code") >= 0, letters(F.col("code"), k)).otherwise(F.col("word"))
-    return total.select(*keys, F.explode(F.array(kmer)).alias("kmer"), "cnt")  # generated, so that what names it later doesn't compute it again each time
+    return decoded(total, k) if decode else total
+
+
+def decoded(df: DataFrame, k: int, code: str = "code", word: str = "word", name: str = "kmer") -> DataFrame:
+    """df with a k-mer's letters in place of its code and word. They are generated, so that what names them later doesn't compute them again each time."""
+    kmer = F.when(F.col(code) >= 0, letters(F.col(code), k)).otherwise(F.col(word))
+    out = [F.explode(F.array(kmer)).alias(name) if c == code else F.col(c) for c in df.columns if c != word]
+    return df.select(*out)
+
+
+def _part(code: Column, rest: Column) -> list[Column]:
+    """Code and word of a part of a k-mer: of its code where it has one, else of the part's letters, which may be plain where the k-mer isn't."""
+    plain = rest.rlike("^[ACGT]+$")
+    digits = F.conv(F.translate(rest, "ACGT", "0123"), 4, 10).cast("long")
+    return [F.when(F.col("code") >= 0, code).when(plain, digits).otherwise(F.lit(-1).cast("long")), F.when((F.col("code") >= 0) | plain, "").otherwise(rest)]
+
+
+def without_last(k: int) -> list[Column]:
+    """(code, word) of a k-mer's first k - 1 letters."""
+    return _part(F.shiftright("code", 2), F.expr("substring(word, 1, length(word) - 1)"))
+
+
+def without_first(k: int) -> list[Column]:
+    """(code, word) of a k-mer's last k - 1 letters."""
+    return _part(F.col("code").bitwiseAND(F.lit((1 << 2 * (k - 1)) - 1)), F.expr("substring(word, 2)"))
+
+
+def last_letter() -> Column:
+    return F.when(F.col("code") >= 0, F.substring(F.lit("ACGT"), F.col("code").bitwiseAND(F.lit(3)).cast("int") + 1, F.lit(1))).otherwise(F.expr("substring(word, -1, 1)"))
+
+
+def first_letter(k: int) -> Column:
+    return F.when(F.col("code") >= 0, F.substring(F.lit("ACGT"), F.shiftright("code", 2 * (k - 1)).cast("int") + 1, F.lit(1))).otherwise(F.expr("substring(word, 1, 1)"))
 
 
 def windows(df: DataFrame, k: int, key: str, seq: str = "seq", canonical: bool = False) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Set operations on k-mer tables. Tables of several databases are one frame (db, kmer, cnt), so each operation is one aggregation."""
+"""Set operations on k-mer tables. Tables of several databases are one frame (db, kmer, cnt), so each operation is one aggregation. K-mers may be packed, (code, word) in
+place of kmer, here and in what is returned, so that whole numbers are shuffled and letters are made at the end."""
 
 from __future__ import annotations
 
@@ -13,13 +14,18 @@ def tagged(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [t.select(F.lit(name).alias("db"), "kmer", "cnt") for name, t in tables.items()])
 
 
+def _key(df: DataFrame) -> list[str]:
+    return ["kmer"] if "kmer" in df.columns else ["code", "word"]
+
+
 def _by_kmer(dbs: DataFrame, value, n: int | None = None, condition=None) -> DataFrame:
-    out = dbs.groupBy("kmer").agg(value.alias("cnt"), F.count_distinct("db").alias("_n"))
+    key = _key(dbs)
+    out = dbs.groupBy(*key).agg(value.alias("cnt"), F.count_distinct("db").alias("_n"))
     if n is not None:
         out = out.where(F.col("_n") == n)
     if condition is not None:
         out = out.where(condition(F.col("_n")))
-    return out.select("kmer", "cnt")
+    return out.select(*key, "cnt")
 
 
 def minimum(dbs: DataFrame, n: int) -> DataFrame:
@@ -55,20 +61,23 @@ def presence(dbs: DataFrame, how: str, n: int) -> DataFrame:
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
     """A minus B, at least 0; zeros and k-mers of B alone are dropped."""
-    rows = a.join(b.select("kmer", F.col("cnt").alias("_b")), "kmer", "left")
-    return rows.select("kmer", F.greatest(F.col("cnt") - F.coalesce("_b", F.lit(0)), F.lit(0)).alias("cnt")).where("cnt > 0")
+    key = _key(a)
+    rows = a.join(b.select(*key, F.col("cnt").alias("_b")), key, "left")
+    return rows.select(*key, F.greatest(F.col("cnt") - F.coalesce("_b", F.lit(0)), F.lit(0)).alias("cnt")).where("cnt > 0")
 
 
 def absolute(a: DataFrame, b: DataFrame) -> DataFrame:
     """|A - B| over the k-mers of either; zeros are dropped."""
-    rows = a.select("kmer", F.col("cnt").alias("_a")).join(b.select("kmer", F.col("cnt").alias("_b")), "kmer", "full")
-    return rows.select("kmer", F.abs(F.coalesce("_a", F.lit(0)) - F.coalesce("_b", F.lit(0))).alias("cnt")).where("cnt > 0")
+    key = _key(a)
+    rows = a.select(*key, F.col("cnt").alias("_a")).join(b.select(*key, F.col("cnt").alias("_b")), key, "full")
+    return rows.select(*key, F.abs(F.coalesce("_a", F.lit(0)) - F.coalesce("_b", F.lit(0))).alias("cnt")).where("cnt > 0")
 
 
 def divide(a: DataFrame, b: DataFrame) -> DataFrame:
     """floor(1000 A / B) of the k-mers of both, below 2**32."""
-    rows = a.join(b.select("kmer", F.col("cnt").alias("_b")), "kmer")
-    return rows.select("kmer", F.least(F.floor(F.col("cnt") * 1000 / F.col("_b")), F.lit(2**32 - 1)).cast("long").alias("cnt"))
+    key = _key(a)
+    rows = a.join(b.select(*key, F.col("cnt").alias("_b")), key)
+    return rows.select(*key, F.least(F.floor(F.col("cnt") * 1000 / F.col("_b")), F.lit(2**32 - 1)).cast("long").alias("cnt"))
 
 
 def threshold(a: DataFrame, how: str, value: int) -> DataFrame:

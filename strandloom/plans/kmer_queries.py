@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
+from strandloom.operators import packed
 from strandloom.operators import setmath as M
 from strandloom.plans.views import rc, view, with_views
 
@@ -52,6 +53,10 @@ def read_counts(spark, d, k=K_READS):
     return K.count_in(reads(spark, d), k)
 
 
+def packed_counts(spark, d, k):
+    return K.count_in(reads(spark, d), k, decode=False)
+
+
 @query("k01_kmer_explode", f"SELECT read_id, kmer FROM {KM} x", "reads")
 def _(spark, d):
     return read_kmers(spark, d, keep=("read_id",))
@@ -146,7 +151,7 @@ def _(spark, d):
 
 @query("k11_merge_databases", f"SELECT kmer, count(*) AS cnt FROM {kmer_sql(SMALL_K)} x GROUP BY kmer", "reads")
 def _(spark, d):
-    return K.merge([read_counts_of(spark, d, db) for db in DBS])
+    return K.merge([letters(read_counts_of(spark, d, db)) for db in DBS])
 
 
 DBS = ("A", "N", "R")
@@ -154,15 +159,20 @@ DB_SQL = f"(SELECT db, kmer, count(*) AS cnt FROM {kmer_sql(SMALL_K, extra='db,'
 
 
 def read_counts_of(spark, d, db):
-    return K.count_in(reads(spark, d).where(F.col("db") == db), SMALL_K)
+    return K.count_in(reads(spark, d).where(F.col("db") == db), SMALL_K, decode=False)
+
+
+def letters(df):
+    """A packed result's k-mers."""
+    return packed.decoded(df, SMALL_K)
 
 
 def dbs(spark, d):
-    return K.count_in(reads(spark, d), SMALL_K, by=("db",))
+    return K.count_in(reads(spark, d), SMALL_K, by=("db",), decode=False)
 
 
 def _set_query(name, plan, value, having=""):
-    query(name, f"SELECT kmer, {value} AS cnt FROM {DB_SQL} x GROUP BY kmer {having}", "reads")(plan)
+    query(name, f"SELECT kmer, {value} AS cnt FROM {DB_SQL} x GROUP BY kmer {having}", "reads")(lambda s, d: letters(plan(s, d)))
 
 
 _set_query("k12_set_min", lambda s, d: M.minimum(dbs(s, d), 3), "min(cnt)", "HAVING count(*) = 3")
@@ -179,17 +189,17 @@ A_B = f"WITH x AS {DB_SQL}, a AS (SELECT kmer, cnt FROM x WHERE db = 'A'), b AS
 
 @query("k18_set_sub", f"{A_B} SELECT kmer, greatest(cnt - coalesce(b, 0), 0) AS cnt FROM a LEFT JOIN b USING (kmer) WHERE cnt > coalesce(b, 0)", "reads")
 def _(spark, d):
-    return M.subtract(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N"))
+    return letters(M.subtract(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N")))
 
 
 @query("k19_set_abs", f"{A_B} SELECT kmer, abs(coalesce(cnt, 0) - coalesce(b, 0)) AS cnt FROM a FULL JOIN b USING (kmer) WHERE coalesce(cnt, 0) != coalesce(b, 0)", "reads")
 def _(spark, d):
-    return M.absolute(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N"))
+    return letters(M.absolute(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N")))
 
 
 @query("k20_set_divide", f"{A_B} SELECT kmer, least(cnt * 1000 // b, 4294967295)::BIGINT AS cnt FROM a JOIN b USING (kmer)", "reads")
 def _(spark, d):
-    return M.divide(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N"))
+    return letters(M.divide(read_counts_of(spark, d, "A"), read_counts_of(spark, d, "N")))
 
 
 for _how, _op in (("lessthan", "<"), ("lessthanorequal", "<="), ("greaterthan", ">"), ("greaterthanorequal", ">="), ("equal", "=")):
@@ -245,12 +255,12 @@ SUCC = "SELECT a.kmer, b.kmer AS next, b.cnt AS next_cnt, row_number() OVER (PAR
 
 @query("k26_successors", f"WITH c AS {SMALL} {SUCC}", "reads")
 def _(spark, d):
-    return K.successors(read_counts(spark, d, SMALL_K))
+    return K.successors(packed_counts(spark, d, SMALL_K), SMALL_K)
 
 
 @query("k26_predecessors", f"WITH c AS {SMALL} SELECT a.kmer, b.kmer AS prev, b.cnt AS prev_cnt, row_number() OVER (PARTITION BY a.kmer ORDER BY b.cnt DESC, b.kmer)::INTEGER AS rank FROM c a JOIN c b ON substr(b.kmer, 2) = substr(a.kmer, 1, length(a.kmer) - 1)", "reads")
 def _(spark, d):
-    return K.predecessors(read_counts(spark, d, SMALL_K))
+    return K.predecessors(packed_counts(spark, d, SMALL_K), SMALL_K)
 
 
 _AROUND = ", ".join([f"coalesce((SELECT cnt FROM c p WHERE p.kmer = '{b}' || substr(c.kmer, 1, length(c.kmer) - 1)), 0) AS prev_{b}" for b in "GATC"] + [f"coalesce((SELECT cnt FROM c n WHERE n.kmer = substr(c.kmer, 2) || '{b}'), 0) AS next_{b}" for b in "GATC"])
@@ -266,7 +276,7 @@ THREAD = f"SELECT tid, pos::INTEGER AS pos, kmer, coalesce(cnt, 0) AS cnt FROM {
 
 @query("k28_thread", f"WITH c AS {COUNTS} {THREAD}", "reads", "transcripts")
 def _(spark, d):
-    return K.thread(view(spark, d, "transcripts"), read_counts(spark, d), K_READS, "tid")
+    return K.thread(view(spark, d, "transcripts"), packed_counts(spark, d, K_READS), K_READS, "tid")
 
 
 @query("k29_path_exists", f"""WITH c AS {COUNTS}, t AS ({THREAD}), l AS (SELECT *, lag(cnt) OVER (PARTITION BY tid ORDER BY pos) AS b, {ENT} AS e FROM t)
@@ -309,7 +319,7 @@ def _(spark, d):
 
 @query("f05_error_pruning", f"SELECT kmer, cnt FROM (SELECT *, max(cnt) OVER (PARTITION BY substr(kmer, 1, length(kmer) - 1)) AS m FROM {SMALL} c) x WHERE cnt / m >= {RATIO}", "reads")
 def _(spark, d):
-    return K.prune_errors(read_counts(spark, d, SMALL_K), RATIO)
+    return letters(K.prune_errors(packed_counts(spark, d, SMALL_K), RATIO))
 
 
 @query("f11_connectivity", f"WITH c AS {SMALL} SELECT kmer, next FROM (SELECT a.kmer, b.kmer AS next, a.cnt AS x, b.cnt AS y FROM c a JOIN c b ON substr(a.kmer, 2) = substr(b.kmer, 1, length(b.kmer) - 1)) p WHERE least(x, y) / greatest(x, y) >= 0.3", "reads")

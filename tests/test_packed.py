@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import contigs, kmers, packed
+from strandloom.operators import contigs, kmers, packed, setmath
 from strandloom.operators.lineage import numbered
 
 PAIRS = str.maketrans("ACGTNacgtn", "TGCANtgcan")
@@ -103,3 +103,24 @@ def test_reachable_kmers(spark):
                 want.add((start, x))
                 todo += after[x]
     assert got == want
+
+
+def test_packed_tables_give_what_words_give(spark):
+    """Neighbours, error pruning, threads and set algebra over k-mers as numbers, some of which have letters that can't be packed."""
+    r = random.Random(11)
+    rows = [(i, "".join(r.choices("ACGTNé", weights=[9, 6, 6, 6, 2, 1], k=r.choice([0, 4, 5, 30, 80]))), r.choice("AB")) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, seq string, db string").repartition(3)
+    for k in (2, 5, 31):
+        words, codes = kmers.count_in(df, k), kmers.count_in(df, k, decode=False)
+        same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+        assert same(words, packed.decoded(codes, k))
+        assert same(kmers.successors(words), kmers.successors(codes, k)) and same(kmers.predecessors(words), kmers.predecessors(codes, k))
+        assert same(kmers.prune_errors(words, 0.4), packed.decoded(kmers.prune_errors(codes, 0.4), k))
+        assert same(kmers.thread(df, words, k, "id"), kmers.thread(df, codes, k, "id"))
+        both, in_code = kmers.count_in(df, k, by=("db",)), kmers.count_in(df, k, by=("db",), decode=False)
+        assert same(setmath.minimum(both, 2), packed.decoded(setmath.minimum(in_code, 2), k))
+        a, b = ([x.where(f"db = '{d}'").drop("db") for x in (both, in_code)] for d in "AB")
+        for f in (setmath.subtract, setmath.absolute, setmath.divide):
+            assert same(f(a[0], b[0]), packed.decoded(f(a[1], b[1]), k))
+    with pytest.raises(ValueError, match="can't be packed"):
+        kmers.count_in(df, 40, decode=False)
