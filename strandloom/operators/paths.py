@@ -243,7 +243,7 @@ def _laps(path: tuple, node: int, side: int | None) -> list[int]:
 def unroll(graph: Graph, fragments: Counter) -> Counter:
     """Circles of one and of two nodes as chains (P13): as many copies of the node (and of the one beside it) as a fragment goes through at most in a row, each with the ways out
     of the first; fragments' paths name the copies. Of two nodes, the one that fragments come round to most is copied, on a tie the one that is entered from elsewhere. The graph changes; the
-    new fragments come back. Longer circles are left for ``without_circles``."""
+    new fragments come back. Longer circles are left for ``unroll_longer``."""
     done: set[int] = set()
     for start in sorted(graph.after):
         if start in done:
@@ -292,6 +292,93 @@ def _renamed(fragments: Counter, node: int, side: int | None, copies: list[int],
     return out
 
 
+def strong_parts(after: dict) -> list[list]:
+    """Sets of nodes that all lead to each other, those of two and more: what a node leads to and what leads to it, within what is left, have in common its own set."""
+    before: dict = {}
+    for v, us in after.items():
+        for u in us:
+            before.setdefault(u, set()).add(v)
+
+    def reached(start, near: dict, among: set) -> set:
+        seen, todo = {start}, [start]
+        while todo:
+            for n in near.get(todo.pop(), ()):
+                if n in among and n not in seen:
+                    seen.add(n)
+                    todo.append(n)
+        return seen
+
+    out, todo = [], [set(after) | set(before)]
+    while todo:
+        among = todo.pop()
+        loose = [n for n in among if not (before.get(n, set()) & among) or not (after.get(n, set()) & among)]
+        while loose:  # a node without a way in or out is in no circle
+            among.difference_update(loose)
+            near = {m for n in loose for m in (*after.get(n, ()), *before.get(n, ()))} & among
+            loose = [n for n in near if not (before.get(n, set()) & among) or not (after.get(n, set()) & among)]
+        if not among:
+            continue
+        start = min(among)
+        ahead, behind = reached(start, after, among), reached(start, before, among)
+        if len(part := ahead & behind) > 1:
+            out.append(sorted(part))
+        todo += [x for x in (ahead - part, behind - part, among - ahead - behind) if x]
+    return sorted(out)
+
+
+def unroll_longer(graph: Graph, fragments: Counter) -> Counter:
+    """Circles of three and more nodes as chains (P13). The nodes of a strongly connected part go in an order from where fragments enter it; an edge against the order begins a new
+    lap. There is a copy of the part for each lap that a fragment makes at most; edges against the order lead to the next copy, and none leads out of the last one so. Every copy has the part's ways out, and only
+    the first its ways in; of the others, what their first nodes lead to stays. The graph changes; the fragments, renamed to the copies, come back."""
+    for part in strong_parts(graph.after):
+        inside = set(part)
+        entered = Counter({n: 0 for n in part})
+        for pair, times in fragments.items():
+            for p in pair:
+                entered.update({b: times for a, b in zip((None, *p), p, strict=False) if b in inside and a is not None and a not in inside})
+        ways = {n for v, us in graph.after.items() if v not in inside for n in us & inside}
+        head = max(part, key=lambda n, e=entered, w=ways: (e[n], n in w, -n))
+        links = {n: graph.after.get(n, set()) & inside for n in part}
+        order = {n: i for i, n in enumerate([head, *(n for n in topological({v: us - {head} for v, us in links.items()}) if n != head)])}
+
+        def laps(path, inside=inside, order=order) -> list[int]:
+            out, lap, before = [], 0, None
+            for x in path:
+                if x not in inside:
+                    lap, before = 0, None
+                elif before is not None and order[x] <= order[before]:
+                    lap += 1
+                before = x if x in inside else None
+                out.append(lap)
+            return out
+
+        most = max([0, *(lap for pair in fragments for p in pair for lap in laps(p))])
+        copies = [{n: n for n in part}]
+        leave = {n: graph.after.get(n, set()) - inside for n in part}
+        forward = {n: {u for u in us if order[u] > order[n]} for n, us in links.items()}
+        back = {n: us - forward[n] for n, us in links.items()}
+        for n in part:
+            graph.after[n] = leave[n] | forward[n]
+        for _ in range(most):
+            starts = {u for n in copies[-1] for u in back[n]}
+            seen, todo = set(starts), list(starts)
+            while todo:
+                for u in forward[todo.pop()] - seen:
+                    seen.add(u)
+                    todo.append(u)
+            new = {n: graph.copy_of(n) for n in sorted(seen)}
+            for n, c in new.items():
+                graph.after[c] = leave[n] | {new[u] for u in forward[n]}
+            for n, c in copies[-1].items():
+                graph.after[c] |= {new[u] for u in back[n]}
+            copies.append(new)
+        renamed: Counter = Counter()
+        for pair, times in fragments.items():
+            renamed[tuple(tuple(copies[lap][x] if x in inside else x for x, lap in zip(p, laps(p), strict=True)) for p in pair)] += times
+        fragments = renamed
+    return fragments
+
+
 def topological(after: dict) -> list:
     """Nodes so that each comes after its predecessors; circles are entered at their smallest node."""
     into = Counter(u for us in after.values() for u in us)
@@ -314,7 +401,7 @@ def topological(after: dict) -> list:
 
 
 def without_circles(after: dict, order: list) -> dict:
-    """Edges that go forward in the order: one edge of each circle is dropped."""
+    """Edges that go forward in the order: one edge of each circle that is left is dropped."""
     place = {n: i for i, n in enumerate(order)}
     return {v: {u for u in us if place[u] > place[v]} for v, us in after.items()}
 
@@ -442,7 +529,7 @@ def transcripts(edges: DataFrame, reads: DataFrame, k: int, least_length: int =
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         graph, seen = _read_group(pdf, k)
-        seen = unroll(graph, seen)
+        seen = unroll_longer(graph, unroll(graph, seen))
         graph.after = without_circles(graph.after, topological(graph.after))
         order = topological(graph.after)
         weight = lambda p: sum(n for pair, n in seen.items() if compatible(pair, p))

@@ -225,3 +225,43 @@ def test_other_support_tests(spark, mode):
     head, a, b = letters(r, 60), letters(r, 60), letters(r, 60)
     seqs = [head + a, head + b]
     assert {g.seq for g in run(spark, seqs, [x for s in seqs for x in pieces(s, 50)] * 2, mode=mode)} == set(seqs)
+
+
+def test_circles_of_three_nodes_keep_their_copies():
+    """A repeat whose unit is three nodes, one of them in two forms: each read's laps stay, and the graph has no circle left."""
+    g = paths.Graph([], 3)
+    names = {0: "A", 1: "C", 2: "G", 3: "T", 4: "A", 5: "G"}  # 0 before, 1 -> 2 or 5 -> 3 -> 1 again, 4 behind
+    g.letters, g.head = dict(names), dict.fromkeys(names, "xx")
+    g.after = {0: {1}, 1: {2, 5}, 2: {3}, 5: {3}, 3: {1, 4}, 4: set()}
+    reads = [(0, 1, 2, 3, 1, 5, 3, 1, 2, 3, 4), (2, 3, 1, 5, 3, 4), (0, 1, 2, 3, 4), (5, 3, 4)]
+    out = paths.unroll_longer(g, Counter({(p, ()): i + 1 for i, p in enumerate(reads)}))
+    assert sorted(out.values()) == [1, 2, 3, 4] and paths.strong_parts(g.after) == []
+    for (p, _), n in out.items():
+        assert "".join(g.letters[x] for x in p) == "".join(names[x] for x in reads[n - 1]) and len(set(p)) == len(p)
+        assert all(b in g.after[a] for a, b in zip(p, p[1:], strict=False))
+    order = paths.topological(g.after)
+    assert paths.without_circles(g.after, order) == g.after
+    reached = set(order) - {u for us in g.after.values() for u in us}
+    assert reached == {0}  # copies begin nowhere but behind others
+
+
+def test_strong_parts_of_random_graphs():
+    r = random.Random(8)
+    for n in (5, 12, 40):
+        for _ in range(30):
+            after = {v: {u for u in range(n) if r.random() < 1.3 / n} for v in range(n)}
+            leads = {v: {v} for v in after}
+            for _ in after:
+                leads = {v: set().union({v}, *(leads[u] for u in after[v]), leads[v]) for v in after}
+            want = {tuple(sorted(u for u in leads[v] if v in leads[u])) for v in after}
+            assert [tuple(x) for x in paths.strong_parts(after)] == sorted(x for x in want if len(x) > 1)
+
+
+def test_tandem_repeats_with_variants_are_unrolled(spark):
+    """Units that differ in one place make circles of several nodes: each order of forms comes back."""
+    r = random.Random(13)
+    left, unit, right = letters(r, 50), letters(r, 40), letters(r, 50)
+    other = unit[:20] + ("A" if unit[20] != "A" else "C") + unit[21:]
+    seq = left + unit + other + unit + right
+    got = run(spark, [seq], [seq] * 3)
+    assert seq in [g.seq for g in got]
