@@ -101,6 +101,64 @@ def bubbles(edges: DataFrame) -> DataFrame:
     return pairs.select("component", "start", "a", "b", "stop", F.when(F.col("w_a") > F.col("w_b"), F.col("a")).otherwise(F.col("b")).alias("keep"), (F.col("w_a") + F.col("w_b")).alias("w"))
 
 
+def collapse_bubbles(edges: DataFrame, letters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, nodes) after single-letter bubbles are collapsed (P12). Ways from one node to another over one node of a single letter, which has no other edges, become one: the
+    heaviest stays (on a tie the one with the larger name) with the weights of all, and the nodes (component, node, seq, code, merged) say for each that stayed its letter, the ambiguity code of all letters, and how
+    many ways it stands for. letters: (component, node, seq). A bubble of any number of ways is one group of an aggregate; ways needn't be paired."""
+    single = letters.where(F.length("seq") == 1).select("component", F.col("node").alias("mid"), "seq")
+    mids = flows(edges).where("indeg = 1 AND outdeg = 1").select("component", F.col("node").alias("mid")).join(single, ["component", "mid"])
+    into = edges.select("component", F.col("src").alias("start"), F.col("dst").alias("mid"), F.col("w").alias("w1"))
+    out = edges.select("component", F.col("src").alias("mid"), F.col("dst").alias("stop"), F.col("w").alias("w2"))
+    ways = mids.join(into, ["component", "mid"]).join(out, ["component", "mid"])
+    rank = F.struct(F.col("w1") + F.col("w2"), "mid")
+    kept = ways.groupBy("component", "start", "stop").agg(
+        F.count(F.lit(1)).alias("merged"), F.max_by("mid", rank).alias("keep"), F.max_by("seq", rank).alias("seq"), F.sum("w1").alias("w1"), F.sum("w2").alias("w2"), S.iupac_code(F.collect_set("seq")).alias("code"),
+    ).where("merged > 1").transform(cut)
+    gone = ways.join(kept.select("component", "start", "stop"), ["component", "start", "stop"], "left_semi").select("component", "mid")
+    rest = edges.join(gone.withColumnRenamed("mid", "dst"), ["component", "dst"], "left_anti").join(gone.withColumnRenamed("mid", "src"), ["component", "src"], "left_anti")
+    new = kept.select("component", F.explode(F.array(F.struct(F.col("start").alias("src"), F.col("keep").alias("dst"), F.col("w1").alias("w")), F.struct(F.col("keep").alias("src"), F.col("stop").alias("dst"), F.col("w2").alias("w")))).alias("e"))
+    return rest.select("component", "src", "dst", "w").unionByName(new.select("component", "e.*")), kept.select("component", F.col("keep").alias("node"), "seq", "code", "merged")
+
+
+def heaviest_paths(edges: DataFrame, counts: DataFrame) -> DataFrame:
+    """(component, through, path, total): of each component the path with the largest sum of node counts among those through its most frequent node, ties by smaller names (P25). counts:
+    (component, node, cnt). What is best from a node on, and up to it, settles layer by layer, a join and an aggregate each, for all components at once; paths are
+    put together from the best next steps at the end. Circles are no part of it: edges that lie on or behind one are left out."""
+    place = layers(edges).select("component", "node")
+    end = lambda c: place.withColumnRenamed("node", c)
+    links = edges.join(end("src"), ["component", "src"]).join(end("dst"), ["component", "dst"]).select("component", "src", "dst").distinct().transform(cut)
+    nodes = counts.select("component", "node", F.col("cnt").cast("long").alias("cnt")).transform(cut)
+    top = nodes.groupBy("component").agg(F.min_by("node", F.struct(-F.col("cnt"), "node")).alias("through"))
+
+    def best(a: str, b: str) -> DataFrame:
+        """(component, node, step, total): the next node from a node on along edges from a to b, null at the end, and the sum from there on."""
+        steps = links.select("component", F.col(a).alias("node"), F.col(b).alias("step"))
+        now = nodes.select("component", "node", F.lit(None).cast("string").alias("step"), F.lit(0).cast("long").alias("ahead"), "cnt").transform(cut)
+        seen = None
+        while (state := tuple(now.agg(F.sum("ahead"), F.count("step")).first())) != seen:
+            seen = state
+            far = steps.join(now.select("component", F.col("node").alias("step"), (F.col("ahead") + F.col("cnt")).alias("ahead")), ["component", "step"])
+            chosen = far.groupBy("component", "node").agg(F.min(F.struct((-F.col("ahead")).alias("less"), "step")).alias("b"))
+            now = nodes.join(chosen, ["component", "node"], "left").select("component", "node", F.col("b.step").alias("step"), F.coalesce(-F.col("b.less"), F.lit(0)).alias("ahead"), "cnt").transform(cut)
+        return now.select("component", "node", "step", (F.col("ahead") + F.col("cnt")).alias("total"))
+
+    def followed(steps: DataFrame) -> DataFrame:
+        """(component, nodes, total) from each component's most frequent node on."""
+        now = top.select("component", F.array("through").alias("nodes"), F.col("through").alias("node"), F.lit(True).alias("on")).transform(cut)
+        go = steps.select("component", "node", "step")
+        while not now.where("on").isEmpty():
+            ahead = now.join(go, ["component", "node"], "left")
+            now = ahead.select("component", F.when(F.col("step").isNotNull(), F.array_append("nodes", F.col("step"))).otherwise(F.col("nodes")).alias("nodes"), F.coalesce("step", "node").alias("node"), F.col("step").isNotNull().alias("on")).transform(cut)
+        totals = steps.select("component", F.col("node").alias("through"), "total")
+        return now.select("component", "nodes", F.element_at("nodes", 1).alias("through")).join(totals, ["component", "through"])
+
+    on, back = followed(best("src", "dst")), followed(best("dst", "src")).select("component", F.reverse("nodes").alias("before"), F.col("total").alias("other"))
+    own = nodes.select("component", F.col("node").alias("through"), "cnt")
+    both = on.join(back, "component").join(own, ["component", "through"])
+    path = F.concat(F.slice("before", F.lit(1), F.size("before") - 1), "nodes")
+    return both.select("component", "through", path.alias("path"), (F.col("total") + F.col("other") - F.col("cnt")).alias("total"))
+
+
 def with_ends(edges: DataFrame, source: str = "S", sink: str = "T") -> DataFrame:
     """Edges from a source to all roots and from all leaves to a sink, weight 1."""
     s = roots(edges).select("component", F.lit(source).alias("src"), F.col("node").alias("dst"), F.lit(1).cast("long").alias("w"))

@@ -562,6 +562,12 @@ def steps(s, d) -> DataFrame:
     return li.select(F.col("l_suppkey").alias("component"), node("a", F.col("l_orderkey") % 60).alias("x"), node("m", F.col("l_partkey")).alias("y"), node("z", F.col("l_linenumber") % 4).alias("z"))
 
 
+def of_lines(s, d, sql: str) -> DataFrame:
+    """SQL over lineitem."""
+    s.read.parquet(f"{d}/lineitem.parquet").createOrReplaceTempView("lineitem")
+    return s.sql(sql)
+
+
 def toy(s, d) -> DataFrame:
     edge = lambda a, b: steps(s, d).groupBy("component", F.col(a).alias("src"), F.col(b).alias("dst")).agg(F.count(F.lit(1)).alias("w"))
     return edge("x", "y").unionByName(edge("y", "z"))
@@ -572,6 +578,33 @@ def _(s, d):
     return G.bubbles(toy(s, d))
 
 
+LETTERS_SQL = "SELECT DISTINCT l_suppkey AS component, 'm' || l_partkey AS node, CASE WHEN l_partkey % 9 = 0 THEN 'AC' ELSE substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1) END AS seq FROM lineitem"
+LETTERS = f"lt AS ({LETTERS_SQL})"
+WAYS = "wy AS (SELECT i.component, i.src AS start, o.dst AS stop, i.dst AS mid, i.w AS w1, o.w AS w2, seq FROM se i JOIN f ON f.component = i.component AND f.node = i.dst AND indeg = 1 AND outdeg = 1 JOIN lt ON lt.component = i.component AND lt.node = i.dst AND length(seq) = 1 JOIN se o ON o.component = i.component AND o.src = i.dst)"
+KEPT = "kp AS (SELECT component, start, stop, count(*) AS merged, arg_max(mid, (w1 + w2, mid)) AS keep, arg_max(seq, (w1 + w2, mid)) AS seq, sum(w1)::BIGINT AS w1, sum(w2)::BIGINT AS w2, list(DISTINCT seq ORDER BY seq) AS bs FROM wy GROUP BY 1, 2, 3 HAVING count(*) > 1), gn AS (SELECT component, mid FROM wy SEMI JOIN kp USING (component, start, stop))"
+
+
+def collapsed(s, d):
+    return G.collapse_bubbles(toy(s, d), of_lines(s, d, LETTERS_SQL))
+
+
+@query("p12_collapsed_edges", f"WITH {TOY2}, {FLOWS}, {LETTERS}, {WAYS}, {KEPT} SELECT component, src, dst, w FROM se WHERE NOT EXISTS (SELECT 1 FROM gn WHERE gn.component = se.component AND (mid = src OR mid = dst)) UNION ALL SELECT component, start, keep, w1 FROM kp UNION ALL SELECT component, keep, stop, w2 FROM kp")
+def _(s, d):
+    return collapsed(s, d)[0]
+
+
+@query("p12_collapsed_nodes", f"WITH {TOY2}, {FLOWS}, {LETTERS}, {WAYS}, {KEPT} SELECT component, keep AS node, seq, CASE array_to_string(bs, '') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.AMBIGUITY.items()) + " ELSE bs[1] END AS code, merged FROM kp")
+def _(s, d):
+    return collapsed(s, d)[1]
+
+
+@query("p25_heaviest_paths", f"WITH {TOY2}, n AS (SELECT component, node, sum(w)::BIGINT AS cnt FROM (SELECT component, src AS node, w FROM se UNION ALL SELECT component, dst, w FROM se) x GROUP BY 1, 2), t AS (SELECT component, arg_min(node, (-cnt, node)) AS through FROM n GROUP BY 1), p AS (SELECT x.component, x.src AS a, y.src AS b, y.dst AS c, na.cnt + nb.cnt + nc.cnt AS total FROM se x JOIN se y ON y.component = x.component AND y.src = x.dst JOIN n na ON na.component = x.component AND na.node = x.src JOIN n nb ON nb.component = x.component AND nb.node = y.src JOIN n nc ON nc.component = x.component AND nc.node = y.dst) SELECT component, through, max(total) AS total FROM p JOIN t USING (component) WHERE through IN (a, b, c) GROUP BY 1, 2")
+def _(s, d):
+    graph = toy(s, d)
+    ends = graph.select("component", F.explode(F.array("src", "dst")).alias("node"), "w")
+    return G.heaviest_paths(graph, ends.groupBy("component", "node").agg(F.sum("w").alias("cnt"))).select("component", "through", "total")
+
+
 @query("p14_with_ends", f"WITH {TOY2} SELECT component, src, dst, w FROM se UNION ALL SELECT DISTINCT component, 'S', src, 1 FROM se x WHERE NOT EXISTS (SELECT 1 FROM se y WHERE y.component = x.component AND y.dst = x.src) UNION ALL SELECT DISTINCT component, dst, 'T', 1 FROM se x WHERE NOT EXISTS (SELECT 1 FROM se y WHERE y.component = x.component AND y.src = x.dst)")
 def _(s, d):
     return G.with_ends(toy(s, d))
@@ -592,8 +625,7 @@ ASKED = "SELECT DISTINCT component, a, b FROM (SELECT l_suppkey AS component, 'a
 
 @query("p16_ancestral", f"WITH {TOY2}, q AS ({ASKED}), r AS (SELECT component, src AS a, dst AS b FROM se UNION SELECT x.component, x.src, y.dst FROM se x JOIN se y ON y.component = x.component AND y.src = x.dst) SELECT component, a, b, EXISTS (SELECT 1 FROM r WHERE r.component = q.component AND r.a = q.a AND r.b = q.b) AS reaches FROM q")
 def _(s, d):
-    graph = toy(s, d)  # reads lineitem as a view, which the pairs come from too
-    return RE.reaches(graph, s.sql(ASKED)).select("component", "a", "b", "reaches")
+    return RE.reaches(toy(s, d), of_lines(s, d, ASKED)).select("component", "a", "b", "reaches")
 
 
 
