@@ -36,7 +36,8 @@ QUERIES = {"job1_kmer_catalogue": job1, "job2_expression_tables": job2}
 SQL = {
     "job1_kmer_catalogue": """
 WITH r AS (SELECT coalesce(nullif(source, ''), 'unknown') AS sample, translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTACACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents),
-w AS (SELECT sample, substr(seq, unnest(range(1, length(seq) - 23)), 25) AS kmer FROM r WHERE length(seq) >= 25)
+p AS (SELECT sample, substr(seq, p0 + 1, 224) AS piece FROM (SELECT sample, seq, unnest(range(0, length(seq) - 24, 200)) AS p0 FROM r WHERE length(seq) >= 25) x),
+w AS (SELECT sample, substr(piece, unnest(range(1, length(piece) - 23)), 25) AS kmer FROM p)
 SELECT sample, kmer, count(*) AS cnt FROM w GROUP BY sample, kmer HAVING count(*) >= 2
 """,
     "job2_expression_tables": with_views(
