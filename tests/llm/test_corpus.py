@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     ours, theirs = registry.queries()[name](spark, SF).toPandas(), con.sql(registry.oracle_sql()[name]).df()
     names = sorted(ours.columns)
