@@ -68,17 +68,18 @@ def walk_flanks(counts: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
 
 
 def agglomerate(values: DataFrame, clusters: int, most: int = 5000) -> DataFrame:
-    """(feature, cluster) of all rows (feature, value array) by average linkage on Euclidean distances, cut into so many clusters (P27); identical rows
+    """(feature, cluster, step) of all rows (feature, value array) by average linkage on Euclidean distances, cut into so many clusters (P27); identical rows
     are never parted. Up to ``most`` distinct values this is exact. Beyond, values are gathered first in the cells of a grid, the finest
     with at most so many cells of steps that double from 1/64; the cells' means are linked by their numbers of rows, and each row gets the cluster of
-    its cell. Clusters are numbered by their smallest features."""
+    its cell. ``step`` says which it was: 0 for the values themselves, else the side of the grid's cells. Clusters are numbered by their smallest features."""
     rows = values.where("value IS NOT NULL").select(F.col("feature").cast("long").alias("feature"), F.col("value").cast("array<double>").alias("value")).transform(cut)
     width = rows.agg(F.max(F.size("value"))).first()[0] or 0
     in_grid = lambda step: rows.withColumn("_key", F.transform("value", lambda x: F.floor(x / step).cast("double")))
     keyed, step = rows.withColumn("_key", F.col("value")), 1 / 64
     while keyed.select("_key").distinct().limit(most + 1).count() > most:
         keyed, step = in_grid(step), step * 2
-    means = F.col("_key") if step == 1 / 64 else F.array(*[F.avg(F.get("value", F.lit(i))) for i in range(width)])
+    side = 0.0 if step == 1 / 64 else step / 2
+    means = F.col("_key") if not side else F.array(*[F.avg(F.get("value", F.lit(i))) for i in range(width)])
     cells = keyed.groupBy("_key").agg(F.min("feature").alias("feature"), F.count(F.lit(1)).cast("double").alias("n"), means.alias("value"))
 
     def run(batches):
@@ -87,7 +88,7 @@ def agglomerate(values: DataFrame, clusters: int, most: int = 5000) -> DataFrame
         yield pd.DataFrame({"_key": found["_key"], "cluster": label.astype("int32")})
 
     labels = cells.repartition(1).mapInPandas(run, "_key array<double>, cluster int")
-    return keyed.join(F.broadcast(labels), "_key").select("feature", "cluster")
+    return keyed.join(F.broadcast(labels), "_key").select("feature", "cluster", F.lit(side).alias("step"))
 
 
 def linked(x: np.ndarray, size: np.ndarray, clusters: int) -> np.ndarray:

@@ -367,10 +367,15 @@ def _(s, d):
     return CL.bounded_groups(welds(s, d), 5)
 
 
-@query("p07_with_singletons", "WITH g AS (SELECT DISTINCT tid AS node, gene AS grp FROM transcripts WHERE gene < 5) SELECT node, grp FROM g UNION ALL SELECT tid, tid FROM transcripts WHERE tid NOT IN (SELECT node FROM g)", "transcripts")
+P07_GROUPS = "SELECT tid AS node, min(tid) OVER (PARTITION BY gene, substr(seq, 1, 1)) AS grp, count(*) OVER (PARTITION BY gene, substr(seq, 1, 1)) AS n FROM transcripts"
+
+
+@query("p07_with_singletons", f"WITH g AS (SELECT node, grp FROM ({P07_GROUPS}) x WHERE n > 1) SELECT node, grp FROM g UNION ALL SELECT tid, tid FROM transcripts WHERE tid NOT IN (SELECT node FROM g)", "transcripts")
 def _(s, d):
     t = transcripts(s, d)
-    return CL.with_singletons(t.where("gene < 5").select(F.col("tid").alias("node"), F.col("gene").alias("grp")), t.select(F.col("tid").alias("contig")))
+    keys = ["gene", F.substring("seq", 1, 1).alias("_b")]
+    groups = t.groupBy(*keys).agg(F.min("tid").alias("grp"), F.collect_list("tid").alias("nodes")).where(F.size("nodes") > 1)
+    return CL.with_singletons(groups.select(F.explode("nodes").alias("node"), "grp"), t.select(F.col("tid").alias("contig")))
 
 
 LABELS = f"lab AS (SELECT kmer, max(gene) AS component FROM {kmer_sql(25, 'transcripts', 'gene')} x GROUP BY kmer), k AS {kmer_sql(25)}, tot AS (SELECT read_id, count(*) AS n_kmers FROM k GROUP BY 1), hit AS (SELECT read_id, component, count(*) AS hits FROM k JOIN lab USING (kmer) GROUP BY 1, 2), best AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY hits DESC, component) AS k FROM hit), lr AS (SELECT read_id, component, hits, n_kmers FROM best JOIN tot USING (read_id) WHERE k = 1)"

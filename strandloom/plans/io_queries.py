@@ -11,6 +11,7 @@ from strandloom.plans.expr_queries import counts, transcripts
 from strandloom.plans.kmer_queries import QUAL, kmer_sql, reads, with_quality
 from strandloom.plans.views import rc, view, with_views
 from strandloom.sources import formats, sinks
+from strandloom.sources.fastq import fastq
 from strandloom.streaming import incremental
 
 QUERIES: dict = {}
@@ -52,6 +53,11 @@ def _(s, d):
     return formats.fastq(s, fastq_path(s, d))
 
 
+@query("s02_fastq_source", f"WITH qr AS ({QUAL}) SELECT 'r' || read_id AS name, (read_id % 2 + 1)::INTEGER AS mate, seq, qual FROM qr", "reads")
+def _(s, d):
+    return fastq(s, fastq_path(s, d))
+
+
 @query("s02_fastq_to_fasta", f"SELECT 'r' || read_id || '/2' AS header, {rc('seq')} AS seq FROM reads", "reads")
 def _(s, d):
     return formats.fastq_to_fasta(formats.fastq(s, fastq_path(s, d), reverse=True, append=2))

@@ -66,13 +66,14 @@ def test_agglomerate_takes_all_rows(spark):
     y = centres[np.arange(900) % 3] + r.normal(size=(900, 2))
     df = spark.createDataFrame([(i, v) for i, v in enumerate(y.tolist())], "feature long, value array<double>")
     assert clusters_of(M.agglomerate(df, 3, most=50).toPandas()) == sorted(tuple(range(k, 900, 3)) for k in range(3))
+    assert {r.step > 0 for r in M.agglomerate(df, 3, most=50).select("step").distinct().collect()} == {True}
     assert M.agglomerate(df.limit(0), 3).count() == 0
 
 
 def test_all_features_are_clustered(spark):
     sf = "/root/testdata/sf0.01"
     got = catalog.queries()["p27_agglomerate"](spark, sf).toPandas()
-    assert len(got) == E.counts(spark, sf).select("feature").distinct().count() > 200 and got["cluster"].nunique() == 5
+    assert len(got) == E.counts(spark, sf).select("feature").distinct().count() > 200 and got["cluster"].nunique() == 5 and set(got["step"]) == {0.0}
 
 
 def test_components_of_the_whole_table(spark):
