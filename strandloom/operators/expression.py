@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.abundance import settled
-from strandloom.operators.lineage import beside, cut
+from strandloom.operators.lineage import beside, cut, numbered
 
 
 def with_total(rows: DataFrame, column: str, name: str = "total", by: tuple[str, ...] = ()) -> DataFrame:
@@ -198,13 +198,18 @@ def sample_pairs(samples: DataFrame, reference: str | None = None) -> DataFrame:
     return pairs.where(F.col("a") < F.col("b")) if reference is None else pairs.where((F.col("a") == reference) & (F.col("b") != reference))
 
 
-def adjusted(results: DataFrame, p: str = "p") -> DataFrame:
-    """p values adjusted by Benjamini and Hochberg within each comparison."""
-    by = Window.partitionBy("comparison")
-    n = F.count(F.lit(1)).over(by)
-    rank = F.row_number().over(by.orderBy(p, "feature"))
-    rows = results.withColumn("_x", F.col(p) * n / rank).withColumn("_k", rank)
-    return rows.withColumn("fdr", F.least(F.lit(1.0), F.min("_x").over(by.orderBy(F.desc("_k"))))).drop("_x", "_k")
+def adjusted(results: DataFrame, p: str = "p", size: int = 100_000) -> DataFrame:
+    """p values adjusted by Benjamini and Hochberg within each comparison (A34). Rows are sorted by ranges; the least value from a rank on is taken in blocks of ``size`` ranks and over
+    the blocks' own, so a comparison is spread over tasks."""
+    rows = numbered(results, "comparison", p, "feature", name="_k").transform(cut)
+    firsts = rows.groupBy("comparison").agg(F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_first"))
+    rank = F.col("_k") - F.col("_first") + 1
+    rows = rows.join(firsts, "comparison").withColumn("_k", rank).withColumn("_x", F.col(p) * F.col("_n") / F.col("_k")).withColumn("_block", F.floor(F.col("_k") / size))
+    later = Window.partitionBy("comparison").orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("comparison", "_block").agg(F.min("_x").alias("_least")).select("comparison", "_block", F.min("_least").over(later).alias("_later"))
+    inside = F.min("_x").over(Window.partitionBy("comparison", "_block").orderBy(F.desc("_k")))
+    out = rows.withColumn("_inside", inside).join(blocks, ["comparison", "_block"]).withColumn("fdr", F.least(F.lit(1.0), "_inside", "_later"))
+    return out.select(*[F.col(f"`{c}`") for c in results.columns], "fdr")
 
 
 def exact_test(pairs: DataFrame, dispersion: float = 0.1) -> DataFrame:
@@ -301,12 +306,17 @@ def noise_probability(counts: DataFrame, groups: DataFrame, k: float = 0.5, step
     cell = lambda c: F.floor(F.log2(c + 1) * steps).cast("int")
     pairs = rate.alias("p").join(rate.alias("q"), ["feature", "grp"]).where("p.sample < q.sample")
     noise = pairs.select(cell(F.abs(F.log2(F.col("p.x") / F.col("q.x")))).alias("i"), cell(F.abs(F.col("p.x") - F.col("q.x"))).alias("j")).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
-    # Running sums over the grid: of the cells below in j for each i that is there, then along i.
     at = rate.groupBy("feature").pivot("grp", ["a", "b"]).agg(F.avg("x"))
     seen = at.select("feature", F.log2(F.col("b") / F.col("a")).alias("m"), F.abs(F.col("b") - F.col("a")).alias("d"))
     seen = seen.withColumn("i", cell(F.abs("m"))).withColumn("j", cell(F.col("d")))
-    cells = seen.select("i", "j").distinct()
-    below = cells.join(F.broadcast(noise.select(F.col("i").alias("ni"), F.col("j").alias("nj"), "n")), (F.col("ni") < F.col("i")) & (F.col("nj") < F.col("j")), "left").groupBy("i", "j").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_below"))
+    # Running sums over the grid: along i in each j that has noise, at each i that is asked for, then along j in each i.
+    before = lambda by, along, n: F.coalesce(F.sum(n).over(Window.partitionBy(by).orderBy(along).rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    asked = seen.select("i", "j").distinct().transform(cut)
+    noise = noise.transform(cut)
+    places = beside(asked.select("i").distinct(), noise.agg(F.collect_set("j").alias("_j"))).select("i", F.explode("_j").alias("j"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("_asked"))
+    along_i = places.unionByName(noise.withColumn("_asked", F.lit(False))).withColumn("n", before("j", "i", "n")).where("_asked")
+    along_j = along_i.withColumn("_asked", F.lit(False)).unionByName(asked.select("i", "j", F.lit(0).cast("long").alias("n"), F.lit(True).alias("_asked")))
+    below = along_j.withColumn("_below", before("i", "j", "n")).where("_asked").select("i", "j", "_below")
     out = beside(seen.join(below, ["i", "j"]), noise.agg(F.sum("n").alias("_all")))
     return out.select("feature", "m", "d", (F.col("_below") / F.col("_all")).alias("prob"))
 
