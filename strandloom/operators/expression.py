@@ -153,11 +153,21 @@ def upper_quartile(counts: DataFrame) -> DataFrame:
     return counts.where("cnt > 0").groupBy("sample").agg(F.percentile("cnt", F.lit(0.75)).alias("q3"))
 
 
+def middle(rows: DataFrame, column: str, trim: float) -> DataFrame:
+    """(sample, <column>_low, <column>_high): the values that bound a sample's rows once a share ``trim`` of them is left out at either end: those above low (null: all), up to high. Rows
+    are sorted by ranges and only the two places are read, so a sample is no task of its own."""
+    sorted_ = numbered(rows.select("sample", "feature", column), "sample", column, "feature", name="_k")
+    sizes = sorted_.groupBy("sample").agg(F.min("_k").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    place, off = F.col("_k") - F.col("_first") + 1, F.floor(F.col("_n") * trim)
+    at = lambda k: F.max(F.when(place == k, F.col(column)))
+    return sorted_.join(sizes, "sample").groupBy("sample").agg(at(off).alias(f"{column}_low"), at(F.col("_n") - off).alias(f"{column}_high"))
+
+
 def tmm(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05, least_sum: int = 5) -> DataFrame:
     """(sample, lib_size, factor, eff_size) by trimmed means of M values (A31), after the published method: the reference sample is the one whose
     upper quartile per library is nearest to the mean; features rare in all are left out; M values are weighed by inverse variance."""
     kept = counts.groupBy("feature").agg(F.sum("cnt").alias("_s")).where(F.col("_s") >= least_sum).select("feature")
-    rows = counts.join(kept, "feature").withColumn("lib", F.sum("cnt").over(Window.partitionBy("sample")))
+    rows = with_total(counts.join(kept, "feature"), "cnt", "lib", ("sample",))
     quart = rows.where("cnt > 0").groupBy("sample").agg(F.percentile(F.col("cnt") / F.col("lib"), F.lit(0.75)).alias("q"))
     off = beside(quart, quart.agg(F.avg("q").alias("_mean"))).withColumn("_off", F.abs(F.col("q") - F.col("_mean")))
     ref = off.agg(F.min(F.struct("_off", "sample"))["sample"].alias("_ref"))
@@ -165,12 +175,10 @@ def tmm(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05, least_sum:
     both = rows.join(ref_rows, "feature").where("cnt > 0 AND r > 0")
     p, q = F.col("cnt") / F.col("lib"), F.col("r") / F.col("rlib")
     both = both.select("sample", "feature", F.log2(p / q).alias("m"), ((F.log2(p) + F.log2(q)) / 2).alias("a"), (1 / ((F.col("lib") - F.col("cnt")) / F.col("lib") / F.col("cnt") + (F.col("rlib") - F.col("r")) / F.col("rlib") / F.col("r"))).alias("w"))
-    by = Window.partitionBy("sample")
-    n = F.count(F.lit(1)).over(by)
-    rank = lambda c: F.rank().over(by.orderBy(F.round(c, 9)))  # noqa: E731  (rounded, so that equal ratios are ties)
-    both = both.withColumn("_n", n).withColumn("_rm", rank("m")).withColumn("_ra", rank("a"))
-    inside = lambda r, t: F.col(r).between(F.floor(F.col("_n") * t) + 1, F.col("_n") - F.floor(F.col("_n") * t))
-    raw = both.where(inside("_rm", trim_m) & inside("_ra", trim_a)).groupBy("sample").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("f"))
+    both = both.withColumn("_rm", F.round("m", 9)).withColumn("_ra", F.round("a", 9)).transform(cut)  # rounded, so that equal ratios are ties
+    trimmed = both.join(middle(both, "_rm", trim_m), "sample").join(middle(both, "_ra", trim_a), "sample")
+    inside = lambda c: (F.col(f"{c}_low").isNull() | (F.col(c) > F.col(f"{c}_low"))) & (F.col(c) <= F.col(f"{c}_high"))
+    raw = trimmed.where(inside("_rm") & inside("_ra")).groupBy("sample").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("f"))
     libs = rows.groupBy("sample").agg(F.max("lib").alias("lib_size")).join(raw, "sample", "left").withColumn("f", F.pow(F.lit(2.0), F.coalesce("f", F.lit(0.0))))
     factor = F.col("f") / F.exp("_mean")
     return beside(libs, libs.agg(F.avg(F.log("f")).alias("_mean"))).select("sample", "lib_size", F.round(factor, 8).alias("factor"), F.round(F.col("lib_size") * factor, 4).alias("eff_size"))
