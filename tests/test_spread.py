@@ -40,3 +40,18 @@ def test_noise_probability_is_exact_to_a_cell(spark):
     for x in expression.noise_probability(df, groups).collect():
         i, j = cell(abs(x.m)), cell(x.d)
         assert x.prob == pytest.approx(sum(a < i and b < j for a, b in noise) / len(noise))
+
+
+def test_middle_keeps_the_ranks_between(spark):
+    r = random.Random(2)
+    rows = [(s, f, float(r.randrange(12))) for s, n in (("x", 50), ("y", 7), ("z", 1)) for f in range(n)]
+    df = spark.createDataFrame(rows, "sample string, feature long, m double").repartition(3)
+    for trim in (0.0, 0.05, 0.3):
+        bounds = {x.sample: (x.m_low, x.m_high) for x in expression.middle(df, "m", trim).collect()}
+        for s in "xyz":
+            values = sorted(v for t, _, v in rows if t == s)
+            off = math.floor(len(values) * trim)
+            want = [v for v in values if off + 1 <= values.index(v) + 1 <= len(values) - off]
+            low, high = bounds[s]
+            assert [v for v in values if (low is None or v > low) and v <= high] == want
+    assert expression.middle(df.limit(0), "m", 0.3).count() == 0
