@@ -9,7 +9,7 @@ from strandloom.plans.views import VIEWS
 
 SF = "/root/testdata/sf0.001"
 NAMES = [
-    "j13_overlap_join", "j14_point_join", "j15_split_at_points",
+    "j13_overlap_join", "j14_point_join", "j15_split_at_points", "j21_to_transcript",
 ]
 
 
