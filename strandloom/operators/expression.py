@@ -75,7 +75,7 @@ def full_matrix(counts: DataFrame, samples: list[str], fill: float | None = 0) -
     return wide if fill is None else wide.na.fill(fill)
 
 
-def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float = 0.01, cut_every: int = 10) -> DataFrame:
+def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float = 0.01, cut_every: int = 1) -> DataFrame:
     """(feature, theta, expected, converged) by EM (A21, A22): combos (combo, feature, cnt) are sets of features that cnt fragments fit; lengths
     (feature, len). Shares follow theta over length; rounds end when no expected count moves by ``delta``, or else after ``rounds`` with
     converged false. With delta 0 the number of rounds is fixed: each is a join and two aggregates over the combinations, not over fragments,
@@ -84,9 +84,11 @@ def em(combos: DataFrame, lengths: DataFrame, rounds: int = 1000, delta: float =
         member = F.struct(F.col("feature").cast("long").alias("feature"), (1 / F.col("len").cast("double")).alias("weight"))
         packed = combos.join(lengths, "feature").groupBy("combo").agg(F.sort_array(F.collect_list(member)).alias("members"), F.max("cnt").alias("cnt"))
         return settled(packed, rounds, delta).select("feature", "theta", "expected", "converged")
-    rows = combos.join(lengths, "feature").select("combo", "feature", "cnt", F.col("len").cast("double").alias("len")).transform(cut)
-    sizes = rows.groupBy("combo").agg(F.count(F.lit(1)).alias("_n"))
-    now = rows.join(sizes, "combo").groupBy("feature").agg(F.sum(F.col("cnt") / F.col("_n")).alias("expected"))
+    members = F.collect_list(F.struct("feature", F.col("len").cast("double").alias("len")))
+    sets = combos.join(lengths, "feature").groupBy("combo").agg(members.alias("m"), F.max("cnt").alias("cnt"))
+    sets = sets.select(F.monotonically_increasing_id().alias("combo"), "m", "cnt").transform(cut)  # numbers for names, which are long where sets are large
+    rows = sets.select("combo", F.explode("m").alias("m"), "cnt").select("combo", "m.feature", "cnt", "m.len")
+    now = sets.select(F.explode("m").alias("m"), (F.col("cnt") / F.size("m")).alias("_x")).groupBy("m.feature").agg(F.sum("_x").alias("expected")).transform(cut)
     for k in range(1, rounds + 1):
         shares = rows.join(now, "feature").select("combo", "feature", "cnt", (F.col("expected") / F.col("len")).alias("_w"))
         totals = shares.groupBy("combo").agg(F.sum("_w").alias("_t"))

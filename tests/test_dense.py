@@ -9,7 +9,7 @@ from strandloom.plans.views import VIEWS
 
 SF = "/root/testdata/sf0.001"
 NAMES = [
-    "j13_overlap_join", "j14_point_join", "j15_split_at_points", "j21_to_transcript", "a15_fractional_counts", "a16_refine_mappings", "a09_split_support",
+    "j13_overlap_join", "j14_point_join", "j15_split_at_points", "j21_to_transcript", "a15_fractional_counts", "a16_refine_mappings", "a09_split_support", "a21_em_fixed_rounds",
 ]
 
 
