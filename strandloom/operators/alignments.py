@@ -114,8 +114,9 @@ def category_counts(aligns: DataFrame) -> DataFrame:
 
 
 def cap_by_position(aligns: DataFrame, most: int) -> DataFrame:
-    """At most so many rows a (rname, pos), in the order of ``order``."""
-    k = F.row_number().over(Window.partitionBy("rname", "pos").orderBy("ord", "num"))
+    """At most so many rows a (rname, pos), by (ord, num), then by what else they hold, so that reruns agree."""
+    rest = [c for c in aligns.columns if c not in ("rname", "pos", "ord", "num")]
+    k = F.row_number().over(Window.partitionBy("rname", "pos").orderBy("ord", "num", *rest))
     return aligns.withColumn("_k", k).where(F.col("_k") <= most).drop("_k")
 
 
