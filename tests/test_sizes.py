@@ -20,7 +20,7 @@ def grown_broadcasts(node) -> list[str]:
 
 @pytest.mark.parametrize(
     "name",
-    ["k22_positions"],
+    ["k22_positions", "j01_shared_kmer_pairs"],
 )
 def test_no_window_is_broadcast(spark, name):
     assert not grown_broadcasts(catalog.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan())
