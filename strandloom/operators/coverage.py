@@ -11,8 +11,8 @@ STRETCH = 64_000  # places of a scaffold whose sums one task runs
 
 
 def depth(intervals: DataFrame) -> DataFrame:
-    """(scaff, pos, cov) of every covered place."""
-    return intervals.select("scaff", F.explode(F.sequence("lend", "rend")).alias("pos")).groupBy("scaff", "pos").agg(F.count(F.lit(1)).alias("cov"))
+    """(scaff, pos, cov) of every covered place (A11, A12, A40). Places outgrow what Spark expects of intervals, so joins are told to shuffle them."""
+    return intervals.select("scaff", F.explode(F.sequence("lend", "rend")).alias("pos")).hint("merge").groupBy("scaff", "pos").agg(F.count(F.lit(1)).alias("cov"))
 
 
 def depth_runs(intervals: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def troughs(track: DataFrame, most: float = 0.05, hill: float = 0.35, reach: int
     """(scaff, pos, jaccard, avg_delta) clip points (W09): places at most ``most`` with hills of at least ``hill`` more at ``reach`` on both sides;
     of troughs within ``apart`` of each other the deepest stays, then the one with the largest mean rise, then the first."""
     low = track.where(F.col("jaccard") <= most)
-    side = lambda shift, name: track.select("scaff", (F.col("pos") + shift).alias("pos"), F.col("jaccard").alias(name))
+    side = lambda shift, name: track.select("scaff", (F.col("pos") + shift).alias("pos"), F.col("jaccard").alias(name)).hint("merge")
     rows = low.join(side(reach, "before"), ["scaff", "pos"]).join(side(-reach, "after"), ["scaff", "pos"])
     rows = rows.where((F.col("before") >= F.col("jaccard") + hill) & (F.col("after") >= F.col("jaccard") + hill))
     rows = rows.withColumn("avg_delta", (F.col("before") + F.col("after")) / 2 - F.col("jaccard"))
