@@ -20,7 +20,7 @@ def grown_broadcasts(node) -> list[str]:
 
 @pytest.mark.parametrize(
     "name",
-    ["k22_positions", "j01_shared_kmer_pairs", "k30_shared_pairs", "w08_sliding_jaccard", "w09_troughs", "a01_weld_support", "p02_roots"],
+    ["k22_positions", "j01_shared_kmer_pairs", "k30_shared_pairs", "w08_sliding_jaccard", "w09_troughs", "a01_weld_support", "a02_weld_decision", "p02_roots"],
 )
 def test_no_window_is_broadcast(spark, name):
     assert not grown_broadcasts(catalog.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan())
