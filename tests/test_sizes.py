@@ -20,7 +20,7 @@ def grown_broadcasts(node) -> list[str]:
 
 @pytest.mark.parametrize(
     "name",
-    ["k22_positions", "j01_shared_kmer_pairs", "k30_shared_pairs", "k23_within_one_mismatch", "w08_sliding_jaccard", "w09_troughs", "j02_label_reads", "a04_assign_reads", "a01_weld_support", "a02_weld_decision", "p02_roots"],
+    ["k22_positions", "j01_shared_kmer_pairs", "k30_shared_pairs", "k23_within_one_mismatch", "w08_sliding_jaccard", "w09_troughs", "j02_label_reads", "a04_assign_reads", "a05_fragment_total", "a01_weld_support", "a02_weld_decision", "p02_roots"],
 )
 def test_no_window_is_broadcast(spark, name):
     assert not grown_broadcasts(catalog.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan())
