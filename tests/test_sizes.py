@@ -1,8 +1,12 @@
 """Exploded rows aren't broadcast by the size of what they were exploded from."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
-from strandloom.plans import catalog
+from strandloom.operators import coding
+from strandloom.plans import catalog, views
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,3 +28,18 @@ def grown_broadcasts(node) -> list[str]:
 )
 def test_no_window_is_broadcast(spark, name):
     assert not grown_broadcasts(catalog.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan())
+
+
+def test_tiers_of_a_deep_gene(spark):
+    """Hits are not compared with all that were placed before them."""
+    hits = spark.range(20_000).select(F.lit(1).cast("long").alias("gene"), F.col("id").alias("hit"), (F.col("id") * 173 % 20_000 + 1).alias("lend"), (F.col("id") * 173 % 20_000 + 50 + F.col("id") % 50 * 20).alias("rend"), (F.col("id") * 7 % 101).alias("score"))
+    began = time.monotonic()
+    assert coding.tiers(hits).agg(F.max("tier")).first()[0] > 300
+    assert time.monotonic() - began < 30
+
+
+def test_narrow_tables_are_spread_out(spark, tmp_path):
+    spark.range(45_000).select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = views.view(spark, str(tmp_path), "transcripts")
+    assert rows.rdd.getNumPartitions() == 5 and rows.count() == 45_000
+    assert views.view(spark, SF, "transcripts").rdd.getNumPartitions() == 1
