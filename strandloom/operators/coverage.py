@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.alignments import has
+from strandloom.operators.lineage import cut
 
 STRETCH = 64_000  # places of a scaffold whose sums one task runs
 
 
 def depth(intervals: DataFrame) -> DataFrame:
-    """(scaff, pos, cov) of every covered place (A11, A12, A40). Places outgrow what Spark expects of intervals, so joins are told to shuffle them."""
-    return intervals.select("scaff", F.explode(F.sequence("lend", "rend")).alias("pos")).hint("merge").groupBy("scaff", "pos").agg(F.count(F.lit(1)).alias("cov"))
+    """(scaff, pos, cov) of every covered place (A11, A12, A40), from runs of equal depth, so a place is made once and not by each interval over it. Places outgrow what Spark expects of
+    intervals, so joins are told to shuffle them."""
+    return depth_runs(intervals.where("lend <= rend")).select("scaff", F.explode(F.sequence("lend", "rend")).alias("pos"), "cov").hint("merge")
 
 
 def depth_runs(intervals: DataFrame) -> DataFrame:
@@ -53,6 +55,7 @@ def sliding_jaccard(frags: DataFrame, length: int = 100, pseudo: int = 1) -> Dat
 def troughs(track: DataFrame, most: float = 0.05, hill: float = 0.35, reach: int = 100, apart: int = 200) -> DataFrame:
     """(scaff, pos, jaccard, avg_delta) clip points (W09): places at most ``most`` with hills of at least ``hill`` more at ``reach`` on both sides;
     of troughs within ``apart`` of each other the deepest stays, then the one with the largest mean rise, then the first."""
+    track = track.transform(cut)  # it is read three times
     low = track.where(F.col("jaccard") <= most)
     side = lambda shift, name: track.select("scaff", (F.col("pos") + shift).alias("pos"), F.col("jaccard").alias(name)).hint("merge")
     rows = low.join(side(reach, "before"), ["scaff", "pos"]).join(side(-reach, "after"), ["scaff", "pos"])
