@@ -5,7 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import coding
+from strandloom.operators import coding, coverage
+from strandloom.operators import kmers as K
 from strandloom.plans import catalog, views
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +44,34 @@ def test_narrow_tables_are_spread_out(spark, tmp_path):
     rows = views.view(spark, str(tmp_path), "transcripts")
     assert rows.rdd.getNumPartitions() == 5 and rows.count() == 45_000
     assert views.view(spark, SF, "transcripts").rdd.getNumPartitions() == 1
+
+
+def test_depth_makes_a_place_once(spark):
+    """Places are made of runs; no aggregate takes a row a place and interval."""
+    rows = spark.createDataFrame([("s", 1, 9), ("s", 4, 6), ("s", 8, 7)], "scaff string, lend long, rend long")
+    assert {x.pos: x.cov for x in coverage.depth(rows).collect()} == {p: 2 if 4 <= p <= 6 else 1 for p in range(1, 10)}
+    plan = coverage.depth(rows)._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Generate explode")]
+
+
+def test_neighbours_are_no_broadcast(spark):
+    counts = spark.range(1 << 21).select(F.lpad(F.col("id").cast("string"), 11, "A").alias("kmer"), F.col("id").alias("cnt"))
+    near = K.within_one_mismatch(counts, spark.createDataFrame([("A" * 11,)], "kmer string"), 11)
+    assert "Broadcast" not in near._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_neighbours_within_mismatches_are_met_by_equality(spark):
+    """Not by a stretch of two or three letters, which a large part of all k-mers shares."""
+    words = spark.createDataFrame([("ACGTACGTACG",), ("ACGTACGTTTT",)], "kmer string")
+    met = K.within_mismatches(words.withColumn("cnt", F.lit(1)), words, 11, 3)
+    assert "_code" in met._jdf.queryExecution().sparkPlan().toString()
+    assert {(x.kmer, x.hit): x.mismatches for x in met.collect()} == {(a.kmer, b.kmer): 0 if a == b else 3 for a in words.collect() for b in words.collect()}
+
+
+def test_frames_share_their_windows(spark):
+    """A window is made once a strand, not once a frame."""
+    rows = spark.createDataFrame([(1, "ACGTACGTAC")], "tid long, seq string")
+    scores = spark.createDataFrame([("ACGTAC", 0, 1.0), ("ACGTAC", 1, 10.0), ("GTACGT", 2, 4.0)], "kmer string, frame int, score double")
+    out = coding.frame_scores(rows, scores, "tid")
+    assert "Generate explode(sequence" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {x.frame: x.score for x in out.collect()} == {1: 15.0, 2: 1.0, 5: 10.0, 6: 5.0}
