@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import coding, coverage
+from strandloom.operators import clustering, coding, coverage
 from strandloom.operators import kmers as K
 from strandloom.plans import catalog, views
 
@@ -75,3 +75,13 @@ def test_frames_share_their_windows(spark):
     out = coding.frame_scores(rows, scores, "tid")
     assert "Generate explode(sequence" not in out._jdf.queryExecution().sparkPlan().toString()
     assert {x.frame: x.score for x in out.collect()} == {1: 15.0, 2: 1.0, 5: 10.0, 6: 5.0}
+
+
+def test_welds_are_made_once(spark, monkeypatch):
+    """Candidates and edges that several steps read are written once and read again."""
+    contigs = spark.createDataFrame([(1, "ACGTTGCAACGT"), (2, "TTACGTTGCAAC")], "contig long, seq string")
+    assert "Scan parquet" in clustering.weldmers(contigs, 4, 2)._jdf.queryExecution().sparkPlan().toString()
+    written, own = [], clustering.cut
+    monkeypatch.setattr(clustering, "cut", lambda df: written.append(df.columns) or own(df))
+    groups = clustering.bounded_groups(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"), 5)
+    assert written[0] == ["a", "b"] and {tuple(x) for x in groups.collect()} == {(1, 1), (2, 1), (3, 1)}
