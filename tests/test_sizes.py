@@ -1,13 +1,14 @@
 """Exploded rows aren't broadcast by the size of what they were exploded from."""
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import clustering, coding, coverage
+from strandloom.operators import clustering, coding, contigs, coverage, strands
 from strandloom.operators import kmers as K
-from strandloom.plans import catalog, views
+from strandloom.plans import catalog, kmer_queries, views
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +86,34 @@ def test_welds_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(clustering, "cut", lambda df: written.append(df.columns) or own(df))
     groups = clustering.bounded_groups(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"), 5)
     assert written[0] == ["a", "b"] and {tuple(x) for x in groups.collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+@pytest.mark.parametrize("beside", [K.successors, K.predecessors])
+def test_counted_kmers_are_no_broadcast(spark, beside):
+    counts = kmer_queries.read_counts(spark, SF)
+    assert not grown_broadcasts(beside(counts)._jdf.queryExecution().sparkPlan())
+
+
+def test_unitig_links_are_one_aggregate(spark):
+    """Successors, and how many there are, come from groups of overlaps, not from joins."""
+    rows = [("ACGT", 5), ("CGTA", 2), ("CGTC", 1), ("GTCC", 1), ("TCCA", 1), ("TTTT", 3), ("CCAG", 0), ("TTTG", 1)]
+    links = contigs.unitig_links(spark.createDataFrame(rows, "kmer string, cnt long"))
+    assert "Join" not in links._jdf.queryExecution().sparkPlan().toString()
+    assert {tuple(x) for x in links.collect()} == {("CGTC", "GTCC"), ("GTCC", "TCCA")}
+
+
+def test_chains_follow_stretches_in_their_tasks(spark, monkeypatch):
+    """Chains and circles that lie in several tasks; only circles are gone round over all k-mers."""
+    r, k, words = random.Random(5), 12, {}
+    for n in (60, 200, 35):
+        line = "".join(r.choice("ACGT") for _ in range(n + k - 1))
+        words |= {line[i : i + k]: (line[:k], i) for i in range(n)}
+    ring = "".join(r.choice("ACGT") for _ in range(50))
+    round_ = [(ring * 2)[i : i + k] for i in range(50)]
+    least = round_.index(min(round_))
+    circle = {w: (min(round_), (i - least) % 50) for i, w in enumerate(round_)}
+    rounds, own = [], contigs._circles
+    monkeypatch.setattr(contigs, "_circles", lambda members, links: rounds.append(members.count()) or own(members, links))
+    of = lambda w: {x.kmer: (x.head, x.steps) for x in contigs.chains(spark.createDataFrame([(x, 2) for x in w], "kmer string, cnt long")).collect()}
+    assert of(words) == words and not rounds
+    assert of(words | circle) == words | circle and rounds == [50]
