@@ -102,6 +102,20 @@ def test_unitig_links_are_one_aggregate(spark):
     assert {tuple(x) for x in links.collect()} == {("CGTC", "GTCC"), ("GTCC", "TCCA")}
 
 
+def test_neighbouring_edges_are_joined_up_in_their_task(spark, monkeypatch):
+    """Rounds over all tasks see only what several tasks share, and nothing where none do."""
+    seen, own = [], clustering._starred
+    monkeypatch.setattr(clustering, "_starred", lambda df: seen.append(df.count()) or own(df))
+    edges = spark.range(0, 3000, 1, 1).where("id % 10 != 9").select("id", (F.col("id") + 1).alias("b")).withColumnRenamed("id", "a")
+    assert {x.node: x.component for x in clustering.components(edges).collect()} == {i: i - i % 10 for i in range(3000)}
+    assert not seen
+    apart = spark.range(0, 3000, 1, 7).where("id != 2000").select("id", (F.col("id") + 1).alias("b")).withColumnRenamed("id", "a")
+    assert {x.node: x.component for x in clustering.components(apart).collect()} == {i: 0 if i <= 2000 else 2001 for i in range(3001)}
+    assert seen[0] < 20
+    odd = spark.createDataFrame([(3, None), (4, 4), (None, 5), (6, 7)], "a long, b long")
+    assert {tuple(x) for x in clustering.components(odd).collect()} == {(3, 3), (4, 4), (5, 5), (6, 6), (7, 6), (None, None)}
+
+
 def test_chains_follow_stretches_in_their_tasks(spark, monkeypatch):
     """Chains and circles that lie in several tasks; only circles are gone round over all k-mers."""
     r, k, words = random.Random(5), 12, {}
@@ -117,3 +131,11 @@ def test_chains_follow_stretches_in_their_tasks(spark, monkeypatch):
     of = lambda w: {x.kmer: (x.head, x.steps) for x in contigs.chains(spark.createDataFrame([(x, 2) for x in w], "kmer string, cnt long")).collect()}
     assert of(words) == words and not rounds
     assert of(words | circle) == words | circle and rounds == [50]
+
+
+def test_edges_of_both_strands_are_made_once(spark, monkeypatch):
+    written, own = [], strands.cut
+    monkeypatch.setattr(strands, "cut", lambda df: written.append(df.columns) or own(df))
+    edges = spark.createDataFrame([(1, "AAC", "ACG", 2), (1, "CGT", "GTT", 2)], "component long, src string, dst string, w long")
+    assert [tuple(x) for x in strands.one_strand(edges).collect()] == [(1, "AAC", "ACG", 2)]
+    assert written[0] == ["component", "src", "dst", "w", "rsrc", "rdst"] and not any("w" in x for x in written[1:])
