@@ -1,12 +1,15 @@
 """Exploded rows aren't broadcast by the size of what they were exploded from."""
 
+import os
 import random
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import clustering, coding, contigs, coverage, strands
+from strandloom.operators import clustering, coding, contigs, coverage, packed, reach, strands
 from strandloom.operators import kmers as K
 from strandloom.plans import catalog, kmer_queries, views
 
@@ -139,3 +142,13 @@ def test_edges_of_both_strands_are_made_once(spark, monkeypatch):
     edges = spark.createDataFrame([(1, "AAC", "ACG", 2), (1, "CGT", "GTT", 2)], "component long, src string, dst string, w long")
     assert [tuple(x) for x in strands.one_strand(edges).collect()] == [(1, "AAC", "ACG", 2)]
     assert written[0] == ["component", "src", "dst", "w", "rsrc", "rdst"] and not any("w" in x for x in written[1:])
+
+
+def test_counting_takes_bounded_memory():
+    """However long a batch is, a task holds the windows of a small piece of it at a time."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["ACGTTGCAAC" * 400] * 1000)], ["seq"])
+    tracemalloc.start()
+    assert sum(len(packed.windows_of(x.column(0), 25, False)[2]) for x in packed.pieces(iter([batch]), 0, 25)) == 1000 * 3976
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
