@@ -152,3 +152,16 @@ def test_counting_takes_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 << 20
+
+
+def test_only_changed_labels_go_on(spark, monkeypatch):
+    """A round's table takes the place of the one before, on the disk too."""
+    kept, own = [], reach.cut
+    monkeypatch.setattr(reach, "cut", lambda df: kept.append(own(df)) or kept[-1])
+    edges = spark.createDataFrame([(1, f"n{i:02}", f"n{i + 1:02}") for i in range(6)], "component long, src string, dst string")
+    got = {x.node: (x.o0, x.i0) for x in reach.labels(edges).collect()}
+    least = {x.node: x.h for x in edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("h", F.xxhash64(F.lit(0), "node")).collect()}
+    nodes = sorted(least)
+    assert got == {n: (min(least[x] for x in nodes[i:]), min(least[x] for x in nodes[: i + 1])) for i, n in enumerate(nodes)}
+    assert [os.path.exists(x._cut.removeprefix("file://")) for x in kept] == [True] + [False] * (len(kept) - 2) + [True]
+    assert kept[-1].where("_out OR _into").isEmpty() and not kept[1]._cut == kept[-1]._cut
