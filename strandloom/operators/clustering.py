@@ -187,11 +187,17 @@ def with_singletons(groups: DataFrame, contigs: DataFrame) -> DataFrame:
 def label_reads(reads: DataFrame, contigs: DataFrame, k: int) -> DataFrame:
     """(read_id, component, hits, n_kmers) of the component with most k-mers in common with a read (J02, A04). A k-mer of several
     components goes to the largest, as one table with a label a k-mer would hold; ties of hits go to the smallest component."""
+    total = reads.select("read_id", F.greatest(F.length("seq") - k + 1, F.lit(0)).cast("long").alias("n_kmers"))
+    of_read = Window.partitionBy("read_id")
+    best = F.row_number().over(of_read.orderBy(F.desc("hits"), "component"))
+    whole = ("tinyint", "smallint", "int", "bigint")
+    if k in packed.STRETCHED and reads.schema["read_id"].dataType.simpleString() in whole and contigs.schema["component"].dataType.simpleString() in whole:
+        hits = packed.labelled(reads, "read_id", contigs, "component", k).withColumn("n_kmers", F.sum("windows").over(of_read))
+        return hits.withColumn("_k", best).where("_k = 1 AND hits > 0 AND read_id IS NOT NULL").select("read_id", "component", "hits", "n_kmers")
     labels = packed.windows(contigs, k, "component").groupBy("code", "word").agg(F.max("component").alias("component"))
     rows = packed.windows(reads, k, "read_id").select("read_id", "code", "word")
     total = reads.select("read_id", F.greatest(F.length("seq") - k + 1, F.lit(0)).cast("long").alias("n_kmers"))
     hits = rows.join(labels, ["code", "word"]).groupBy("read_id", "component").agg(F.count(F.lit(1)).alias("hits"))
-    best = F.row_number().over(Window.partitionBy("read_id").orderBy(F.desc("hits"), "component"))
     total = total.groupBy("read_id").agg(F.sum("n_kmers").alias("n_kmers")).hint("merge")
     return hits.withColumn("_k", best).where("_k = 1").join(total, "read_id").select("read_id", "component", "hits", "n_kmers")
 

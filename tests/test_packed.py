@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import contigs, kmers, packed, setmath
+from strandloom.operators import clustering, contigs, kmers, packed, setmath
 from strandloom.operators.lineage import numbered
+from strandloom.plans import catalog
 
 PAIRS = str.maketrans("ACGTNacgtn", "TGCANtgcan")
 
@@ -124,3 +125,53 @@ def test_packed_tables_give_what_words_give(spark):
             assert same(f(a[0], b[0]), packed.decoded(f(a[1], b[1]), k))
     with pytest.raises(ValueError, match="can't be packed"):
         kmers.count_in(df, 40, decode=False)
+
+
+def stretched_reads(spark):
+    r = random.Random(1)
+    base = ["".join(r.choice("ACGT") for _ in range(150)) for _ in range(20)]
+    seqs = [None, "", "A" * 300]
+    for _ in range(300):
+        at = r.randrange(110)
+        x = r.choice(base)[at : at + r.randrange(60)]
+        x = x[:10] + r.choice(["N", "é", "XX"]) + x[10:] if r.random() < 0.2 else x
+        seqs.append(x.translate(PAIRS)[::-1] if r.random() < 0.3 and x.isascii() else x)
+    return base, seqs, spark.createDataFrame([(i, x, i % 5) for i, x in enumerate(seqs)], "read_id long, seq string, w int").repartition(3)
+
+
+@pytest.mark.parametrize(("k", "canonical", "weight", "plain"), [(16, False, None, False), (20, True, "w", False), (25, False, "w", True), (27, True, None, False)])
+def test_stretches_count_every_window(spark, k, canonical, weight, plain):
+    """Batches are few rows, so a bucket goes on from one to the next."""
+    _, seqs, df = stretched_reads(spark)
+    want = Counter()
+    for i, x in enumerate(seqs):
+        for j in range(len(x or "") - k + 1):
+            w = x[j : j + k]
+            if not plain or not set(w) - set("ACGT"):
+                want[min(w, w.translate(PAIRS)[::-1]) if canonical else w] += i % 5 if weight else 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        rows = packed.count(df, k, canonical=canonical, weight=weight, plain_only=plain).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == len(want) and {x.kmer: x.cnt for x in rows} == dict(want)
+
+
+def test_labels_by_stretches_are_those_of_joined_windows(spark, monkeypatch):
+    base, seqs, reads = stretched_reads(spark)
+    r = random.Random(2)
+    bundles = spark.createDataFrame([(r.choice([0, 1, 2, 3, None]), x[:60] + r.choice(["", "N"]) + x[60:]) for x in base] + [(r.randrange(4), x) for x in seqs[:60]], "component long, seq string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = sorted(map(str, clustering.label_reads(reads, bundles, 25).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(packed, "STRETCHED", range(0))
+    assert got == sorted(map(str, clustering.label_reads(reads, bundles, 25).collect())) and len(got) > 100
+
+
+@pytest.mark.parametrize("name", ["j02_label_reads", "k04_weighted_count"])
+def test_reads_are_shuffled_by_stretches(spark, name):
+    """Not by windows, and reads are made once."""
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and "hashpartitioning(code" not in plan and plan.count("lineitem.parquet") == 1
