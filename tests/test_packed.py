@@ -175,3 +175,17 @@ def test_reads_are_shuffled_by_stretches(spark, name):
     """Not by windows, and reads are made once."""
     plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(bucket" in plan and "hashpartitioning(code" not in plan and plan.count("lineitem.parquet") == 1
+
+
+def test_several_lengths_are_counted_in_one_pass(spark):
+    r = random.Random(5)
+    df = spark.createDataFrame([(x,) for x in some_texts(r, 60, "ACGTN")], "seq string")
+    rows = packed.count(df, 6, frames=3, also=(5,)).collect()
+    for k in (6, 5):
+        want = packed.count(df, k, frames=3, decode=False).collect()
+        assert sorted((x.frame, x.code, x.word, x.cnt) for x in rows if x.k == k) == sorted((x.frame, x.code, x.word, x.cnt) for x in want)
+
+
+def test_scores_make_reads_once(spark):
+    plan = catalog.queries()["n11_coding_selected"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 0  # their counts are a table by now
