@@ -85,3 +85,16 @@ def test_windowed_and_session_streams(spark, tmp_path):
         q.awaitTermination()
     assert spark.sql("SELECT sum(n) FROM w").first()[0] == 20
     assert spark.sql("SELECT count(*), sum(n) FROM s").first() == (2, 20)
+
+
+def test_a_large_group_is_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(40_000).repartition(8).select(F.when(F.col("id") < 10, "a").otherwise("b").alias("db"), F.md5(F.col("id").cast("string")).alias("seq"))
+        sinks.write_lines(rows, F.col("seq"), str(tmp_path / "groups"), ["db"])
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "groups" / "db=b").glob("part-*"))) > 3
+    assert spark.read.text(str(tmp_path / "groups")).groupBy("db").count().orderBy("db").collect() == [("a", 10), ("b", 39_990)]
