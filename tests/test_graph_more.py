@@ -38,3 +38,11 @@ def test_heaviest_paths(spark):
         most = max(sum(own[v] for v in p) for p in paths if top in p)
         p = got[c].path
         assert got[c].through == top and top in p and got[c].total == most == sum(own[v] for v in p) and all(b in after[a] for a, b in zip(p, p[1:], strict=False))
+
+
+def test_edge_support_of_any_edges(spark):
+    """Edges that don't overlap, are of other lengths or hold other letters or nulls keep their ends; the reads hold ACGTA twice and CGTNA once."""
+    edges = spark.createDataFrame([(1, "ACGT", "CGTA", 9), (1, "CGTN", "GTNA", 9), (1, "ACGT", "TTTA", 9), (1, "CGT", "GTA", 9), (2, "ACGT", None, 9)], "component long, src string, dst string, w long")
+    reads = spark.createDataFrame([("ACGTACGTNA",), ("ACGTA",)], "seq string")
+    got = {(x.component, x.src, x.dst, x.w) for x in debruijn.edge_support(edges, reads, 4).collect()}
+    assert got == {(1, "ACGT", "CGTA", 2), (1, "CGTN", "GTNA", 1), (1, "ACGT", "TTTA", 2), (1, "CGT", "GTA", 0), (2, "ACGT", None, 0)}
