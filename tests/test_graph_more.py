@@ -3,6 +3,7 @@
 import random
 
 from strandloom.operators import debruijn
+from strandloom.plans import catalog
 
 
 def test_bubbles_of_several_ways_collapse(spark):
@@ -46,3 +47,8 @@ def test_edge_support_of_any_edges(spark):
     reads = spark.createDataFrame([("ACGTACGTNA",), ("ACGTA",)], "seq string")
     got = {(x.component, x.src, x.dst, x.w) for x in debruijn.edge_support(edges, reads, 4).collect()}
     assert got == {(1, "ACGT", "CGTA", 2), (1, "CGTN", "GTNA", 1), (1, "ACGT", "TTTA", 2), (1, "CGT", "GTA", 0), (2, "ACGT", None, 0)}
+
+
+def test_flows_make_edges_once(spark):
+    plan = catalog.queries()["a07_flows"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and plan.count("part.parquet") == 1
