@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from strandloom.functions import seq as S
 from strandloom.operators import kmers as K
 from strandloom.operators import packed
+from strandloom.operators import welds as WE
 from strandloom.operators.lineage import cut
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 
 def shared_kmer_pairs(contigs: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
     """(a, b, kmer) of contigs that share a k-mer on either strand."""
@@ -41,15 +44,32 @@ def weld_support(candidates: DataFrame, reads: DataFrame) -> DataFrame:
     return seen.join(wanted, "weldmer", "left_semi")
 
 
-def weld_decision(candidates: DataFrame, support: DataFrame, coverage: DataFrame, glue: float = 0.05, least: int = 2, iso_ratio: float = 0.05) -> DataFrame:
-    """(a, b) that reads weld in either direction (A02): at least max(int(max coverage * glue), least) reads, and coverages within iso_ratio."""
+def weld_decision(candidates: DataFrame, support: DataFrame | None, coverage: DataFrame, glue: float = 0.05, least: int = 2, iso_ratio: float = 0.05) -> DataFrame:
+    """(a, b) that reads weld in either direction (A02): at least max(int(max coverage * glue), least) reads, and coverages within iso_ratio (F09). support None: candidates
+    have counts."""
     cov = lambda side: coverage.select(F.col("contig").alias(side), F.col("cov").alias(f"cov_{side}"))
-    rows = candidates.hint("merge").join(support, "weldmer").join(cov("a"), "a").join(cov("b"), "b")
+    rows = (candidates if support is None else candidates.hint("merge").join(support, "weldmer")).join(cov("a"), "a").join(cov("b"), "b")
     need = F.greatest(F.floor(F.greatest("cov_a", "cov_b") * glue), F.lit(least))
     ok = (F.col("cnt") >= need) & good_coverage(F.col("cov_a"), F.col("cov_b"), iso_ratio)
     return rows.where(ok).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def welded_in(contigs: DataFrame, reads: DataFrame, k: int, flank: int) -> DataFrame:
+    """(weldmer, cnt) of weldmers of two different contigs that reads hold (A01), without those that no read holds."""
+    if WE.fits(k, flank) and contigs.schema["contig"].dataType.simpleString() in WHOLE:
+        return WE.support(contigs, reads, k, flank)
+    return weld_support(weldmers(contigs, k, flank), reads)
+
+
+def welds(contigs: DataFrame, reads: DataFrame, coverage: DataFrame, k: int, flank: int, glue: float = 0.05, least: int = 2, iso_ratio: float = 0.05) -> DataFrame:
+    """(a, b) that reads weld (A02), as weld_decision has them, without weldmers that no read holds. A pair's weldmer with most reads decides, as coverage doesn't depend on it."""
+    if not (WE.fits(k, flank) and contigs.schema["contig"].dataType.simpleString() in WHOLE):
+        candidates = weldmers(contigs, k, flank)
+        return weld_decision(candidates, weld_support(candidates, reads), coverage, glue, least, iso_ratio)
+    pairs = WE.pairs(contigs, reads, k, flank, least)
+    return weld_decision(pairs, None, coverage, glue, least, iso_ratio)
+
+
 def good_coverage(a: Column, b: Column, ratio: float) -> Column:
     """Whether the smaller coverage is more than ``ratio`` of the larger."""
     return F.least(a, b) / F.greatest(a, b) > ratio
