@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,30 +173,53 @@ def bounded_groups(edges: DataFrame, most: int) -> DataFrame:
     edges = edges.transform(cut)  # components read it several times
     labelled = edges.join(components(edges).withColumnRenamed("node", "a"), "a").select("a", "b", "component")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def grouped(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
         near: dict[int, set] = {}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
+        for x, y in zip(a, b, strict=True):
+            near.setdefault(x, set()).add(y)
+            near.setdefault(y, set()).add(x)
         group = {n: n for n in near}
         members = {n: [n] for n in near}
-        done: set = set()
-        while open_ := [g for g in members if g not in done]:
-            g = min(open_, key=lambda x: (len(members[x]), x))
+        open_ = [(1, n) for n in near]
+        heapq.heapify(open_)
+        while open_:
+            size, g = heapq.heappop(open_)
+            if g not in members or len(members[g]) != size:  # it has grown or gone meanwhile
+                continue
             around = {group[m] for n in members[g] for m in near[n]} - {g}
-            fits = [h for h in around if len(members[h]) + len(members[g]) <= most]
+            fits = [h for h in around if len(members[h]) + size <= most]
             if not fits:
-                done.add(g)
                 continue
             h = min(fits, key=lambda x: (len(members[x]), x))
             keep, gone = min(g, h), max(g, h)
             for n in members[gone]:
                 group[n] = keep
             members[keep] += members.pop(gone)
-            done.discard(keep)
-        return pd.DataFrame({"node": list(group), "grp": list(group.values())})
-
-    return labelled.groupBy("component").applyInPandas(run, "node long, grp long")
+            heapq.heappush(open_, (len(members[keep]), keep))
+        return list(group), list(group.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Components one after the other; a task holds the edges of one."""
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(np.stack([c.to_numpy() for c in batch.columns]))
+            if held[0].shape[1] and batch.num_rows and held[0][0, 0] == held[-1][0, -1]:
+                continue
+            yield from parted(held, False)
+        yield from parted(held, True)
+
+    def parted(held: list[np.ndarray], all_: bool) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int64)
+        held.clear()
+        edges_of = np.flatnonzero(np.diff(rows[0])) + 1
+        lots = np.split(rows, edges_of, axis=1)
+        if not all_:
+            held.append(lots.pop())  # the last one may go on
+        found = [grouped(lot[1].tolist(), lot[2].tolist()) for lot in lots if lot.shape[1]]
+        yield pa.RecordBatch.from_arrays([pa.array([x for f in found for x in f[i]], pa.int64()) for i in range(2)], ["node", "grp"])
+
+    met = labelled.select(*(F.col(c).cast("long").alias(c) for c in ("component", "a", "b"))).dropna().repartition("component").sortWithinPartitions("component")
+    return met.mapInArrow(run, "node long, grp long")
 
 
 def with_singletons(groups: DataFrame, contigs: DataFrame) -> DataFrame:

@@ -49,3 +49,34 @@ def test_no_weldmers_are_made(spark, monkeypatch):
     monkeypatch.setattr(CL, "weldmers", no)
     for name in ("a01_weld_support", "a02_weld_decision"):
         assert catalog.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_bounded_groups_go_by_lots(spark):
+    """Many components are a task's rows one after the other, not a Python call each."""
+    r = random.Random(11)
+    edges = [(10 * c + r.randrange(8), 10 * c + r.randrange(8)) for c in range(300) for _ in range(6)]
+    edges = [e for e in edges if e[0] != e[1]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = CL.bounded_groups(spark.createDataFrame(edges, "a long, b long"), 3)
+        assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().sparkPlan().toString()
+        got = {x.node: x.grp for x in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    near: dict = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    group, members, done = {n: n for n in near}, {n: {n} for n in near}, set()
+    while left := [g for g in members if g not in done]:
+        g = min(left, key=lambda x: (len(members[x]), x))
+        fits = [h for h in {group[m] for n in members[g] for m in near[n]} - {g} if len(members[h]) + len(members[g]) <= 3]
+        if not fits:
+            done.add(g)
+            continue
+        h = min(fits, key=lambda x: (len(members[x]), x))
+        keep, gone = min(g, h), max(g, h)
+        group.update(dict.fromkeys(members[gone], keep))
+        members[keep] |= members.pop(gone)
+        done.discard(keep)
+    assert got == group
